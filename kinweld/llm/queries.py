@@ -8,15 +8,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kinweld.llm.bpe import op4_bpe
 from kinweld.llm.exact_dedup import OP3_SQL, op3_exact_dedup
+from kinweld.llm.jaccard_join import op9_jaccard_join
+from kinweld.llm.language_id import op2_language_id
 from kinweld.llm.mixing import OP10_SQL, op10_mixing
+from kinweld.llm.quality_fm import op8_quality_fm
 from kinweld.llm.quality_rules import op7_quality_rules
+from kinweld.llm.substring_dedup import op5_substring_dedup
 from kinweld.llm.token_counts import op6_token_counts
+from kinweld.llm.toxicity import op1_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op2_language_id": op2_language_id,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_bpe": op4_bpe,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_token_counts": op6_token_counts,
     "op7_quality_rules": op7_quality_rules,
+    "op8_quality_fm": op8_quality_fm,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_mixing": op10_mixing,
 }
 
