@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinweld.llm import bpe, exact_dedup, mixing, quality_rules
+from kinweld.llm import bpe, exact_dedup, jaccard_join, mixing, quality_rules
 from kinweld.llm.common import table, written
 
 
@@ -24,6 +24,11 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.keep(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of similar texts stays."""
+    return jaccard_join.keep(docs)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are taken as their sources' targets ask, repeats as rows."""
     return mixing.mix(docs)
@@ -37,6 +42,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality rules", quality),
     ("exact dedup", exact),
+    ("n-gram Jaccard join", near),
     ("mixing", mixed),
     ("BPE", encoded),
 ]
