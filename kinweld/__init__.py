@@ -1,0 +1 @@
+"""A Spark-native engine that fuses profile records of people."""
