@@ -37,10 +37,14 @@ def strip(c: Column) -> Column:
 
 def casefold(c: Column) -> Column:
     """Lower case and the expansions of full case folding."""
-    out = F.lower(c)
-    for a, b in FOLDS.items():
-        out = F.replace(out, F.lit(a), F.lit(b))
-    return out
+
+    def expanded(low: Column) -> Column:
+        out = low
+        for a, b in FOLDS.items():
+            out = F.replace(out, F.lit(a), F.lit(b))
+        return F.when(low.rlike("[" + "".join(FOLDS) + "]"), out).otherwise(low)
+
+    return let(F.lower(c), expanded)
 
 
 def collapse(c: Column) -> Column:

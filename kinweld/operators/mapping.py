@@ -33,12 +33,17 @@ def truthy(v: Column) -> Column:
     return ~F.coalesce(F.to_json(v), F.lit("null")).isin("null", '""', "[]", "{}", "0", "0.0", "false")
 
 
+def folded_entries(fields: Column) -> Column:
+    """Entries of a map of variants, each with its key folded once."""
+    return F.transform(F.map_entries(fields), lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"), N.casefold(e["key"]).alias("folded")))
+
+
 def _named(entries: Column, part: str) -> Column:
-    return F.filter(entries, lambda e: N.casefold(e["key"]) == part.casefold())
+    return F.filter(entries, lambda e: e["folded"] == part.casefold())
 
 
 def _entries(v: Column) -> Column:
-    return N.let(v, lambda x: F.when(kind_is(x, "OBJECT"), F.map_entries(x.cast("map<string,variant>"))))
+    return N.let(v, lambda x: F.when(kind_is(x, "OBJECT"), folded_entries(x.cast("map<string,variant>"))))
 
 
 def _hit(entry: Column, alias: str | None) -> Column:
@@ -47,23 +52,19 @@ def _hit(entry: Column, alias: str | None) -> Column:
     return F.when(present(entry["value"]), F.struct(entry["value"].alias("value"), key.alias("key")).cast(HIT))
 
 
-def lookup(fields: Column, aliases: tuple[str, ...]) -> Column:
-    """The first alias with a present value: along its dotted path, the first
+def lookup(entries: Column, aliases: tuple[str, ...]) -> Column:
+    """In folded entries, the first alias with a present value: along its dotted path, the first
     key that fits in any case, under the alias's own spelling; or as a whole
     key, the last that fits, under the key's spelling."""
-
-    def find(entries: Column) -> Column:
-        tries = []
-        for alias in aliases:
-            first, *rest = alias.split(".")
-            entry = F.get(_named(entries, first), F.lit(0))
-            for part in rest:
-                entry = F.get(_named(_entries(entry["value"]), part), F.lit(0))
-            tries.append(N.let(entry, lambda e, alias=alias: _hit(e, alias)))
-            tries.append(N.let(F.try_element_at(_named(entries, alias), F.lit(-1)), lambda e: _hit(e, None)))
-        return F.coalesce(*tries)
-
-    return N.let(F.map_entries(fields), find)
+    tries = []
+    for alias in aliases:
+        first, *rest = alias.split(".")
+        entry = F.get(_named(entries, first), F.lit(0))
+        for part in rest:
+            entry = F.get(_named(_entries(entry["value"]), part), F.lit(0))
+        tries.append(N.let(entry, lambda e: _hit(e, alias)))  # noqa: B023
+        tries.append(N.let(F.try_element_at(_named(entries, alias), F.lit(-1)), lambda e: _hit(e, None)))
+    return F.coalesce(*tries)
 
 
 def text_of(v: Column) -> Column:
@@ -160,11 +161,13 @@ def date_texts(items: Column) -> Column:
 
 
 def map_records(records: DataFrame, countries: dict[str, str], region: str = "US") -> DataFrame:
-    """Profiles of ``records``. Records with a broken link are left out; see
-    :func:`broken`."""
+    """Profiles of ``records``. Those with a broken link have valid = false:
+    callers drop them once the profiles are written, since a filter here would
+    be pushed below, and so repeat, the lookups it rests on."""
     f = F.col("fields")
-    hits = {k: lookup(f, a) for k, a in ALIASES.items()}
-    r = records.select("*", *[h.alias(f"h_{k}") for k, h in hits.items()]).where(~_broken())
+    folded = records.withColumn("_entries", folded_entries(f))
+    hits = {k: lookup(F.col("_entries"), a) for k, a in ALIASES.items()}
+    r = folded.select("*", *[h.alias(f"h_{k}") for k, h in hits.items()])
     value = lambda k: F.col(f"h_{k}.value")
     strings = lambda k: F.transform(as_list(value(k)), any_text)
     texts = lambda k: F.transform(as_list(value(k)), text_of)
@@ -188,19 +191,13 @@ def map_records(records: DataFrame, countries: dict[str, str], region: str = "US
         plain = F.transform(texts_, N.plain_date)
         hard = F.exists(texts_, lambda t: t.isNotNull() & N.plain_date(t).isNull())
         r = r.withColumn(f"{k}_dates", F.coalesce(N.date_list(F.when(hard, texts_)), plain)).withColumn(k, F.expr(with_dates(k, k)))
-    return r.select("source", "source_id", "file_ord", "row_ord", "tmp_id", "full_name", "emails", "phones", "location", "links", "headline", "years_experience", "skills", "experience", "education", evidence().alias("evidence"))
+    return r.select("source", "source_id", "file_ord", "row_ord", "tmp_id", "full_name", "emails", "phones", "location", "links", "headline", "years_experience", "skills", "experience", "education", evidence().alias("evidence"), (~_broken()).alias("valid"))
 
 
 def _broken() -> Column:
     return F.coalesce(N.broken_url(text_of(F.col("h_linkedin.value"))) | N.broken_url(text_of(F.col("h_github.value"))) | N.broken_url(text_of(F.col("h_portfolio.value"))), F.lit(False))
 
 
-def broken(records: DataFrame) -> DataFrame:
-    """source, source_id and reason of records that can't be mapped."""
-    found = records.select("source", "source_id", *[lookup(F.col("fields"), ALIASES[k]).alias(f"h_{k}") for k in ("linkedin", "github", "portfolio")])
-    return found.where(_broken()).select("source", "source_id", F.lit("invalid link").alias("reason"))
-
-
 def evidence() -> Column:
     """Evidence of a mapped record, in the order of fields: one entry for each
     field that was found and is valid, several for links and flat locations."""
@@ -226,7 +223,7 @@ def evidence() -> Column:
         plain("location", F.col("location").isNotNull()),
     ]
     for part in ("city", "region", "state", "country", "country_code"):
-        flat = F.get(_named(F.map_entries("fields"), part), F.lit(0))
+        flat = F.get(_named(F.col("_entries"), part), F.lit(0))
         there = flat["value"].isNotNull() & ~F.is_variant_null(flat["value"]) & (F.to_json(flat["value"]) != '""')
         entries.append(entry("location", flat["key"], flat["value"], F.col("h_location").isNull() & F.col("location").isNotNull() & there))
     for link in ("linkedin", "github", "portfolio"):

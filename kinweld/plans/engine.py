@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinweld.functions.normalize import country_table
-from kinweld.operators.mapping import broken, map_records
+from kinweld.operators.mapping import map_records
 from kinweld.operators.matching import check_threshold, match
 from kinweld.operators.merging import merge
 from kinweld.operators.projection import ProjectionConfig, json_rows, renormalized
@@ -62,13 +62,20 @@ class Engine:
             log.warning("input skipped: %s: %s", row["path"], row["error"])
         if not frames:
             raise PipelineError("No candidate records could be loaded from the inputs")
-        return Loaded(reduce(DataFrame.unionByName, frames), bad_files)
+        return Loaded(materialized(reduce(DataFrame.unionByName, frames)), bad_files)
 
-    def profiles_of(self, records: DataFrame) -> DataFrame:
-        """Mapped profiles with an id, written once."""
+    def mapped(self, records: DataFrame) -> DataFrame:
+        """Mapped profiles of written records with an id, written once."""
         mapped = map_records(records, self.countries, self.region)
         return materialized(mapped.withColumn("id", F.monotonically_increasing_id()))
 
+    def profiles_of(self, records: DataFrame) -> DataFrame:
+        """Valid profiles; records that can't be mapped are reported."""
+        mapped = self.mapped(records)
+        for row in mapped.where("NOT valid").select("source", "source_id").limit(100).collect():
+            log.warning("record skipped: %s %s: invalid link", row["source"], row["source_id"])
+        return mapped.where("valid").drop("valid")
+
     def fuse(self, profiles: DataFrame) -> DataFrame:
         """Canonical profiles, one per person."""
         groups = match(profiles, self.threshold).withColumnRenamed("id", "member")
@@ -82,8 +89,6 @@ class Engine:
         loaded = self.load(csv, resumes, ats)
         if loaded.records.isEmpty():
             raise PipelineError("No candidate records could be loaded from the inputs")
-        for row in broken(loaded.records).limit(100).collect():
-            log.warning("record skipped: %s %s: %s", row["source"], row["source_id"], row["reason"])
         profiles = self.profiles_of(loaded.records)
         if profiles.isEmpty():
             raise PipelineError("All records failed mapping")

@@ -32,5 +32,5 @@ def ingest(spark: SparkSession, folder: str, table: str, checkpoint: str, engine
 
 def people(spark: SparkSession, table: str, engine: Engine) -> DataFrame:
     """Canonical profiles of all that has been ingested."""
-    profiles = spark.read.parquet(table).withColumn("id", F.monotonically_increasing_id())
+    profiles = spark.read.parquet(table).where("valid").drop("valid").withColumn("id", F.monotonically_increasing_id())
     return engine.fuse(profiles)
