@@ -33,6 +33,12 @@ def first_value(value: Column, order: Column) -> Column:
     return F.min_by(value, F.when(value.isNotNull(), order))
 
 
+def first_member(struct: str, member: str, order: Column) -> Column:
+    """The first value of a struct's member that isn't null; '' hides later
+    values but is itself none."""
+    return F.nullif(first_value(F.col(struct)[member], order), F.lit(""))
+
+
 def longest_name(name: Column, order: Column) -> Column:
     key = F.struct((-F.length(name)).alias("n"), order.alias("o"), casefold(name).alias("c"))
     return F.min_by(name, F.when(F.coalesce(name, F.lit("")) != "", key))
@@ -125,14 +131,12 @@ def merge(profiles: DataFrame) -> DataFrame:
     order = priority(F.col("source"), F.col("tmp_id"), F.struct("file_ord", "row_ord"))
     rows = profiles.withColumn("o", order)
     o = F.col("o")
-    part = lambda s, f: first_value(F.col(s)[f], o)
-    kept = lambda c: F.nullif(c, F.lit(""))
     scalars = rows.groupBy("person").agg(
         longest_name(F.col("full_name"), o).alias("full_name"),
         first_value(F.col("headline"), o).alias("headline"),
         first_value(F.col("years_experience"), o).alias("years_experience"),
-        F.struct(*[kept(part("location", f)).alias(f) for f in ("city", "region", "country")]).alias("place"),
-        F.struct(*[kept(part("links", f)).alias(f) for f in ("linkedin", "github", "portfolio")]).alias("links"),
+        F.struct(*[first_member("location", f, o).alias(f) for f in ("city", "region", "country")]).alias("place"),
+        F.struct(*[first_member("links", f, o).alias(f) for f in ("linkedin", "github", "portfolio")]).alias("links"),
         F.min_by(F.struct("source", "source_id"), o).alias("primary"),
     )
     some = F.coalesce(F.col("place.city"), F.col("place.region"), F.col("place.country")).isNotNull()

@@ -437,6 +437,29 @@ def merge_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.united(grouped(spark, sf_dir), "emails", "emails").select("person", joined("emails").alias("emails"))
 
 
+@query(GROUPS_SQL + """,
+p AS (SELECT *, CASE WHEN id % 4 = 0 THEN 'City ' || id % 9 WHEN id % 4 = 1 THEN '' END AS city, CASE WHEN id % 6 = 0 THEN 'Region ' || id % 7 END AS region, CASE WHEN id % 5 = 0 THEN 'US' END AS country FROM g)
+SELECT person, nullif(arg_min(city, (rank, tmp_id)) FILTER (city IS NOT NULL), '') AS city, arg_min(region, (rank, tmp_id)) FILTER (region IS NOT NULL) AS region, arg_min(country, (rank, tmp_id)) FILTER (country IS NOT NULL) AS country FROM p GROUP BY person
+""")
+def merge_location(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """City, region and country each from the first profile that has one; an
+    empty city hides later ones and is dropped."""
+    i = F.col("id")
+    text = lambda label, n: F.concat(F.lit(label), (i % n).cast("string"))
+    place = F.struct(F.when(i % 4 == 0, text("City ", 9)).when(i % 4 == 1, "").alias("city"), F.when(i % 6 == 0, text("Region ", 7)).alias("region"), F.when(i % 5 == 0, "US").alias("country"))
+    rows = grouped(spark, sf_dir).withColumn("location", place)
+    return rows.groupBy("person").agg(*[A.first_member("location", f, F.col("o")).alias(f) for f in ("city", "region", "country")])
+
+
+@query(GROUPS_SQL + """
+SELECT person, arg_min(link, (rank, tmp_id)) FILTER (link IS NOT NULL) AS linkedin, arg_min('https://x.org/' || id, (rank, tmp_id)) FILTER (id % 3 = 0) AS github, NULL::VARCHAR AS portfolio FROM g GROUP BY person
+""")
+def merge_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    links = F.struct(F.col("link").alias("linkedin"), F.when(F.col("id") % 3 == 0, F.concat(F.lit("https://x.org/"), F.col("id").cast("string"))).alias("github"), F.lit(None).cast("string").alias("portfolio"))
+    rows = grouped(spark, sf_dir).withColumn("links", links)
+    return rows.groupBy("person").agg(*[A.first_member("links", f, F.col("o")).alias(f) for f in ("linkedin", "github", "portfolio")])
+
+
 @query("""
 WITH i AS (SELECT l_orderkey % 200 AS person, l_orderkey AS o, (l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS pos, 'Firm ' || l_suppkey % 10 AS company, CASE WHEN l_linenumber % 2 = 0 THEN 'Engineer' ELSE 'engineer' END AS title,
            CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_linestatus || l_partkey END AS description FROM lineitem),
