@@ -56,13 +56,13 @@ def fresh(df: DataFrame, base: str) -> str:
     return name
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """``batch`` in pieces of about SLICE_BYTES of text."""
+def slices(batch: pa.RecordBatch, column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """``batch`` in pieces of about ``size`` bytes of text."""
     sizes = batch.column(batch.schema.get_field_index(column)).cast(pa.large_binary())
     start = held = 0
     for k in range(batch.num_rows):
         held += len(sizes[k].as_buffer()) if sizes[k].is_valid else 0
-        if held >= SLICE_BYTES:
+        if held >= size:
             yield batch.slice(start, k + 1 - start)
             start, held = k + 1, 0
     if start < batch.num_rows:

@@ -22,9 +22,11 @@ each skips a prefix of one order, and the longer prefix is within its slack.
 *Matching.* Signatures are shuffled in binary blocks by bucket. In a bucket,
 the sets with one signature are linked to the smallest of them as candidates
 (a star, never all pairs). Candidates are verified exactly on the words of
-the texts. Where a star leaves sets of one signature in different components,
-the pairs across components are compared as well: first by size and by an odd
-sketch, whose distance is a lower bound of the difference, then exactly.
+the texts. Two sets with a common signature are both in the star of its
+smallest set; where the members of a star end up in different components, the
+pairs across components are compared as well: by size, by an odd sketch, whose
+distance is a lower bound of the difference, by the sets of hashes, and at
+last exactly. Large stars are compared block by block in tasks of their own.
 Connected components of the verified links give the result.
 
 Equal sets are one class, found by a 128-bit digest, and enter once. Null and
@@ -54,8 +56,14 @@ WORDS = 5
 PERCENT = (75, 100)
 #: Bands up to this size get deletion neighbourhoods.
 SMALL = 32
-#: Words whose hashes a worker keeps.
-CACHED = 400_000
+#: Bytes of text that are hashed at once.
+SLICE = 2 << 20
+#: Sets of a star that are compared in one block.
+BLOCK_SETS = 4_000
+#: Sets up to this size are compared by two bytes of each token, others by four.
+SHORT_SET = 2_000
+#: Ids that may be broadcast: two numbers each, some tens of MB in all.
+SHORT_LIST = 500_000
 #: Signatures that a task holds before it sends them out.
 FLUSH = 1_500_000
 
@@ -68,30 +76,61 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(33))
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-_hashes = WordHashes()
-
-
-def shingles(text: bytes) -> np.ndarray:
-    """Sorted distinct hashes of the shingles of a text."""
-    words = text.lower().split()
-    n = len(words)
-    if not n:
-        return np.empty(0, U)
-    h = np.fromiter(map(_hashes.__getitem__, words), U, n)
+# Random odd base of the polynomial over bytes, its inverse, and a random
+# number for each byte.
+_rng = np.random.default_rng(20_240_501)
+BASE = U(int(_rng.integers(0, 1 << 62)) * 4 + 5)
+INVERSE = U(pow(int(BASE), -1, 1 << 64))
+BYTES = _rng.integers(0, 1 << 63, 256, dtype=np.int64).astype(U) * U(2) + U(1)
+IS_BLANK = np.zeros(256, bool)
+IS_BLANK[[0x20, *range(0x09, 0x0E)]] = True
+_powers: list[np.ndarray] = [np.ones(1, U), np.ones(1, U)]
+
+
+def powers(n: int) -> list[np.ndarray]:
+    """The first n powers of BASE and of its inverse."""
+    if len(_powers[0]) < n:
+        for k, base in enumerate((BASE, INVERSE)):
+            out = np.full(n + n // 4, base, U)
+            out[0] = 1
+            _powers[k] = np.multiply.accumulate(out)
+    return _powers
+
+
+def shingles(texts: list[bytes]) -> list[np.ndarray]:
+    """Sorted distinct 64-bit hashes of the shingles of each text.
+
+    All texts are hashed at once: a word's hash is a difference of prefix
+    sums of a polynomial over the bytes, brought back to its start.
+    """
+    data = np.frombuffer(b" ".join(texts).lower() + b" ", np.uint8)
+    blank = IS_BLANK[data]
+    edge = np.flatnonzero(np.diff(np.concatenate([[True], blank]).view(np.int8)))
+    start, end = edge[::2], edge[1::2]
+    up, down = powers(len(data) + 1)
+    width_all = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+    first_byte = np.cumsum(width_all) - width_all
     with np.errstate(over="ignore"):
-        width = min(n, WORDS)
-        out = np.full(n - width + 1, n if n < WORDS else WORDS, U)
-        for k in range(width):
-            out = out * U(0x9E3779B97F4A7C15) + h[k : k + len(out)]
-        return np.unique(mix(out))
+        prefix = np.concatenate([np.zeros(1, U), np.cumsum(BYTES[data] * up[: len(data)])])
+        word = mix((prefix[end] - prefix[start]) * down[start] + (end - start).astype(U))
+        del prefix
+        bounds = np.searchsorted(start, np.concatenate([first_byte, [len(data)]]))
+        run = np.full(max(0, len(word) - WORDS + 1), WORDS, U)
+        for k in range(WORDS):
+            run = run * U(0x9E3779B97F4A7C15) + word[k : k + len(run)]
+        run = mix(run)
+        out = []
+        for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            if hi - lo >= WORDS:
+                out.append(np.unique(run[lo : hi - WORDS + 1]))
+            elif hi == lo:
+                out.append(np.empty(0, U))
+            else:
+                short = np.full(1, hi - lo, U)
+                for k in range(lo, hi):
+                    short = short * U(0x9E3779B97F4A7C15) + word[k]
+                out.append(mix(short))
+    return out
 
 
 def similar(a: set, b: set) -> bool:
@@ -197,18 +236,24 @@ def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sketch_bits(size: int) -> int:
-    return 1 << max(8, int(size - 1).bit_length())
+    return 1 << max(9, int(8 * size - 1).bit_length())
 
 
 def odd_sketch(tokens: np.ndarray) -> bytes:
-    """Parity of the number of elements in each cell; about a bit an element.
+    """Parity of the number of elements in each cell, 8 cells or more an element.
     Sets that differ in d elements differ in at most d bits."""
-    bits = sketch_bits(len(tokens))
-    cells = (tokens >> U(20)) & U(bits - 1)
-    odd = np.bincount(cells.astype(np.int64), minlength=bits) & 1
+    bits = min(sketch_bits(len(tokens)), 1 << 8 * tokens.itemsize)
+    odd = np.bincount((tokens & tokens.dtype.type(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
+def shortened(tokens: np.ndarray, width: int) -> np.ndarray:
+    """The distinct first ``width`` bytes of each token. Shortened sets differ
+    in no more elements than the sets do; what they lose in size bounds what
+    an intersection can lose."""
+    return np.unique(tokens >> tokens.dtype.type(8 * (tokens.itemsize - width))).astype(f"u{width}")
+
+
 def folded(sketch: bytes, size: int) -> np.ndarray:
     """A sketch folded to ``size`` bytes; cells meet modulo the new length."""
     x = np.frombuffer(sketch, np.uint8)
@@ -219,24 +264,22 @@ def folded(sketch: bytes, size: int) -> np.ndarray:
 
 # --- the plan ----------------------------------------------------------------
 
-SETS = "doc_id long, crc long, n_shingles long, d long, e long, sketch binary"
+SETS = "doc_id long, crc long, n_shingles long, d long, e long"
 
 
 def set_table(docs: DataFrame) -> DataFrame:
-    """The class digest (d, e), size and sketch of each document's set."""
+    """The class digest (d, e) and size of each document's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole):
-                size, d, e, sketch = [], [], [], []
-                for text in byte_texts(batch):
-                    s = shingles(text)
+            for batch in slices(whole, size=SLICE):
+                size, d, e = [], [], []
+                for s in shingles(byte_texts(batch)):
                     digest = xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None
                     size.append(len(s))
                     d.append(int.from_bytes(digest[:8], "big", signed=True) if digest else None)
                     e.append(int.from_bytes(digest[8:], "big", signed=True) if digest else None)
-                    sketch.append(odd_sketch(s) if digest else None)
-                arrays = [batch.column(0), batch.column(1), pa.array(size, pa.int64()), pa.array(d, pa.int64()), pa.array(e, pa.int64()), pa.array(sketch, pa.binary())]
+                arrays = [batch.column(0), batch.column(1), pa.array(size, pa.int64()), pa.array(d, pa.int64()), pa.array(e, pa.int64())]
                 yield pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in SETS.split(", ")])
 
     return keyed(docs).mapInArrow(run, SETS)
@@ -250,8 +293,8 @@ def blocks(docs: DataFrame, buckets: int) -> DataFrame:
     """(bucket, block): the signatures of many documents, set by set. Copies
     within a task enter once."""
 
-    def pack(ds: list[int], ns: list[int], owners: list[np.ndarray], sigs: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        d, n = np.array(ds, np.int64), np.array(ns, np.int32)
+    def pack(ds: list[int], owners: list[np.ndarray], sigs: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        d = np.array(ds, np.int64)
         owner, sig = np.concatenate(owners), np.concatenate(sigs)
         bucket = ((sig & U(0xFFFFFFFF)) % U(buckets)).astype(np.int64)
         order = np.lexsort((owner, bucket))
@@ -261,17 +304,16 @@ def blocks(docs: DataFrame, buckets: int) -> DataFrame:
         for lo, hi in zip(edges[:-1], edges[1:], strict=True):
             held, counts = np.unique(owner[lo:hi], return_counts=True)
             keys.append(int(bucket[lo]))
-            values.append(np.array([len(held)], "<i8").tobytes() + d[held].astype("<i8").tobytes() + n[held].astype("<i4").tobytes() + counts.astype("<i4").tobytes() + sig[lo:hi].tobytes())
+            values.append(np.array([len(held)], "<i8").tobytes() + d[held].astype("<i8").tobytes() + counts.astype("<i4").tobytes() + sig[lo:hi].tobytes())
         yield pa.RecordBatch.from_pydict({"bucket": pa.array(keys, pa.int64()), "block": pa.array(values, pa.binary())})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        ds, ns, owners, sigs, rows = [], [], [], [], 0
+        ds, owners, sigs, rows = [], [], [], 0
         for whole in batches:
-            for batch in slices(whole):
+            for batch in slices(whole, size=SLICE):
                 sets = []
-                for text in byte_texts(batch):
-                    s = shingles(text)
+                for s in shingles(byte_texts(batch)):
                     if len(s):
                         d = int.from_bytes(xxhash.xxh3_128_digest(s.tobytes())[:8], "big", signed=True)
                         if d not in seen:
@@ -281,68 +323,60 @@ def blocks(docs: DataFrame, buckets: int) -> DataFrame:
                 owners.append(owner + len(ds))
                 sigs.append(sig)
                 ds += [d for d, _ in sets]
-                ns += [len(s) for _, s in sets]
                 rows += len(sig)
                 if rows >= FLUSH:
-                    yield from pack(ds, ns, owners, sigs)
-                    ds, ns, owners, sigs, rows = [], [], [], [], 0
+                    yield from pack(ds, owners, sigs)
+                    ds, owners, sigs, rows = [], [], [], 0
         if rows:
-            yield from pack(ds, ns, owners, sigs)
+            yield from pack(ds, owners, sigs)
 
     return docs.select("text").mapInArrow(run, "bucket long, block binary")
 
 
-FOUND = "a long, b long, members array<long>"
-
-
 def _match(part: pd.DataFrame) -> pd.DataFrame:
-    """Candidates of one bucket: the star of each signature, and the members
-    of signatures that three or more sets have."""
-    ds, ns, sigs = [], [], []
+    """Of each signature in a bucket that several sets have: the smallest of
+    them with each other one."""
+    ds, sigs = [], []
     for block in part["block"]:
         k = int(np.frombuffer(block, "<i8", 1)[0])
-        counts = np.frombuffer(block, "<i4", k, 8 + 12 * k)
-        ds.append(np.repeat(np.frombuffer(block, "<i8", k, 8), counts))
-        ns.append(np.repeat(np.frombuffer(block, "<i4", k, 8 + 8 * k), counts))
-        sigs.append(np.frombuffer(block, "<u4", -1, 8 + 16 * k))
-    d, n, sig = np.concatenate(ds), np.concatenate(ns), np.concatenate(sigs)
-    del ds, ns, sigs
+        ds.append(np.repeat(np.frombuffer(block, "<i8", k, 8), np.frombuffer(block, "<i4", k, 8 + 8 * k)))
+        sigs.append(np.frombuffer(block, "<u4", -1, 8 + 12 * k))
+    d, sig = np.concatenate(ds), np.concatenate(sigs)
+    del ds, sigs
     order = np.argsort(sig, kind="stable")
     sig = sig[order]
     shared = np.zeros(len(sig), bool)
     same = sig[1:] == sig[:-1]
     shared[1:] |= same
     shared[:-1] |= same
-    order, sig = order[shared], sig[shared]
-    d, n = d[order], n[order].astype(np.int64)
+    d, sig = d[order[shared]], sig[shared]
     order = np.lexsort((d, sig))
-    d, n, sig = d[order], n[order], sig[order]
-    first = np.ones(len(d), bool)
-    first[1:] = (sig[1:] != sig[:-1]) | (d[1:] != d[:-1])
-    d, n, sig = d[first], n[first], sig[first]
-    if not len(d):
-        return pd.DataFrame({"a": pd.Series([], dtype="Int64"), "b": pd.Series([], dtype="Int64"), "members": pd.Series([], dtype=object)})
-    starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
-    size = np.diff(np.concatenate([starts, [len(d)]]))
-    lead = np.repeat(starts, size)
-    fits = (np.arange(len(d)) != lead) & (PERCENT[1] * np.minimum(n, n[lead]) >= PERCENT[0] * np.maximum(n, n[lead]))
-    pairs = np.unique(np.stack([d[lead[fits]], d[fits]], 1), axis=0)
-    groups = {d[s : s + k].tobytes() for s, k in zip(starts[size > 2], size[size > 2], strict=True)}
-    a = [*pairs[:, 0].tolist(), *[None] * len(groups)]
-    b = [*pairs[:, 1].tolist(), *[None] * len(groups)]
-    members = [*[None] * len(pairs), *[np.frombuffer(g, np.int64) for g in groups]]
-    return pd.DataFrame({"a": pd.array(a, "Int64"), "b": pd.array(b, "Int64"), "members": pd.Series(members, dtype=object)})
+    d, sig = d[order], sig[order]
+    lead = np.maximum.accumulate(np.where(np.concatenate([[True], sig[1:] != sig[:-1]]), np.arange(len(sig)), 0)) if len(sig) else np.empty(0, np.int64)
+    pairs = np.stack([d[lead], d], 1)
+    pairs = np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0)
+    return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+
+def fetch(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(i, c, text) of the documents with these ids and checksums. A short
+    list of ids goes to the documents; a long one meets them in a join."""
+    ids = ids.distinct()
+    short = ids.count() <= SHORT_LIST
+    return keyed(docs).join(F.broadcast(ids) if short else ids, (F.col("doc_id") == F.col("i")) & (F.col("crc") == F.col("c"))).select("i", "c", "text")
 
 
 def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) of class digests whose texts link, as (u, v) of the
     classes' representatives. Texts of representatives are compared."""
     c = classes.where("rep IS NOT NULL")
-    named = pairs.join(c.select(F.col("d").alias("a"), F.col("rep").alias("ra"), F.col("crc").alias("ca")), "a")
-    named = named.join(c.select(F.col("d").alias("b"), F.col("rep").alias("rb"), F.col("crc").alias("cb")), "b").where("ra <> rb").select("ra", "ca", "rb", "cb")
-    texts = keyed(docs)
-    left = named.join(texts.select(F.col("doc_id").alias("ra"), F.col("crc").alias("ca"), F.col("text").alias("ta")), ["ra", "ca"])
-    both = left.join(texts.select(F.col("doc_id").alias("rb"), F.col("crc").alias("cb"), F.col("text").alias("tb")), ["rb", "cb"])
+    named = pairs.join(c.select(F.col("d").alias("a"), F.col("rep").alias("ra"), F.col("crc").alias("ca"), F.col("n").alias("na")), "a")
+    named = named.join(c.select(F.col("d").alias("b"), F.col("rep").alias("rb"), F.col("crc").alias("cb"), F.col("n").alias("nb")), "b")
+    sizes = PERCENT[1] * F.least("na", "nb") >= PERCENT[0] * F.greatest("na", "nb")
+    named = written(named.where(sizes & (F.col("ra") != F.col("rb"))).select("ra", "ca", "rb", "cb"))
+    texts = fetch(docs, named.selectExpr("ra AS i", "ca AS c").unionByName(named.selectExpr("rb AS i", "cb AS c")))
+    left = named.join(texts.select(F.col("i").alias("ra"), F.col("c").alias("ca"), F.col("text").alias("ta")), ["ra", "ca"])
+    both = left.join(texts.select(F.col("i").alias("rb"), F.col("c").alias("cb"), F.col("text").alias("tb")), ["rb", "cb"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[bytes, set] = {}
@@ -387,28 +421,73 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _across(part: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of one signature's sets that lie in different components and
-    may still link, block against block."""
-    part = part.drop_duplicates("d")
-    n, comp, d = part["n"].to_numpy(np.int64), part["comp"].to_numpy(np.int64), part["d"].to_numpy(np.int64)
-    size = min(len(s) for s in part["sketch"])
-    sketch = np.stack([folded(s, size) for s in part["sketch"]])
-    pad = -size % 8
-    words = np.pad(sketch, ((0, 0), (0, pad))).view(np.uint64)
-    out_a, out_b = [], []
-    step = max(1, 4_000_000 // (len(d) * words.shape[1] + 1))
-    for lo in range(0, len(d), step):
-        rows = slice(lo, lo + step)
-        apart = np.bitwise_count(words[rows, None, :] ^ words[None, lo:, :]).sum(axis=2, dtype=np.int64)
-        may = apart <= difference(n[rows, None], n[None, lo:])
-        may &= comp[rows, None] != comp[None, lo:]
-        may &= PERCENT[1] * np.minimum(n[rows, None], n[None, lo:]) >= PERCENT[0] * np.maximum(n[rows, None], n[None, lo:])
-        i, j = np.nonzero(may)
-        once = j > i
-        out_a.append(d[lo + i[once]])
-        out_b.append(d[lo + j[once]])
-    a, b = np.concatenate(out_a), np.concatenate(out_b)
-    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+    """Pairs of one star's sets, from one block or from two, that lie in
+    different components and may link: by size, by sketch, then by the
+    shortened sets, each of which loses no link."""
+    part = part.sort_values(["n", "d"])
+    n, comp, d, block = (part[c].to_numpy(np.int64) for c in ("n", "comp", "d", "block"))
+    width = min(map(width_of, n.tolist()))
+    sets = [shortened(np.frombuffer(t, f"u{width_of(k)}"), width) for t, k in zip(part["tokens"], n.tolist(), strict=True)]
+    lost = n - np.array([len(s) for s in sets])
+    sketches = [odd_sketch(s) for s in sets]
+    size = min(map(len, sketches))
+    words = np.stack([folded(s, size) for s in sketches]).view(U)
+    mixed = block.min() != block.max()
+    out = []
+    lo = 0
+    while lo < len(d):
+        # In order of size, a set's partners end with the largest it can link to.
+        last = np.searchsorted(n, largest_partner(n[lo]), "right")
+        hi = min(len(d), lo + max(1, 2_000_000 // ((last - lo) * words.shape[1] + 1)))
+        last = np.searchsorted(n, largest_partner(n[hi - 1]), "right")
+        apart = np.bitwise_count(words[lo:hi, None, :] ^ words[None, lo:last, :]).sum(axis=2, dtype=np.int64)
+        may = (apart <= difference(n[lo:hi, None], n[None, lo:last])) & (comp[lo:hi, None] != comp[None, lo:last])
+        if mixed:
+            may &= block[lo:hi, None] != block[None, lo:last]
+        for i, j in np.argwhere(may).tolist():
+            if j > i:
+                x, y = sets[lo + i], sets[lo + j]
+                both = len(np.intersect1d(x, y, assume_unique=True)) + lost[lo + i] + lost[lo + j]
+                if PERCENT[1] * both >= PERCENT[0] * (n[lo + i] + n[lo + j] - both):
+                    out.append((min(d[lo + i], d[lo + j]), max(d[lo + i], d[lo + j])))
+        lo = hi
+    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+
+def width_of(n: int) -> int:
+    """Bytes of a shortened token: two tell most elements of a usual set apart."""
+    return 2 if n <= SHORT_SET else 4
+
+
+def tokens_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """(d, n, shortened tokens) of the classes in ``ids`` (d, i, c), from their
+    texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, size=SLICE):
+                sets = shingles(byte_texts(batch))
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([shortened(s, width_of(len(s))).tobytes() for s in sets], pa.binary())], names=["d", "n", "tokens"])
+
+    texts = fetch(docs, ids.select("i", "c"))
+    return ids.join(texts, ["i", "c"]).select("d", "text").mapInArrow(run, "d long, n long, tokens binary").dropDuplicates(["d"])
+
+
+def across_pairs(stars: DataFrame, classes: DataFrame, parts: DataFrame, docs: DataFrame) -> DataFrame:
+    """Pairs (a, b) of class digests that share a star, lie in different
+    components and may link. A large star is compared block by block, so no task
+    holds more than two blocks of BLOCK_SETS sets."""
+    labelled = classes.join(parts, F.col("rep") == F.col("node"), "left").where("rep IS NOT NULL").select("d", F.col("rep").alias("i"), F.col("crc").alias("c"), F.coalesce("component", "rep").alias("comp"))
+    placed = written(stars.join(labelled.withColumnRenamed("d", "b"), "b").select("a", F.col("b").alias("d"), "i", "c", "comp"))
+    split = placed.groupBy("a").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("k")).where("lo <> hi")
+    split = split.select("a", F.ceil(F.col("k") / BLOCK_SETS).cast("long").alias("blocks"))
+    members = written(placed.join(split, "a"))
+    tokens = tokens_of(members.select("d", "i", "c").distinct(), docs)
+    own = F.pmod(F.xxhash64("d"), F.col("blocks"))
+    spread = members.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    spread = spread.select("a", "d", "comp", "block", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"))
+    rows = spread.join(tokens, "d").select("a", "p", "q", "block", "d", "n", "comp", "tokens")
+    return rows.groupBy("a", "p", "q").applyInPandas(_across, "a long, b long").distinct()
 
 
 def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -416,21 +495,13 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     sets = written(set_table(docs))
     rep = F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "crc")).alias("r")
-    grouped = sets.where("d IS NOT NULL").groupBy("d", "e").agg(rep, F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
-    classes = written(grouped.select("d", "e", "n", "sketch", F.col("r.doc_id").alias("rep"), F.col("r.crc").alias("crc")))
+    grouped = sets.where("d IS NOT NULL").groupBy("d", "e").agg(rep, F.first("n_shingles").alias("n"))
+    classes = written(grouped.select("d", "e", "n", F.col("r.doc_id").alias("rep"), F.col("r.crc").alias("crc")))
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = written(blocks(docs, buckets).groupBy("bucket").applyInPandas(_match, FOUND))
-    stars = found.where("a IS NOT NULL").select("a", "b").distinct()
+    stars = written(blocks(docs, buckets).groupBy("bucket").applyInPandas(_match, "a long, b long").distinct())
     links = written(verify(stars, classes, docs))
     parts = written(components(links))
-    labelled = classes.join(parts, F.col("rep") == F.col("node"), "left").select("d", "n", "sketch", F.coalesce("component", "rep").alias("comp")).where("comp IS NOT NULL")
-    groups = found.where("members IS NOT NULL").groupBy(F.xxhash64("members").alias("h"), F.md5(F.array_join(F.col("members").cast("array<string>"), ",").cast("binary")).alias("g")).agg(F.first("members").alias("members"))
-    rows = groups.select("h", "g", F.explode("members").alias("m"))
-    placed = rows.join(labelled.select("d", "comp"), F.col("m") == F.col("d")).select("h", "g", "d", "comp")
-    placed = written(placed)
-    open_ = placed.groupBy("h", "g").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("h", "g")
-    split = placed.join(open_, ["h", "g"]).join(labelled.select("d", "n", "sketch"), "d").select("h", "g", "d", "n", "comp", "sketch")
-    across = written(split.groupBy("h", "g").applyInPandas(_across, "a long, b long").distinct())
+    across = written(across_pairs(stars, classes, parts, docs))
     if not across.isEmpty():
         links = written(links.unionByName(verify(across, classes, docs)).distinct())
         parts = written(components(links))
@@ -448,8 +519,9 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def keep(docs: DataFrame) -> DataFrame:
-    """One document of each component (the smallest id), with all columns."""
-    found = written(report(docs)).where("component_id IS NULL OR doc_id = component_id")
+    """One document of each component (the smallest id), with all columns.
+    Rows with a null id can't be told apart by it and stay."""
+    found = written(report(docs)).where("doc_id IS NULL OR doc_id = component_id")
     i, r = fresh(docs, "keep_id"), fresh(docs, "keep_rows")
     ids = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias(r)).withColumnRenamed("doc_id", i)
     joined = docs.join(ids, F.col("doc_id").cast("long").eqNullSafe(F.col(i)))

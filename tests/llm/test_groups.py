@@ -152,6 +152,12 @@ def test_sketch_distance_is_a_lower_bound():
         size = min(len(x), len(y))
         apart = np.bitwise_count(jaccard_join.folded(x, size) ^ jaccard_join.folded(y, size)).sum()
         assert apart <= len(np.setxor1d(a, b))
+        for width in (2, 4):
+            x, y = jaccard_join.shortened(a, width), jaccard_join.shortened(b, width)
+            assert len(np.setxor1d(x, y)) <= len(np.setxor1d(a, b))
+            lost = len(a) - len(x) + len(b) - len(y)
+            assert len(np.intersect1d(x, y)) + lost >= len(np.intersect1d(a, b))
+            assert (jaccard_join.shortened(jaccard_join.shortened(a, 4), 2) == jaccard_join.shortened(a, 2)).all()
 
 
 # --- substrings ----------------------------------------------------------------
