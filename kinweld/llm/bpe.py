@@ -5,7 +5,7 @@ sequence of symbols. An index maps the rank of each mergeable pair to all its
 positions; ranks that have positions are taken in ascending order, all
 positions of a rank are merged, and the lists of the pairs to the left and
 right of each merge are updated. The result of a pre-token is kept in a cache
-of the worker that is emptied at ``CACHED`` entries.
+of the worker; at ``CACHED`` entries only those in use stay.
 
 Decoding maps ids to their symbols and joins them by spaces, which is what a
 tokenizer file without a decoder asks for.
@@ -14,8 +14,8 @@ Special strings inside a text are one id each. Texts are normalised as the
 file says; texts with characters outside the Latin blocks are normalised and
 split by the library and merged here. Null counts as the empty text, which
 has no ids and decodes to ''. Rows are encoded one by one, so repeated rows
-give equal results and an empty table an empty one; other columns are kept
-out (:func:`apply`) or passed through (:func:`tokenized`).
+give equal results and an empty table an empty one; other columns are not
+read.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ import heapq
 import json
 import os
 import re
+from array import array
 from functools import cache
 from itertools import chain
 
@@ -34,7 +35,10 @@ from pyspark.sql import functions as F
 
 from kinweld.llm.common import by_document, str_texts, table
 
-CACHED = 300_000
+CACHED = 400_000
+#: Symbols are below 2 to this power; the last of them is none and parts words.
+BITS = 24
+END = (1 << BITS) - 1
 
 # The letters, numbers and blanks of the Latin blocks, and the
 # split pattern of the tokenizer over them.
@@ -75,13 +79,14 @@ class Bpe:
         self.symbols = {i: s for s, i in vocab.items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.symbols |= {i: s for s, i in self.special.items()}
-        self.merges: dict[int, tuple[int, int]] = {}
-        self.rank: dict[tuple[int, int], int] = {}
+        #: Rank of a pair of symbols, keyed by both in one number.
+        self.rank: dict[int, int] = {}
+        self.pair: dict[int, tuple[int, int]] = {}
         self.made: list[int] = []
         for k, (a, b) in enumerate(model["merges"]):
-            self.rank[vocab[a], vocab[b]] = k
+            self.rank[vocab[a] << BITS | vocab[b]] = k
+            self.pair[k] = vocab[a], vocab[b]
             self.made.append(vocab[a + b])
-        self.pair = {k: p for p, k in self.rank.items()}
         stand_in = byte_symbols()
         self.inner = [vocab[s] for s in stand_in]
         self.last = [vocab[s + self.suffix] for s in stand_in]
@@ -89,7 +94,7 @@ class Bpe:
         self.library = Tokenizer.from_file(path)
         self.split_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.find = re.compile(PATTERN).findall
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self.cache: dict[str | int, bytes] = {}
 
     def pieces(self, text: str) -> list[str]:
         """Pre-tokens of a text without special strings."""
@@ -106,19 +111,19 @@ class Bpe:
         parts = self.split_special.split(text)
         return [x for k, part in enumerate(parts) for x in ((self.special[part],) if k % 2 else self.pieces(part))]
 
-    def merge(self, words: list[str]) -> list[tuple[int, ...]]:
+    def merge(self, words: list[str]) -> list[list[int]]:
         """Ids of each word, all words at once, by the occurrence index."""
-        symbol, starts = [-1], []
+        symbol, starts = [END], []
         for word in words:
             data = word.encode("utf-8", "surrogateescape")
             starts.append(len(symbol))
             symbol += [self.inner[b] for b in data[:-1]]
-            symbol += [self.last[data[-1]], -1]
+            symbol += [self.last[data[-1]], END]
         n = len(symbol)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         rank, where = self.rank, {}
         for at in range(n - 1):
-            r = rank.get((symbol[at], symbol[at + 1]))
+            r = rank.get(symbol[at] << BITS | symbol[at + 1])
             if r is not None:
                 where.setdefault(r, []).append(at)
         active = list(where)
@@ -134,13 +139,13 @@ class Bpe:
             for k, at in enumerate(places):
                 if symbol[at] != a or symbol[gone := after[at]] != b:
                     continue
-                symbol[at], symbol[gone] = new, -2
+                symbol[at], symbol[gone] = new, END
                 right = after[at] = after[gone]
                 before[right] = at
                 left = before[at]
                 lower = False
-                for x, y, place in ((symbol[left], new, left), (new, symbol[right], at)):
-                    s = rank.get((x, y))
+                for key, place in ((symbol[left] << BITS | new, left), (new << BITS | symbol[right], at)):
+                    s = rank.get(key)
                     if s is not None:
                         if s not in where:
                             where[s] = []
@@ -155,10 +160,10 @@ class Bpe:
         out = []
         for start in starts:
             ids, at = [], start
-            while symbol[at] != -1:
+            while symbol[at] != END:
                 ids.append(symbol[at])
                 at = after[at]
-            out.append(tuple(ids))
+            out.append(ids)
         return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -166,13 +171,12 @@ class Bpe:
         distinct = set(chain.from_iterable(split))
         missing = [w for w in distinct if w not in self.cache]
         if len(self.cache) + len(missing) > CACHED:
-            self.cache.clear()
-            missing = list(distinct)
-        self.cache.update((w, (w,)) for w in missing if isinstance(w, int))
+            self.cache = {w: self.cache[w] for w in distinct if w in self.cache}
         words = [w for w in missing if isinstance(w, str)]
-        self.cache.update(zip(words, self.merge(words), strict=True))
+        self.cache.update((w, array("i", ids).tobytes()) for w, ids in zip(words, self.merge(words), strict=True))
+        self.cache.update((w, array("i", [w]).tobytes()) for w in missing if isinstance(w, int))
         get = self.cache.__getitem__
-        return [np.fromiter(chain.from_iterable(map(get, s)), np.int32) for s in split]
+        return [np.frombuffer(b"".join(map(get, s)), np.int32) for s in split]
 
     def decode(self, ids: np.ndarray) -> str:
         return " ".join(map(self.symbols.__getitem__, ids.tolist()))
