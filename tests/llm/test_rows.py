@@ -55,6 +55,30 @@ def test_quality_keep_passes_columns(spark):
     assert quality_rules.keep(docs.limit(0)).count() == 0
 
 
+def prose_of(rng, size):
+    """Invented prose from 50 syllables, about as dense as the given tables'."""
+    syllables = ["".join(rng.choices("etaoinshrdlucmfwypvbgkjqxz", weights=range(26, 0, -1), k=rng.randint(2, 4))) for _ in range(50)]
+    text = ""
+    while len(text) < size:
+        text += " ".join("".join(rng.choices(syllables, k=rng.randint(1, 3))) for _ in range(rng.randint(5, 12))).capitalize() + ". "
+    return text[:size]
+
+
+@pytest.mark.parametrize("size", [700, 1500, 3000, 5000, 12_000, 40_000])
+def test_quality_bands_reject_random_and_repetitive_text(spark, size):
+    rng = random.Random(size)
+    drawn = lambda letters: " ".join("".join(rng.choices(letters, k=rng.randint(4, 12))) for _ in range(size))[:size]
+    prose = prose_of(rng, size)
+    repetitive = prose[: 4 * size // 5] + prose[3 * size // 5 : 4 * size // 5]
+    marked = " ".join(w + rng.choice(["###", "%%%", "&&&", "***"]) for w in prose.split())[:size]
+    rows = [(1, prose), (2, drawn("0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")), (3, drawn("0123456789abcdef")), (4, repetitive), (5, marked)]
+    got = {r["doc_id"]: r for r in quality_rules.measure(documents(spark, rows)).collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    rejected = {d for d, r in got.items() if not r["kept"]}
+    sure = {2} | ({4} if size >= 1500 else set()) | ({5} if size >= 3000 else set()) | ({3} if size >= 5000 else set())
+    assert sure <= rejected and 1 not in rejected, {d: r["ratio"] for d, r in got.items()}
+
+
 TRICKY = ["", "<|endoftext|>", "a<|endoftext|>b <|startoftext|>C", "it's they'LL we've 12 345", "a  b\n\n c\t\td   ", "x\xa0y\x85z \x1c q", "ÀÉÎ straße İstanbul ΣΑΣ", "日本語 text \U0001f600", "é nfc", "ĲǅŉºªµÐ²³¼", "".join(map(chr, range(1, 0x250))), "#$%&!! --- ...", "aaaa aaaaaaaa"]
 
 
