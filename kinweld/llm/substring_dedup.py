@@ -1,10 +1,13 @@
 """Substring deduplication by sliding sentence spans.
 
 A text is cut into sentences (after . ! ? … before white space, and at line
-ends). From every sentence a span starts: the shortest run of at least
-``LEAST`` consecutive sentences with ``LEAST_WORDS`` words or more; a sentence
-of ``LONG_WORDS`` words or more is a span by itself as well. A span depends on
-its own sentences only, so it is found wherever they stand. Spans are hashed
+ends). From every sentence a span starts, and at every sentence one ends: the
+shortest run of at least ``LEAST`` consecutive sentences with ``LEAST_WORDS``
+words or more; a sentence of ``LONG_WORDS`` words or more is a span by itself
+as well. Any longer run is the union of the spans within it, so this finds
+what hashing every such run would. A text of several sentences that has fewer
+words in all is one span; shorter runs in longer texts are none. A span depends on its
+own sentences only, so it is found wherever they stand. Spans are hashed
 to 96 bits and joined globally; all but the first occurrence (smallest
 doc_id, then position) are repeats, and every sentence that a repeat covers is
 removed, within a document too.
@@ -52,15 +55,21 @@ def spans_of(sentences: list[str]) -> Iterator[tuple[int, int, bytes]]:
     words = [s.split() for s in sentences]
     filled = [k for k, w in enumerate(words) if w]
     joined = [" ".join(words[k]).encode("utf-8", "replace") for k in filled]
-    for i, k in enumerate(filled):
-        if len(words[k]) >= LONG_WORDS:
-            yield k, 1, joined[i]
-        held = 0
-        for j in range(i, len(filled)):
-            held += len(words[filled[j]])
-            if j - i + 1 >= LEAST and held >= LEAST_WORDS:
-                yield k, filled[j] - k + 1, b"\n".join(joined[i : j + 1])
-                break
+    held = [len(words[k]) for k in filled]
+    runs = {(i, i) for i, n in enumerate(held) if n >= LONG_WORDS}
+    several = set()
+    for i in range(len(held)):
+        for ends in (range(i, len(held)), range(i, -1, -1)):
+            n = 0
+            for size, j in enumerate(ends, 1):
+                n += held[j]
+                if size >= LEAST and n >= LEAST_WORDS:
+                    several.add((min(i, j), max(i, j)))
+                    break
+    if not several and len(held) >= LEAST:
+        several.add((0, len(held) - 1))
+    for i, j in sorted(runs | several):
+        yield filled[i], filled[j] - filled[i] + 1, b"\n".join(joined[i : j + 1])
 
 
 def cut(text: str, repeats: list[tuple[int, int]]) -> tuple[str, int, int, int]:

@@ -201,6 +201,47 @@ def test_substring_dedup(spark):
     assert held[1] is None and substring_dedup.clean(docs.limit(0)).count() == 0
 
 
+def removed_by_every_run(rows):
+    """Places of sentences in a run that stands earlier as well. Every run of
+    two sentences and 15 words or more counts, a sentence of 50 words, and a
+    shorter text of several sentences as a whole."""
+    first, places = {}, []
+    for d, t in sorted(rows):
+        said = [tuple(s.split()) for s in substring_dedup.sentences_of(t)]
+        said = [(k, w) for k, w in enumerate(said) if w]
+        for i in range(len(said)):
+            for j in range(i + 1, len(said) + 1):
+                run = tuple(w for _, w in said[i:j])
+                n = sum(map(len, run))
+                if n >= (50 if j - i == 1 else 15) or (j - i == len(said) > 1):
+                    first[run] = min(first.get(run, (d, i)), (d, i))
+                    places.append((d, i, run, [k for k, _ in said[i:j]]))
+    gone = defaultdict(set)
+    for d, i, run, ks in places:
+        if first[run] != (d, i):
+            gone[d] |= set(ks)
+    return gone
+
+
+def said_of(rng, sizes, most=10**6):
+    return " ".join(" ".join(words(rng, n, most)) + "." for n in sizes)
+
+
+def test_substring_dedup_finds_every_run(spark):
+    rng = random.Random(11)
+    passages = [said_of(rng, sizes) for sizes in ([20, 7, 7], [7, 7, 20], [3, 3, 3, 3, 3], [1, 14], [9, 2, 2, 9], [60], [4, 5], [7, 1, 7])]
+    rows = [(k, p) for k, p in enumerate(passages)] + [(20 + k, p) for k, p in enumerate(passages)]
+    for k in range(60):
+        own = lambda: said_of(rng, [rng.randint(1, 12) for _ in range(rng.randint(0, 4))])
+        rows.append((100 + k, f"{own()} {rng.choice(passages)} {own()} {rng.choice(passages)}"))
+    rows += [(300 + k, said_of(rng, [rng.randint(1, 9) for _ in range(rng.randint(1, 14))], 1)) for k in range(40)]
+    got = {r["doc_id"]: r["text"] for r in substring_dedup.clean(documents(spark, rows)).collect()}
+    gone = removed_by_every_run(rows)
+    for d, t in rows:
+        assert got[d] == "".join(s for k, s in enumerate(substring_dedup.sentences_of(t)) if k not in gone[d]), (d, t)
+    assert all(got[20 + k] == "" for k in range(len(passages)))
+
+
 def test_sentences_make_up_the_text():
     for text in ("", "a. b! c?\n\nd", "no end", "x...y. \n z", "\n\n", "e.g. this. \"Quoted.\" Then"):
         assert "".join(substring_dedup.sentences_of(text)) == text
