@@ -376,12 +376,19 @@ lcs AS (SELECT x.name AS a, y.name AS b, length(x.name) + length(y.name) AS tota
 SELECT a AS name, b AS name2, CAST(l AS BIGINT) AS lcs FROM lcs WHERE 200.0 * l / total >= 90
 """)
 def name_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Similar names of 20 characters at most that end alike, by the ratio."""
-    names = materialized(J.keys_of(people(spark, sf_dir)).where(F.length("name") <= 20).select("name").distinct())
-    x, y = names.select("name", F.right("name", F.lit(3)).alias("p")), names.select(F.col("name").alias("name2"), F.right("name", F.lit(3)).alias("p2"))
-    lengths = 10 * F.least(F.length("name"), F.length("name2")) >= 8 * F.greatest(F.length("name"), F.length("name2"))
-    near = x.join(y, (F.col("p") == F.col("p2")) & (F.col("name") < F.col("name2")) & lengths).withColumn("r", indel_ratio("name", "name2")).where("r >= 90")
-    return near.select("name", "name2", F.round(F.col("r") * (F.length("name") + F.length("name2")) / 200).cast("bigint").alias("lcs"))
+    """Those of name_ratio_all that its SQL compares: of 20 characters at most
+    that end alike."""
+    short = (F.length("name") <= 20) & (F.length("name2") <= 20)
+    return name_ratio_all(spark, sf_dir).where(short & (F.right("name", F.lit(3)) == F.right("name2", F.lit(3))))
+
+
+@query()
+def name_ratio_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of distinct names whose ratio reaches 90, whatever their
+    identifiers. Its SQL, a recurrence over every pair, would take too long."""
+    names = materialized(J.keys_of(people(spark, sf_dir)).where("name IS NOT NULL").select("name", F.lit(0).alias("mask")).distinct())
+    pairs = J.similar_names(names, 90.0).select(F.least("name", "name2").alias("name"), F.greatest("name", "name2").alias("name2"))
+    return pairs.withColumn("lcs", F.round(indel_ratio("name", "name2") * (F.length("name") + F.length("name2")) / 200).cast("bigint"))
 
 
 @query()

@@ -172,3 +172,17 @@ def test_stream_ingests_each_file_once(spark, engine, inputs, tmp_path):
     for _ in range(2):
         ingest(spark, str(folder), f"{tmp_path}/t", f"{tmp_path}/c", engine).awaitTermination()
     assert people(spark, f"{tmp_path}/t", engine).count() == 1
+
+
+def test_name_ratio_compares_all_names(spark, tmp_path):
+    from kinweld.plans import queries as Q
+
+    keys = [*range(1, 60), *(572 * j for j in range(1, 30)), *(11_440_000 + 572 * j for j in range(30)), 11_440_004, 11_440_008]
+    spark.createDataFrame([(k,) for k in keys], "c_custkey long").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(k,) for k in range(1, 30)], "s_suppkey long").write.parquet(f"{tmp_path}/supplier.parquet")
+    names = sorted({r["name"] for r in J.keys_of(Q.people(spark, str(tmp_path))).collect()})
+    want = {(a, b, lcs_length(a, b)) for a, b in combinations(names, 2) if 200 * lcs_length(a, b) >= 90 * (len(a) + len(b))}
+    got = list(map(tuple, Q.name_ratio_all(spark, str(tmp_path)).collect()))
+    assert set(got) == want and len(got) == len(want)
+    assert any(len(a) > 20 for a, _, _ in want)
+    assert set(map(tuple, Q.name_ratio(spark, str(tmp_path)).collect())) == {x for x in want if max(map(len, x[:2])) <= 20 and x[0][-3:] == x[1][-3:]}
