@@ -33,8 +33,9 @@ Equal sets are one class, found by a 128-bit digest, and enter once. Null and
 empty texts and texts without words have empty sets and link with nothing.
 The component of a class is the smallest doc_id reachable; null ids count
 last, a component of null ids only is null, except that an empty set's
-component is its own doc_id. Rows that repeat a doc_id are judged by their own
-text. An empty table gives an empty result; other columns are not read by
+component is its own doc_id. A class is a node of its own, whatever its ids: rows
+that repeat a doc_id are judged by their own text, and a class of null ids
+links others. An empty table gives an empty result; other columns are not read by
 :func:`report` and pass through :func:`keep`.
 """
 
@@ -359,24 +360,29 @@ def _match(part: pd.DataFrame) -> pd.DataFrame:
 
 
 def fetch(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(i, c, text) of the documents with these ids and checksums. A short
-    list of ids goes to the documents; a long one meets them in a join."""
+    """(k, text) of the nodes in ``ids`` (k, i, c), by id and checksum. A short
+    list of ids goes to the documents; a long one meets them in a join. Texts
+    without an id are found by their checksum alone."""
     ids = ids.distinct()
     short = ids.count() <= SHORT_LIST
-    return keyed(docs).join(F.broadcast(ids) if short else ids, (F.col("doc_id") == F.col("i")) & (F.col("crc") == F.col("c"))).select("i", "c", "text")
+    near = F.broadcast(ids) if short else ids
+    found = keyed(docs).join(near, (F.col("doc_id") == F.col("i")) & (F.col("crc") == F.col("c"))).select("k", "text")
+    if ids.where("i IS NULL").isEmpty():
+        return found
+    bare = keyed(docs).where("doc_id IS NULL").join(near.where("i IS NULL"), F.col("crc") == F.col("c")).select("k", "text")
+    return found.unionByName(bare.distinct())
 
 
 def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) of class digests whose texts link, as (u, v) of the
-    classes' representatives. Texts of representatives are compared."""
-    c = classes.where("rep IS NOT NULL")
-    named = pairs.join(c.select(F.col("d").alias("a"), F.col("rep").alias("ra"), F.col("crc").alias("ca"), F.col("n").alias("na")), "a")
-    named = named.join(c.select(F.col("d").alias("b"), F.col("rep").alias("rb"), F.col("crc").alias("cb"), F.col("n").alias("nb")), "b")
+    classes' nodes. Texts of representatives are compared."""
+    named = pairs.join(classes.select(F.col("d").alias("a"), F.col("node").alias("ua"), F.col("rep").alias("ra"), F.col("crc").alias("ca"), F.col("n").alias("na")), "a")
+    named = named.join(classes.select(F.col("d").alias("b"), F.col("node").alias("ub"), F.col("rep").alias("rb"), F.col("crc").alias("cb"), F.col("n").alias("nb")), "b")
     sizes = PERCENT[1] * F.least("na", "nb") >= PERCENT[0] * F.greatest("na", "nb")
-    named = written(named.where(sizes & (F.col("ra") != F.col("rb"))).select("ra", "ca", "rb", "cb"))
-    texts = fetch(docs, named.selectExpr("ra AS i", "ca AS c").unionByName(named.selectExpr("rb AS i", "cb AS c")))
-    left = named.join(texts.select(F.col("i").alias("ra"), F.col("c").alias("ca"), F.col("text").alias("ta")), ["ra", "ca"])
-    both = left.join(texts.select(F.col("i").alias("rb"), F.col("c").alias("cb"), F.col("text").alias("tb")), ["rb", "cb"])
+    named = written(named.where(sizes & (F.col("ua") != F.col("ub"))).select("ua", "ra", "ca", "ub", "rb", "cb"))
+    texts = fetch(docs, named.selectExpr("ua AS k", "ra AS i", "ca AS c").unionByName(named.selectExpr("ub AS k", "rb AS i", "cb AS c")))
+    left = named.select("ua", "ub").join(texts.select(F.col("k").alias("ua"), F.col("text").alias("ta")), "ua")
+    both = left.join(texts.select(F.col("k").alias("ub"), F.col("text").alias("tb")), "ub")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[bytes, set] = {}
@@ -396,7 +402,7 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
                 keep = [k for k, h in enumerate(hit) if h]
                 yield pa.RecordBatch.from_pydict({"u": pa.array([max(us[k], vs[k]) for k in keep], pa.int64()), "v": pa.array([min(us[k], vs[k]) for k in keep], pa.int64())})
 
-    return both.select("ra", "rb", "ta", "tb").mapInArrow(run, "u long, v long").distinct()
+    return both.select("ua", "ub", "ta", "tb").mapInArrow(run, "u long, v long").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -460,8 +466,8 @@ def width_of(n: int) -> int:
 
 
 def tokens_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
-    """(d, n, shortened tokens) of the classes in ``ids`` (d, i, c), from their
-    texts."""
+    """(d, n, shortened tokens) of the classes in ``ids`` (d, k, i, c), from
+    their texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -469,20 +475,20 @@ def tokens_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
                 sets = shingles(byte_texts(batch))
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([shortened(s, width_of(len(s))).tobytes() for s in sets], pa.binary())], names=["d", "n", "tokens"])
 
-    texts = fetch(docs, ids.select("i", "c"))
-    return ids.join(texts, ["i", "c"]).select("d", "text").mapInArrow(run, "d long, n long, tokens binary").dropDuplicates(["d"])
+    texts = fetch(docs, ids.select("k", "i", "c"))
+    return ids.join(texts, "k").select("d", "text").mapInArrow(run, "d long, n long, tokens binary").dropDuplicates(["d"])
 
 
 def across_pairs(stars: DataFrame, classes: DataFrame, parts: DataFrame, docs: DataFrame) -> DataFrame:
     """Pairs (a, b) of class digests that share a star, lie in different
     components and may link. A large star is compared block by block, so no task
     holds more than two blocks of BLOCK_SETS sets."""
-    labelled = classes.join(parts, F.col("rep") == F.col("node"), "left").where("rep IS NOT NULL").select("d", F.col("rep").alias("i"), F.col("crc").alias("c"), F.coalesce("component", "rep").alias("comp"))
-    placed = written(stars.join(labelled.withColumnRenamed("d", "b"), "b").select("a", F.col("b").alias("d"), "i", "c", "comp"))
-    split = placed.groupBy("a").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("k")).where("lo <> hi")
-    split = split.select("a", F.ceil(F.col("k") / BLOCK_SETS).cast("long").alias("blocks"))
+    labelled = classes.join(parts, "node", "left").select("d", F.col("node").alias("k"), F.col("rep").alias("i"), F.col("crc").alias("c"), F.coalesce("component", "node").alias("comp"))
+    placed = written(stars.join(labelled.withColumnRenamed("d", "b"), "b").select("a", F.col("b").alias("d"), "k", "i", "c", "comp"))
+    split = placed.groupBy("a").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("many")).where("lo <> hi")
+    split = split.select("a", F.ceil(F.col("many") / BLOCK_SETS).cast("long").alias("blocks"))
     members = written(placed.join(split, "a"))
-    tokens = tokens_of(members.select("d", "i", "c").distinct(), docs)
+    tokens = tokens_of(members.select("d", "k", "i", "c").distinct(), docs)
     own = F.pmod(F.xxhash64("d"), F.col("blocks"))
     spread = members.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     spread = spread.select("a", "d", "comp", "block", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"))
@@ -491,12 +497,12 @@ def across_pairs(stars: DataFrame, classes: DataFrame, parts: DataFrame, docs: D
 
 
 def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(classes with representative and component, set table)."""
+    """(classes with the id and checksum of their component, set table)."""
     spark = docs.sparkSession
     sets = written(set_table(docs))
     rep = F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "crc")).alias("r")
     grouped = sets.where("d IS NOT NULL").groupBy("d", "e").agg(rep, F.first("n_shingles").alias("n"))
-    classes = written(grouped.select("d", "e", "n", F.col("r.doc_id").alias("rep"), F.col("r.crc").alias("crc")))
+    classes = written(grouped.select(F.monotonically_increasing_id().alias("node"), "d", "e", "n", F.col("r.doc_id").alias("rep"), F.col("r.crc").alias("crc")))
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     stars = written(blocks(docs, buckets).groupBy("bucket").applyInPandas(_match, "a long, b long").distinct())
     links = written(verify(stars, classes, docs))
@@ -505,28 +511,42 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     if not across.isEmpty():
         links = written(links.unionByName(verify(across, classes, docs)).distinct())
         parts = written(components(links))
-    final = classes.join(parts, F.col("rep") == F.col("node"), "left").select("d", "e", F.coalesce("component", "rep").alias("component_id"))
+    # Nodes are numbers without meaning; a component is named by its least id.
+    names = parts.join(classes.select("node", "rep", "crc"), "node")
+    least = names.groupBy("component").agg(F.min(F.struct(F.col("rep").isNull().alias("z"), "rep", "crc")).alias("low"))
+    named = parts.join(least, "component").select("node", "low")
+    final = classes.join(named, "node", "left")
+    own = F.col("low").isNull()
+    final = final.select("d", "e", F.when(own, F.col("rep")).otherwise(F.col("low.rep")).alias("component_id"), F.when(own, F.col("crc")).otherwise(F.col("low.crc")).alias("component_crc"))
     return written(final), sets
 
 
-def report(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row."""
+def placed_rows(docs: DataFrame) -> DataFrame:
+    """doc_id, crc, n_shingles, component_id and component_crc, the id and the
+    text's checksum of the first row of the component, of every row."""
     classes, sets = linked(docs)
-    c = classes.select(F.col("d").alias("cd"), F.col("e").alias("ce"), "component_id")
+    c = classes.withColumnsRenamed({"d": "cd", "e": "ce"})
     joined = sets.join(c.hint("merge"), (F.col("d") == F.col("cd")) & (F.col("e") == F.col("ce")), "left")
-    own = F.when(F.col("d").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return joined.select("doc_id", "n_shingles", own.alias("component_id"))
+    own = lambda mine, other: F.when(F.col("d").isNull(), F.col(mine)).otherwise(F.col(other)).alias(other)
+    return joined.select("doc_id", "crc", "n_shingles", own("doc_id", "component_id"), own("crc", "component_crc"))
+
+
+def report(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row."""
+    return placed_rows(docs).select("doc_id", "n_shingles", "component_id")
 
 
 def keep(docs: DataFrame) -> DataFrame:
-    """One document of each component (the smallest id), with all columns.
-    Rows with a null id can't be told apart by it and stay."""
-    found = written(report(docs)).where("doc_id IS NULL OR doc_id = component_id")
-    i, r = fresh(docs, "keep_id"), fresh(docs, "keep_rows")
-    ids = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias(r)).withColumnRenamed("doc_id", i)
-    joined = docs.join(ids, F.col("doc_id").cast("long").eqNullSafe(F.col(i)))
+    """One document of each component (the smallest id, of its texts the one
+    with the smallest checksum), with all columns. Rows with a null id can't be
+    told apart by it and stay."""
+    found = written(placed_rows(docs)).where("doc_id IS NULL OR doc_id = component_id AND crc = component_crc")
+    i, c, r = (fresh(docs, f"keep_{x}") for x in ("id", "crc", "rows"))
+    ids = found.groupBy("doc_id", "crc").agg(F.count(F.lit(1)).alias(r)).withColumnsRenamed({"doc_id": i, "crc": c})
+    crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
+    joined = docs.join(ids, F.col("doc_id").cast("long").eqNullSafe(F.col(i)) & (crc == F.col(c)))
     single = joined.where((F.col(r) == 1) | F.col("doc_id").isNull()).select(*docs.columns)
-    repeated = joined.where((F.col(r) > 1) & F.col("doc_id").isNotNull()).groupBy(i).agg(F.first(F.struct(*docs.columns)).alias(r)).select(f"{r}.*")
+    repeated = joined.where((F.col(r) > 1) & F.col("doc_id").isNotNull()).groupBy(i, c).agg(F.first(F.struct(*docs.columns)).alias(r)).select(f"{r}.*")
     return single.unionByName(repeated)
 
 

@@ -143,6 +143,29 @@ def test_jaccard_awkward_rows(spark):
     assert jaccard_join.report(docs.limit(0)).count() == 0
 
 
+def test_jaccard_null_and_repeated_ids(spark):
+    rng = random.Random(13)
+    base, other = words(rng, 60, 10**6), words(rng, 60, 10**6)
+    left, right = ["z1", "z2", "z3", "z4", "z5", *base[5:]], [*base[:-5], "y1", "y2", "y3", "y4", "y5"]
+    say = " ".join
+    # 1 and 2 link with the text of null ids only, not with each other.
+    rows = [(1, say(left)), (None, say(base)), (None, say(base)), (2, say(right)), (5, "another text of some words here"), (5, say(other)), (7, say([*other[:-1], "x"])), (5, say(other)), (None, "lone words without any id at all")]
+    assert components_by_force([(1, say(left)), (2, say(right))])[2][1] == 2
+    docs = documents(spark, rows)
+    got = Counter((r["doc_id"], r["component_id"]) for r in jaccard_join.report(docs).collect())
+    assert got == Counter({(1, 1): 1, (None, 1): 2, (2, 1): 1, (5, 5): 3, (7, 5): 1, (None, None): 1})
+    kept = Counter((r["doc_id"], r["text"]) for r in jaccard_join.keep(docs).collect())
+    assert kept == Counter({rows[0]: 1, rows[1]: 2, rows[4]: 1, rows[5]: 1, rows[8]: 1}), kept
+
+
+def test_jaccard_repeated_id_joins_nothing_by_itself(spark):
+    rng = random.Random(17)
+    a, b = words(rng, 60, 10**6), words(rng, 60, 10**6)
+    rows = [(3, " ".join(a)), (9, " ".join([*a[:-1], "x"])), (9, " ".join(b)), (12, " ".join([*b[:-1], "x"]))]
+    got = Counter((r["doc_id"], r["component_id"]) for r in jaccard_join.report(documents(spark, rows)).collect())
+    assert got == Counter([(3, 3), (9, 3), (9, 9), (12, 9)])
+
+
 def test_sketch_distance_is_a_lower_bound():
     rng = np.random.default_rng(4)
     for _ in range(50):
