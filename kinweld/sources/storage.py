@@ -9,10 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; a temporary folder, set for the session,
-    where that is unset."""
+    """``spark.checkpoint.dir``, the folder that all executors share.
+
+    Where it is unset, a session on one machine gets a temporary folder; on a
+    cluster that would scatter the files, so there it is an error.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="kinweld-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -24,4 +30,14 @@ def materialized(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/kinweld/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.kinweld_path = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of materialized tables that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.kinweld_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
