@@ -2,41 +2,62 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import ctypes
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kinweld.sources.storage import discard as discard
+from kinweld.sources.storage import materialized as written
+
 #: ASCII blanks between words. Bytes' own split() divides at just these.
 BLANK = r"[\x20\x09-\x0D]"
 #: Bytes of text that a worker holds as Python objects at once.
 SLICE_BYTES = 8 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``.
+def hot_rows(rows: int) -> int:
+    """A key with more rows than this is hot; fewer than 1,000 keys can be."""
+    return max(1_000, rows // 1_000)
 
-    Where that is unset (tests, one machine) a temporary folder is made once
-    and set for the session.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="kinweld-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+
+def release() -> None:
+    """Hand freed memory back to the system. A Python worker outlives its task
+    and would keep what that task used beside the next one's."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for mapInArrow, with :func:`release` at the end of each task."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return wrapped
+
+
+def mix64(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers that spreads every bit."""
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return x ^ (x >> np.uint64(33))
 
 
-def written(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: the lineage is cut,
-    a lost executor costs no recomputation, later reads prune columns."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/kinweld/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def any_row(docs: DataFrame, *keys: str | Column) -> DataFrame:
+    """One row of ``docs`` for each value of the keys, chosen by a hash of all
+    columns that have one, so reruns agree."""
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.groupBy(*keys).agg(F.min_by(whole, F.xxhash64(*hashed)).alias("whole")).select("whole.*")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,4 +124,4 @@ def by_document(
                 columns += [v if isinstance(v, pa.Array) else pa.array(v) for v in (found[n] for n in names[len(keep) :])]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return narrow.mapInArrow(run, out)
+    return narrow.mapInArrow(released(run), out)
