@@ -7,27 +7,38 @@ shingles into segments by hash; a pair uses the partition of the smaller
 set's band, so a set is indexed for its own band and for the one below if a
 partner can lie there.
 
-*Allocation.* If the weights of the segments sum to more than the possible
-difference, similar sets agree on the subset in some segment. A segment
-matched exactly weighs 1; one matched up to one deletion weighs 2, and costs
-a row for the subset and one for each subset less one element. Bands of small
-sets, where subsets would be tiny and their postings long, get deletion
-neighbourhoods; larger bands exact segments. There are a few more segments
-than the bound asks for, and a set smaller than the largest of its band needs
-fewer: that slack pays for skipping (weight 0) the segments with the fewest
-elements, whose postings are the longest. All sets skip in the same order, by
-(elements, signature), so two sets never skip the last segment they share:
-each skips a prefix of one order, and the longer prefix is within its slack.
-
-*Matching.* Signatures are shuffled in binary blocks by bucket. In a bucket,
-the sets with one signature are linked to the smallest of them as candidates
-(a star, never all pairs). Candidates are verified exactly on the words of
-the texts. Two sets with a common signature are both in the star of its
+*Allocation.* Each segment of a set gets a weight: 0 if it is skipped, 1 if
+its subset is indexed, 2 if the subsets with one element less are as well. A
+segment is found by its weight if the sets differ in fewer elements there, so
+if the weights sum to more than the possible difference, similar sets meet in
+some segment. :func:`allocate` picks for each band the number of segments and
+whether they start from weight 1 or 2 by the least expected cost, from the
+number of sets counted in the band and the posting lengths of their shingles,
+counted for every ``PROBE`` th hash over all documents: rows to index, and
+comparisons in the posting lists of empty subsets and of single shingles. Within a band each set spends what its own size leaves over on its
+smallest segments, whose postings are the longest: they go from 1 to 0, or
+from 2 to 1. All sets do so in one order, by (elements, signature). From 1 to
+0: segments that agree come in the same order in both sets, so the last of
+them is never skipped by either. From 2 to 1: a segment in which one set has
+one element more is lost only if that set lowers it; if each set lost one this
+way, each would hold fewer elements than the other's, which can't be.
+
+*Matching.* Signatures are shuffled in binary blocks by bucket, as many
+buckets as rows ask for. In a bucket, the sets with one signature are linked
+to the smallest of them as candidates (a star, never all pairs). Candidates
+are filtered by size and by an odd sketch kept with each class, whose distance
+is a lower bound of the difference; what is left is verified exactly on the words of the
+texts. Two sets with a common signature are both in the star of its
 smallest set; where the members of a star end up in different components, the
-pairs across components are compared as well: by size, by an odd sketch, whose
-distance is a lower bound of the difference, by the sets of hashes, and at
-last exactly. Large stars are compared block by block in tasks of their own.
-Connected components of the verified links give the result.
+pairs across components are compared as well, by size and sketch and at
+last exactly, as long as their components haven't met. Large stars are
+compared block by block in tasks of their own. Connected components of the
+verified links give the result; links between sets that are in one component
+already are not looked for.
+
+Texts to verify are found by id and checksum. A bitmap of the wanted ids, of
+at most 2 to the power ``MAP_BITS`` bits whatever their number, is broadcast and
+drops most other documents before the join.
 
 Equal sets are one class, found by a 128-bit digest, and enter once. Null and
 empty texts and texts without words have empty sets and link with nothing.
@@ -41,6 +52,7 @@ links others. An empty table gives an empty result; other columns are not read b
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,33 +62,34 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinweld.llm.common import byte_texts, fresh, slices, table, written
+from kinweld.llm.common import any_row, byte_texts, discard, fresh, release, released, slices, table, written
+from kinweld.llm.common import mix64 as mix
 
 WORDS = 5
 #: Link where PERCENT[1] * intersection >= PERCENT[0] * union.
 PERCENT = (75, 100)
-#: Bands up to this size get deletion neighbourhoods.
-SMALL = 32
 #: Bytes of text that are hashed at once.
 SLICE = 2 << 20
 #: Sets of a star that are compared in one block.
-BLOCK_SETS = 4_000
-#: Sets up to this size are compared by two bytes of each token, others by four.
-SHORT_SET = 2_000
-#: Ids that may be broadcast: two numbers each, some tens of MB in all.
-SHORT_LIST = 500_000
+BLOCK_SETS = 1_000
+#: Shingles of those sets, about.
+BLOCK_SHINGLES = 2_000_000
 #: Signatures that a task holds before it sends them out.
-FLUSH = 1_500_000
+FLUSH = 1_000_000
+#: Signatures in a bucket, about.
+BUCKET_ROWS = 4_000_000
+#: Bits of the map of wanted ids: 4 MB.
+MAP_BITS = 25
+#: Posting lengths are counted for the shingles of every PROBEth hash.
+PROBE = 16
+#: Cost of a comparison of two sets in a star, and of a candidate, in rows.
+COMPARISON, CANDIDATE = 0.03, 10.0
+#: Seed and number of the draws that the cost of a band is estimated from.
+DRAWS = (11, 200)
 
 U = np.uint64
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> U(33))) * U(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> U(33))) * U(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> U(33))
-
-
 # Random odd base of the polynomial over bytes, its inverse, and a random
 # number for each byte.
 _rng = np.random.default_rng(20_240_501)
@@ -88,6 +101,11 @@ IS_BLANK[[0x20, *range(0x09, 0x0E)]] = True
 _powers: list[np.ndarray] = [np.ones(1, U), np.ones(1, U)]
 
 
+def forget_powers() -> None:
+    """Free the powers that the longest text of a task asked for."""
+    _powers[:] = [np.ones(1, U), np.ones(1, U)]
+
+
 def powers(n: int) -> list[np.ndarray]:
     """The first n powers of BASE and of its inverse."""
     if len(_powers[0]) < n:
@@ -134,17 +152,32 @@ def shingles(texts: list[bytes]) -> list[np.ndarray]:
     return out
 
 
-def similar(a: set, b: set) -> bool:
-    both = len(a & b)
-    return PERCENT[1] * both >= PERCENT[0] * (len(a) + len(b) - both)
+def numbered(texts: list[bytes]) -> list[np.ndarray]:
+    """The distinct shingles of texts as numbers, equal where the words are:
+    words are numbered exactly, then runs of two, three, ... words are."""
+    number: dict[bytes, int] = {}
+    words = [np.fromiter((number.setdefault(w, len(number)) for w in t.lower().split()), np.int64) for t in texts]
+    if any(len(w) < WORDS for w in words):
+        # Short texts are one shingle each, of all their words.
+        whole = {tuple(w.tolist()): k for k, w in enumerate(words)}
+        return [np.array([whole[tuple(w.tolist())]] if len(w) else [], np.int64) if len(w) < WORDS else len(words) + np.arange(len(w)) for w in words]
+    every = np.concatenate(words)
+    runs = every
+    for k in range(1, WORDS):
+        runs = np.unique(runs[:-1] * len(number) + every[k:], return_inverse=True)[1]
+    ends = np.cumsum([len(w) for w in words])
+    return [np.unique(runs[end - len(w) : end - WORDS + 1]) for end, w in zip(ends, words, strict=True)]
+
 
+def alike(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sets that aren't empty link."""
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return PERCENT[1] * both >= PERCENT[0] * (len(x) + len(y) - both)
 
-def shingle_set(text: bytes) -> set:
-    """The shingles themselves, for exact verification."""
-    w = text.lower().split()
-    if len(w) < WORDS:
-        return {tuple(w)} if w else set()
-    return set(zip(*(w[k:] for k in range(WORDS)), strict=False))
+
+def similar(a: bytes, b: bytes) -> bool:
+    """Whether two texts with words link."""
+    return alike(*numbered([a, b]))
 
 
 # --- bands and allocation ---------------------------------------------------
@@ -164,41 +197,86 @@ def smallest_partner(b: np.ndarray | int):
     return -(-b * PERCENT[0] // PERCENT[1])
 
 
-def band_starts(most: int) -> np.ndarray:
-    """First size of each band; the last band starts beyond ``most``."""
+def band_starts_of(bands: int) -> np.ndarray:
+    """First size of each band, and that of the one beyond."""
     starts = [1]
-    while starts[-1] <= most:
+    while len(starts) <= bands:
         starts.append(max(starts[-1] + 1, -(-starts[-1] * PERCENT[1] // PERCENT[0])))
     return np.array(starts, np.int64)
 
 
-def allocation(top: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(segments, weight of a segment) of bands whose largest size is top."""
-    units = difference(top, largest_partner(top)) + 1
-    units = units + np.where(top > SMALL, 1 + units // 16, 0)
-    weight = np.where(top > SMALL, 1, 2)
-    return -(-units // weight), weight
-
-
-def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(index of the set, 64-bit signature) of all rows to be indexed."""
+def bands_up_to(most: int) -> int:
+    """Number of bands that hold all sizes up to ``most``."""
+    bands = 1
+    while band_starts_of(bands)[-1] <= most:
+        bands += 1
+    return bands
+
+
+def _expected(top: int, segments: int, weight: int, spare: int) -> tuple[float, float, float]:
+    """(rows, rows of empty subsets, rows of one element) that a set of ``top``
+    elements costs in ``segments`` segments, ``spare`` of them lowered."""
+    if weight == 1 and top > 512:
+        mean = top / segments
+        empty = segments * math.exp(-mean)
+        single = segments * mean * math.exp(-mean)
+        return float(segments - spare), max(0.0, empty - spare), single - min(single, max(0.0, spare - empty))
+    draws = np.random.default_rng(DRAWS[0]).multinomial(top, np.full(segments, 1 / segments), DRAWS[1])
+    near = np.sort(draws, axis=1)[:, spare:]
+    of = lambda x, k: float((x == k).sum(axis=1).mean())
+    if weight == 1:
+        return float(near.shape[1]), of(near, 0), of(near, 1)
+    return segments + float(near.sum(axis=1).mean()), of(draws, 0) + of(near, 1), of(draws, 1) + 2 * of(near, 2)
+
+
+def allocate(sets: np.ndarray, alike: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(segments, weight of a segment) of each band, by the least cost for the
+    number of sets that lie in it and the next, given in ``sets``, and for the
+    sum of squared posting lengths of single shingles, given in ``alike``."""
+    starts = band_starts_of(len(sets))
+    out = np.ones((2, len(sets)), np.int64)
+    for band in range(len(sets)):
+        top = int(starts[band + 1] - 1)
+        n, equal = float(sets[band : band + 2].sum()), float(alike[band : band + 2].sum())
+        units = int(difference(top, largest_partner(top))) + 1
+        best = math.inf
+        for weight in (1, 2):
+            # Neighbourhoods of large sets have more rows than any chance match.
+            if weight == 2 and top > 256:
+                break
+            base = -(-units // weight)
+            for more in sorted({0, 1, 2, 1 + units // 16, 1 + units // 8, 1 + units // 4}):
+                segments = base + more
+                rows, empty, single = _expected(top, segments, weight, min(segments, weight * segments - units))
+                pairs = (n * empty) ** 2 / segments + (single / top) ** 2 * equal
+                cost = n * rows + CANDIDATE * n * empty + COMPARISON * pairs / 2
+                if cost < best * 0.999:
+                    best, out[0, band], out[1, band] = cost, segments, weight
+    return out[0], out[1]
+
+
+def signatures(sets: list[np.ndarray], plan: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(index of the set, 64-bit signature) of all rows to be indexed, with
+    the segments and weights of each band in ``plan``. Sets that only link
+    with equal ones have no rows."""
     sizes = np.array([len(s) for s in sets], np.int64)
     if not sizes.sum():
         return np.empty(0, np.int64), np.empty(0, U)
-    starts = band_starts(int(sizes.max()))
+    starts = band_starts_of(len(plan[0]))
     own = np.searchsorted(starts, sizes, "right") - 1
     tokens, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
-    out_set, out_sig = [], []
+    out_set, out_sig = [np.empty(0, np.int64)], [np.empty(0, U)]
     for below in range(3):
         band = own - below
-        top = starts[np.clip(band + 1, 0, len(starts) - 1)] - 1
-        used = (sizes > 0) & (band >= 0) & ((below == 0) | (top >= smallest_partner(sizes)))
-        if not used.any():
-            break
-        segments, weight = allocation(top)
-        segments = np.where(used, segments, 0)
+        at_band = np.clip(band, 0, len(plan[0]) - 1)
+        top = starts[at_band + 1] - 1
         bound = np.where(below == 0, difference(sizes, largest_partner(sizes)), difference(sizes, top))
-        slack = np.where(weight == 1, segments - bound - 1, 0)
+        used = (sizes > 0) & (band >= 0) & (bound > 0) & ((below == 0) | (top >= smallest_partner(sizes)))
+        if not used.any():
+            continue
+        weight = plan[1][at_band]
+        segments = np.where(used, plan[0][at_band], 0)
+        spare = np.minimum(segments, weight * segments - bound - 1)
         offset = np.cumsum(segments) - segments
         total = int(segments.sum())
         mine = used[owner]
@@ -218,14 +296,15 @@ def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
                 return mix(h ^ mix(tag.astype(U) * U(0xA24BAED4963EE407) + n.astype(U)))
 
         sig = sign(*sums, count, tag)
-        # Skipped: the first ``slack`` segments of each set in the common order.
-        rank_key = (np.minimum(count, 255).astype(U) << U(56)) | (sig >> U(8))
+        # Lowered: the first ``spare`` segments of each set in the common order.
+        rank_key = (np.minimum(count, 65535).astype(U) << U(48)) | (sig >> U(16))
         order = np.lexsort((rank_key, of))
-        rank = np.arange(total) - offset[of[order]]
-        kept = order[rank >= slack[of[order]]]
+        lowered = np.zeros(total, bool)
+        lowered[order] = np.arange(total) - offset[of[order]] < spare[of[order]]
+        kept = ~(lowered & (weight[of] == 1))
         out_set.append(of[kept])
         out_sig.append(sig[kept])
-        near = weight[d] == 2
+        near = (weight[d] == 2) & ~lowered[at]
         if near.any():
             a, f, g = at[near], high[near], low[near]
             out_set.append(d[near])
@@ -236,23 +315,12 @@ def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 # --- odd sketches ------------------------------------------------------------
 
 
-def sketch_bits(size: int) -> int:
-    return 1 << max(9, int(8 * size - 1).bit_length())
-
-
 def odd_sketch(tokens: np.ndarray) -> bytes:
-    """Parity of the number of elements in each cell, 8 cells or more an element.
-    Sets that differ in d elements differ in at most d bits."""
-    bits = min(sketch_bits(len(tokens)), 1 << 8 * tokens.itemsize)
-    odd = np.bincount((tokens & tokens.dtype.type(bits - 1)).astype(np.int64), minlength=bits) & 1
-    return np.packbits(odd.astype(np.uint8)).tobytes()
-
-
-def shortened(tokens: np.ndarray, width: int) -> np.ndarray:
-    """The distinct first ``width`` bytes of each token. Shortened sets differ
-    in no more elements than the sets do; what they lose in size bounds what
-    an intersection can lose."""
-    return np.unique(tokens >> tokens.dtype.type(8 * (tokens.itemsize - width))).astype(f"u{width}")
+    """Parity of the number of elements in each cell, 8 to 16 cells an element.
+    Sets that differ in d elements differ in at most d bits, and mostly in that."""
+    bits = 1 << max(6, int(8 * len(tokens) - 1).bit_length())
+    odd = np.bincount((tokens & U(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
 def folded(sketch: bytes, size: int) -> np.ndarray:
@@ -263,34 +331,68 @@ def folded(sketch: bytes, size: int) -> np.ndarray:
     return x
 
 
+def may_link(a: bytes, b: bytes, n: int, m: int) -> bool:
+    """False only if sets of sizes n and m with these sketches can't link."""
+    size = min(len(a), len(b))
+    x, y = folded(a, size).view(U), folded(b, size).view(U)
+    return int(np.bitwise_count(x ^ y).sum()) <= difference(n, m)
+
+
 # --- the plan ----------------------------------------------------------------
 
-SETS = "doc_id long, crc long, n_shingles long, d long, e long"
+SETS = "doc_id long, crc long, n_shingles long, d long, e long, sketch binary, first boolean, probe array<long>"
+
+
+def halves(tokens: np.ndarray) -> tuple[int, int]:
+    """The digest of a set, as two numbers."""
+    digest = xxhash.xxh3_128_digest(tokens.tobytes())
+    return int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True)
 
 
 def set_table(docs: DataFrame) -> DataFrame:
-    """The class digest (d, e) and size of each document's set."""
+    """The class digest (d, e), size and odd sketch of each document's set;
+    whether the task hadn't seen it before, and then its probe of shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int | None] = {None}
         for whole in batches:
             for batch in slices(whole, size=SLICE):
-                size, d, e = [], [], []
-                for s in shingles(byte_texts(batch)):
-                    digest = xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None
-                    size.append(len(s))
-                    d.append(int.from_bytes(digest[:8], "big", signed=True) if digest else None)
-                    e.append(int.from_bytes(digest[8:], "big", signed=True) if digest else None)
-                arrays = [batch.column(0), batch.column(1), pa.array(size, pa.int64()), pa.array(d, pa.int64()), pa.array(e, pa.int64())]
+                sets = shingles(byte_texts(batch))
+                digests = [halves(s) if len(s) else (None, None) for s in sets]
+                arrays = [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64())]
+                arrays += [pa.array([x[k] for x in digests], pa.int64()) for k in (0, 1)]
+                arrays.append(pa.array([odd_sketch(s) if len(s) else None for s in sets], pa.binary()))
+                first = [x not in seen and not seen.add(x) for x, _ in digests]
+                probes = [s[s % U(PROBE) == 0].view(np.int64) if new else np.empty(0, np.int64) for s, new in zip(sets, first, strict=True)]
+                ends = np.cumsum([0, *map(len, probes)]).astype(np.int32)
+                arrays += [pa.array(first, pa.bool_()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(probes)))]
                 yield pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in SETS.split(", ")])
+        forget_powers()
 
-    return keyed(docs).mapInArrow(run, SETS)
+    return keyed(docs).mapInArrow(released(run), SETS)
 
 
 def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("crc"), "text")
 
 
-def blocks(docs: DataFrame, buckets: int) -> DataFrame:
+def planned(sets: DataFrame) -> tuple[tuple[np.ndarray, np.ndarray], int]:
+    """The allocation for the sizes and shingles of all sets, and the number of
+    signatures it makes, about. Posting lengths are those of the shingles in
+    the probes, counted over all sets. One row a band comes to the driver."""
+    starts = band_starts_of(96)
+    band = (F.size(F.filter(F.array(*map(F.lit, starts.tolist())), lambda s: s <= F.col("n_shingles"))) - 1).alias("band")
+    found = {r["band"]: r["count"] for r in sets.where("first").groupBy(band).count().collect()}
+    lengths = sets.where("first").select(band, F.explode("probe").alias("x")).groupBy("band", "x").agg(F.count(F.lit(1)).cast("double").alias("c"))
+    alike = {r["band"]: r["sum"] for r in lengths.where("c > 1").groupBy("band").agg(F.sum(F.col("c") * F.col("c")).alias("sum")).collect()}
+    bands = range(max(found, default=0) + 1)
+    counts = np.array([found.get(k, 0) for k in bands], np.int64)
+    plan = allocate(counts, PROBE * np.array([alike.get(k, 0.0) for k in bands]))
+    rows = np.where(plan[1] == 1, plan[0], plan[0] + starts[1 : len(counts) + 1] - 1)
+    return plan, int(2 * (counts * rows).sum())
+
+
+def blocks(docs: DataFrame, plan: tuple[np.ndarray, np.ndarray], buckets: int) -> DataFrame:
     """(bucket, block): the signatures of many documents, set by set. Copies
     within a task enter once."""
 
@@ -316,11 +418,11 @@ def blocks(docs: DataFrame, buckets: int) -> DataFrame:
                 sets = []
                 for s in shingles(byte_texts(batch)):
                     if len(s):
-                        d = int.from_bytes(xxhash.xxh3_128_digest(s.tobytes())[:8], "big", signed=True)
+                        d = halves(s)[0]
                         if d not in seen:
                             seen.add(d)
                             sets.append((d, s))
-                owner, sig = signatures([s for _, s in sets])
+                owner, sig = signatures([s for _, s in sets], plan)
                 owners.append(owner + len(ds))
                 sigs.append(sig)
                 ds += [d for d, _ in sets]
@@ -330,8 +432,9 @@ def blocks(docs: DataFrame, buckets: int) -> DataFrame:
                     ds, owners, sigs, rows = [], [], [], 0
         if rows:
             yield from pack(ds, owners, sigs)
+        forget_powers()
 
-    return docs.select("text").mapInArrow(run, "bucket long, block binary")
+    return docs.select("text").mapInArrow(released(run), "bucket long, block binary")
 
 
 def _match(part: pd.DataFrame) -> pd.DataFrame:
@@ -343,7 +446,7 @@ def _match(part: pd.DataFrame) -> pd.DataFrame:
         ds.append(np.repeat(np.frombuffer(block, "<i8", k, 8), np.frombuffer(block, "<i4", k, 8 + 8 * k)))
         sigs.append(np.frombuffer(block, "<u4", -1, 8 + 12 * k))
     d, sig = np.concatenate(ds), np.concatenate(sigs)
-    del ds, sigs
+    del ds, sigs, part
     order = np.argsort(sig, kind="stable")
     sig = sig[order]
     shared = np.zeros(len(sig), bool)
@@ -351,58 +454,80 @@ def _match(part: pd.DataFrame) -> pd.DataFrame:
     shared[1:] |= same
     shared[:-1] |= same
     d, sig = d[order[shared]], sig[shared]
+    del order, same, shared
     order = np.lexsort((d, sig))
     d, sig = d[order], sig[order]
     lead = np.maximum.accumulate(np.where(np.concatenate([[True], sig[1:] != sig[:-1]]), np.arange(len(sig)), 0)) if len(sig) else np.empty(0, np.int64)
     pairs = np.stack([d[lead], d], 1)
     pairs = np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0)
+    del d, sig, order, lead
+    release()
     return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
 
+def wanted(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows (doc_id, crc, text) of ``docs`` that may be in ``ids`` (c): those
+    whose checksum has its bit in a map of all wanted ones. The map has at most
+    2 to the power MAP_BITS bits, however many ids there are."""
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << MAP_BITS))
+    places = ids.select(bit("c").alias("p")).distinct()
+    rows = places.groupBy(F.shiftright("p", 15).alias("page")).agg(F.bitmap_construct_agg(F.col("p").bitwiseAND(32767)).alias("map"))
+    found = keyed(docs).withColumn("p", bit("crc")).join(F.broadcast(rows), F.shiftright("p", 15) == F.col("page"))
+    at = F.col("p").bitwiseAND(32767)
+    byte = F.conv(F.hex(F.substring("map", F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    power = F.element_at(F.array(*[F.lit(1 << k) for k in range(8)]), at.bitwiseAND(7).cast("int") + 1)
+    return found.where(byte.bitwiseAND(power) != 0).select("doc_id", "crc", "text")
+
+
 def fetch(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(k, text) of the nodes in ``ids`` (k, i, c), by id and checksum. A short
-    list of ids goes to the documents; a long one meets them in a join. Texts
+    """(k, text) of the nodes in ``ids`` (k, i, c), by id and checksum. Texts
     without an id are found by their checksum alone."""
     ids = ids.distinct()
-    short = ids.count() <= SHORT_LIST
-    near = F.broadcast(ids) if short else ids
-    found = keyed(docs).join(near, (F.col("doc_id") == F.col("i")) & (F.col("crc") == F.col("c"))).select("k", "text")
-    if ids.where("i IS NULL").isEmpty():
-        return found
-    bare = keyed(docs).where("doc_id IS NULL").join(near.where("i IS NULL"), F.col("crc") == F.col("c")).select("k", "text")
-    return found.unionByName(bare.distinct())
+    rows = wanted(docs, ids)
+    found = rows.join(ids.hint("shuffle_hash"), (F.col("doc_id") == F.col("i")) & (F.col("crc") == F.col("c"))).select("k", "crc", "text")
+    bare = rows.where("doc_id IS NULL").join(ids.where("i IS NULL").hint("shuffle_hash"), F.col("crc") == F.col("c")).select("k", "crc", "text")
+    return found.unionByName(bare).groupBy("k").agg(F.max("text").alias("text"))
+
+
+def near_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) of class digests that may link by size and sketch, as
+    (u, v) of the classes' nodes with their ids and checksums."""
+    side = lambda x, y: classes.select(F.col("d").alias(x), *[F.col(c).alias(c + y) for c in ("node", "rep", "crc", "n", "sketch")])
+    named = pairs.join(side("a", "_a").hint("merge"), "a").join(side("b", "_b").hint("merge"), "b")
+    sizes = PERCENT[1] * F.least("n_a", "n_b") >= PERCENT[0] * F.greatest("n_a", "n_b")
+    named = named.where(sizes & (F.col("node_a") != F.col("node_b")))
+    out = ["node_a", "rep_a", "crc_a", "node_b", "rep_b", "crc_b"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m, x, y = (batch.column(k).to_pylist() for k in range(6, 10))
+            hit = [may_link(*row) for row in zip(x, y, n, m, strict=True)]
+            yield batch.select(range(6)).filter(pa.array(hit, pa.bool_()))
+
+    return named.select(*out, "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(released(run), ", ".join(f"{c} long" for c in out))
 
 
 def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) of class digests whose texts link, as (u, v) of the
-    classes' nodes. Texts of representatives are compared."""
-    named = pairs.join(classes.select(F.col("d").alias("a"), F.col("node").alias("ua"), F.col("rep").alias("ra"), F.col("crc").alias("ca"), F.col("n").alias("na")), "a")
-    named = named.join(classes.select(F.col("d").alias("b"), F.col("node").alias("ub"), F.col("rep").alias("rb"), F.col("crc").alias("cb"), F.col("n").alias("nb")), "b")
-    sizes = PERCENT[1] * F.least("na", "nb") >= PERCENT[0] * F.greatest("na", "nb")
-    named = written(named.where(sizes & (F.col("ua") != F.col("ub"))).select("ua", "ra", "ca", "ub", "rb", "cb"))
-    texts = fetch(docs, named.selectExpr("ua AS k", "ra AS i", "ca AS c").unionByName(named.selectExpr("ub AS k", "rb AS i", "cb AS c")))
-    left = named.select("ua", "ub").join(texts.select(F.col("k").alias("ua"), F.col("text").alias("ta")), "ua")
-    both = left.join(texts.select(F.col("k").alias("ub"), F.col("text").alias("tb")), "ub")
+    classes' nodes. Texts of representatives are compared, word by word."""
+    named = written(near_pairs(pairs, classes))
+    ids = named.selectExpr("node_a AS k", "rep_a AS i", "crc_a AS c").unionByName(named.selectExpr("node_b AS k", "rep_b AS i", "crc_b AS c"))
+    texts = written(fetch(docs, ids))
+    # The text of the leaf comes first: a leaf has few pairs, a centre may have many.
+    right = named.select("node_a", "node_b").join(texts.select(F.col("k").alias("node_b"), F.col("text").alias("tb")).hint("merge"), "node_b")
+    both = right.join(texts.select(F.col("k").alias("node_a"), F.col("text").alias("ta")).hint("merge"), "node_a")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bytes, set] = {}
         for whole in batches:
             for batch in slices(whole, "ta"):
                 us, vs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-                hit = []
-                for ta, tb in zip(byte_texts(batch, "ta"), byte_texts(batch, "tb"), strict=True):
-                    sets = []
-                    for text in (ta, tb):
-                        if text not in held:
-                            if len(held) >= 64:
-                                held.clear()
-                            held[text] = shingle_set(text)
-                        sets.append(held[text])
-                    hit.append(similar(*sets))
+                hit = [similar(*row) for row in zip(byte_texts(batch, "ta"), byte_texts(batch, "tb"), strict=True)]
                 keep = [k for k, h in enumerate(hit) if h]
                 yield pa.RecordBatch.from_pydict({"u": pa.array([max(us[k], vs[k]) for k in keep], pa.int64()), "v": pa.array([min(us[k], vs[k]) for k in keep], pa.int64())})
 
-    return both.select("ua", "ub", "ta", "tb").mapInArrow(run, "u long, v long").distinct()
+    links = written(both.select("node_a", "node_b", "ta", "tb").mapInArrow(released(run), "u long, v long").distinct())
+    discard(named, texts)
+    return links
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -417,108 +542,165 @@ def components(links: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), "m")
         joined = large.join(low, F.col("u") == F.col("w"))
         small = joined.where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select(F.col("w").alias("u"), F.col("m").alias("v"))).distinct()
-        edges = written(small)
+        following = written(small)
+        if edges is not links:
+            discard(edges)
+        edges = following
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == last:
             break
         last = state
     roots = edges.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("component"))
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
-
-
-def _across(part: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of one star's sets, from one block or from two, that lie in
-    different components and may link: by size, by sketch, then by the
-    shortened sets, each of which loses no link."""
-    part = part.sort_values(["n", "d"])
-    n, comp, d, block = (part[c].to_numpy(np.int64) for c in ("n", "comp", "d", "block"))
-    width = min(map(width_of, n.tolist()))
-    sets = [shortened(np.frombuffer(t, f"u{width_of(k)}"), width) for t, k in zip(part["tokens"], n.tolist(), strict=True)]
-    lost = n - np.array([len(s) for s in sets])
-    sketches = [odd_sketch(s) for s in sets]
-    size = min(map(len, sketches))
-    words = np.stack([folded(s, size) for s in sketches]).view(U)
+    found = written(edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots))
+    discard(edges)
+    return found
+
+
+def runs_of(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBatch]:
+    """The groups of rows sorted by their first ``keys`` columns."""
+    held = None
+    for batch in batches:
+        if held is not None:
+            batch = pa.concat_batches([held, batch])
+        changes = np.zeros(max(0, batch.num_rows - 1), bool)
+        for k in range(keys):
+            changes |= np.diff(batch.column(k).to_numpy()) != 0
+        start = 0
+        for end in (np.flatnonzero(changes) + 1).tolist():
+            yield batch.slice(start, end - start)
+            start = end
+        held = batch.slice(start)
+    if held is not None and held.num_rows:
+        yield held
+
+
+def apart_pairs(group: pa.RecordBatch) -> Iterator[tuple[int, int]]:
+    """Pairs (i, j) of rows of a group, sorted by size, that lie in different
+    components and, by size and sketch, may link. Of two blocks only pairs across."""
+    n, comp, block = (group.column(c).to_numpy() for c in ("n", "comp", "block"))
+    if comp.min() == comp.max():
+        return
+    sketches = group.column("sketch").to_pylist()
+    # Folded to two cells an element for all pairs; the whole sketch for the few left.
+    size = max(8, min(map(len, sketches)) // 4)
+    words = np.stack([folded(x, size) for x in sketches]).view(U)
     mixed = block.min() != block.max()
-    out = []
     lo = 0
-    while lo < len(d):
+    while lo < len(n):
         # In order of size, a set's partners end with the largest it can link to.
         last = np.searchsorted(n, largest_partner(n[lo]), "right")
-        hi = min(len(d), lo + max(1, 2_000_000 // ((last - lo) * words.shape[1] + 1)))
+        hi = min(len(n), lo + max(1, 2_000_000 // ((last - lo) * words.shape[1] + 1)))
         last = np.searchsorted(n, largest_partner(n[hi - 1]), "right")
         apart = np.bitwise_count(words[lo:hi, None, :] ^ words[None, lo:last, :]).sum(axis=2, dtype=np.int64)
         may = (apart <= difference(n[lo:hi, None], n[None, lo:last])) & (comp[lo:hi, None] != comp[None, lo:last])
         if mixed:
             may &= block[lo:hi, None] != block[None, lo:last]
         for i, j in np.argwhere(may).tolist():
-            if j > i:
-                x, y = sets[lo + i], sets[lo + j]
-                both = len(np.intersect1d(x, y, assume_unique=True)) + lost[lo + i] + lost[lo + j]
-                if PERCENT[1] * both >= PERCENT[0] * (n[lo + i] + n[lo + j] - both):
-                    out.append((min(d[lo + i], d[lo + j]), max(d[lo + i], d[lo + j])))
+            if j > i and may_link(sketches[lo + i], sketches[lo + j], int(n[lo + i]), int(n[lo + j])):
+                yield lo + i, lo + j
         lo = hi
-    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
 
-def width_of(n: int) -> int:
-    """Bytes of a shortened token: two tell most elements of a usual set apart."""
-    return 2 if n <= SHORT_SET else 4
 
-
-def tokens_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
-    """(d, n, shortened tokens) of the classes in ``ids`` (d, k, i, c), from
-    their texts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in slices(whole, size=SLICE):
-                sets = shingles(byte_texts(batch))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([shortened(s, width_of(len(s))).tobytes() for s in sets], pa.binary())], names=["d", "n", "tokens"])
-
-    texts = fetch(docs, ids.select("k", "i", "c"))
-    return ids.join(texts, "k").select("d", "text").mapInArrow(run, "d long, n long, tokens binary").dropDuplicates(["d"])
-
-
-def across_pairs(stars: DataFrame, classes: DataFrame, parts: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs (a, b) of class digests that share a star, lie in different
-    components and may link. A large star is compared block by block, so no task
-    holds more than two blocks of BLOCK_SETS sets."""
-    labelled = classes.join(parts, "node", "left").select("d", F.col("node").alias("k"), F.col("rep").alias("i"), F.col("crc").alias("c"), F.coalesce("component", "node").alias("comp"))
-    placed = written(stars.join(labelled.withColumnRenamed("d", "b"), "b").select("a", F.col("b").alias("d"), "k", "i", "c", "comp"))
-    split = placed.groupBy("a").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("many")).where("lo <> hi")
-    split = split.select("a", F.ceil(F.col("many") / BLOCK_SETS).cast("long").alias("blocks"))
-    members = written(placed.join(split, "a"))
-    tokens = tokens_of(members.select("d", "k", "i", "c").distinct(), docs)
-    own = F.pmod(F.xxhash64("d"), F.col("blocks"))
-    spread = members.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    spread = spread.select("a", "d", "comp", "block", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"))
-    rows = spread.join(tokens, "d").select("a", "p", "q", "block", "d", "n", "comp", "tokens")
-    return rows.groupBy("a", "p", "q").applyInPandas(_across, "a long, b long").distinct()
+MEMBERS = "a long, p long, q long, n long, node long, comp long, block long, rep long, crc long, sketch binary"
+
+
+def active(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The members that may link with one of another component of their group."""
+    for group in runs_of(batches, 3):
+        marked = np.zeros(group.num_rows, bool)
+        for i, j in apart_pairs(group):
+            marked[i] = marked[j] = True
+        if marked.any():
+            yield group.filter(pa.array(marked))
+
+
+def spanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Verified links (u, v) between components of each group: texts are
+    compared word by word until no two components are left that link, and no
+    more links are given than components."""
+    for group in runs_of(batches, 3):
+        sets = numbered(byte_texts(group))
+        node, comp = (group.column(c).to_pylist() for c in ("node", "comp"))
+        over = {c: c for c in comp}
+
+        def root(c: int, over: dict[int, int] = over) -> int:
+            while over[c] != c:
+                over[c] = over[over[c]]
+                c = over[c]
+            return c
+
+        found = []
+        for i, j in apart_pairs(group):
+            x, y = root(comp[i]), root(comp[j])
+            if x != y and alike(sets[i], sets[j]):
+                over[max(x, y)] = min(x, y)
+                found.append((max(node[i], node[j]), min(node[i], node[j])))
+        if found:
+            yield pa.RecordBatch.from_pydict({"u": pa.array([f[0] for f in found], pa.int64()), "v": pa.array([f[1] for f in found], pa.int64())})
+
+
+def across_links(stars: DataFrame, classes: DataFrame, parts: DataFrame, docs: DataFrame) -> DataFrame:
+    """Verified links (u, v) of nodes that share a star and lie in different
+    components, enough to connect all that such links connect.
+
+    The sets of a star's largest component are never compared with each other:
+    they and the others are dealt into blocks of BLOCK_SETS sets and
+    BLOCK_SHINGLES shingles, about, and each pair of blocks with one of the
+    others is a group, so a star in which few sets are left out costs little more than its
+    rows. Only members that pass the sketches bring their texts.
+    """
+    parallel = int(stars.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    labelled = classes.join(parts, "node", "left").select(F.col("d").alias("b"), "n", F.coalesce("component", "node").alias("comp"))
+    placed = written(stars.join(labelled.hint("merge"), "b").select("a", F.col("b").alias("d"), "comp", "n"))
+    each = placed.groupBy("a", "comp").agg(F.count(F.lit(1)).alias("n"), F.sum("n").alias("size"))
+    largest = each.groupBy("a").agg(F.max(F.struct("n", "size", "comp")).alias("m"), F.sum("n").alias("many"), F.sum("size").alias("size")).where("m.n < many")
+    dealt = lambda n, size: F.greatest(F.ceil(n / BLOCK_SETS), F.ceil(size / BLOCK_SHINGLES)).cast("long")
+    split = largest.select("a", F.col("m.comp").alias("major"), dealt(F.col("m.n"), F.col("m.size")).alias("x"), dealt(F.col("many") - F.col("m.n"), F.col("size") - F.col("m.size")).alias("y"))
+    members = placed.drop("n").join(split, "a").join(classes.select("d", "n", "node", "rep", "crc", "sketch").hint("merge"), "d")
+    major, x, y = F.col("comp") == F.col("major"), F.col("x"), F.col("y")
+    block = F.when(major, F.pmod(F.xxhash64("d"), x)).otherwise(x + F.pmod(F.xxhash64("d"), y))
+    spread = members.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.when(major, x).otherwise(0), x + y - 1)))
+    rows = spread.withColumns({"p": F.least("block", "other"), "q": F.greatest("block", "other")}).select([c.split()[0] for c in MEMBERS.split(", ")])
+    # Work grows with the square of a group, so groups are dealt by number, not by bytes.
+    order = ["a", "p", "q", "n", "node"]
+    rows = rows.repartition(parallel, "a", "p", "q").sortWithinPartitions(*order)
+    found = written(rows.mapInArrow(released(active), MEMBERS))
+    texts = written(fetch(docs, found.selectExpr("node AS k", "rep AS i", "crc AS c")))
+    held = found.join(texts.withColumnRenamed("k", "node").hint("merge"), "node").select([c.split()[0] for c in MEMBERS.split(", ")] + ["text"])
+    held = held.repartition(parallel, "a", "p", "q").sortWithinPartitions(*order)
+    links = written(held.mapInArrow(released(spanned), "u long, v long").distinct())
+    discard(placed, found, texts)
+    return links
 
 
 def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(classes with the id and checksum of their component, set table)."""
     spark = docs.sparkSession
     sets = written(set_table(docs))
-    rep = F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "crc")).alias("r")
-    grouped = sets.where("d IS NOT NULL").groupBy("d", "e").agg(rep, F.first("n_shingles").alias("n"))
-    classes = written(grouped.select(F.monotonically_increasing_id().alias("node"), "d", "e", "n", F.col("r.doc_id").alias("rep"), F.col("r.crc").alias("crc")))
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    stars = written(blocks(docs, buckets).groupBy("bucket").applyInPandas(_match, "a long, b long").distinct())
-    links = written(verify(stars, classes, docs))
-    parts = written(components(links))
-    across = written(across_pairs(stars, classes, parts, docs))
-    if not across.isEmpty():
-        links = written(links.unionByName(verify(across, classes, docs)).distinct())
-        parts = written(components(links))
+    rep = F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "crc", "n_shingles", "sketch")).alias("r")
+    grouped = sets.where("d IS NOT NULL").groupBy("d", "e").agg(rep)
+    classes = written(grouped.select(F.monotonically_increasing_id().alias("node"), "d", "e", F.col("r.n_shingles").alias("n"), F.col("r.doc_id").alias("rep"), F.col("r.crc").alias("crc"), F.col("r.sketch").alias("sketch")))
+    plan, rows = planned(sets)
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // BUCKET_ROWS))
+    pairs = written(blocks(docs, plan, buckets).groupBy("bucket").applyInPandas(_match, "a long, b long").distinct())
+    # A star holds its centre as well.
+    stars = pairs.unionByName(pairs.select("a", F.col("a").alias("b")).distinct())
+    links = verify(pairs, classes, docs)
+    parts = components(links)
+    more = across_links(stars, classes, parts, docs)
+    if not more.isEmpty():
+        discard(parts)
+        parts = components(links.unionByName(more).distinct())
+    discard(pairs, more, links)
     # Nodes are numbers without meaning; a component is named by its least id.
     names = parts.join(classes.select("node", "rep", "crc"), "node")
     least = names.groupBy("component").agg(F.min(F.struct(F.col("rep").isNull().alias("z"), "rep", "crc")).alias("low"))
     named = parts.join(least, "component").select("node", "low")
-    final = classes.join(named, "node", "left")
+    final = classes.drop("sketch").join(named, "node", "left")
     own = F.col("low").isNull()
-    final = final.select("d", "e", F.when(own, F.col("rep")).otherwise(F.col("low.rep")).alias("component_id"), F.when(own, F.col("crc")).otherwise(F.col("low.crc")).alias("component_crc"))
-    return written(final), sets
+    final = written(final.select("d", "e", F.when(own, F.col("rep")).otherwise(F.col("low.rep")).alias("component_id"), F.when(own, F.col("crc")).otherwise(F.col("low.crc")).alias("component_crc")))
+    discard(parts, classes)
+    return final, sets
 
 
 def placed_rows(docs: DataFrame) -> DataFrame:
@@ -526,7 +708,7 @@ def placed_rows(docs: DataFrame) -> DataFrame:
     text's checksum of the first row of the component, of every row."""
     classes, sets = linked(docs)
     c = classes.withColumnsRenamed({"d": "cd", "e": "ce"})
-    joined = sets.join(c.hint("merge"), (F.col("d") == F.col("cd")) & (F.col("e") == F.col("ce")), "left")
+    joined = sets.drop("sketch", "first", "probe").join(c.hint("merge"), (F.col("d") == F.col("cd")) & (F.col("e") == F.col("ce")), "left")
     own = lambda mine, other: F.when(F.col("d").isNull(), F.col(mine)).otherwise(F.col(other)).alias(other)
     return joined.select("doc_id", "crc", "n_shingles", own("doc_id", "component_id"), own("crc", "component_crc"))
 
@@ -544,9 +726,9 @@ def keep(docs: DataFrame) -> DataFrame:
     i, c, r = (fresh(docs, f"keep_{x}") for x in ("id", "crc", "rows"))
     ids = found.groupBy("doc_id", "crc").agg(F.count(F.lit(1)).alias(r)).withColumnsRenamed({"doc_id": i, "crc": c})
     crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
-    joined = docs.join(ids, F.col("doc_id").cast("long").eqNullSafe(F.col(i)) & (crc == F.col(c)))
+    joined = docs.join(ids.hint("shuffle_hash"), F.col("doc_id").cast("long").eqNullSafe(F.col(i)) & (crc == F.col(c)))
     single = joined.where((F.col(r) == 1) | F.col("doc_id").isNull()).select(*docs.columns)
-    repeated = joined.where((F.col(r) > 1) & F.col("doc_id").isNotNull()).groupBy(i, c).agg(F.first(F.struct(*docs.columns)).alias(r)).select(f"{r}.*")
+    repeated = any_row(joined.where((F.col(r) > 1) & F.col("doc_id").isNotNull()), i, c).select(*docs.columns)
     return single.unionByName(repeated)
 
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import duckdb
@@ -74,9 +75,17 @@ def test_exact_keep(spark):
 # --- similar texts -------------------------------------------------------------
 
 
+def shingle_set(text):
+    """The shingles of a text, word by word."""
+    found = [re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in re.findall("[^\x20\x09-\x0d]+", text or "")]
+    if len(found) < 5:
+        return {tuple(found)} if found else set()
+    return {tuple(found[k : k + 5]) for k in range(len(found) - 4)}
+
+
 def components_by_force(rows):
     """Component of each doc_id; texts and ids must be unique or equal."""
-    sets = {d: jaccard_join.shingle_set((t or "").encode()) for d, t in rows}
+    sets = {d: shingle_set(t) for d, t in rows}
     parent = {d: d for d in sets}
 
     def root(x):
@@ -114,22 +123,78 @@ def test_jaccard_components(spark):
     assert got == components_by_force(rows)
 
 
+def plans():
+    """Allocations that differ in weights and in what is left over."""
+    bands = jaccard_join.bands_up_to(1000)
+    counted = [jaccard_join.allocate(np.full(bands, n), np.full(bands, a)) for n, a in ((10, 0.0), (10**6, 1e9), (10**9, 1e14))]
+    tops = jaccard_join.band_starts_of(bands)[1:] - 1
+    units = jaccard_join.difference(tops, jaccard_join.largest_partner(tops)) + 1
+    for weight in (1, 2):
+        counted += [(-(-units // weight) + more, np.full(bands, weight)) for more in (0, 1, 4)]
+    return counted
+
+
+def test_allocation_weighs_costs():
+    few, many, most = plans()[:3]
+    assert set(few[1]) == {1} and 2 in most[1]
+    popular = jaccard_join.allocate(np.full(20, 1000), np.full(20, 1e12))
+    rare = jaccard_join.allocate(np.full(20, 1000), np.zeros(20))
+    assert (popular[0][:16] <= rare[0][:16]).all() and (popular[0] < rare[0]).any()
+
+
 def test_allocation_covers_every_difference():
     """Sets that differ as much as linked ones may always share a signature."""
     rng = np.random.default_rng(3)
-    for n in (1, 2, 3, 4, 6, 7, 9, 14, 15, 20, 27, 33, 36, 47, 48, 64, 100, 333, 640):
-        for extra in {0, 1, n // 7, int(jaccard_join.largest_partner(n)) - n}:
-            b = n + extra
-            if b > jaccard_join.largest_partner(n):
-                continue
-            most = int(jaccard_join.difference(n, b))
-            swap = (most - extra) // 2
-            for _ in range(12):
-                pool = np.unique(jaccard_join.mix(rng.integers(0, 1 << 62, 4 * b + 8).astype(np.uint64)))
-                pool = rng.permutation(pool)
-                x, y = np.sort(pool[:n]), np.sort(np.concatenate([pool[swap:n], pool[n : n + swap + extra]]))
-                owner, sig = jaccard_join.signatures([x, y])
-                assert set(sig[owner == 0]) & set(sig[owner == 1]), (n, b)
+    for plan in plans():
+        for n in (3, 4, 6, 7, 9, 14, 15, 20, 27, 33, 36, 47, 48, 64, 100, 333, 640):
+            for extra in {0, 1, n // 7, int(jaccard_join.largest_partner(n)) - n}:
+                b = n + extra
+                if b > jaccard_join.largest_partner(n):
+                    continue
+                most = int(jaccard_join.difference(n, b))
+                swap = (most - extra) // 2
+                for _ in range(12 if n < 50 else 3):
+                    pool = np.unique(jaccard_join.mix(rng.integers(0, 1 << 62, 4 * b + 8).astype(np.uint64)))
+                    pool = rng.permutation(pool)
+                    x, y = np.sort(pool[:n]), np.sort(np.concatenate([pool[swap:n], pool[n : n + swap + extra]]))
+                    owner, sig = jaccard_join.signatures([x, y], plan)
+                    assert set(sig[owner == 0]) & set(sig[owner == 1]), (n, b)
+
+
+def test_tiny_sets_share_no_signature():
+    rng = np.random.default_rng(8)
+    sets = [np.unique(jaccard_join.mix(rng.integers(0, 1 << 62, n).astype(np.uint64))) for n in rng.integers(1, 21, 4000)]
+    plan = jaccard_join.allocate(np.bincount(np.searchsorted(jaccard_join.band_starts_of(12), [len(x) for x in sets], "right") - 1, minlength=12), np.zeros(12))
+    owner, sig = jaccard_join.signatures(sets, plan)
+    assert not {k for k, x in enumerate(sets) if len(x) < 3} & set(owner.tolist())
+    pairs = np.unique(np.stack([sig, owner.astype(np.uint64)], 1), axis=0)
+    assert np.unique(pairs[:, 0], return_counts=True)[1].max() < 120
+
+
+def test_verification_counts_words():
+    rng = random.Random(3)
+    for _ in range(300):
+        a, b = (" ".join(words(rng, rng.randint(1, 40), 3)) for _ in range(2))
+        x, y = shingle_set(a), shingle_set(b)
+        assert jaccard_join.similar(a.encode(), b.encode()) == (100 * len(x & y) >= 75 * len(x | y)), (a, b)
+
+
+def test_jaccard_in_small_pieces(spark, monkeypatch):
+    """Many buckets, many blocks of signatures, stars in several blocks."""
+    monkeypatch.setattr(jaccard_join, "FLUSH", 200)
+    monkeypatch.setattr(jaccard_join, "BUCKET_ROWS", 50)
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 3)
+    rng = random.Random(21)
+    rows = []
+    for j, n in enumerate((9, 40, 120)):
+        base = words(rng, n, 10**6)
+        for k in range(40):
+            found = list(base)
+            for _ in range(rng.randint(0, max(1, n // 12))):
+                found[rng.randrange(n)] = f"z{rng.randint(0, 10**6)}"
+            rows.append((1000 * j + k, " ".join(found)))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.report(documents(spark, rows)).collect()}
+    assert got == components_by_force(rows)
 
 
 def test_jaccard_awkward_rows(spark):
@@ -175,30 +240,70 @@ def test_sketch_distance_is_a_lower_bound():
         size = min(len(x), len(y))
         apart = np.bitwise_count(jaccard_join.folded(x, size) ^ jaccard_join.folded(y, size)).sum()
         assert apart <= len(np.setxor1d(a, b))
-        for width in (2, 4):
-            x, y = jaccard_join.shortened(a, width), jaccard_join.shortened(b, width)
-            assert len(np.setxor1d(x, y)) <= len(np.setxor1d(a, b))
-            lost = len(a) - len(x) + len(b) - len(y)
-            assert len(np.intersect1d(x, y)) + lost >= len(np.intersect1d(a, b))
-            assert (jaccard_join.shortened(jaccard_join.shortened(a, 4), 2) == jaccard_join.shortened(a, 2)).all()
+        assert jaccard_join.may_link(x, y, len(a), len(b)) == (apart <= jaccard_join.difference(len(a), len(b)))
 
 
 # --- substrings ----------------------------------------------------------------
 
 
-def cleaned_by_force(rows):
-    places = defaultdict(list)
-    texts = {(d, t or ""): substring_dedup.sentences_of(t or "") for d, t in rows if d is not None}
-    for (d, t), sentences in texts.items():
-        for pos, size, data in substring_dedup.spans_of(sentences):
-            places[data].append((d, pos, size, t))
+def split_by_force(text):
+    """Sentences, character by character."""
+    out, at, k = [], 0, 0
+    while k < len(text):
+        end = None
+        if text[k] == "\n":
+            end = k + 1
+        elif text[k] in ".!?…":
+            j = k
+            while j < len(text) and text[j] in ".!?…":
+                j += 1
+            while j < len(text) and text[j] in "\"')]»”":
+                j += 1
+            if j == len(text) or text[j].isspace():
+                end = j
+            k = max(k, j - 1)
+        if end is not None:
+            while end < len(text) and text[end].isspace():
+                end += 1
+            out.append(text[at:end])
+            at = end
+            k = end - 1
+        k += 1
+    return out + [text[at:]] if at < len(text) else out
+
+
+def cleaned_by_force(rows, least=15):
+    """Text of each (doc_id, text) without its repeated passages: runs of two
+    sentences and more, of every length, and sentences of 50 words, that stand
+    at an earlier (doc_id, checksum, place)."""
+    docs = sorted({(d, zlib.crc32((t or "").encode()), t or "") for d, t in rows if d is not None})
+    first, places = {}, []
+    for d, c, t in docs:
+        said = split_by_force(t)
+        filled = [(k, tuple(s.split())) for k, s in enumerate(said) if s.split()]
+        for i in range(len(filled)):
+            for j in range(i + 1, min(len(filled), i + 40) + 1):
+                if j - i > 1 or len(filled[i][1]) >= 50:
+                    run = tuple(w for _, w in filled[i:j])
+                    first.setdefault(run, (d, c, i))
+                    places.append((d, c, t, i, run, [k for k, _ in filled[i:j]]))
     gone = defaultdict(set)
-    for found in places.values():
-        first = min((d, p) for d, p, _, _ in found)
-        for d, p, size, t in found:
-            if (d, p) != first:
-                gone[d, t] |= set(range(p, p + size))
-    return {(d, t): "".join(s for k, s in enumerate(ss) if k not in gone[d, t]) for (d, t), ss in texts.items()}
+    for d, c, t, i, run, ks in places:
+        if first[run] != (d, c, i):
+            gone[d, t] |= set(range(ks[0], ks[-1] + 1))
+    out = {}
+    for d, _, t in docs:
+        said, block, left = split_by_force(t), [], []
+        for k, s in enumerate([*said, None]):
+            if k in gone[d, t]:
+                block.append(s)
+                continue
+            if sum(len(x.split()) for x in block) < least:
+                left += block
+            block = []
+            left.append(s or "")
+        out[d, t] = "".join(left)
+    return out
 
 
 def test_substring_dedup(spark):
@@ -224,28 +329,6 @@ def test_substring_dedup(spark):
     assert held[1] is None and substring_dedup.clean(docs.limit(0)).count() == 0
 
 
-def removed_by_every_run(rows):
-    """Places of sentences in a run that stands earlier as well. Every run of
-    two sentences and 15 words or more counts, a sentence of 50 words, and a
-    shorter text of several sentences as a whole."""
-    first, places = {}, []
-    for d, t in sorted(rows):
-        said = [tuple(s.split()) for s in substring_dedup.sentences_of(t)]
-        said = [(k, w) for k, w in enumerate(said) if w]
-        for i in range(len(said)):
-            for j in range(i + 1, len(said) + 1):
-                run = tuple(w for _, w in said[i:j])
-                n = sum(map(len, run))
-                if n >= (50 if j - i == 1 else 15) or (j - i == len(said) > 1):
-                    first[run] = min(first.get(run, (d, i)), (d, i))
-                    places.append((d, i, run, [k for k, _ in said[i:j]]))
-    gone = defaultdict(set)
-    for d, i, run, ks in places:
-        if first[run] != (d, i):
-            gone[d] |= set(ks)
-    return gone
-
-
 def said_of(rng, sizes, most=10**6):
     return " ".join(" ".join(words(rng, n, most)) + "." for n in sizes)
 
@@ -259,15 +342,41 @@ def test_substring_dedup_finds_every_run(spark):
         rows.append((100 + k, f"{own()} {rng.choice(passages)} {own()} {rng.choice(passages)}"))
     rows += [(300 + k, said_of(rng, [rng.randint(1, 9) for _ in range(rng.randint(1, 14))], 1)) for k in range(40)]
     got = {r["doc_id"]: r["text"] for r in substring_dedup.clean(documents(spark, rows)).collect()}
-    gone = removed_by_every_run(rows)
+    want = cleaned_by_force(rows)
     for d, t in rows:
-        assert got[d] == "".join(s for k, s in enumerate(substring_dedup.sentences_of(t)) if k not in gone[d]), (d, t)
-    assert all(got[20 + k] == "" for k in range(len(passages)))
+        assert got[d] == want[d, t], (d, t)
+    for least in (1, 40):
+        got = {r["doc_id"]: r["text"] for r in substring_dedup.clean(documents(spark, rows), least).collect()}
+        want = cleaned_by_force(rows, least)
+        assert all(got[d] == want[d, t] for d, t in rows)
+
+
+def test_substring_dedup_short_tail_and_repeated_ids(spark):
+    rng = random.Random(19)
+    run = said_of(rng, [10, 10, 3])
+    rows = [(1, f"{run} {said_of(rng, [8, 9])}"), (2, f"{run} {said_of(rng, [9, 7])}")]
+    other = said_of(rng, [12, 12])
+    rows += [(5, f"{other} one."), (5, f"{other} two."), (5, f"{other} two.")]
+    got = Counter((r["doc_id"], r["text"], r["n_removed"]) for r in substring_dedup.clean(documents(spark, rows)).collect())
+    want = cleaned_by_force(rows)
+    assert {(d, t) for d, t, _ in got} == {(d, want[d, t]) for d, t in rows}
+    assert run not in want[2, rows[1][1]] and sum(n for (d, _, k), n in got.items() if d == 5 and k) in (1, 2)
+
+
+def test_substring_dedup_hot_spans(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "hot_rows", lambda rows: 20)
+    rng = random.Random(23)
+    common, rare = said_of(rng, [9, 9, 9]), said_of(rng, [9, 9, 9])
+    rows = [(k, f"{said_of(rng, [8])} {common} {said_of(rng, [8])} {rare if k in (3, 9) else ''}") for k in range(60)]
+    got = {r["doc_id"]: r["text"] for r in substring_dedup.clean(documents(spark, rows)).collect()}
+    want = cleaned_by_force(rows)
+    assert all(got[d] == want[d, t] for d, t in rows)
 
 
 def test_sentences_make_up_the_text():
     for text in ("", "a. b! c?\n\nd", "no end", "x...y. \n z", "\n\n", "e.g. this. \"Quoted.\" Then"):
         assert "".join(substring_dedup.sentences_of(text)) == text
+        assert substring_dedup.sentences_of(text) == split_by_force(text)
 
 
 # --- mixing ----------------------------------------------------------------------
