@@ -9,18 +9,20 @@ cap per weight).
 Each source's weight over training time t in [0, 1] is a ramp
 ``w * (1 + s * (2t - 1))``. Its integral, the cumulative demand for the
 source's words, is ``target * ((1 - s) * t + s * t * t)``. Documents of a
-source stand in a fixed shuffled order (md5 of the id), repeated from the
-start when demand exceeds the source; a document that begins after c words
-of demand gets the position t at which demand reaches c. It is taken as often
-as its middle lies below the target. Documents are range-sorted by position.
+source stand in a fixed shuffled order (md5 of the id, then the id, the size
+and the checksum of the text), repeated from the start when demand exceeds the
+source. A copy's position is the time at which demand reaches its middle, by
+the inverse of that integral; it is taken if it has one, which demand reaches
+within training. Documents are range-sorted by position.
 
 The running sum inside a source is a sum over equal slices of the md5 range,
 then a running sum inside each slice, so a source with a third of all rows is
-spread like any other. Nulls: a null text has no words, a null source is a
-source of its own, a null id sorts by the md5 of ''. Texts without a word are
-never taken. Rows with equal ids follow each other in any order, with equal
-sizes indistinguishable. An empty table gives an empty mix. Other columns
-pass through.
+spread like any other. Running sums over sources, which may be many, are taken
+inside range partitions and then over one row a partition. Nulls: a null text
+has no words, a null source is a source of its own, a null id sorts by the md5
+of ''. Texts without a word are never taken; their position is null. Rows with
+equal ids, sizes and checksums follow each other in any order and can't be
+told apart. An empty table gives an empty mix. Other columns pass through.
 """
 
 from __future__ import annotations
@@ -35,8 +37,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 MOST = 3
 #: Slope of the ramp of each weight class.
 RAMPS = (-0.5, 0.0, 0.5)
-#: Documents in a slice of the md5 range, about.
-SLICE_ROWS = 20_000
+#: Documents in a slice of the md5 range, about, and the most slices: their
+#: sums are added up in one task for each source.
+SLICE_ROWS, SLICES = 2_000, 20_000
 
 
 def size_of(text: Column) -> Column:
@@ -53,42 +56,55 @@ def slice_of(key: Column, slices: int) -> Column:
     return F.shiftright(head * F.lit(slices).cast("long"), 32)
 
 
+def running(df: DataFrame, order: list[Column], sums: dict[str, str]) -> DataFrame:
+    """``df`` with, for each name in ``sums``, the sum of that column over all
+    rows before this one in ``order``. Rows are dealt into range partitions;
+    only one row of totals a partition ever meets in one task."""
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = written(df.repartitionByRange(parts, *order).withColumn("run_part", F.spark_partition_id()))
+    totals = placed.groupBy("run_part").agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    earlier = W.partitionBy(F.lit(0)).orderBy("run_part").rowsBetween(W.unboundedPreceding, -1)
+    zero = F.lit(0).cast("long")
+    totals = totals.select(F.col("run_part").alias("run_of"), *[F.coalesce(F.sum(n).over(earlier), zero).alias(f"run_{n}") for n in sums])
+    inside = W.partitionBy("run_part").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    summed = placed.withColumns({n: F.coalesce(F.sum(c).over(inside), zero) for n, c in sums.items()})
+    joined = summed.join(F.broadcast(totals), F.col("run_part") == F.col("run_of"))
+    return joined.withColumns({n: F.col(n) + F.col(f"run_{n}") for n in sums}).drop("run_part", "run_of", *[f"run_{n}" for n in sums])
+
+
 def targets(sources: DataFrame) -> DataFrame:
-    """source, source_size, weight, ramp, target from (source, source_size).
-
-    All windows here run over one row per source.
-    """
-    by_name = W.orderBy(F.col("source").asc_nulls_last())
-    whole = W.partitionBy(F.lit(0))
-    s = sources.withColumn("nth", F.row_number().over(by_name) - 1).withColumn("weight", F.col("nth") % 3 + 1)
-    s = s.withColumn("cap", F.col("source_size") * MOST)
+    """source, source_size, weight, ramp, target from (source, source_size)."""
+    s = running(sources.withColumn("one", F.lit(1)), [F.col("source").asc_nulls_last()], {"nth": "one"})
+    s = s.withColumn("weight", F.col("nth") % 3 + 1).withColumn("cap", F.col("source_size") * MOST)
+    s = written(running(s, [F.col("cap") / F.col("weight"), F.col("nth")], {"cap_before": "cap", "weight_before": "weight"}))
     big = lambda c: c.cast("decimal(38,0)")
-    by_ratio = whole.orderBy(F.col("cap") / F.col("weight"), "nth").rowsBetween(W.unboundedPreceding, -1)
-    zero = F.lit(0).cast("long")
-    s = s.withColumn("cap_before", F.coalesce(F.sum("cap").over(by_ratio), zero)).withColumn("weight_before", F.coalesce(F.sum("weight").over(by_ratio), zero))
-    s = s.withColumn("total", F.sum("source_size").over(whole)).withColumn("weights", F.sum("weight").over(whole))
-    free = big(F.col("total") - F.col("cap_before")) * big(F.col("weight")) <= big(F.col("cap")) * big(F.col("weights") - F.col("weight_before"))
-    s = s.withColumn("free", free)
-    left = F.min(F.when(F.col("free"), F.col("cap_before"))).over(whole)
-    used = F.min(F.when(F.col("free"), F.col("weight_before"))).over(whole)
-    share = (F.col("total") - left).cast("double") * F.col("weight").cast("double") / (F.col("weights") - used).cast("double")
+    whole = s.agg(F.sum("source_size").alias("total"), F.sum("weight").alias("weights"))
+    s = s.crossJoin(F.broadcast(whole))  # one row
+    s = s.withColumn("free", big(F.col("total") - F.col("cap_before")) * big(F.col("weight")) <= big(F.col("cap")) * big(F.col("weights") - F.col("weight_before")))
+    first = s.where("free").agg(F.min("cap_before").alias("left"), F.min("weight_before").alias("used"))
+    s = s.crossJoin(F.broadcast(first))  # one row
+    share = (F.col("total") - F.col("left")).cast("double") * F.col("weight").cast("double") / (F.col("weights") - F.col("used")).cast("double")
     ramp = F.element_at(F.array(*map(F.lit, RAMPS)), F.col("weight").cast("int"))
     return s.select("source", "source_size", "weight", ramp.alias("ramp"), F.when(F.col("free"), share).otherwise(F.col("cap").cast("double")).alias("target"))
 
 
 def position_at(share: Column, ramp: Column) -> Column:
-    """The time at which cumulative demand reaches this share of the target."""
-    root = F.sqrt(F.pow(1 - ramp, F.lit(2.0)) + 4 * ramp * share)
-    return F.when(ramp == 0, share).otherwise((ramp - 1 + root) / (2 * ramp))
+    """The time at which cumulative demand reaches this share of the target:
+    the inverse of ``(1 - s) * t + s * t * t``; null if training ends first."""
+    root = F.sqrt((1 - ramp) * (1 - ramp) + 4 * ramp * share)
+    return F.when(share <= 1, F.when(ramp == 0, share).otherwise((ramp - 1 + root) / (2 * ramp)))
 
 
-PLAN = ("size", "source_size", "target", "taken", "copies", "begins", "ramp")
+#: The columns that a plan adds.
+PLAN = ("size", "source_size", "target", "ramp", "middle")
 
 
 def plan(rows: DataFrame, sizes: DataFrame, names: dict[str, str]) -> DataFrame:
-    """``rows`` (with columns named by names: key, size, slice, and doc_id,
-    source) plus the columns of PLAN, under their names. ``sizes`` has source,
-    slice and size of every document, for the sums."""
+    """``rows`` (with columns named by names: key, size, slice, check, and doc_id,
+    source) plus the columns of PLAN, under their names; middle is the demand
+    at a document's middle. ``sizes`` has source, slice and size of every
+    document, for the sums."""
     spread = sizes.groupBy("source", "slice").agg(F.sum("size").alias("words"))
     aim = targets(spread.groupBy("source").agg(F.sum("words").alias("source_size")))
     before = W.partitionBy("source").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
@@ -97,49 +113,68 @@ def plan(rows: DataFrame, sizes: DataFrame, names: dict[str, str]) -> DataFrame:
     spread = spread.alias("x").join(aim.alias("y"), F.col("x.source").eqNullSafe(F.col("y.source")))
     spread = spread.select(F.col("x.source").alias(n["src"]), F.col("x.slice").alias(n["part"]), F.col("x.before").alias(n["before"]), F.col("y.source_size").alias(n["source_size"]), F.col("y.ramp").alias(n["ramp"]), F.col("y.target").alias(n["target"]))
     joined = rows.join(spread, F.col("source").eqNullSafe(F.col(n["src"])) & (F.col(n["slice"]) == F.col(n["part"])))
-    inside = W.partitionBy("source", n["slice"]).orderBy(F.col(n["key"]), F.col("doc_id").asc_nulls_last()).rowsBetween(W.unboundedPreceding, -1)
+    order = [F.col(n["key"]), F.col("doc_id").asc_nulls_last(), F.col(n["size"]), F.col(n["check"])]
+    inside = W.partitionBy("source", n["slice"]).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
     begins = F.col(n["before"]) + F.coalesce(F.sum(n["size"]).over(inside), F.lit(0).cast("long"))
-    joined = joined.withColumn(n["begins"], begins)
-    fits = [((2 * (F.col(n["begins"]) + k * F.col(n["source_size"])) + F.col(n["size"])).cast("double") <= 2 * F.col(n["target"])).cast("int") for k in range(MOST)]
-    copies = F.when(F.col(n["size"]) > 0, sum(fits[1:], fits[0])).otherwise(0)
-    joined = joined.withColumn(n["copies"], copies)
-    return joined.withColumn(n["taken"], F.col(n["copies"]) * F.col(n["size"])).drop(n["src"], n["part"], n["before"])
+    middle = F.when(F.col(n["size"]) > 0, begins + F.col(n["size"]).cast("double") / 2)
+    return joined.withColumn(n["middle"], middle).drop(n["src"], n["part"], n["before"])
+
+
+def position_of(lap: Column | int, n: dict[str, str]) -> Column:
+    """Position of a document's copy in the given lap over its source, null
+    if it isn't taken."""
+    share = (F.col(n["middle"]) + lap * F.col(n["source_size"])) / F.col(n["target"])
+    return position_at(share, F.col(n["ramp"]))
 
 
 def _names(docs: DataFrame) -> dict[str, str]:
-    return {k: fresh(docs, f"mix_{k}") for k in ("key", "slice", "src", "part", "before", *PLAN)}
+    return {k: fresh(docs, f"mix_{k}") for k in ("key", "slice", "check", "src", "part", "before", *PLAN)}
+
+
+def checksum(text: Column) -> Column:
+    return F.crc32(F.coalesce(text, F.lit("")).cast("binary"))
 
 
 def measured(docs: DataFrame) -> tuple[DataFrame, int]:
-    """doc_id, source, size, key, slice of every document, written durably,
-    and the number of slices."""
-    found = written(docs.select("doc_id", "source", size_of(F.col("text")).alias("size"), order_key(F.col("doc_id")).alias("key")))
-    slices = max(1, -(-found.count() // SLICE_ROWS))
+    """doc_id, source, size, check, key, slice of every document, written
+    durably, and the number of slices."""
+    text = F.col("text")
+    found = written(docs.select("doc_id", "source", size_of(text).alias("size"), checksum(text).alias("check"), order_key(F.col("doc_id")).alias("key")))
+    slices = min(SLICES, max(1, -(-found.count() // SLICE_ROWS)))
     return found.withColumn("slice", slice_of(F.col("key"), slices)), slices
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken."""
+    """One row per document: doc_id, size, source_size, target, taken (words,
+    with repeats), and position, that of its first copy (null if none is
+    taken); range-sorted by position."""
     rows, _ = measured(docs)
-    names = {"key": "key", "slice": "slice", "src": "src", "part": "part", "before": "before"} | {k: k for k in PLAN}
-    return plan(rows, rows, names).select("doc_id", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"))
+    names = {k: k for k in ("key", "slice", "check", "src", "part", "before", *PLAN)}
+    planned = plan(rows, rows, names)
+    copies = sum((position_of(lap, names).isNotNull().cast("long") for lap in range(MOST)), F.lit(0).cast("long"))
+    found = planned.select("doc_id", "size", "source_size", "target", (copies * F.col("size")).alias("taken"), position_of(0, names).alias("position"), "key")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col("position").asc_nulls_last(), F.col("key")]
+    return found.repartitionByRange(parts, *order).sortWithinPartitions(*order).drop("key")
 
 
-def mix(docs: DataFrame) -> DataFrame:
+def mix(docs: DataFrame, position: str | None = None) -> DataFrame:
     """The mix itself: one row per copy taken, with the columns of ``docs``,
-    range-sorted by training position."""
+    range-sorted by training position, which goes to the column ``position``
+    if that is named."""
     sizes, slices = measured(docs)
     n = _names(docs)
-    rows = docs.withColumn(n["size"], size_of(F.col("text"))).withColumn(n["key"], order_key(F.col("doc_id")))
+    text = F.col("text")
+    rows = docs.withColumns({n["size"]: size_of(text), n["check"]: checksum(text), n["key"]: order_key(F.col("doc_id"))})
     rows = rows.withColumn(n["slice"], slice_of(F.col(n["key"]), slices))
-    planned = plan(rows, sizes, n).where(F.col(n["copies"]) > 0)
+    planned = plan(rows, sizes, n)
     lap, at = fresh(planned, "mix_lap"), fresh(planned, "mix_at")
-    copies = planned.withColumn(lap, F.explode(F.sequence(F.lit(0), F.col(n["copies"]) - 1)))
-    demand = (F.col(n["begins"]) + F.col(lap) * F.col(n["source_size"])) / F.col(n["target"])
-    placed = copies.withColumn(at, position_at(demand, F.col(n["ramp"])))
+    copies = planned.withColumn(lap, F.explode(F.sequence(F.lit(0), F.lit(MOST - 1))))
+    placed = copies.withColumn(at, position_of(F.col(lap), n)).where(F.col(at).isNotNull())
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(at), F.col(n["key"]), F.col(lap)]
-    return placed.repartitionByRange(parts, *order).sortWithinPartitions(*order).select(*docs.columns)
+    ordered = placed.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    return ordered.select(*docs.columns, *([F.col(at).alias(position)] if position else []))
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,21 +202,20 @@ b AS (
 f AS (
   SELECT *, (total - cap_before)::HUGEINT * weight <= cap::HUGEINT * (weights - weight_before) AS free FROM b),
 t AS (
-  SELECT source, source_size,
+  SELECT source, source_size, weight,
          CASE WHEN free THEN
            CAST(total - min(cap_before) FILTER (free) OVER () AS DOUBLE) * CAST(weight AS DOUBLE)
              / CAST(weights - min(weight_before) FILTER (free) OVER () AS DOUBLE)
          ELSE CAST(cap AS DOUBLE) END AS target
   FROM f),
 c AS (
-  SELECT doc_id, size, source_size, target,
-         CAST(coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id NULLS LAST
-           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS begins
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-       CAST(size * (
-         CAST(CAST(2 * begins + size AS DOUBLE) <= 2 * target AS INT)
-         + CAST(CAST(2 * (begins + source_size) + size AS DOUBLE) <= 2 * target AS INT)
-         + CAST(CAST(2 * (begins + 2 * source_size) + size AS DOUBLE) <= 2 * target AS INT)) AS BIGINT) AS taken
-FROM c
+  SELECT doc_id, size, source_size, target, CASE weight WHEN 1 THEN -0.5::DOUBLE WHEN 2 THEN 0.0::DOUBLE ELSE 0.5::DOUBLE END AS ramp,
+         CASE WHEN size > 0 THEN CAST(coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id NULLS LAST, size
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) + CAST(size AS DOUBLE) / 2 END AS middle
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+p AS (
+  SELECT *, list_transform([(middle + 0 * source_size) / target, (middle + 1 * source_size) / target, (middle + 2 * source_size) / target],
+    lambda share: CASE WHEN share > 1 THEN NULL WHEN ramp = 0 THEN share ELSE (ramp - 1 + sqrt((1 - ramp) * (1 - ramp) + 4 * ramp * share)) / (2 * ramp) END) AS ps
+  FROM c)
+SELECT doc_id, size, source_size, target, CAST(size * len(list_filter(ps, lambda x: x IS NOT NULL)) AS BIGINT) AS taken, ps[1] AS position FROM p
 """

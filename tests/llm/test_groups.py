@@ -421,7 +421,10 @@ def test_mixing(spark, seed):
     assert {d: r["taken"] for d, r in got.items()} == {r["doc_id"]: r["taken"] for r in mixing.report(docs.orderBy(F.rand())).collect()}
     same = duckdb.connect()
     same.register("documents", docs.toPandas())
-    assert sorted(same.sql(mixing.OP10_SQL).fetchall()) == sorted((r["doc_id"], r["size"], r["source_size"], r["target"], r["taken"]) for r in got.values())
+    assert sorted(same.sql(mixing.OP10_SQL).fetchall()) == sorted((r["doc_id"], r["size"], r["source_size"], r["target"], r["taken"], r["position"]) for r in got.values())
+    spots = [r["position"] for r in mixing.report(docs).collect()]
+    placed = [x for x in spots if x is not None]
+    assert placed == sorted(placed) and spots[len(placed) :] == [None] * (len(spots) - len(placed))
 
 
 def test_mix_rows_and_order(spark):
@@ -436,6 +439,36 @@ def test_mix_rows_and_order(spark):
     assert mixing.mix(docs.limit(0)).count() == 0 and mixing.report(docs.limit(0)).count() == 0
 
 
+def test_mix_follows_the_curriculum(spark, monkeypatch):
+    """Another ramp gives other positions and another order; a source whose
+    weight rises comes later on average."""
+    rng = random.Random(31)
+    docs = documents(spark, [(k, " ".join(words(rng, 20)), "en", "abc"[k % 3]) for k in range(300)])
+    found = [(r["source"], r["at"]) for r in mixing.mix(docs, "at").collect()]
+    assert [x for _, x in found] == sorted(x for _, x in found) and 0 < found[0][1] and found[-1][1] <= 1
+    mean = lambda rows, s: np.mean([x for y, x in rows if y == s])
+    assert mean(found, "a") < mean(found, "b") < mean(found, "c")
+    monkeypatch.setattr(mixing, "RAMPS", (0.5, 0.0, -0.5))
+    turned = [(r["source"], r["at"]) for r in mixing.mix(docs, "at").collect()]
+    assert mean(turned, "a") > mean(turned, "b") > mean(turned, "c")
+
+
+def test_mix_repeated_ids_agree(spark):
+    rows = [(7, " ".join(["w"] * n), "en", "ab"[n % 2]) for n in range(1, 60)] + [(7, None, "en", "a"), (None, "x y", "en", None)]
+    docs = documents(spark, rows)
+    runs = [Counter(map(tuple, mixing.report(docs.orderBy(F.rand(s)).repartition(3)).collect())) for s in range(3)]
+    assert runs[0] == runs[1] == runs[2]
+
+
+def test_running_sums(spark):
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"), (F.col("id") % 13).alias("v"))
+    rows = sorted(mixing.running(df, [F.col("k")], {"s": "v"}).collect())
+    total = 0
+    for r in rows:
+        assert r["s"] == total
+        total += r["v"]
+
+
 def test_positions_invert_demand(spark):
     rows = spark.range(101).select((F.col("id") / 100).alias("t"))
     for ramp in mixing.RAMPS:
