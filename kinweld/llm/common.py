@@ -25,6 +25,14 @@ def hot_rows(rows: int) -> int:
     return max(1_000, rows // 1_000)
 
 
+def join_hot(rows: DataFrame, groups: DataFrame, on: Column, hot: Column) -> DataFrame:
+    """Inner join of ``rows`` with ``groups``, whose rows have distinct keys.
+    Those where ``hot`` holds, fewer than 1,000 by :func:`hot_rows`, are
+    broadcast, so their rows stay where they are; the others meet in a shuffle."""
+    few, rest = F.broadcast(groups.where(hot)), groups.where(~hot)
+    return rows.join(few, on).unionByName(rows.join(few, on, "left_anti").join(rest.hint("shuffle_hash"), on))
+
+
 def release() -> None:
     """Hand freed memory back to the system. A Python worker outlives its task
     and would keep what that task used beside the next one's."""

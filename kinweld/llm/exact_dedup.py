@@ -11,8 +11,10 @@ byte, members join the known group, nonmembers make groups of their own.
 Of equal texts the row with the most code points in the original text stays,
 then the smallest doc_id (a null doc_id comes last). Null and empty texts are
 equal. Rows that repeat a doc_id and its text are counted in group_size; the
-report marks them all like the winner, :func:`keep` leaves one of them. Other
-columns never enter the comparison and pass through :func:`keep` unchanged.
+report marks them all like the winner, :func:`keep` leaves one of them, chosen
+by a hash of all its columns. Other columns never enter the comparison and pass
+through :func:`keep` unchanged. Groups with more than a thousandth of all rows
+(fewer than 1,000 can be) are broadcast to their rows, the others are joined.
 An empty table gives an empty result.
 """
 
@@ -23,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinweld.llm.common import BLANK, fresh, id_remainder, table, written
+from kinweld.llm.common import BLANK, any_row, fresh, hot_rows, id_remainder, join_hot, table, written
 
 #: Digests in a bucket, about: a bucket is built and read in one task.
 BUCKET_DIGESTS = 50_000
@@ -108,35 +110,33 @@ def _build_bucket(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame([{"bucket": key[0], "sizes": sizes.tobytes(), "bits": np.packbits(bits).tobytes(), "digests": digests[order].tobytes(), "n_chars": dealt("n_chars", "<i4"), "null_id": dealt("null_id", "u1"), "keep_id": dealt("keep_id", "<i8"), "copies": dealt("copies", "<i8")}])
 
 
-def _unpack(index: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, pd.DataFrame]:
-    row = index.iloc[0]
-    sizes = np.frombuffer(row["sizes"], np.int64)
-    bits = np.unpackbits(np.frombuffer(row["bits"], np.uint8), count=int(sizes.sum())).astype(bool)
-    held = np.frombuffer(row["digests"], np.uint8).reshape(-1, 32)
-    slots = pd.DataFrame({"n_chars": np.frombuffer(row["n_chars"], "<i4"), "null_id": np.frombuffer(row["null_id"], "u1").astype(bool), "keep_id": np.frombuffer(row["keep_id"], "<i8"), "copies": np.frombuffer(row["copies"], "<i8")})
-    return sizes, bits, held, slots
-
-
 def _look_up(newcomers: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
-    """Groups of one bucket after the newcomers have been looked up in it."""
+    """Groups of one bucket after the newcomers, one row a digest, have been
+    looked up in it: members raise their slot's count and may win it."""
     columns = ["digest", "n_chars", "null_id", "keep_id", "copies"]
     if index.empty:
         return newcomers[columns]
-    sizes, bits, held, slots = _unpack(index)
-    slots = slots.copy()
-    slots.insert(0, "digest", [held[k].tobytes() for k in range(len(held))])
-    slots["keep_id"] = slots["keep_id"].astype("Int64").mask(slots["null_id"])
-    if newcomers.empty:
-        return slots[columns]
-    keys = np.frombuffer(b"".join(newcomers["digest"]), np.uint8).reshape(-1, 32)
-    at = find_slots(_keys(keys), sizes, bits)
-    member = at >= 0
-    member[member] = (held[at[member]] == keys[member]).all(axis=1)
-    joined = pd.concat([slots[columns], newcomers.loc[member, columns]])
-    joined = joined.sort_values(["digest", "n_chars", "null_id", "keep_id"], ascending=[True, False, True, True], kind="stable")
-    total = joined.groupby("digest", sort=False)["copies"].transform("sum")
-    joined = joined.assign(copies=total).drop_duplicates("digest")
-    return pd.concat([joined[columns], newcomers.loc[~member, columns]])
+    row = index.iloc[0]
+    sizes = np.frombuffer(row["sizes"], np.int64)
+    bits = np.unpackbits(np.frombuffer(row["bits"], np.uint8), count=int(sizes.sum())).astype(bool)
+    held = np.frombuffer(row["digests"], np.uint8).reshape(-1, 32)
+    n_chars, null_id, keep_id, copies = (np.frombuffer(row[c], kind).copy() for c, kind in (("n_chars", "<i4"), ("null_id", "u1"), ("keep_id", "<i8"), ("copies", "<i8")))
+    member = np.zeros(len(newcomers), bool)
+    if len(newcomers):
+        keys = np.frombuffer(b"".join(newcomers["digest"]), np.uint8).reshape(-1, 32)
+        at = find_slots(_keys(keys), sizes, bits)
+        member = at >= 0
+        member[member] = (held[at[member]] == keys[member]).all(axis=1)
+        at, found = at[member], newcomers.loc[member]
+        copies[at] += found["copies"].to_numpy(np.int64)
+        n, null, own = found["n_chars"].to_numpy(np.int32), found["null_id"].to_numpy(bool).astype(np.uint8), found["keep_id"].fillna(0).to_numpy(np.int64)
+        wins = (n > n_chars[at]) | ((n == n_chars[at]) & ((null < null_id[at]) | ((null == null_id[at]) & (own < keep_id[at]))))
+        for values, new in ((n_chars, n), (null_id, null), (keep_id, own)):
+            values[at[wins]] = new[wins]
+    ids = pd.array(keep_id, dtype="Int64")
+    ids[null_id == 1] = pd.NA
+    slots = pd.DataFrame({"digest": [d.tobytes() for d in held], "n_chars": n_chars, "null_id": null_id.astype(bool), "keep_id": ids, "copies": copies})
+    return pd.concat([slots, newcomers.loc[~member, columns]]) if not member.all() else slots
 
 
 def _bucketed(groups: DataFrame, buckets: int) -> DataFrame:
@@ -177,24 +177,24 @@ def report(docs: DataFrame) -> DataFrame:
     """doc_id, keep_id, group_size, kept and text_sha256 of every row."""
     digests = written(digests_of(docs))
     groups = written(resolve(digests, in_history())).select(F.col("digest").alias("g"), "keep_id", F.col("copies").alias("group_size"))
-    joined = digests.join(groups.hint("merge"), F.col("digest") == F.col("g"))
+    joined = join_hot(digests, groups, F.col("digest") == F.col("g"), F.col("group_size") > hot_rows(digests.count()))
     return joined.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 def keep(docs: DataFrame) -> DataFrame:
     """One row of each group of equal texts, with all its columns."""
     digests = written(digests_of(docs))
-    groups = written(resolve(digests, in_history()))
+    groups = written(resolve(digests, in_history())).select(F.col("digest").alias("g"), F.col("n_chars").alias("most"), "keep_id", "copies")
     winners = digests.groupBy("digest", "doc_id", "n_chars").agg(F.count(F.lit(1)).alias("rows"))
-    best = winners.alias("w").join(groups.alias("g"), (F.col("w.digest") == F.col("g.digest")) & (F.col("w.n_chars") == F.col("g.n_chars")) & F.col("w.doc_id").eqNullSafe(F.col("g.keep_id")))
-    best = best.select(F.col("w.digest").alias("k"), F.col("w.doc_id").alias("i"), F.col("w.n_chars").alias("n"), F.col("w.rows").alias("r"))
+    same = (F.col("digest") == F.col("g")) & (F.col("n_chars") == F.col("most")) & F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    best = join_hot(winners, groups, same, F.col("copies") > hot_rows(digests.count()))
     d, k, i, n, r = (fresh(docs, f"dedup_{x}") for x in "dkinr")
-    best = best.toDF(k, i, n, r)
+    best = best.select("digest", "doc_id", "n_chars", "rows").toDF(k, i, n, r)
     marked = docs.withColumn(d, digest_of(F.col("text")))
     same = (F.col(d) == F.col(k)) & F.col("doc_id").cast("long").eqNullSafe(F.col(i)) & (F.length(F.coalesce("text", F.lit(""))) == F.col(n))
-    found = marked.join(best.hint("merge"), same)
+    found = marked.join(best.hint("shuffle_hash"), same)
     single = found.where(F.col(r) == 1).select(*docs.columns)
-    repeated = found.where(F.col(r) > 1).groupBy(d).agg(F.first(F.struct(*docs.columns)).alias(k)).select(f"{k}.*")
+    repeated = any_row(found.where(F.col(r) > 1), d).select(*docs.columns)
     return single.unionByName(repeated)
 
 
