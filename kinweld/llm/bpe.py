@@ -5,7 +5,7 @@ sequence of symbols. An index maps the rank of each mergeable pair to all its
 positions; ranks that have positions are taken in ascending order, all
 positions of a rank are merged, and the lists of the pairs to the left and
 right of each merge are updated. The result of a pre-token is kept in a cache
-of the worker; at ``CACHED`` entries only those in use stay.
+of the worker, which is emptied before it holds more than ``CACHE_BYTES``.
 
 Decoding maps ids to their symbols and joins them by spaces, which is what a
 tokenizer file without a decoder asks for.
@@ -35,7 +35,9 @@ from pyspark.sql import functions as F
 
 from kinweld.llm.common import by_document, str_texts, table
 
-CACHED = 400_000
+#: What the cache may hold, in bytes of words, ids and the objects around
+#: them; longer words than ``LONG`` characters never enter it.
+CACHE_BYTES, ENTRY_BYTES, LONG = 64 << 20, 160, 1_000
 #: Symbols are below 2 to this power; the last of them is none and parts words.
 BITS = 24
 END = (1 << BITS) - 1
@@ -95,6 +97,7 @@ class Bpe:
         self.split_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.find = re.compile(PATTERN).findall
         self.cache: dict[str | int, bytes] = {}
+        self.held = 0
 
     def pieces(self, text: str) -> list[str]:
         """Pre-tokens of a text without special strings."""
@@ -170,12 +173,18 @@ class Bpe:
         split = [self.split(t) for t in texts]
         distinct = set(chain.from_iterable(split))
         missing = [w for w in distinct if w not in self.cache]
-        if len(self.cache) + len(missing) > CACHED:
-            self.cache = {w: self.cache[w] for w in distinct if w in self.cache}
         words = [w for w in missing if isinstance(w, str)]
-        self.cache.update((w, array("i", ids).tobytes()) for w, ids in zip(words, self.merge(words), strict=True))
-        self.cache.update((w, array("i", [w]).tobytes()) for w in missing if isinstance(w, int))
-        get = self.cache.__getitem__
+        found = {w: array("i", ids).tobytes() for w, ids in zip(words, self.merge(words), strict=True)}
+        found |= {w: array("i", [w]).tobytes() for w in missing if isinstance(w, int)}
+        short = {w: ids for w, ids in found.items() if isinstance(w, int) or len(w) <= LONG}
+        size = sum(4 * len(w) + len(ids) for w, ids in short.items() if isinstance(w, str)) + ENTRY_BYTES * len(short)
+        known = {w: self.cache[w] for w in distinct if w in self.cache} | found
+        if self.held + size > CACHE_BYTES:
+            self.cache, self.held = {}, 0
+        if size <= CACHE_BYTES:
+            self.cache.update(short)
+            self.held += size
+        get = known.__getitem__
         return [np.frombuffer(b"".join(map(get, s)), np.int32) for s in split]
 
     def decode(self, ids: np.ndarray) -> str:
@@ -193,11 +202,11 @@ def _lists(ids: list[np.ndarray]) -> pa.Array:
 
 
 def apply(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, ids and the text decoded from them."""
-    path = path or default_path()
+    """doc_id, ids and the text decoded from them. Without a path the default
+    file is looked for on each worker."""
 
     def make():
-        bpe = load(path)
+        bpe = load(path or default_path())
 
         def score(batch: pa.RecordBatch) -> dict[str, object]:
             ids = bpe.encode(str_texts(batch))
