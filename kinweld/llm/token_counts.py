@@ -2,17 +2,18 @@
 
 The first tier is a compact table of frequent pre-tokens and their lengths,
 of at most ``FREQUENT`` entries, broadcast to the workers. A pre-token that
-isn't in it is looked up in the worker's own cache, which is emptied at
-``CACHED`` entries; what neither holds is encoded by the library in one batch.
-Both tiers only save time: every length comes from the library. The frequent
-table is filled from at most ``SAMPLE_DOCS`` documents.
-
-Special strings inside a text count as the library counts them: one token
-each. Texts with characters outside the Latin blocks, or with control
-characters on which notions of white space differ, go to the library whole.
-Null and empty texts have no bytes and no tokens. Rows are counted one by
-one; repeated rows get equal counts, an empty table gives an empty one, other
-columns are not read.
+isn't in it is looked up in the worker's own cache, which is emptied before it
+holds more than ``CACHE_BYTES``; what neither holds is encoded by the library in
+one batch. Both tiers only save time: every length comes from the library. The
+frequent table is filled from a sample of ``SAMPLE_DOCS`` documents, about.
+
+Pre-tokens are cut by a pattern where texts keep to the Latin blocks; others
+are cut by the library's own pre-tokenizer, and their pieces go through the
+same two tiers. Special strings inside a text count as the library counts
+them: one token each. Null and empty texts have no bytes and no tokens. Rows
+are counted one by one; repeated rows get equal counts, an empty table gives
+an empty one, other columns are not read. Pre-tokens of more than ``LONG``
+characters, which very long texts without blanks have, are never kept.
 """
 
 from __future__ import annotations
@@ -26,10 +27,12 @@ from functools import cache
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from kinweld.llm.common import by_document, slices, str_texts, table
+from kinweld.llm.common import by_document, released, slices, str_texts, table
 
 FREQUENT = 30_000
-CACHED = 400_000
+#: What the cache may hold, in bytes of pieces and the objects around them;
+#: pieces of more than ``LONG`` characters never enter it.
+CACHE_BYTES, ENTRY_BYTES, LONG = 64 << 20, 160, 100
 SAMPLE_DOCS = 2_000
 LIMIT = 512
 
@@ -74,64 +77,73 @@ class Counts:
     def __init__(self, path: str, frequent: dict[str, int]) -> None:
         self.whole, self.piece, self.special = _load(path)
         self.frequent, self.cache = frequent, _known.setdefault(path, {})
+        self.held = sum(4 * len(w) + ENTRY_BYTES for w in self.cache)
         self.find = re.compile(PATTERN).findall
 
+    def cut(self, text: str) -> list[str]:
+        """Pre-tokens of a text without special strings."""
+        if not UNUSUAL.search(text):
+            return self.find(text)
+        return [text[a:b] for _, (a, b) in self.whole.pre_tokenizer.pre_tokenize_str(text)]
+
     def pieces(self, text: str) -> tuple[list[str], int]:
-        """Pre-tokens of a usual text, and the number of special strings."""
+        """Pre-tokens of a text, and the number of special strings."""
         if self.special and (parts := self.special.split(text))[1:]:
-            return [x for part in parts for x in self.find(part)], len(parts) - 1
-        return self.find(text), 0
-
-    def learn(self, words: set[str]) -> None:
-        missing = [w for w in words if w not in self.frequent and w not in self.cache]
-        if len(self.cache) + len(missing) > CACHED:
-            self.cache.clear()
-            missing = [w for w in words if w not in self.frequent]
+            return [x for part in parts for x in self.cut(part)], len(parts) - 1
+        return self.cut(text), 0
+
+    def lengths(self, words: set[str]) -> dict[str, int]:
+        """Tokens of each of these words, from the tiers or the library."""
+        found = {w: n for w in words if (n := self.frequent.get(w) or self.cache.get(w))}
+        missing = [w for w in words if w not in found]
         for start in range(0, len(missing), 10_000):
             some = missing[start : start + 10_000]
-            self.cache.update((w, len(e.ids)) for w, e in zip(some, self.piece.encode_batch(some, add_special_tokens=False), strict=True))
+            new = {w: len(e.ids) for w, e in zip(some, self.piece.encode_batch(some, add_special_tokens=False), strict=True)}
+            found |= new
+            short = {w: n for w, n in new.items() if len(w) <= LONG}
+            size = sum(4 * len(w) + ENTRY_BYTES for w in short)
+            if self.held + size > CACHE_BYTES:
+                self.cache.clear()
+                self.held = 0
+            self.cache.update(short)
+            self.held += size
+        return found
 
     def count(self, texts: list[str]) -> list[int]:
-        split = [None if UNUSUAL.search(t) else self.pieces(t) for t in texts]
-        self.learn({w for s in split if s for w in s[0]})
-        first, second = self.frequent.get, self.cache.__getitem__
-        out = []
-        for text, s in zip(texts, split, strict=True):
-            if s is None:
-                out.append(len(self.whole.encode(text, add_special_tokens=False).ids))
-            else:
-                out.append(s[1] + sum(first(w) or second(w) for w in s[0]))
-        return out
-
-
-def frequent_lengths(docs: DataFrame, path: str) -> dict[str, int]:
-    """The broadcast tier: the most frequent pre-tokens of a few documents
-    with their lengths, counted on a worker, at most FREQUENT rows returned."""
+        split = [self.pieces(t) for t in texts]
+        get = self.lengths({w for s, _ in split for w in s}).__getitem__
+        return [extra + sum(map(get, s)) for s, extra in split]
+
+
+def frequent_lengths(docs: DataFrame, path: str | None) -> dict[str, int]:
+    """The broadcast tier: the most frequent pre-tokens of a sample of
+    documents with their lengths, counted on a worker, at most FREQUENT rows
+    returned. Only the sample moves, about SAMPLE_DOCS rows and at most twice that."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, seen = Counts(path, {}), Counter()
+        counts, seen = Counts(path or default_path(), {}), Counter()
         for whole in batches:
             for batch in slices(whole):
                 for text in str_texts(batch):
-                    if not UNUSUAL.search(text):
-                        seen.update(counts.pieces(text)[0])
+                    seen.update(w for w in counts.pieces(text)[0] if len(w) <= LONG)
                 for word in [w for w, _ in seen.most_common()[4 * FREQUENT :]]:
                     del seen[word]
         words = [w for w, _ in seen.most_common(FREQUENT)]
-        counts.learn(set(words))
-        yield pa.RecordBatch.from_pydict({"word": pa.array(words, pa.string()), "n": pa.array([counts.cache[w] for w in words], pa.int32())})
+        known = counts.lengths(set(words))
+        yield pa.RecordBatch.from_pydict({"word": pa.array(words, pa.string()), "n": pa.array([known[w] for w in words], pa.int32())})
 
-    few = docs.select("text").limit(SAMPLE_DOCS).coalesce(1).mapInArrow(run, "word string, n int")
+    share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
+    few = docs.select("text").sample(share, 11).limit(2 * SAMPLE_DOCS).mapInArrow(released(run), "word string, n int")
     return {r["word"]: r["n"] for r in few.collect()}
 
 
 def count_tokens(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, n_bytes, n_tokens of every row."""
-    path = path or default_path()
+    """doc_id, n_bytes, n_tokens of every row. Without a path the default file
+    is looked for on each worker."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent_lengths(docs, path))
 
     def make():
-        counts = Counts(path, shared.value)
+        counts = Counts(path or default_path(), shared.value)
 
         def score(batch: pa.RecordBatch) -> dict[str, object]:
             texts = str_texts(batch)
