@@ -101,7 +101,7 @@ def test_bpe_any_text(text):
 
 
 def test_bpe_small_cache(monkeypatch):
-    monkeypatch.setattr(bpe, "CACHED", 5)
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 700)
     own = bpe.Bpe(bpe.default_path())
     texts = ["the quick brown fox jumps", "over the lazy dog again and again", "the fox"]
     assert [x.tolist() for t in texts for x in own.encode([t])] == [own.library.encode(t, add_special_tokens=False).ids for t in texts]
@@ -191,3 +191,93 @@ def test_toxicity(spark):
     odd = toxicity.classify(documents(spark, awkward(), clashing=True), model)
     assert odd.count() == len(awkward()) and all(0 <= r["score"] <= 1 for r in odd.collect())
     assert toxicity.fit(docs, labels_of(spark, [], "toxic"), "toxic") == 0.0
+
+
+def test_language_id_keeps_every_language(spark, monkeypatch):
+    """500 languages of one document each, and a matrix that must shrink."""
+    rng = random.Random(6)
+    names = [f"l{k:03d}" for k in range(500)]
+    texts = {n: " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(12)) for n in names}
+    rows = [(k, texts[n], n) for k, n in enumerate(names)]
+    rows += [(k, t, n) for k, t, n in rows[:50]] * 3
+    model = language_id.fit(documents(spark, rows))
+    assert model.languages == names and model.buckets == language_id.BUCKETS
+    assert model.score([texts[n] for n in names])[0] == names
+    monkeypatch.setattr(language_id, "CELLS", 1 << 20)
+    assert language_id.fit(documents(spark, rows)).buckets == 2048
+
+
+def test_language_id_by_force(spark):
+    """Bayes over the same n-grams, letter by letter."""
+    import math
+
+    learn = [("en", "the cat and the dog"), ("en", "this other thing"), ("de", "der hund und die katze")]
+    docs = documents(spark, [(k, t, n) for k, (n, t) in enumerate(learn)])
+    model = language_id.fit(docs)
+
+    def grams(text):
+        codes = [32, *(ord(c.lower()[0]) if c.isalpha() else 32 for c in text), 32, 32, 32]
+        out = []
+        for order in (1, 2, 3):
+            for i in range(len(codes) - 3):
+                h = 0x811C9DC5 + order
+                for k in range(order):
+                    h = ((h ^ codes[i + k]) * 0x01000193) & 0xFFFFFFFF
+                    h ^= h >> 15
+                out.append(h % language_id.BUCKETS)
+        return out
+
+    count = {n: Counter() for n, _ in learn}
+    for n, t in learn:
+        count[n].update(grams(t))
+    share = {n: sum(m == n for m, _ in learn) + 1 for n in count}
+    for text in ("the dog", "die katze und", "x", "Über this"):
+        logs = {n: math.log(share[n] / sum(share.values())) + sum(math.log((c[g] + 0.5) / (sum(c.values()) + 0.5 * language_id.BUCKETS)) for g in grams(text)) for n, c in count.items()}
+        best = max(sorted(logs), key=logs.get)
+        score = 1 / sum(math.exp(v - logs[best]) for v in logs.values())
+        names, scores = model.score([text])
+        assert names == [best] and scores[0] == pytest.approx(score)
+
+
+def test_quality_last_chunk_has_its_own_band():
+    rng = random.Random(4)
+    judge = quality_rules.Judge()
+    prose = prose_of(rng, 1024).encode()
+    noise = bytes(rng.randrange(33, 127) for _ in range(900))
+    assert judge.chunks_out(prose) == 0.0
+    assert judge.chunks_out(prose + prose_of(rng, 600).encode()) == 0.0
+    assert judge.chunks_out(prose + noise) == pytest.approx(900 / 1924)
+    assert judge.chunks_out(noise) == 1.0 and judge.chunks_out(b"ab " * 250) == 1.0 and judge.chunks_out(b"") == 0.0
+
+
+UNICODE = ["“curly” quotes — and dashes…", "日本語のテキスト です。", "Привет, мир! it's 12", "é x‍ y", "мир " * 400, "　wide　blank <|endoftext|> end", "ab" * 3000]
+
+
+def test_token_counts_look_up_pieces_of_any_script():
+    counts = token_counts.Counts(token_counts.default_path(), {"мир": 99})
+    library = counts.whole
+    fresh = token_counts.Counts(token_counts.default_path(), {})
+    assert fresh.count(UNICODE) == [len(library.encode(t, add_special_tokens=False).ids) for t in UNICODE]
+    assert " Привет" in fresh.cache or "Привет" in fresh.cache
+    assert not any(len(w) > token_counts.LONG for w in fresh.cache)
+
+
+@given(st.text(alphabet=st.characters(codec="utf-8", exclude_categories=["Cs"]), max_size=60))
+@settings(max_examples=200, deadline=None)
+def test_token_counts_any_text(text):
+    counts = token_counts.Counts(token_counts.default_path(), {})
+    assert counts.count([text]) == [len(counts.whole.encode(text, add_special_tokens=False).ids)]
+
+
+def test_token_counts_small_cache(monkeypatch):
+    monkeypatch.setattr(token_counts, "CACHE_BYTES", 900)
+    counts = token_counts.Counts(token_counts.default_path(), {})
+    for text in UNICODE * 2:
+        assert counts.count([text]) == [len(counts.whole.encode(text, add_special_tokens=False).ids)]
+    assert counts.held <= 900 or len(counts.cache) <= 10_000
+
+
+@pytest.mark.parametrize("texts", [UNICODE])
+def test_bpe_any_script(texts):
+    own = bpe.Bpe(bpe.default_path())
+    assert [x.tolist() for x in own.encode(texts)] == [own.library.encode(t, add_special_tokens=False).ids for t in texts]
