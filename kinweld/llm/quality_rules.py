@@ -69,7 +69,7 @@ class Bands:
     chunk_bytes: int = 1024
     chunk: tuple[float, float] = (1.62, 2.0)
     #: As ``whole``, for a last chunk that is shorter; calibrated alike on the
-    #: last chunks of those documents, with a margin of 0.05 to 0.15.
+    #: last chunks of those documents, with a margin of 0.05 to 0.3.
     tail: tuple[tuple[int, float, float], ...] = (
         (1, 0.0, 1.0),
         (16, 0.4, 0.9),
@@ -77,10 +77,10 @@ class Bands:
         (64, 0.72, 1.25),
         (96, 0.82, 1.5),
         (128, 0.95, 1.55),
-        (192, 1.05, 1.65),
-        (256, 1.2, 1.75),
-        (384, 1.3, 1.85),
-        (512, 1.37, 1.95),
+        (192, 1.05, 1.85),
+        (256, 1.2, 1.95),
+        (384, 1.3, 2.0),
+        (512, 1.37, 2.0),
         (768, 1.47, 2.05),
         (1023, 1.55, 2.1),
     )
