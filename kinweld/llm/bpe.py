@@ -38,6 +38,8 @@ from kinweld.llm.common import by_document, str_texts, table
 #: What the cache may hold, in bytes of words, ids and the objects around
 #: them; longer words than ``LONG`` characters never enter it.
 CACHE_BYTES, ENTRY_BYTES, LONG = 64 << 20, 160, 1_000
+#: Bytes of text, and of pre-tokens, that are worked on at once.
+SLICE, LAID_OUT = 2 << 20, 400_000
 #: Symbols are below 2 to this power; the last of them is none and parts words.
 BITS = 24
 END = (1 << BITS) - 1
@@ -115,6 +117,17 @@ class Bpe:
         return [x for k, part in enumerate(parts) for x in ((self.special[part],) if k % 2 else self.pieces(part))]
 
     def merge(self, words: list[str]) -> list[list[int]]:
+        """Ids of each word, as many words at once as LAID_OUT allows."""
+        out, some, size = [], [], 0
+        for word in words:
+            some.append(word)
+            size += len(word)
+            if size >= LAID_OUT:
+                out += self.merge_at_once(some)
+                some, size = [], 0
+        return out + self.merge_at_once(some)
+
+    def merge_at_once(self, words: list[str]) -> list[list[int]]:
         """Ids of each word, all words at once, by the occurrence index."""
         symbol, starts = [END], []
         for word in words:
@@ -214,7 +227,7 @@ def apply(docs: DataFrame, path: str | None = None) -> DataFrame:
 
         return score
 
-    return by_document(docs, make, "ids array<int>, decoded string")
+    return by_document(docs, make, "ids array<int>, decoded string", size=SLICE)
 
 
 def digests(encoded: DataFrame) -> DataFrame:

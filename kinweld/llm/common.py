@@ -114,9 +114,11 @@ def by_document(
     make: Callable[[], Callable[[pa.RecordBatch], dict[str, object]]],
     schema: str,
     keep: tuple[str, ...] = ("doc_id",),
+    size: int = SLICE_BYTES,
 ) -> DataFrame:
     """One row per document: the ``keep`` columns plus what ``make()`` returns
-    for a batch of (keep..., text). ``make`` runs once per task, on the worker.
+    for a batch of (keep..., text) with about ``size`` bytes of text. ``make``
+    runs once per task, on the worker.
     """
     narrow = docs.select(*keep, "text")
     held = [narrow.schema[c] for c in keep]
@@ -126,7 +128,7 @@ def by_document(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = make()
         for whole in batches:
-            for batch in slices(whole):
+            for batch in slices(whole, size=size):
                 found = score(batch)
                 columns = [batch.column(batch.schema.get_field_index(c)) for c in keep]
                 columns += [v if isinstance(v, pa.Array) else pa.array(v) for v in (found[n] for n in names[len(keep) :])]

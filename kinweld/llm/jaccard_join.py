@@ -69,7 +69,7 @@ WORDS = 5
 #: Link where PERCENT[1] * intersection >= PERCENT[0] * union.
 PERCENT = (75, 100)
 #: Bytes of text that are hashed at once.
-SLICE = 2 << 20
+SLICE = 1 << 20
 #: Sets of a star that are compared in one block.
 BLOCK_SETS = 1_000
 #: Shingles of those sets, about.
