@@ -79,12 +79,10 @@ def targets(sources: DataFrame) -> DataFrame:
     s = s.withColumn("weight", F.col("nth") % 3 + 1).withColumn("cap", F.col("source_size") * MOST)
     s = written(running(s, [F.col("cap") / F.col("weight"), F.col("nth")], {"cap_before": "cap", "weight_before": "weight"}))
     big = lambda c: c.cast("decimal(38,0)")
-    whole = s.agg(F.sum("source_size").alias("total"), F.sum("weight").alias("weights"))
-    s = s.crossJoin(F.broadcast(whole))  # one row
-    s = s.withColumn("free", big(F.col("total") - F.col("cap_before")) * big(F.col("weight")) <= big(F.col("cap")) * big(F.col("weights") - F.col("weight_before")))
-    first = s.where("free").agg(F.min("cap_before").alias("left"), F.min("weight_before").alias("used"))
-    s = s.crossJoin(F.broadcast(first))  # one row
-    share = (F.col("total") - F.col("left")).cast("double") * F.col("weight").cast("double") / (F.col("weights") - F.col("used")).cast("double")
+    total, weights = map(F.lit, s.agg(F.sum("source_size"), F.sum("weight")).first())
+    s = s.withColumn("free", big(total - F.col("cap_before")) * big(F.col("weight")) <= big(F.col("cap")) * big(weights - F.col("weight_before")))
+    left, used = map(F.lit, s.where("free").agg(F.min("cap_before"), F.min("weight_before")).first())
+    share = (total - left).cast("double") * F.col("weight").cast("double") / (weights - used).cast("double")
     ramp = F.element_at(F.array(*map(F.lit, RAMPS)), F.col("weight").cast("int"))
     return s.select("source", "source_size", "weight", ramp.alias("ramp"), F.when(F.col("free"), share).otherwise(F.col("cap").cast("double")).alias("target"))
 

@@ -38,6 +38,9 @@ def labelled(labels: DataFrame, label: str, most: int, classes: tuple[int, ...]
 
 def texts_of(docs: DataFrame, sample: DataFrame, columns: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
     """The sampled documents, in one partition: the list is short enough to
-    broadcast, and what one task then learns from is bounded by it."""
+    broadcast, and what one task then learns from is bounded by it. Of rows
+    that repeat an id one counts, chosen by a hash of the row."""
     narrow = docs.select(*columns).join(F.broadcast(sample), "doc_id")
-    return narrow.coalesce(1) if narrow.rdd.getNumPartitions() <= 8 else narrow.repartition(1)
+    rows = F.struct(*[c for c in narrow.columns if c != "doc_id"])
+    single = narrow.groupBy("doc_id").agg(F.min_by(rows, F.xxhash64(*[c for c in narrow.columns if c != "doc_id"])).alias("row"))
+    return single.select("doc_id", "row.*").select(narrow.columns).repartition(1)
