@@ -161,8 +161,8 @@ def date_texts(items: Column) -> Column:
 
 
 def map_records(records: DataFrame, countries: dict[str, str], region: str = "US") -> DataFrame:
-    """Profiles of ``records``. Those with a broken link have valid = false:
-    callers drop them once the profiles are written, since a filter here would
+    """Profiles of ``records``. Those with a broken link have valid = false and
+    say so in ``reason``: callers drop them once the profiles are written, since a filter here would
     be pushed below, and so repeat, the lookups it rests on."""
     f = F.col("fields")
     folded = records.withColumn("_entries", folded_entries(f))
@@ -191,11 +191,13 @@ def map_records(records: DataFrame, countries: dict[str, str], region: str = "US
         plain = F.transform(texts_, N.plain_date)
         hard = F.exists(texts_, lambda t: t.isNotNull() & N.plain_date(t).isNull())
         r = r.withColumn(f"{k}_dates", F.coalesce(N.date_list(F.when(hard, texts_)), plain)).withColumn(k, F.expr(with_dates(k, k)))
-    return r.select("source", "source_id", "file_ord", "row_ord", "tmp_id", "full_name", "emails", "phones", "location", "links", "headline", "years_experience", "skills", "experience", "education", evidence().alias("evidence"), (~_broken()).alias("valid"))
+    return r.select("source", "source_id", "file_ord", "row_ord", "tmp_id", "full_name", "emails", "phones", "location", "links", "headline", "years_experience", "skills", "experience", "education", evidence().alias("evidence"), _broken().isNull().alias("valid"), _broken().alias("reason"))
 
 
 def _broken() -> Column:
-    return F.coalesce(N.broken_url(text_of(F.col("h_linkedin.value"))) | N.broken_url(text_of(F.col("h_github.value"))) | N.broken_url(text_of(F.col("h_portfolio.value"))), F.lit(False))
+    """Why a record can't be mapped: the links that can't be parsed, or null."""
+    kinds = [F.when(N.broken_url(text_of(F.col(f"h_{k}.value"))), F.lit(f"invalid {k} link")) for k in ("linkedin", "github", "portfolio")]
+    return F.nullif(F.concat_ws("; ", *kinds), F.lit(""))
 
 
 def evidence() -> Column:

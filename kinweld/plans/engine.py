@@ -37,6 +37,28 @@ class Loaded:
     records: DataFrame
     bad_files: DataFrame
 
+    def counts(self) -> DataFrame:
+        """Number of records of each file: source, file_ord, n."""
+        return self.records.groupBy("source", "file_ord").agg(F.count(F.lit(1)).alias("n"))
+
+
+#: Rejected inputs that are named in the log; tables have all of them.
+SHOWN = 20
+
+
+def _report(what: str, rejected: DataFrame, name: str) -> None:
+    number = rejected.count()
+    for row in rejected.orderBy(name).limit(SHOWN).collect() if number else ():
+        log.warning("%s skipped: %s: %s", what, row[name], row["error"])
+    if number > SHOWN:
+        log.warning("%d %ss skipped in all", number, what)
+
+
+def fan_in(read: list[tuple[DataFrame, DataFrame]]) -> tuple[DataFrame, DataFrame]:
+    """Records and bad files of several readers, numbered in their order."""
+    records = [r.withColumn("file_ord", F.col("file_ord") + kind * (1 << 24)) for kind, (r, _) in enumerate(read)]
+    return reduce(DataFrame.unionByName, records), reduce(DataFrame.unionByName, [b for _, b in read])
+
 
 class Engine:
     """Settings and the steps, each usable by itself."""
@@ -48,21 +70,23 @@ class Engine:
 
     def load(self, csv: Iterable[str] = (), resumes: Iterable[str] = (), ats: Iterable[str] = ()) -> Loaded:
         """Records of all files, in the order CSV, resumes, ATS. Files that
-        can't be used are reported, not fatal."""
-        frames, bad = [], []
-        for kind, (read, paths) in enumerate(((read_csv, csv), (read_resumes, resumes), (read_ats, ats))):
+        can't be used are reported, not fatal: ``bad_files`` has all of them."""
+        read, missing = [], []
+        for reader, paths in ((read_csv, csv), (read_resumes, resumes), (read_ats, ats)):
             there, gone = existing(self.spark, list(paths))
-            bad.append(self.spark.createDataFrame(gone, "path string, error string"))
+            missing += gone
             if there:
-                records, failed = read(self.spark, there)
-                frames.append(records.withColumn("file_ord", F.col("file_ord") + kind * (1 << 24)))
-                bad.append(failed)
-        bad_files = materialized(reduce(DataFrame.unionByName, bad))
-        for row in bad_files.limit(100).collect():
-            log.warning("input skipped: %s: %s", row["path"], row["error"])
-        if not frames:
-            raise PipelineError("No candidate records could be loaded from the inputs")
-        return Loaded(materialized(reduce(DataFrame.unionByName, frames)), bad_files)
+                read.append(reader(self.spark, there))
+        absent = self.spark.createDataFrame(missing, "path string, error string")
+        records, bad = fan_in(read) if read else (None, absent.limit(0))
+        bad_files = materialized(absent.unionByName(bad))
+        _report("input", bad_files, "path")
+        if records is None:
+            raise PipelineError("none of the inputs could be read")
+        loaded = Loaded(materialized(records), bad_files)
+        for row in loaded.counts().orderBy("source", "file_ord").limit(SHOWN).collect():
+            log.info("%d %s records from file %d", row["n"], row["source"], row["file_ord"] % (1 << 24) + 1)
+        return loaded
 
     def mapped(self, records: DataFrame) -> DataFrame:
         """Mapped profiles of written records with an id, written once."""
@@ -70,11 +94,12 @@ class Engine:
         return materialized(mapped.withColumn("id", F.monotonically_increasing_id()))
 
     def profiles_of(self, records: DataFrame) -> DataFrame:
-        """Valid profiles; records that can't be mapped are reported."""
+        """Valid profiles. ``rejected`` keeps the records that can't be mapped,
+        with the reason."""
         mapped = self.mapped(records)
-        for row in mapped.where("NOT valid").select("source", "source_id").limit(100).collect():
-            log.warning("record skipped: %s %s: invalid link", row["source"], row["source_id"])
-        return mapped.where("valid").drop("valid")
+        self.rejected = mapped.where("NOT valid").select("source", "source_id", F.col("reason").alias("error"))
+        _report("record", self.rejected, "source_id")
+        return mapped.where("valid").drop("valid", "reason")
 
     def fuse(self, profiles: DataFrame) -> DataFrame:
         """Canonical profiles, one per person."""
@@ -88,11 +113,12 @@ class Engine:
         config = config or ProjectionConfig()
         loaded = self.load(csv, resumes, ats)
         if loaded.records.isEmpty():
-            raise PipelineError("No candidate records could be loaded from the inputs")
+            raise PipelineError("the inputs hold no record")
         profiles = self.profiles_of(loaded.records)
         if profiles.isEmpty():
-            raise PipelineError("All records failed mapping")
+            raise PipelineError("no record could be mapped")
         people = materialized(self.fuse(profiles))
+        log.info("%d records make %d profiles", loaded.records.count(), people.count())
         validate_canonical(people)
         if config.apply_normalization:
             people = renormalized(people, self.countries, self.region)

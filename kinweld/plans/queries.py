@@ -24,8 +24,8 @@ from kinweld.operators import scoring as C
 from kinweld.operators.components import components
 from kinweld.operators.projection import ProjectionConfig, json_rows, project
 from kinweld.operators.validation import rules, violations
-from kinweld.plans.engine import Engine
-from kinweld.sources.records import explode_json, from_resume_texts
+from kinweld.plans.engine import Engine, fan_in
+from kinweld.sources.records import csv_records, explode_json, from_resume_texts
 from kinweld.sources.storage import materialized
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -199,9 +199,13 @@ def json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select(F.col("file_ord").cast("bigint").alias("event_id"), "source_id", F.expr("CAST(try_element_at(fields, 'k') AS bigint)").alias("k"))
 
 
-@query(PEOPLE_SQL + " SELECT source, count(*) AS n, count(email) AS emails, count(phone) AS phones, count(link) AS links FROM people GROUP BY source")
+@query("SELECT 'ats' AS source, count(*) AS n, CAST(1 AS INT) AS f, CAST(0 AS BIGINT) AS file_ord FROM supplier UNION ALL SELECT 'csv', count(*), 0, 0 FROM customer")
 def union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return people(spark, sf_dir).groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.count("email").alias("emails"), F.count("phone").alias("phones"), F.count("link").alias("links"))
+    """Records of several readers in one table, in the order of the inputs."""
+    c = table(spark, sf_dir, "customer").select(F.lit(0).alias("file_ord"), F.concat(F.lit("/in/c"), F.col("c_custkey").cast("string")).alias("path"), F.concat(F.lit("name\n"), F.col("c_name"), F.lit("\n")).alias("text"))
+    s = table(spark, sf_dir, "supplier").select(F.concat(F.lit("/in/s"), F.col("s_suppkey").cast("string")).alias("path"), F.lit(0).alias("file_ord"), F.to_json(F.struct(F.col("s_name").alias("name"))).alias("text"))
+    records, _ = fan_in([csv_records(c), explode_json(s)])
+    return records.groupBy("source", "file_ord").agg(F.count(F.lit(1)).alias("n")).select("source", "n", F.floor(F.col("file_ord") / (1 << 24)).cast("int").alias("f"), (F.col("file_ord") % (1 << 24)).cast("bigint").alias("file_ord"))
 
 
 @query(r"""
@@ -231,12 +235,48 @@ def resume_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", X.emails_of(F.col("text")).alias("es")).where(F.size("es") > 0).select("doc_id", joined("es").alias("emails"))
 
 
-@query()
+@query(r"""
+SELECT doc_id, array_to_string(ps, '|') AS found FROM (SELECT doc_id, regexp_extract_all(text, '(?:^|[^\pL\pN_])(\+?\d[\d().\-\s]{7,}\d)', 1) AS ps FROM documents) WHERE len(ps) > 0
+""")
 def resume_phones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Phone-like texts and those of them that are valid; looking behind a
-    match, which the other engine's patterns can't."""
-    found = table(spark, sf_dir, "documents").select("doc_id", X.phones_of(F.col("text")).alias("ps")).where(F.size("ps") > 0)
-    return found.select("doc_id", joined("ps").alias("found"), F.array_join(N.unique(F.col("ps"), N.phone), "|").alias("phones"))
+    """Phone-like texts. The other engine can't look behind a match, so its
+    pattern takes the character before along, which no match ends with."""
+    return table(spark, sf_dir, "documents").select("doc_id", X.phones_of(F.col("text")).alias("ps")).where(F.size("ps") > 0).select("doc_id", joined("ps").alias("found"))
+
+
+@query("SELECT p_partkey, 'www.linkedin.com/in/b.' || p_partkey || '/' AS linkedin, CASE WHEN p_partkey % 2 = 0 THEN 'https://github.com/g' || p_partkey END AS github FROM part")
+def resume_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last link of each kind."""
+    k = F.col("p_partkey").cast("string")
+    text = F.concat(F.lit("linkedin.com/in/a"), k, F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit(" github.com/old https://github.com/g"), k)).otherwise(" "), F.lit(" then (www.linkedin.com/in/b."), k, F.lit("/ end)"))
+    return table(spark, sf_dir, "part").select("p_partkey", X.last_link(text, True).alias("linkedin"), X.last_link(text, False).alias("github"))
+
+
+@query("""
+SELECT p_partkey, 'r' || p_partkey || '.txt' AS source_id, 'nothing here' AS full_name, 'education=section_heuristic,experience=section_heuristic,full_name=header_heuristic,headline=section_heuristic,skills=section_heuristic' AS methods FROM part WHERE p_partkey % 5 > 0
+""")
+def resume_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of text resumes with how each field was found; texts without
+    a line that isn't blank give none."""
+    k = F.col("p_partkey")
+    texts = table(spark, sf_dir, "part").select(F.concat(F.lit("r"), k.cast("string"), F.lit(".txt")).alias("source_id"), F.when(k % 5 > 0, _resume_text()).otherwise(" \n\t ").alias("text"), F.lit(0).alias("file_ord"), k.alias("row_ord"))
+    methods = F.array_join(F.array_sort(F.transform(F.map_entries("methods"), lambda e: F.concat_ws("=", e["key"], e["value"]))), ",")
+    return from_resume_texts(texts).select(F.col("row_ord").alias("p_partkey"), "source_id", F.expr("CAST(try_element_at(fields, 'full_name') AS string)").alias("full_name"), methods.alias("methods"))
+
+
+@query("""
+SELECT CAST(c_custkey AS BIGINT) AS c_custkey, 'f' || c_custkey || '.csv:' || n AS source_id, CASE n WHEN 2 THEN c_name ELSE 'x"y' END AS name, CASE n WHEN 2 THEN 'a, b' END AS note, CASE n WHEN 3 THEN 'two' || chr(10) || 'lines' END AS again
+FROM customer, (SELECT unnest([2, 3]) AS n) WHERE c_custkey % 7 > 0
+""")
+def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of CSV texts: quotes, blank cells, repeated names of columns;
+    a row longer than the header spoils its file."""
+    k = F.col("c_custkey").cast("string")
+    text = F.concat(F.lit(" name ,note,note\n"), F.col("c_name"), F.lit(',"a, b", \n\n"x""y",,"two\nlines"\n'), F.when(F.col("c_custkey") % 7 == 0, "1,2,3,4\n").otherwise(""))
+    files = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("int").alias("file_ord"), F.concat(F.lit("/in/f"), k, F.lit(".csv")).alias("path"), text.alias("text"))
+    records, _ = csv_records(files)
+    cell = lambda c: F.expr(f"CAST(try_element_at(fields, '{c}') AS string)")
+    return records.select(F.col("file_ord").cast("bigint").alias("c_custkey"), "source_id", cell("name").alias("name"), cell("note").alias("note"), cell("note.1").alias("again"))
 
 
 def _resume_text() -> Column:
@@ -337,22 +377,31 @@ def provenance_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- matching ------------------------------------------------------------------
 
-PAIRS_SQL = " SELECT a.id AS a, b.id AS b FROM people a JOIN people b ON a.{c} = b.{c} AND a.id < b.id"
+STARS_SQL = " SELECT * FROM (SELECT min(id) OVER (PARTITION BY {c}) AS a, id AS b FROM people WHERE {c} IS NOT NULL) WHERE a <> b"
 
 
-@query(PEOPLE_SQL + PAIRS_SQL.format(c="email"))
+@query(PEOPLE_SQL + STARS_SQL.format(c="email"))
 def match_email(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return J.identifier_pairs(J.keys_of(people(spark, sf_dir)), "emails")
+    """Each profile and the smallest one with the same email; as the engine
+    ties them, one row a profile and not one a pair."""
+    return J.identifier_edges(J.keys_of(people(spark, sf_dir)), "emails")
 
 
-@query(PEOPLE_SQL + PAIRS_SQL.format(c="phone"))
+@query(PEOPLE_SQL + STARS_SQL.format(c="phone"))
 def match_phone(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return J.identifier_pairs(J.keys_of(people(spark, sf_dir)), "phones")
+    return J.identifier_edges(J.keys_of(people(spark, sf_dir)), "phones")
+
 
+def _both_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """People whose link is of one kind or the other, by id."""
+    own = F.struct(F.when(F.col("id") % 2 == 0, F.col("link")).alias("linkedin"), F.lit(None).cast("string").alias("github"), F.when(F.col("id") % 2 == 1, F.col("link")).alias("portfolio"))
+    return people(spark, sf_dir).withColumn("links", own)
 
-@query(PEOPLE_SQL + PAIRS_SQL.format(c="link"))
+
+@query(PEOPLE_SQL + STARS_SQL.format(c="link"))
 def match_link(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return J.identifier_pairs(J.keys_of(people(spark, sf_dir)), "links")
+    """Links are equal across kinds of link."""
+    return J.identifier_edges(J.keys_of(_both_kinds(spark, sf_dir)), "links")
 
 
 @query(PEOPLE_SQL + " SELECT id, CAST((email IS NOT NULL)::INT + 2 * (phone IS NOT NULL)::INT + 4 * (link IS NOT NULL)::INT AS INT) AS mask FROM people")
@@ -370,32 +419,36 @@ LCS_SQL = """list_last(list_reduce(list_prepend(list_transform(range(0, length(y
     lambda out, j: list_append(out, CASE WHEN substr(x.name, i[1], 1) = substr(y.name, j[1], 1) THEN row[j[1]] + 1 ELSE greatest(out[j[1]], row[j[1] + 1]) END))))"""
 
 
+#: Pairs that may reach 90: insertions and deletions are never fewer than
+#: edits with substitutions, which the other engine counts itself.
+NEAR_SQL = "10 * levenshtein(x.name, y.name) <= length(x.name) + length(y.name)"
+
+
 @query(NAMES_SQL + f""",
-kept AS (SELECT DISTINCT name FROM names WHERE length(name) <= 20 ORDER BY name),
-lcs AS (SELECT x.name AS a, y.name AS b, length(x.name) + length(y.name) AS total, {LCS_SQL} AS l FROM kept x JOIN kept y ON x.name < y.name AND 10 * least(length(x.name), length(y.name)) >= 8 * greatest(length(x.name), length(y.name)) AND right(x.name, 3) = right(y.name, 3))
+kept AS (SELECT DISTINCT name FROM names),
+lcs AS (SELECT x.name AS a, y.name AS b, length(x.name) + length(y.name) AS total, {LCS_SQL} AS l FROM kept x JOIN kept y ON x.name < y.name AND {NEAR_SQL})
 SELECT a AS name, b AS name2, CAST(l AS BIGINT) AS lcs FROM lcs WHERE 200.0 * l / total >= 90
 """)
 def name_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Those of name_ratio_all that its SQL compares: of 20 characters at most
-    that end alike."""
-    short = (F.length("name") <= 20) & (F.length("name2") <= 20)
-    return name_ratio_all(spark, sf_dir).where(short & (F.right("name", F.lit(3)) == F.right("name2", F.lit(3))))
-
-
-@query()
-def name_ratio_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pairs of distinct names whose ratio reaches 90, whatever their
-    identifiers. Its SQL, a recurrence over every pair, would take too long."""
+    identifiers."""
     names = materialized(J.keys_of(people(spark, sf_dir)).where("name IS NOT NULL").select("name", F.lit(0).alias("mask")).distinct())
     pairs = J.similar_names(names, 90.0).select(F.least("name", "name2").alias("name"), F.greatest("name", "name2").alias("name2"))
     return pairs.withColumn("lcs", F.round(indel_ratio("name", "name2") * (F.length("name") + F.length("name2")) / 200).cast("bigint"))
 
 
-@query()
+@query(NAMES_SQL + f""",
+may AS (SELECT x.name AS xn, x.mask AS xm, y.name AS yn, y.mask AS ym FROM names x JOIN names y ON (x.mask & y.mask) = 0 AND (x.name < y.name OR (x.name = y.name AND x.mask < y.mask)) AND {NEAR_SQL}),
+lcs AS (SELECT x.name AS a, y.name AS b, {LCS_SQL} AS l FROM (SELECT DISTINCT xn AS name, yn FROM may) x JOIN (SELECT DISTINCT yn AS name, xn FROM may) y ON x.yn = y.name AND y.xn = x.name)
+SELECT xn AS name, CAST(xm AS INT) AS mask, yn AS name2, CAST(ym AS INT) AS mask2 FROM may JOIN lcs ON xn = a AND yn = b WHERE 200.0 * l / (length(a) + length(b)) >= 90
+""")
 def match_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Similar names of profiles without a kind of identifier in common."""
     names = materialized(J.keys_of(people(spark, sf_dir)).select("name", "mask").distinct())
-    return J.similar_names(names, 90.0)
+    found = J.similar_names(names, 90.0)
+    first = F.struct("name", "mask") < F.struct(F.col("name2").alias("name"), F.col("mask2").alias("mask"))
+    side = lambda c, d: F.when(first, F.col(c)).otherwise(F.col(d))
+    return found.select(side("name", "name2").alias("name"), side("mask", "mask2").alias("mask"), side("name2", "name").alias("name2"), side("mask2", "mask").alias("mask2"))
 
 
 EDGES_SQL = PEOPLE_SQL + """,

@@ -27,11 +27,30 @@ def basename(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]+)/*\z", 1)
 
 
+def listed(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(file_ord, path, found) of the paths in order; found is the path as
+    readers report it."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    rows = []
+    for k, p in enumerate(map(str, paths)):
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+        rows.append((k, p, at.getFileSystem(conf).makeQualified(at).toString()))
+    return spark.createDataFrame(rows, "file_ord int, path string, found string")
+
+
+def _contents(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(file_ord, path, content) of existing files: one scan for all of them,
+    one row each, so the plan doesn't grow with their number."""
+    plain = F.regexp_replace("found", "^([a-z0-9]+:)/+", "$1/")
+    names = listed(spark, paths).select("file_ord", F.col("path").alias("own"), plain.alias("found"))
+    rows = spark.read.format("binaryFile").load(sorted(set(map(str, paths)))).select(F.regexp_replace("path", "^([a-z0-9]+:)/+", "$1/").alias("at"), "content")
+    return rows.join(F.broadcast(names), F.col("at") == F.col("found")).select("file_ord", F.col("own").alias("path"), "content")
+
+
 def _files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """(path, file_ord, text) of existing files; whole files, one row each,
-    so many files are read in parallel. Bytes that aren't UTF-8 give null."""
-    frames = [spark.read.format("binaryFile").load(str(p)).select(F.lit(k).alias("file_ord"), F.lit(str(p)).alias("path"), F.expr("try_validate_utf8(CAST(content AS STRING))").alias("text")) for k, p in enumerate(paths)]
-    return reduce(DataFrame.unionByName, frames)
+    """(file_ord, path, text) of existing files. Bytes that aren't UTF-8 give
+    null."""
+    return _contents(spark, paths).select("file_ord", "path", F.expr("try_validate_utf8(CAST(content AS STRING))").alias("text"))
 
 
 def existing(spark: SparkSession, paths: Sequence[str]) -> tuple[list[str], list[tuple[str, str]]]:
@@ -70,9 +89,9 @@ def parse_csv(text: str) -> tuple[list[dict[str, str]], str | None]:
     return out, None
 
 
-def read_csv(spark: SparkSession, paths: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Records and bad files of CSV files. A row's id is the file's name and
-    the number that the row has when the header is row 1."""
+def csv_records(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Records and bad files of (file_ord, path, text) with CSV texts. A row's
+    id is the file's name and the number that the row has when the header is row 1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -84,12 +103,16 @@ def read_csv(spark: SparkSession, paths: Sequence[str]) -> tuple[DataFrame, Data
                 found = rows or [None]
                 yield pa.RecordBatch.from_pydict({"file_ord": pa.array([ordinal] * len(found), pa.int32()), "path": pa.array([path] * len(found)), "row_ord": pa.array(range(len(found)), pa.int64()), "cells": pa.array([None if r is None else list(r.items()) for r in found], pa.map_(pa.string(), pa.string())), "error": pa.array([error] * len(found), pa.string())})
 
-    parsed = _files(spark, paths).mapInArrow(run, "file_ord int, path string, row_ord bigint, cells map<string,string>, error string")
+    parsed = files.select("file_ord", "path", "text").mapInArrow(run, "file_ord int, path string, row_ord bigint, cells map<string,string>, error string")
     good = parsed.where("error IS NULL AND cells IS NOT NULL")
     records = good.select(F.lit("csv").alias("source"), F.concat(basename(F.col("path")), F.lit(":"), F.col("row_ord") + 2).alias("source_id"), F.expr("transform_values(cells, (k, v) -> CAST(v AS variant))").alias("fields"), F.expr("transform_values(cells, (k, v) -> 'structured_column')").alias("methods"), "file_ord", "row_ord")
     return records, parsed.where("error IS NOT NULL").select("path", "error").distinct()
 
 
+def read_csv(spark: SparkSession, paths: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    return csv_records(_files(spark, paths))
+
+
 def scan_table_csv(spark: SparkSession, path: str) -> DataFrame:
     """Records of one large, well-formed CSV file or folder, read in splits.
     Ids count rows in file order, as far as the reader's splits keep it."""
@@ -109,7 +132,7 @@ def truthy(v: str) -> str:
 
 
 def _has_key(v: str, key: str) -> str:
-    return f"({is_kind(v, 'OBJECT')} AND map_contains_key(CAST({v} AS map<string,variant>), '{key}'))"
+    return f"({is_kind(v, 'OBJECT')} AND coalesce(map_contains_key(try_variant_get({v}, '$', 'map<string,variant>'), '{key}'), false))"
 
 
 def explode_json(files: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -121,11 +144,11 @@ def explode_json(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     root = files.withColumn("v", F.expr("try_parse_json(text)"))
     inner = f"CASE WHEN {_has_key('v', 'candidates')} THEN variant_get(v, '$.candidates') WHEN {_has_key('v', 'results')} THEN variant_get(v, '$.results') ELSE v END"
     root = root.withColumn("inner", F.expr(inner))
-    items = f"CASE WHEN {is_kind('inner', 'ARRAY')} THEN CAST(inner AS array<variant>) WHEN {is_kind('inner', 'OBJECT')} THEN array(inner) END"
+    items = f"CASE WHEN {is_kind('inner', 'ARRAY')} THEN try_variant_get(inner, '$', 'array<variant>') WHEN {is_kind('inner', 'OBJECT')} THEN array(inner) END"
     root = root.withColumn("items", F.expr(items))
     root = root.withColumn("error", F.expr(f"CASE WHEN v IS NULL THEN 'not JSON' WHEN items IS NULL OR exists(items, x -> NOT {is_kind('x', 'OBJECT')}) THEN 'items must be objects' END"))
     good = root.where("error IS NULL").select("path", "file_ord", F.posexplode("items").alias("row_ord", "item"))
-    good = good.withColumn("row_ord", F.col("row_ord").cast("bigint")).withColumn("fields", F.expr("CAST(item AS map<string,variant>)"))
+    good = good.withColumn("row_ord", F.col("row_ord").cast("bigint")).withColumn("fields", F.expr("try_variant_get(item, '$', 'map<string,variant>')"))
     pick = lambda k: f"CASE WHEN {truthy(f'try_element_at(fields, {chr(39)}{k}{chr(39)})')} THEN CAST(try_element_at(fields, '{k}') AS string) END"
     own = F.concat(basename(F.col("path")), F.lit(":"), F.col("row_ord") + 1)
     records = good.select(F.lit("ats").alias("source"), F.coalesce(F.expr(pick("id")), F.expr(pick("candidate_id")), own).alias("source_id"), "fields", F.expr("transform_values(fields, (k, v) -> 'structured_json')").alias("methods"), "file_ord", "row_ord")
@@ -169,7 +192,7 @@ def have_pdf() -> bool:
 
 def read_resumes(spark: SparkSession, paths: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Records and bad files of .txt and .pdf resumes, by suffix in any case."""
-    order = {str(p): k for k, p in enumerate(paths)}
+    order = [str(p) for p in paths]
     text = [p for p in order if p.lower().endswith(".txt")]
     pdf = [p for p in order if p.lower().endswith(".pdf")]
     bad = [(p, "resume must be a .txt or .pdf file") for p in order if p not in text and p not in pdf]
@@ -177,15 +200,14 @@ def read_resumes(spark: SparkSession, paths: Sequence[str]) -> tuple[DataFrame,
     if text:
         frames.append(_files(spark, text))
     if pdf and have_pdf():
-        for p in pdf:
-            frames.append(spark.read.format("binaryFile").load(p).select(F.lit(0).alias("file_ord"), F.lit(p).alias("path"), pdf_text("content").alias("text")))
+        frames.append(_contents(spark, pdf).select("file_ord", "path", pdf_text("content").alias("text")))
     else:
         bad += [(p, "no PDF library") for p in pdf]
     failed = spark.createDataFrame(bad, "path string, error string")
     if not frames:
         return spark.createDataFrame([], RECORD.replace("variant", "string")).selectExpr("source", "source_id", "transform_values(fields, (k, v) -> CAST(v AS variant)) fields", "methods", "file_ord", "row_ord"), failed
-    ordinal = F.create_map(*[F.lit(x) for p, k in order.items() for x in (p, k)])
-    files = reduce(DataFrame.unionByName, frames).withColumn("file_ord", ordinal[F.col("path")])
+    places = spark.createDataFrame(list(enumerate(order)), "place int, named string")
+    files = reduce(DataFrame.unionByName, frames).join(F.broadcast(places), F.col("path") == F.col("named")).select("path", "text", F.col("place").alias("file_ord")).distinct()
     empty = files.where(F.col("text").isNull() | ~F.col("text").rlike(r"(?U)[^\s\x1c-\x1f]"))
     failed = failed.unionByName(empty.select("path", F.lit("no extractable text").alias("error")))
     texts = files.where("text IS NOT NULL").select(basename(F.col("path")).alias("source_id"), "text", "file_ord", F.lit(0).cast("bigint").alias("row_ord"))

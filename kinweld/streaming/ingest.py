@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from kinweld.operators.mapping import map_records
 from kinweld.plans.engine import Engine
 from kinweld.sources.records import explode_json
+from kinweld.sources.storage import materialized
 
 
 def profile_stream(spark: SparkSession, folder: str, engine: Engine) -> DataFrame:
@@ -31,6 +32,7 @@ def ingest(spark: SparkSession, folder: str, table: str, checkpoint: str, engine
 
 
 def people(spark: SparkSession, table: str, engine: Engine) -> DataFrame:
-    """Canonical profiles of all that has been ingested."""
-    profiles = spark.read.parquet(table).where("valid").drop("valid").withColumn("id", F.monotonically_increasing_id())
-    return engine.fuse(profiles)
+    """Canonical profiles of all that has been ingested. Profiles are written
+    once with their ids, so files that arrive meanwhile don't shift them."""
+    profiles = materialized(spark.read.parquet(table).withColumn("id", F.monotonically_increasing_id()))
+    return engine.fuse(profiles.where("valid").drop("valid", "reason"))
