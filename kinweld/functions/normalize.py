@@ -21,8 +21,9 @@ from kinweld.functions.tables import COUNTRY_ALIASES, COUNTRY_NAMES, NANP, NUMBE
 WHITE = r"(?U)[\s\x1c-\x1f]"
 # Fixed value: the address pattern.
 EMAIL = r"(?i)^[A-Z0-9.!#$%&'*+/=?^_`{|}~-]+@[A-Z0-9](?:[A-Z0-9-]{0,61}[A-Z0-9])?(?:\.[A-Z0-9](?:[A-Z0-9-]{0,61}[A-Z0-9])?)+\z"
-# What full case folding expands beyond lower case.
-FOLDS = {"ß": "ss", "ς": "σ", "ŉ": "ʼn", "ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st", "ſ": "s"}
+#: What full case folding makes of a lower-case character, where that differs,
+#: by the tables of the runtime.
+FOLDS = {c: c.casefold() for c in map(chr, range(0x80, 0x1F000)) if c.casefold() != c and c.lower() == c}
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -36,15 +37,16 @@ def strip(c: Column) -> Column:
 
 
 def casefold(c: Column) -> Column:
-    """Lower case and the expansions of full case folding."""
+    """Lower case and what full case folding does beyond it; texts without
+    such a character pay for one pattern."""
+    single = {a: b for a, b in FOLDS.items() if len(b) == 1}
+    longer = F.split(F.lit("|".join(a + b for a, b in FOLDS.items() if len(b) > 1)), r"\|")
 
-    def expanded(low: Column) -> Column:
-        out = low
-        for a, b in FOLDS.items():
-            out = F.replace(out, F.lit(a), F.lit(b))
-        return F.when(low.rlike("[" + "".join(FOLDS) + "]"), out).otherwise(low)
+    def folded(low: Column) -> Column:
+        moved = F.translate(low, "".join(single), "".join(single.values()))
+        return F.when(low.rlike("[" + "".join(FOLDS) + "]"), F.aggregate(longer, moved, lambda acc, p: F.replace(acc, F.left(p, F.lit(1)), F.substring(p, 2, 9)))).otherwise(low)
 
-    return let(F.lower(c), expanded)
+    return let(F.lower(c), folded)
 
 
 def collapse(c: Column) -> Column:

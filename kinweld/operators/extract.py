@@ -54,17 +54,21 @@ def heading(line: Column) -> Column:
 
 def sections_of(lines: Column) -> Column:
     """(section, line) of every line under a heading, in order. A heading
-    has a null line, so sections without lines are known too."""
-    start = F.struct(F.lit(None).cast("string").alias("now"), F.array().cast("array<struct<section:string,line:string>>").alias("out"))
+    has a null line, so sections without lines are known too. Each line looks
+    up the last heading before it, so no list grows line by line."""
 
-    def add(acc: Column, line: Column, head: Column, now: Column) -> Column:
-        entry = F.struct(now.alias("section"), F.when(head.isNull(), line).alias("line"))
-        return F.struct(now.alias("now"), F.when(now.isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(entry))).alias("out"))
+    def placed(heads: Column, at: Column) -> Column:
+        def entry(line: Column, i: Column) -> Column:
+            last = F.array_max(F.filter(at, lambda k: k <= i))
+            return let(last, lambda k: F.when(k.isNotNull(), F.struct(F.get(heads, k).alias("section"), F.when(k < i, line).alias("line"))))
 
-    def step(acc: Column, line: Column) -> Column:
-        return let(heading(line), lambda head: let(F.coalesce(head, acc["now"]), lambda now: add(acc, line, head, now)))
+        return F.filter(F.transform(lines, entry), lambda x: x.isNotNull())
 
-    return F.aggregate(lines, start, step, lambda acc: acc["out"])
+    def with_heads(heads: Column) -> Column:
+        at = F.filter(F.transform(heads, lambda h, i: F.when(h.isNotNull(), i)), lambda i: i.isNotNull())
+        return let(at, lambda at: placed(heads, at))
+
+    return let(F.transform(lines, heading), with_heads)
 
 
 def under(sections: Column, name: str) -> Column:

@@ -160,6 +160,16 @@ def date_texts(items: Column) -> Column:
     return F.flatten(F.transform(items, lambda x: F.array(x["start_date"], x["end_date"])))
 
 
+def normal_dates(rows: DataFrame, items: str) -> DataFrame:
+    """``rows`` with the dates of experience or education as months. Plain
+    forms stay in the JVM; the parser gets lists with other forms only."""
+    texts = date_texts(F.col(items))
+    plain = F.transform(texts, N.plain_date)
+    hard = F.exists(texts, lambda t: t.isNotNull() & N.plain_date(t).isNull())
+    dated = rows.withColumn(f"{items}_dates", F.coalesce(N.date_list(F.when(hard, texts)), plain))
+    return dated.withColumn(items, F.expr(with_dates(items, items))).drop(f"{items}_dates")
+
+
 def map_records(records: DataFrame, countries: dict[str, str], region: str = "US") -> DataFrame:
     """Profiles of ``records``. Those with a broken link have valid = false and
     say so in ``reason``: callers drop them once the profiles are written, since a filter here would
@@ -186,11 +196,7 @@ def map_records(records: DataFrame, countries: dict[str, str], region: str = "US
         raw_education(value("education")).alias("education"),
     )
     for k in ("experience", "education"):
-        texts_ = date_texts(F.col(k))
-        # Plain forms stay in the JVM; the parser gets lists with other forms only.
-        plain = F.transform(texts_, N.plain_date)
-        hard = F.exists(texts_, lambda t: t.isNotNull() & N.plain_date(t).isNull())
-        r = r.withColumn(f"{k}_dates", F.coalesce(N.date_list(F.when(hard, texts_)), plain)).withColumn(k, F.expr(with_dates(k, k)))
+        r = normal_dates(r, k)
     return r.select("source", "source_id", "file_ord", "row_ord", "tmp_id", "full_name", "emails", "phones", "location", "links", "headline", "years_experience", "skills", "experience", "education", evidence().alias("evidence"), _broken().isNull().alias("valid"), _broken().alias("reason"))
 
 

@@ -50,14 +50,6 @@ def identifier_edges(keys: DataFrame, kind: str) -> DataFrame:
     return joined.where("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b"))
 
 
-def identifier_pairs(keys: DataFrame, kind: str) -> DataFrame:
-    """All pairs (a, b) that share a value. For reports on small data; the
-    engine uses stars, which are linear in the number of profiles."""
-    left = keys.select(F.col("id").alias("a"), F.explode(kind).alias("value"))
-    right = keys.select(F.col("id").alias("b"), F.explode(kind).alias("other"))
-    return left.join(right, (F.col("value") == F.col("other")) & (F.col("a") < F.col("b"))).select("a", "b").distinct()
-
-
 def edits_allowed(shorter: Column, threshold: float) -> Column:
     """The most insertions and deletions between a name of this length and
     any similar one that isn't shorter."""
@@ -100,6 +92,15 @@ def _probes(names: DataFrame, threshold: float) -> DataFrame:
     return whole.unionByName(cut.select("name", "mask", key.alias("key"))).distinct()
 
 
+def _any_names(names: DataFrame) -> DataFrame:
+    """Pairs that connect what a threshold of 0 does, where all names of two
+    compatible masks match: each with the least name of the other mask."""
+    least = names.groupBy(F.col("mask").alias("mask2")).agg(F.min("name").alias("name2"))
+    asked = names.withColumn("mask2", F.explode(F.sequence(F.lit(0), F.lit(7)))).where(F.col("mask").bitwiseAND(F.col("mask2")) == 0)
+    found = asked.join(least, "mask2").where((F.col("name") != F.col("name2")) | (F.col("mask") != F.col("mask2")))
+    return found.select("name", "mask", "name2", "mask2")
+
+
 def similar_names(names: DataFrame, threshold: float) -> DataFrame:
     """Pairs (name, mask, name2, mask2) of distinct (name, mask) rows that may
     match by name: no kind of identifier is present in both, and the ratio
@@ -108,14 +109,16 @@ def similar_names(names: DataFrame, threshold: float) -> DataFrame:
     equal = names.alias("x").join(names.alias("y"), (F.col("x.name") == F.col("y.name")) & (F.col("x.mask") < F.col("y.mask")) & (F.col("x.mask").bitwiseAND(F.col("y.mask")) == 0))
     equal = equal.select(F.col("x.name").alias("name"), F.col("x.mask").alias("mask"), F.col("y.name").alias("name2"), F.col("y.mask").alias("mask2"))
     if threshold <= 0:
-        every = names.withColumn("key", F.lit(0))
-        left, right = every, every
-    else:
-        left, right = _pieces(names, threshold), _probes(names, threshold)
+        return _any_names(names)
+    left, right = _pieces(names, threshold), _probes(names, threshold)
     right = right.select(F.col("name").alias("name2"), F.col("mask").alias("mask2"), F.col("key").alias("key2"))
     ordered = (F.length("name") < F.length("name2")) | ((F.length("name") == F.length("name2")) & (F.col("name") < F.col("name2")))
     pairs = left.join(right, (F.col("key") == F.col("key2")) & (F.col("mask").bitwiseAND(F.col("mask2")) == 0) & ordered)
     pairs = pairs.select("name", "mask", "name2", "mask2").distinct()
+    # Edits with substitutions are never more than those without: a bound that
+    # leaves few pairs to the exact ratio.
+    allowed = F.floor((F.length("name") + F.length("name2")) * ((100 - threshold) / 100) + 1e-9)
+    pairs = pairs.where(F.levenshtein("name", "name2") <= allowed)
     scored = pairs.withColumn("ratio", indel_ratio("name", "name2")).where(F.col("ratio") >= threshold)
     return scored.drop("ratio").unionByName(equal)
 

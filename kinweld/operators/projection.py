@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kinweld.functions import normalize as N
+from kinweld.operators.mapping import normal_dates
 
 CANONICAL = ("candidate_id", "full_name", "emails", "phones", "location", "links", "headline", "years_experience", "skills", "experience", "education", "provenance", "confidence", "overall_confidence")
 DEFAULT = tuple(f for f in CANONICAL if f not in ("provenance", "confidence"))
@@ -97,7 +98,10 @@ def renormalized(profiles: DataFrame, countries: dict[str, str], region: str = "
     """Normalisers applied once more; without effect on mapped profiles."""
     out = profiles.withColumn("emails", N.unique(F.col("emails"), N.email)).withColumn("phones", N.unique(F.col("phones"), lambda c: N.phone(c, region))).withColumn("skills", N.unique(F.col("skills"), N.skill))
     place = F.struct(F.col("location.city").alias("city"), F.col("location.region").alias("region"), N.country(F.col("location.country"), countries).alias("country"))
-    return out.withColumn("location", F.when(F.col("location").isNotNull(), place))
+    out = out.withColumn("location", F.when(F.col("location").isNotNull(), place))
+    for k in ("experience", "education"):
+        out = normal_dates(out, k)
+    return out
 
 
 def require(profiles: DataFrame, config: ProjectionConfig) -> None:

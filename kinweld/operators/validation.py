@@ -96,9 +96,13 @@ def validate_canonical(profiles: DataFrame) -> None:
     check(violations(profiles))
 
 
-def validate_projected(profiles: DataFrame, config: ProjectionConfig) -> None:
-    """The rules of the selected fields, which a missing value may break only
+def projected_violations(profiles: DataFrame, config: ProjectionConfig) -> DataFrame:
+    """Broken rules of the selected fields, which a missing value may break only
     where the policy puts no null and leaves nothing out."""
     selected = [f for f, _ in config.output()]
     kept = [(f, p, b if config.missing_value_policy == "error" else b & ~missing(f, profiles.schema[f].dataType), m) for f, p, b, m in rules() if f in selected]
-    check(violations(profiles, selected, kept))
+    return violations(profiles, selected, kept)
+
+
+def validate_projected(profiles: DataFrame, config: ProjectionConfig) -> None:
+    check(projected_violations(profiles, config))

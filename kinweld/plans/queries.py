@@ -22,8 +22,8 @@ from kinweld.operators import matching as J
 from kinweld.operators import merging as A
 from kinweld.operators import scoring as C
 from kinweld.operators.components import components
-from kinweld.operators.projection import ProjectionConfig, json_rows, project
-from kinweld.operators.validation import rules, violations
+from kinweld.operators.projection import ProjectionConfig, json_rows, project, renormalized
+from kinweld.operators.validation import projected_violations, violations
 from kinweld.plans.engine import Engine, fan_in
 from kinweld.sources.records import csv_records, explode_json, from_resume_texts
 from kinweld.sources.storage import materialized
@@ -363,16 +363,52 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(PEOPLE_SQL + """,
 e AS (
-  SELECT source, 'full_name' AS field, 'structured_column' AS method FROM people
-  UNION ALL SELECT source, 'emails', 'structured_column' FROM people WHERE email IS NOT NULL
-  UNION ALL SELECT source, 'phones', 'mapped_field' FROM people WHERE phone IS NOT NULL
-  UNION ALL SELECT source, 'links', 'structured_column' FROM people WHERE link IS NOT NULL
-  UNION ALL SELECT source, 'candidate_id', 'stable_hash' FROM people)
-SELECT source, field, method, count(*) AS n FROM e GROUP BY source, field, method
+  SELECT id, source_id, 'full_name' AS field, 'structured_column' AS method, 'name' AS original_field, '"' || name || '"' AS value FROM people
+  UNION ALL SELECT id, source_id, 'emails', 'structured_column', 'email', '"' || email || '"' FROM people WHERE email IS NOT NULL
+  UNION ALL SELECT id, source_id, 'phones', 'mapped_field', 'phone', '"' || phone || '"' FROM people WHERE phone IS NOT NULL
+  UNION ALL SELECT id, source_id, 'links', 'structured_column', 'linkedin_url', '"' || link || '"' FROM people WHERE link IS NOT NULL
+  UNION ALL SELECT id, source_id, 'candidate_id', 'stable_hash', NULL, '"src_' || substr(sha256(source || ':' || source_id), 1, 16) || '"' FROM people)
+SELECT * FROM e
 """)
 def provenance_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     mapped = materialized(M.map_records(_records(spark, sf_dir), Engine(spark).countries))
-    return mapped.select("source", F.explode("evidence").alias("e")).groupBy("source", "e.field", "e.method").agg(F.count(F.lit(1)).alias("n"))
+    each = mapped.select((F.col("row_ord") * 2 + F.when(F.col("source") == "ats", 1).otherwise(0)).alias("id"), F.explode("evidence").alias("e"))
+    return each.select("id", "e.source_id", "e.field", "e.method", "e.original_field", "e.value")
+
+
+def _full_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as JSON records with jobs, schools and a flat location."""
+    k = F.col("p_partkey").cast("string")
+    jobs = F.concat(F.lit('[{"organization":"Firm '), k, F.lit('","position":"Eng","start":"April 2020","end":"present"},{"title":"no company"},7,{"company":" Old  Co ","start_date":"2015-06-01","end":2018,"description":" did  things "}]'))
+    schools = F.concat(F.lit('[{"school":"Uni '), k, F.lit('","degree":"BSc","field":"Maths","end":"2012"},{"degree":"none"},{"institution":"College","start":"Sep 2008"}]'))
+    place = F.when(F.col("p_partkey") % 2 == 0, '"City":"Paris","city":"Paris","country":"fr","state":""').otherwise('"location":"Rome, Italy","country":"fr"')
+    row = F.concat(F.lit('{"results":[{"name":" Ada  P","experience":'), jobs, F.lit(',"education":'), schools, F.lit(","), place, F.lit("}]}"))
+    files = table(spark, sf_dir, "part").select(F.concat(F.lit("/in/p"), k, F.lit(".json")).alias("path"), F.col("p_partkey").cast("int").alias("file_ord"), row.alias("text"))
+    return materialized(M.map_records(explode_json(files)[0], Engine(spark).countries))
+
+
+def _shown(items: str, *fields: str) -> Column:
+    return F.array_join(F.transform(items, lambda x: F.concat_ws("/", *[F.coalesce(x[f], F.lit("-")) for f in fields])), "|")
+
+
+@query("SELECT p_partkey, 'Firm ' || p_partkey || '/Eng/2020-04/-/-|Old Co/-/2015-06/2018-01/did things' AS items FROM part")
+def map_experience(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _full_records(spark, sf_dir).select(F.col("file_ord").cast("bigint").alias("p_partkey"), _shown("experience", "company", "title", "start_date", "end_date", "description").alias("items"))
+
+
+@query("SELECT p_partkey, 'Uni ' || p_partkey || '/BSc/Maths/-/2012-01|College/-/-/2008-09/-' AS items FROM part")
+def map_education(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _full_records(spark, sf_dir).select(F.col("file_ord").cast("bigint").alias("p_partkey"), _shown("education", "institution", "degree", "field_of_study", "start_date", "end_date").alias("items"))
+
+
+@query("""
+SELECT p_partkey, CASE p_partkey % 2 WHEN 0 THEN 'Paris' ELSE 'Rome' END AS city, CASE p_partkey % 2 WHEN 0 THEN 'FR' ELSE 'IT' END AS country, CASE p_partkey % 2 WHEN 0 THEN 'City="Paris",country="fr"' ELSE 'location="Rome, Italy"' END AS evidence FROM part
+""")
+def map_flat_location(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A location from flat fields, each with evidence of its own."""
+    own = F.filter("evidence", lambda e: e["field"] == "location")
+    told = F.array_join(F.transform(own, lambda e: F.concat_ws("=", e["original_field"], e["value"])), ",")
+    return _full_records(spark, sf_dir).select(F.col("file_ord").cast("bigint").alias("p_partkey"), "location.city", "location.country", told.alias("evidence"))
 
 
 # --- matching ------------------------------------------------------------------
@@ -598,14 +634,14 @@ def score_field(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-SELECT p_partkey, round(CASE WHEN w > 0 THEN s / w ELSE 0 END, 2) AS overall FROM (
+SELECT p_partkey, printf('%.3f', CASE WHEN w > 0 THEN s / w ELSE 0 END)::DOUBLE AS overall FROM (
   SELECT p_partkey, {' + '.join(f"CASE WHEN (p_size + {i}) % 3 > 0 THEN (((p_partkey + {i}) % 40 + 60) / 100.0::DOUBLE) * {w}::DOUBLE ELSE 0.0::DOUBLE END" for i, w in enumerate(FIELD_WEIGHTS.values()))} AS s,
          {' + '.join(f"CASE WHEN (p_size + {i}) % 3 > 0 THEN {w}::DOUBLE ELSE 0.0::DOUBLE END" for i, w in enumerate(FIELD_WEIGHTS.values()))} AS w FROM part)
 """)
 def score_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = {f: ((F.col("p_partkey") + i) % 40 + 60) / 100 for i, f in enumerate(FIELD_WEIGHTS)}
     filled = {f: (F.col("p_size") + i) % 3 > 0 for i, f in enumerate(FIELD_WEIGHTS)}
-    return table(spark, sf_dir, "part").select("p_partkey", F.round(C.weighted_mean(scores, filled), 2).alias("overall"))
+    return table(spark, sf_dir, "part").select("p_partkey", C.exact_round(C.weighted_mean(scores, filled)).alias("overall"))
 
 
 def _simple_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -628,17 +664,134 @@ def project_omit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return json_rows(_simple_profiles(spark, sf_dir), ProjectionConfig(**SIMPLE, rename={"full_name": "name"}, missing_value_policy="omit"))
 
 
+def _spoilt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole profiles, some of which break rules."""
+    i = F.col("id")
+    own = F.when(i % 13 == 0, "wrong").otherwise(F.concat(F.lit("cand_"), F.md5(i.cast("string").cast("binary"))))
+    phones = F.when(i % 11 == 0, F.transform("phones", lambda x: F.substring(x, 2, 20))).otherwise(F.col("phones"))
+    none = F.lit(None).cast("string")
+    job = F.struct(F.when(i % 17 > 0, "F").alias("company"), none.alias("title"), F.when(i % 19 == 0, "2020").otherwise("2020-12").alias("start_date"), none.alias("end_date"), none.alias("description"))
+    school = F.struct(F.when(i % 23 > 0, "U").alias("institution"), none.alias("degree"), none.alias("field_of_study"), none.alias("start_date"), F.when(i % 29 == 0, "2020-13").alias("end_date"))
+    record = F.struct(F.when(i % 31 == 0, "web").otherwise("csv").alias("source"), F.when(i % 37 > 0, "x").alias("source_id"))
+    confidence = F.struct(F.when(i % 41 == 0, 1.5).otherwise(1.0).alias("full_name"), F.lit(0.0).alias("emails"))
+    return people(spark, sf_dir).select("id", own.alias("candidate_id"), "full_name", F.when(i % 43 == 0, F.concat("emails", "emails")).otherwise(F.col("emails")).alias("emails"), phones.alias("phones"),
+        F.struct(none.alias("city"), none.alias("region"), F.when(i % 47 == 0, "us").otherwise("US").alias("country")).alias("location"), "links", none.alias("headline"), F.when(i % 53 == 0, -1.0).otherwise(0.0).alias("years_experience"),
+        F.when(i % 59 > 0, F.array(F.lit("C"))).alias("skills"), F.array(job).alias("experience"), F.array(school).alias("education"), F.create_map(F.lit("full_name"), F.array(record)).alias("provenance"), confidence.alias("confidence"), F.when(i % 61 > 0, 0.5).alias("overall_confidence"))
+
+
 @query(PEOPLE_SQL + """
-SELECT 'phones' AS path, count(*) AS n FROM people WHERE phone IS NOT NULL AND id % 11 = 0 HAVING count(*) > 0
-UNION ALL SELECT 'candidate_id', count(*) FROM people WHERE id % 13 = 0 HAVING count(*) > 0
+SELECT * FROM (
+  SELECT 'phones' AS path, count(*) AS n FROM people WHERE phone IS NOT NULL AND id % 11 = 0
+  UNION ALL SELECT 'emails', count(*) FROM people WHERE email IS NOT NULL AND id % 43 = 0
+  UNION ALL SELECT p, count(*) FROM people, (SELECT unnest([13, 17, 19, 23, 29, 31, 37, 41, 47, 53, 59, 61]) AS d, unnest(['candidate_id', 'experience/company', 'experience/start_date', 'education/institution', 'education/end_date', 'provenance/source', 'provenance/source_id', 'confidence/full_name', 'location/country', 'years_experience', 'skills', 'overall_confidence']) AS p)
+    WHERE id % d = 0 GROUP BY p)
+WHERE n > 0
 """)
 def validate_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Broken rules of whole profiles, by path."""
+    return violations(_spoilt(spark, sf_dir)).groupBy("path").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _presence(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = people(spark, sf_dir)
-    own = F.when(F.col("id") % 13 == 0, "wrong").otherwise(F.concat(F.lit("cand_"), F.md5(F.col("id").cast("string").cast("binary"))))
-    phones = F.when(F.col("id") % 11 == 0, F.transform("phones", lambda x: F.substring(x, 2, 20))).otherwise(F.col("phones"))
-    rows = p.select(own.alias("candidate_id"), "emails", phones.alias("phones"))
-    kept = [r for r in rules() if r[0] in rows.columns]
-    return violations(rows, kept=kept).groupBy("path").agg(F.count(F.lit(1)).alias("n"))
+    none = F.lit(None).cast("string")
+    place = F.when(F.col("id") % 3 == 0, F.struct(F.lit("").alias("city"), none.alias("region"), F.when(F.col("id") % 2 == 0, "US").alias("country")))
+    items = F.when(F.col("id") % 2 == 0, F.array(F.lit(1))).otherwise(F.array().cast("array<int>"))
+    return p.withColumns({"location": place, "headline": F.when(F.col("id") % 5 == 0, "").when(F.col("id") % 5 == 1, "x"), "years_experience": F.when(F.col("id") % 4 > 0, 0.0), "skills": items, "experience": items, "education": items})
+
+
+@query(PEOPLE_SQL + """
+SELECT id, true AS full_name, email IS NOT NULL AS emails, phone IS NOT NULL AS phones, link IS NOT NULL AS links, id % 6 = 0 AS location, id % 5 = 1 AS headline, id % 4 > 0 AS years_experience, id % 2 = 0 AS skills, id % 2 = 0 AS experience, id % 2 = 0 AS education FROM people
+""")
+def confidence_present(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which fields count as filled: 0 is a number, '' and [] are nothing."""
+    return _presence(spark, sf_dir).select("id", *[C.present(f).alias(f) for f in FIELD_WEIGHTS])
+
+
+#: Whole profiles of the persons in g, scored, with what the engine derives.
+PROFILES_SQL = """,
+v AS (SELECT DISTINCT person, k, u FROM (
+  SELECT person, 0 AS k, 'email:' || email AS u FROM g UNION ALL SELECT person, 0, 'phone:' || phone FROM g UNION ALL SELECT person, 0, 'link:' || link FROM g UNION ALL SELECT person, 1, 'name:' || lower(name) FROM g) WHERE u IS NOT NULL),
+h AS (SELECT person, sha1(unhex('71518fe1e18d49aea2bc77b83ae43217') || encode(arg_min(u, k))) AS h FROM (SELECT person, k, string_agg(u, '|' ORDER BY u) AS u FROM v GROUP BY person, k) GROUP BY person),
+i AS (SELECT person, 'cand_' || substr(h, 1, 12) || '5' || substr(h, 14, 3) || lower(printf('%02x', (('0x' || substr(h, 17, 2))::INT & 63) | 128)) || substr(h, 19, 14) AS candidate_id FROM h),
+m AS (SELECT person, string_agg(email, '|' ORDER BY f) AS emails, count(*) AS n FROM (SELECT person, email, min((rank, tmp_id)) AS f FROM g WHERE email IS NOT NULL GROUP BY person, email) GROUP BY person),
+p AS (SELECT person, string_agg(phone, '|' ORDER BY f) AS phones, count(*) AS n FROM (SELECT person, phone, min((rank, tmp_id)) AS f FROM g WHERE phone IS NOT NULL GROUP BY person, phone) GROUP BY person),
+one AS (SELECT person, arg_min(name, (-length(name), rank, tmp_id)) AS full_name, arg_min(link, (rank, tmp_id)) FILTER (link IS NOT NULL) AS linkedin FROM g GROUP BY person),
+e AS (
+  SELECT person, source, 'full_name' AS field, 0.95::DOUBLE AS m FROM g
+  UNION ALL SELECT person, source, 'emails', 0.95 FROM g WHERE email IS NOT NULL
+  UNION ALL SELECT person, source, 'phones', 0.9 FROM g WHERE phone IS NOT NULL
+  UNION ALL SELECT person, source, 'links', 0.95 FROM g WHERE link IS NOT NULL),
+s AS (
+  SELECT person, field, round(least(1.0::DOUBLE, (max(CASE source WHEN 'ats' THEN 0.85::DOUBLE ELSE 0.75::DOUBLE END) * 0.7::DOUBLE + max(m) * 0.3::DOUBLE)
+    + (least(0.08::DOUBLE, 0.03::DOUBLE * (count(DISTINCT source) - 1)) + CASE WHEN (field = 'emails' AND any_value(m.n) > 1) OR (field = 'phones' AND any_value(p.n) > 1) THEN 0.02::DOUBLE ELSE 0.0::DOUBLE END)), 3) AS score
+  FROM e LEFT JOIN m USING (person) LEFT JOIN p USING (person) GROUP BY person, field),
+c AS (
+  SELECT person, coalesce(max(score) FILTER (field = 'full_name'), 0) AS a, coalesce(max(score) FILTER (field = 'emails'), 0) AS b, coalesce(max(score) FILTER (field = 'phones'), 0) AS c, coalesce(max(score) FILTER (field = 'links'), 0) AS d,
+         sum(CASE field WHEN 'full_name' THEN 1.2::DOUBLE WHEN 'emails' THEN 1.4::DOUBLE WHEN 'phones' THEN 1.2::DOUBLE ELSE 1.0::DOUBLE END) AS w, count(*) AS n
+  FROM s GROUP BY person)
+SELECT candidate_id, full_name, coalesce(emails, '') AS emails, coalesce(phones, '') AS phones, linkedin, CAST(c.n + 3 AS INT) AS fields, printf('%.3f', (a * 1.2::DOUBLE + b * 1.4::DOUBLE + c * 1.2::DOUBLE + d * 1.0::DOUBLE) / w)::DOUBLE AS overall_confidence
+FROM i JOIN one USING (person) JOIN c USING (person) LEFT JOIN m USING (person) LEFT JOIN p USING (person)
+"""
+
+
+def _flat(fused: DataFrame) -> DataFrame:
+    return fused.select("candidate_id", "full_name", joined("emails").alias("emails"), joined("phones").alias("phones"), F.col("links.linkedin").alias("linkedin"), F.size("provenance").alias("fields"), "overall_confidence")
+
+
+@query(GROUPS_SQL + PROFILES_SQL)
+def fuse_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merge, score and finish profiles of given groups."""
+    engine = Engine(spark)
+    profiles = engine.profiles_of(materialized(_records(spark, sf_dir).drop("id")))
+    person = (F.col("row_ord") * 2 + F.when(F.col("source") == "ats", 1).otherwise(0)) % 50
+    return _flat(C.canonical(C.score(A.merge(profiles.withColumn("person", person)))))
+
+
+@query(EDGES_SQL.replace("WITH keys", "WITH RECURSIVE keys") + """,
+named AS (SELECT id, array_to_string(list_sort(string_split(lower(name), ' ')), ' ') AS t, (email IS NOT NULL)::INT + 2 * (phone IS NOT NULL)::INT + 4 * (link IS NOT NULL)::INT AS mask FROM people),
+ways AS (
+  SELECT a, b FROM stars WHERE a <> b UNION SELECT b, a FROM stars WHERE a <> b
+  UNION SELECT x.id, y.id FROM named x JOIN named y ON x.t = y.t AND x.id <> y.id AND (x.mask & y.mask) = 0),
+reach(id, c) AS (SELECT id, id FROM people UNION SELECT ways.b, reach.c FROM reach JOIN ways ON reach.id = ways.a WHERE ways.b > reach.c),
+low AS (SELECT id, min(c) AS person FROM reach GROUP BY id),
+g AS (SELECT people.*, person, CASE source WHEN 'ats' THEN 2 ELSE 3 END AS rank, 'src_' || substr(sha256(source || ':' || source_id), 1, 16) AS tmp_id FROM people JOIN low USING (id))""" + PROFILES_SQL)
+def fuse_people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From records to profiles, names matching when they are equal."""
+    engine = Engine(spark, name_threshold=100.0)
+    return _flat(engine.fuse(engine.profiles_of(materialized(_records(spark, sf_dir).drop("id")))))
+
+
+@query(SIMPLE_SQL.replace(", q AS", ", q0 AS") + """
+SELECT candidate_id, email AS emails, phone AS phones, CASE WHEN skill IS NULL THEN '' ELSE skill END AS skills, CASE WHEN country = 'x' THEN NULL ELSE country END AS country, '2020-04' AS start_date, CASE WHEN id % 2 = 0 THEN '2021-01' END AS end_date FROM (
+  SELECT 'cand_' || md5(CAST(id AS VARCHAR)) AS candidate_id, id, coalesce(email, '') AS email, coalesce(phone, '') AS phone, CASE id % 3 WHEN 0 THEN 'C++' WHEN 1 THEN 'React' END AS skill, CASE id % 3 WHEN 0 THEN 'FR' WHEN 1 THEN 'DE' ELSE 'x' END AS country FROM people)
+""")
+def project_renormalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Normalisers applied again: values that others wrote into profiles."""
+    i = F.col("id")
+    none = F.lit(None).cast("string")
+    p = people(spark, sf_dir).withColumns({
+        "candidate_id": F.concat(F.lit("cand_"), F.md5(i.cast("string").cast("binary"))),
+        "emails": F.transform("emails", F.upper),
+        "skills": F.when(i % 3 == 0, F.array(F.lit("cpp"), F.lit("c plus plus"))).when(i % 3 == 1, F.array(F.lit("ReactJS"))).otherwise(F.array().cast("array<string>")),
+        "location": F.struct(none.alias("city"), none.alias("region"), F.when(i % 3 == 0, "france").when(i % 3 == 1, "DEU").otherwise("nowhere").alias("country")),
+        "experience": F.array(F.struct(F.lit("F").alias("company"), none.alias("title"), F.lit("April 2020").alias("start_date"), F.when(i % 2 == 0, "2021").otherwise("present").alias("end_date"), none.alias("description"))),
+        "education": F.array().cast(M.EDUCATION),
+    })
+    done = renormalized(p, Engine(spark).countries)
+    return done.select("candidate_id", joined("emails").alias("emails"), joined("phones").alias("phones"), joined("skills").alias("skills"), "location.country", F.col("experience")[0]["start_date"].alias("start_date"), F.col("experience")[0]["end_date"].alias("end_date"))
+
+
+@query(PEOPLE_SQL + """
+SELECT 'phones' AS path, count(*) AS n FROM people WHERE phone IS NOT NULL AND id % 11 = 0 HAVING count(*) > 0
+UNION ALL SELECT 'candidate_id', count(*) FROM people WHERE id % 13 = 0 HAVING count(*) > 0
+""")
+def validate_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules of the selected fields; what is missing breaks none under the
+    policy that puts nulls."""
+    config = ProjectionConfig(fields=("candidate_id", "full_name", "phones", "links"), include_confidence=False, include_provenance=False)
+    rows = _spoilt(spark, sf_dir).withColumn("links", F.when(F.col("id") % 2 == 0, F.col("links")))
+    return projected_violations(rows, config).groupBy("path").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query()
@@ -647,5 +800,4 @@ def pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     engine = Engine(spark)
     texts = table(spark, sf_dir, "documents").select(F.concat(F.lit("doc"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("source_id"), "text", F.lit(1).alias("file_ord"), F.col("doc_id").alias("row_ord"))
     records = materialized(_records(spark, sf_dir).drop("id").unionByName(from_resume_texts(texts)))
-    fused = engine.fuse(engine.profiles_of(records))
-    return fused.select("candidate_id", "full_name", joined("emails").alias("emails"), joined("phones").alias("phones"), F.col("links.linkedin").alias("linkedin"), F.size("provenance").alias("fields"), "overall_confidence")
+    return _flat(engine.fuse(engine.profiles_of(records)))

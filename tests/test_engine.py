@@ -214,3 +214,19 @@ def test_scan_table_csv_and_write_folder(spark, tmp_path):
     assert rows.selectExpr("CAST(fields['name'] AS string) n").collect()[0]["n"] == "Li, Bo"
     write_folder(json_rows(simple(spark), ProjectionConfig(**CONFIG)), f"{tmp_path}/out")
     assert spark.read.json(f"{tmp_path}/out").count() == 2
+
+
+def test_threshold_zero_matches_all_compatible_names(spark):
+    rows = [(0, ["a@x.io"], [], None, "Ann"), (1, [], ["+1"], None, "Bob"), (2, ["b@x.io"], [], None, "Cyd"), (3, ["c@x.io"], ["+2"], None, "Dot"), (4, [], [], None, "Eve")]
+    found = {r["id"]: r["component"] for r in J.match(profiles(spark, rows), 0.0).collect()}
+    assert found == {0: 0, 1: 0, 2: 0, 3: 0, 4: 0}
+    found = {r["id"]: r["component"] for r in J.match(profiles(spark, rows[2:4]), 0.0).collect()}
+    assert found == {2: 2, 3: 3}
+
+
+def test_sections_of_many_lines(spark):
+    from kinweld.operators import extract as X
+
+    text = "\n".join(["before", *(f"{h}\n{h} line" for h in ("Skills", "Education:") for _ in range(300))])
+    row = spark.createDataFrame([(text,)], "t string").select(X.sections_of(X.lines_of(F.col("t"))).alias("s")).first()["s"]
+    assert len(row) == 1200 and sum(r["line"] is None for r in row) == 600 and row[1] == ("skills", "Skills line")

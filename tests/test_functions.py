@@ -63,3 +63,11 @@ def test_token_sort_ratio(spark):
     scored = rows.select(indel_ratio(sorted_tokens(F.col("a")), sorted_tokens(F.col("b"))).alias("r")).collect()
     assert scored[0]["r"] == 100.0
     assert scored[1]["r"] == pytest.approx(200 * 9 / 19)
+
+
+def test_casefold_is_complete(spark):
+    from kinweld.functions.normalize import casefold
+
+    texts = ["STRASSE ß ẞ", "µ ϐ ϑ ϕ ς Σ ΑΣ", "ᾳ ᾼ ﬀ ŉ ſ", "İstanbul", "ABC é Ünï", "Ꭰ ꭰ", ""]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", casefold(F.col("t")).alias("f")).collect()
+    assert all(r["f"] == r["t"].casefold() for r in rows), [(r["f"], r["t"].casefold()) for r in rows]
