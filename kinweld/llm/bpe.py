@@ -5,7 +5,8 @@ sequence of symbols. An index maps the rank of each mergeable pair to all its
 positions; ranks that have positions are taken in ascending order, all
 positions of a rank are merged, and the lists of the pairs to the left and
 right of each merge are updated. The result of a pre-token is kept in a cache
-of the worker, which is emptied before it holds more than ``CACHE_BYTES``.
+of the worker; before it holds more than ``CACHE_BYTES`` it is cut to what the
+slice at work uses, which the size of a slice bounds.
 
 Decoding maps ids to their symbols and joins them by spaces, which is what a
 tokenizer file without a decoder asks for.
@@ -37,9 +38,9 @@ from kinweld.llm.common import by_document, str_texts, table
 
 #: What the cache may hold, in bytes of words, ids and the objects around
 #: them; longer words than ``LONG`` characters never enter it.
-CACHE_BYTES, ENTRY_BYTES, LONG = 64 << 20, 160, 1_000
+CACHE_BYTES, ENTRY_BYTES, LONG = 96 << 20, 180, 1_000
 #: Bytes of text, and of pre-tokens, that are worked on at once.
-SLICE, LAID_OUT = 2 << 20, 400_000
+SLICE, LAID_OUT = 4 << 20, 600_000
 #: Symbols are below 2 to this power; the last of them is none and parts words.
 BITS = 24
 END = (1 << BITS) - 1
@@ -185,21 +186,25 @@ class Bpe:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [self.split(t) for t in texts]
         distinct = set(chain.from_iterable(split))
-        missing = [w for w in distinct if w not in self.cache]
+        missing = distinct.difference(self.cache)
         words = [w for w in missing if isinstance(w, str)]
         found = {w: array("i", ids).tobytes() for w, ids in zip(words, self.merge(words), strict=True)}
         found |= {w: array("i", [w]).tobytes() for w in missing if isinstance(w, int)}
-        short = {w: ids for w, ids in found.items() if isinstance(w, int) or len(w) <= LONG}
-        size = sum(4 * len(w) + len(ids) for w, ids in short.items() if isinstance(w, str)) + ENTRY_BYTES * len(short)
-        known = {w: self.cache[w] for w in distinct if w in self.cache} | found
+        long = {w: found.pop(w) for w in words if len(w) > LONG}
+        size = self.size_of(found)
         if self.held + size > CACHE_BYTES:
-            self.cache, self.held = {}, 0
-        if size <= CACHE_BYTES:
-            self.cache.update(short)
-            self.held += size
-        get = known.__getitem__
+            # What this slice uses stays, and is used by the next ones most likely.
+            self.cache = {w: self.cache[w] for w in distinct.difference(missing)}
+            self.held = self.size_of(self.cache)
+        self.cache.update(found)
+        self.held += size
+        get = (self.cache | long if long else self.cache).__getitem__
         return [np.frombuffer(b"".join(map(get, s)), np.int32) for s in split]
 
+    @staticmethod
+    def size_of(entries: dict[str | int, bytes]) -> int:
+        return ENTRY_BYTES * len(entries) + sum(map(len, entries.values())) + sum(2 * len(w) for w in entries if isinstance(w, str))
+
     def decode(self, ids: np.ndarray) -> str:
         return " ".join(map(self.symbols.__getitem__, ids.tolist()))
 
