@@ -38,9 +38,9 @@ from kinweld.llm.common import by_document, str_texts, table
 
 #: What the cache may hold, in bytes of words, ids and the objects around
 #: them; longer words than ``LONG`` characters never enter it.
-CACHE_BYTES, ENTRY_BYTES, LONG = 96 << 20, 180, 1_000
+CACHE_BYTES, ENTRY_BYTES, LONG = 72 << 20, 180, 1_000
 #: Bytes of text, and of pre-tokens, that are worked on at once.
-SLICE, LAID_OUT = 4 << 20, 600_000
+SLICE, LAID_OUT = 3 << 20, 200_000
 #: Symbols are below 2 to this power; the last of them is none and parts words.
 BITS = 24
 END = (1 << BITS) - 1
