@@ -79,10 +79,10 @@ class Bands:
         (128, 0.95, 1.55),
         (192, 1.05, 1.85),
         (256, 1.2, 1.95),
-        (384, 1.3, 2.0),
-        (512, 1.37, 2.0),
-        (768, 1.47, 2.05),
-        (1023, 1.55, 2.1),
+        (384, 1.3, 2.05),
+        (512, 1.37, 2.15),
+        (768, 1.47, 2.25),
+        (1023, 1.55, 2.25),
     )
     chunks_out: float = 0.5
     level: int = 3
