@@ -68,21 +68,22 @@ class Bands:
     )
     chunk_bytes: int = 1024
     chunk: tuple[float, float] = (1.62, 2.0)
-    #: As ``whole``, for a last chunk that is shorter; calibrated alike on the
-    #: last chunks of those documents, with a margin of 0.05 to 0.3.
+    #: As ``whole``, for a last chunk that is shorter: its highest ratios, and
+    #: lowest ones calibrated on the last chunks of the same documents, with a
+    #: margin of 0.05 to 0.15.
     tail: tuple[tuple[int, float, float], ...] = (
-        (1, 0.0, 1.0),
-        (16, 0.4, 0.9),
-        (32, 0.6, 1.0),
-        (64, 0.72, 1.25),
-        (96, 0.82, 1.5),
-        (128, 0.95, 1.55),
-        (192, 1.05, 1.85),
-        (256, 1.2, 1.95),
-        (384, 1.3, 2.05),
-        (512, 1.37, 2.15),
-        (768, 1.47, 2.25),
-        (1023, 1.55, 2.25),
+        (1, 0.0, 2.5),
+        (16, 0.4, 2.5),
+        (32, 0.6, 2.5),
+        (64, 0.72, 2.5),
+        (96, 0.82, 2.5),
+        (128, 0.95, 2.5),
+        (192, 1.05, 2.5),
+        (256, 1.2, 2.5),
+        (384, 1.3, 2.5),
+        (512, 1.37, 2.5),
+        (768, 1.47, 2.5),
+        (1023, 1.55, 2.5),
     )
     chunks_out: float = 0.5
     level: int = 3
