@@ -10,9 +10,11 @@ from kinweld.llm.bpe import op4_bpe
 from kinweld.llm.exact_dedup import OP3_SQL, op3_exact_dedup
 from kinweld.llm.jaccard_join import op9_jaccard_join
 from kinweld.llm.language_id import op2_language_id
+from kinweld.llm.line_dedup import OP12_SQL, op12_line_dedup
 from kinweld.llm.mixing import OP10_SQL, op10_mixing
 from kinweld.llm.quality_fm import op8_quality_fm
 from kinweld.llm.quality_rules import op7_quality_rules
+from kinweld.llm.spelling import OP13_SQL, op13_spelling
 from kinweld.llm.substring_dedup import op5_substring_dedup
 from kinweld.llm.token_counts import op6_token_counts
 from kinweld.llm.toxicity import op1_toxicity
@@ -28,6 +30,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_fm": op8_quality_fm,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_mixing": op10_mixing,
+    "op12_line_dedup": op12_line_dedup,
+    "op13_spelling": op13_spelling,
 }
 
-ORACLE_SQL: dict[str, str] = {"op3_exact_dedup": OP3_SQL, "op10_mixing": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_exact_dedup": OP3_SQL, "op10_mixing": OP10_SQL, "op12_line_dedup": OP12_SQL, "op13_spelling": OP13_SQL}
