@@ -49,7 +49,9 @@ def _places(docs: DataFrame, least_chars: int) -> DataFrame:
     digest; anon stands for a document without an id."""
     body = _digest(F.col("text"))
     anon = F.when(F.col("doc_id").isNull(), F.xxhash64(body))
-    each = docs.select(F.col("doc_id").alias("doc"), body.alias("body"), anon.alias("anon"), F.posexplode(lines_of(F.col("text"))).alias("pos", "line"))
+    # In a select of its own: beside the explode it would be computed for each line.
+    whole = docs.select(F.col("doc_id").alias("doc"), body.alias("body"), anon.alias("anon"), lines_of(F.col("text")).alias("lines"))
+    each = whole.select("doc", "body", "anon", F.posexplode("lines").alias("pos", "line"))
     keyed = each.withColumn("key", line_key(F.col("line"))).where(F.length("key") >= least_chars)
     return keyed.select("doc", "body", "anon", "pos", F.unhex(F.md5(F.col("key").cast("binary"))).alias("h"))
 

@@ -34,5 +34,5 @@ def test_stages_in_turn(spark, tmp_path):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)

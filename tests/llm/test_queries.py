@@ -38,6 +38,7 @@ def folder(spark, tmp_path_factory):
     documents(spark, rows, clashing=True).write.parquet(f"{at}/documents.parquet")
     labels = [(100 + k, int(k % 4 > 0), int(k % 4 == 0)) for k in range(160)] + [(100, 0, 1), (None, 1, 0), (9999, 1, 1), (101, None, None)]
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{at}/labels.parquet")
+    spark.createDataFrame([(1, "many words of w12"), (2, None)], "item_id long, text string").write.parquet(f"{at}/benchmark.parquet")
     return str(at)
 
 
@@ -46,6 +47,7 @@ def empty(spark, tmp_path_factory):
     at = tmp_path_factory.mktemp("none")
     documents(spark, rows_of()[:3], clashing=True).limit(0).write.parquet(f"{at}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{at}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{at}/benchmark.parquet")
     return str(at)
 
 
@@ -58,7 +60,7 @@ def run(spark, folder, n):
     return queries.QUERIES[name](spark, folder)
 
 
-@pytest.mark.parametrize("n", range(1, 11))
+@pytest.mark.parametrize("n", range(1, 14))
 def test_empty_tables(spark, empty, n):
     assert run(spark, empty, n).count() == 0
 
@@ -139,6 +141,18 @@ def test_similar_groups(spark, folder):
     assert all(found[300 + k] == 300 for k in range(6)) and found[100] == 100 and found[8] == 7
 
 
+def test_search_lines_and_words(spark, folder):
+    from test_search_lines_words import ranked, spelled, without_repeats
+
+    rows = [(i, t) for i, t, *_ in rows_of()]
+    assert Counter(map(tuple, run(spark, folder, 11).collect())) == ranked(rows, [(1, "many words of w12"), (2, None)])
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    ids = [(i, t) for i, t in rows if i is not None]
+    found = [r for r in run(spark, folder, 12).collect() if r["doc_id"] is not None]
+    assert Counter(map(tuple, found)) == Counter((i, n, d, sha(t)) for i, n, d, t in without_repeats(ids))
+    assert Counter(map(tuple, run(spark, folder, 13).select("word", "n", "form", "form_n", "root", "n_near").collect())) == spelled(rows)
+
+
 def test_mixture(spark, folder):
     found = run(spark, folder, 10).collect()
     size = Counter(((i, len(WORD.findall(t or ""))) for i, t, *_ in rows_of()))
