@@ -37,14 +37,15 @@ def strip(c: Column) -> Column:
 
 
 def casefold(c: Column) -> Column:
-    """Lower case and what full case folding does beyond it; texts without
-    such a character pay for one pattern."""
+    """Lower case and what full case folding does beyond it. ASCII texts pay
+    for one short test, others for a pattern of all characters that fold."""
     single = {a: b for a, b in FOLDS.items() if len(b) == 1}
     longer = F.split(F.lit("|".join(a + b for a, b in FOLDS.items() if len(b) > 1)), r"\|")
 
     def folded(low: Column) -> Column:
         moved = F.translate(low, "".join(single), "".join(single.values()))
-        return F.when(low.rlike("[" + "".join(FOLDS) + "]"), F.aggregate(longer, moved, lambda acc, p: F.replace(acc, F.left(p, F.lit(1)), F.substring(p, 2, 9)))).otherwise(low)
+        wide = low.rlike(r"[^\x00-\x7F]") & low.rlike("[" + "".join(FOLDS) + "]")
+        return F.when(wide, F.aggregate(longer, moved, lambda acc, p: F.replace(acc, F.left(p, F.lit(1)), F.substring(p, 2, 9)))).otherwise(low)
 
     return let(F.lower(c), folded)
 
@@ -199,14 +200,13 @@ def number(c: Column) -> Column:
 
 
 def unique(values: Column, normalizer: Callable[[Column], Column]) -> Column:
-    """Normalised values in order, the first of each spelling kept."""
-    start = F.struct(F.array().cast("array<string>").alias("out"), F.array().cast("array<string>").alias("seen"))
+    """Normalised values in order, the first of each spelling kept: sorted by
+    (spelling, place), the first of each run stays and goes back to its place."""
+    keyed = F.transform(values, lambda x, i: let(normalizer(x), lambda v: F.struct(casefold(v).alias("k"), i.alias("i"), v.alias("v"))))
+    ordered = F.array_sort(F.filter(keyed, lambda s: s["v"].isNotNull()))
 
-    def add(acc: Column, v: Column, k: Column) -> Column:
-        grown = F.struct(F.concat(acc["out"], F.array(v)).alias("out"), F.concat(acc["seen"], F.array(k)).alias("seen"))
-        return F.when(v.isNull() | F.array_contains(acc["seen"], k), acc).otherwise(grown)
+    def firsts(rows: Column) -> Column:
+        kept = F.filter(rows, lambda s, j: (j == 0) | (F.get(rows, j - 1)["k"] != s["k"]))
+        return F.transform(F.array_sort(F.transform(kept, lambda s: F.struct(s["i"].alias("i"), s["v"].alias("v")))), lambda s: s["v"])
 
-    def step(acc: Column, x: Column) -> Column:
-        return let(normalizer(x), lambda v: let(casefold(v), lambda k: add(acc, v, k)))
-
-    return F.coalesce(F.aggregate(values, start, step, lambda acc: acc["out"]), F.array().cast("array<string>"))
+    return F.coalesce(let(ordered, firsts), F.array().cast("array<string>"))

@@ -5,23 +5,33 @@ their names are similar enough and, for each kind of identifier, at least one
 of them has none. Matches are closed transitively.
 
 Shared identifiers: every profile is tied to the smallest profile with the
-same value, which gives the same components as all pairs. Similar names: the
-distinct (name, kinds present) are compared, not profiles. Candidates come
-from cutting each name into one piece more than the edits allowed, one of
-which must stand, near its place, in any similar longer name; so the join is
-an equality join on pieces and loses nothing.
+same value, which gives the same components as all pairs. Values are counted
+with partial aggregation; hot ones are broadcast, so a value that a third of
+all profiles share moves none of them. Similar names: the distinct (name,
+kinds present) are compared, not profiles. Each name gives one piece more than
+the edits allowed, pieces that don't overlap, and of all such choices the one
+whose pieces are rarest among all names. An edit touches one piece at most, so
+one of them stands, near its place, in any similar longer name: the join is an
+equality join on pieces and loses nothing. Pieces that are frequent for all
+that are met in blocks of bounded size.
 """
 
 from __future__ import annotations
 
+import logging
 import math
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kinweld.functions.similarity import indel_ratio, sorted_tokens
 from kinweld.operators.components import components
-from kinweld.sources.storage import materialized
+from kinweld.operators.skew import hot_bound, join_hot
+from kinweld.sources.storage import discard, materialized
+
+log = logging.getLogger(__name__)
 
 
 def check_threshold(threshold: float) -> float:
@@ -45,8 +55,10 @@ def keys_of(profiles: DataFrame) -> DataFrame:
 def identifier_edges(keys: DataFrame, kind: str) -> DataFrame:
     """(a, b): each profile and the smallest one with the same value."""
     values = keys.select("id", F.explode(kind).alias("value")).where("value <> ''")
-    least = values.groupBy("value").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("value").alias("shared"), "least")
-    joined = values.join(least, F.col("value") == F.col("shared"))
+    least = values.groupBy("value").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").withColumnRenamed("value", "shared")
+    least = materialized(least)
+    rows = least.agg(F.sum("n")).first()[0] or 0
+    joined = join_hot(values, least, F.col("value") == F.col("shared"), F.col("n") > hot_bound(rows))
     return joined.where("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b"))
 
 
@@ -63,33 +75,92 @@ def longest_partner(shorter: Column, threshold: float) -> Column:
     return F.floor(shorter * ((200 - threshold) / threshold) + 1e-9).cast("int")
 
 
-def _pieces(names: DataFrame, threshold: float) -> DataFrame:
-    """(name, mask, key) of names as the shorter of a pair: one row for each
-    piece. A name shorter than its number of pieces has the key of its length
-    alone."""
-    n, e = F.length("name"), F.col("edits")
-    begin = lambda i: F.floor(i * n / (e + 1)).cast("int")
-    piece = lambda i: F.concat_ws("\x01", n.cast("string"), i.cast("string"), F.substr(F.col("name"), begin(i) + 1, begin(i + 1) - begin(i)))
-    keys = F.when(n > e, F.transform(F.sequence(F.lit(0), e), piece)).otherwise(F.array(n.cast("string")))
-    return names.withColumn("edits", edits_allowed(n, threshold)).select("name", "mask", F.explode(keys).alias("key"))
+def _sized(names: DataFrame, threshold: float) -> DataFrame:
+    """``names`` as the shorter of a pair, with the edits allowed and the size
+    of pieces: as large as leaves two places to choose from."""
+    n = F.length("name")
+    sized = names.withColumn("edits", edits_allowed(n, threshold))
+    return sized.withColumn("q", F.greatest(F.lit(1), F.floor((n - 2) / (F.col("edits") + 1)).cast("int")))
+
+
+def _grams(size: Column) -> Column:
+    """Every piece of a name of a size, with its place from 0."""
+    return F.transform(F.sequence(F.lit(0), F.length("name") - size), lambda p: F.struct(p.alias("p"), F.substr(F.col("name"), p + 1, size).alias("gram")))
+
+
+def rarest_cut(costs: list[int], pieces: int, size: int) -> list[int]:
+    """So many places, ``size`` apart at least, with the least sum of costs;
+    the first of equal choices."""
+    n = len(costs)
+    # best[j][p]: the least sum of j pieces that start at p or later.
+    best = [[0.0] * (n + size)]
+    for _ in range(pieces):
+        below, row = best[-1], [math.inf] * (n + size)
+        for p in range(n - 1, -1, -1):
+            row[p] = min(row[p + 1], costs[p] + below[p + size])
+        best.append(row)
+    chosen, p = [], 0
+    for j in range(pieces, 0, -1):
+        while best[j][p] != costs[p] + best[j - 1][p + size]:
+            p += 1
+        chosen.append(p)
+        p += size
+    return chosen
+
+
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
+def rarest_places(places: pd.Series, edits: pd.Series, size: pd.Series) -> pd.Series:
+    """:func:`rarest_cut` of each list of (p, n), which has every place p."""
+    return pd.Series([rarest_cut([x["n"] for x in sorted(f, key=lambda x: x["p"])], e + 1, q) for f, e, q in zip(places, edits, size, strict=True)], dtype=object)
 
 
 def _probes(names: DataFrame, threshold: float) -> DataFrame:
-    """(name, mask, key) of names as the longer of a pair: every piece that a
-    shorter similar name could have, at the places it could stand."""
+    """(name2, mask2, q, gram, p2) of names as the longer of a pair: all their
+    pieces of the sizes that similar shorter names are cut into. Names too
+    short for pieces have size 0 and their length."""
     longer = F.length("name")
     least = F.ceil(longer * (threshold / (200 - threshold)) - 1e-9).cast("int")
-    by_length = names.withColumn("n", F.explode(F.sequence(F.greatest(F.lit(1), least), longer))).withColumn("edits", edits_allowed(F.col("n"), threshold))
-    n, e = F.col("n"), F.col("edits")
-    whole = by_length.where(n <= e).select("name", "mask", n.cast("string").alias("key"))
-    begin = lambda i: F.floor(i * n / (e + 1)).cast("int")
-    cut = by_length.where(n > e).withColumn("i", F.explode(F.sequence(F.lit(0), e)))
-    i = F.col("i")
-    cut = cut.withColumn("at", begin(i)).withColumn("size", begin(i + 1) - begin(i))
-    low, high = F.greatest(F.lit(0), F.col("at") - e), F.least(F.col("at") + e, longer - F.col("size"))
-    cut = cut.where(low <= high).withColumn("p", F.explode(F.sequence(low, high)))
-    key = F.concat_ws("\x01", n.cast("string"), i.cast("string"), F.substr(F.col("name"), F.col("p") + 1, F.col("size")))
-    return whole.unionByName(cut.select("name", "mask", key.alias("key"))).distinct()
+    lengths = F.sequence(F.greatest(F.lit(1), least), longer)
+    edits = lambda n: edits_allowed(n, threshold)
+    size = lambda n: F.greatest(F.lit(1), F.floor((n - 2) / (edits(n) + 1)).cast("int"))
+    sizes = F.array_distinct(F.transform(F.filter(lengths, lambda n: n > edits(n)), size))
+    cut = names.withColumn("q", F.explode(sizes)).withColumn("g", F.explode(_grams(F.col("q"))))
+    short = names.withColumn("n", F.explode(F.filter(lengths, lambda n: n <= edits(n))))
+    own = [F.col("name").alias("name2"), F.col("mask").alias("mask2")]
+    return cut.select(*own, "q", "g.gram", F.col("g.p").alias("p2")).unionByName(short.select(*own, F.lit(0).alias("q"), F.col("n").cast("string").alias("gram"), F.lit(0).alias("p2")))
+
+
+def _pieces(names: DataFrame, threshold: float, counts: DataFrame, hot: int) -> DataFrame:
+    """(name, mask, edits, q, gram, p) of names as the shorter of a pair: the
+    rarest pieces by ``counts`` (q, gram, n)."""
+    sized = _sized(names, threshold)
+    cut = sized.where(F.length("name") > F.col("edits"))
+    grams = cut.withColumn("g", F.explode(_grams(F.col("q")))).select("name", "mask", "edits", "q", "g.gram", "g.p")
+    known = counts.select(F.col("q").alias("cq"), F.col("gram").alias("cg"), "n")
+    counted = join_hot(grams, known, (F.col("q") == F.col("cq")) & (F.col("gram") == F.col("cg")), F.col("n") > hot)
+    whole = counted.groupBy("name", "mask", "edits", "q").agg(F.collect_list(F.struct("p", "n")).alias("places"))
+    chosen = whole.select("name", "mask", "edits", "q", F.explode(rarest_places("places", "edits", "q")).alias("p"))
+    picked = chosen.select("name", "mask", "edits", "q", F.substr(F.col("name"), F.col("p") + 1, F.col("q")).alias("gram"), "p")
+    short = sized.where(F.length("name") <= F.col("edits"))
+    return picked.unionByName(short.select("name", "mask", "edits", F.lit(0).alias("q"), F.length("name").cast("string").alias("gram"), F.lit(0).alias("p")))
+
+
+def _in_blocks(pieces: DataFrame, probes: DataFrame, counts: DataFrame, hot: int) -> DataFrame:
+    """Pieces joined with probes of the same (q, gram). Of a piece with more
+    than ``hot`` rows on a side, both sides are dealt into blocks of that many
+    rows, and each block meets each block of the other side in a task."""
+    own = pieces.groupBy(F.col("q").alias("hq"), F.col("gram").alias("hg")).agg(F.count(F.lit(1)).alias("n1"))
+    both = own.join(counts, (F.col("hq") == F.col("q")) & (F.col("hg") == F.col("gram"))).where((F.col("n1") > hot) | (F.col("n") > hot))
+    parts = lambda c: F.ceil(F.col(c) / hot).cast("int")
+    few = F.broadcast(both.select("hq", "hg", parts("n1").alias("b1"), parts("n").alias("b2")))
+    on = (F.col("q") == F.col("hq")) & (F.col("gram") == F.col("hg"))
+
+    def dealt(rows: DataFrame, name: str, mine: str, others: str) -> DataFrame:
+        block = F.pmod(F.xxhash64(name), F.coalesce(F.col(mine), F.lit(1))).cast("int")
+        met = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(others), F.lit(1)) - 1))
+        return rows.join(few, on, "left").withColumn(mine + "k", block).withColumn(others + "k", met).drop("hq", "hg", "b1", "b2")
+
+    return dealt(pieces, "name", "b1", "b2").join(dealt(probes, "name2", "b2", "b1"), ["q", "gram", "b1k", "b2k"])
 
 
 def _any_names(names: DataFrame) -> DataFrame:
@@ -101,41 +172,66 @@ def _any_names(names: DataFrame) -> DataFrame:
     return found.select("name", "mask", "name2", "mask2")
 
 
+def name_candidates(names: DataFrame, threshold: float) -> DataFrame:
+    """(name, mask, name2, mask2): distinct pairs that share a piece near its
+    place, the first not longer; all similar pairs are among them. ``names``
+    are distinct rows of a written table, and so is the result."""
+    probes = _probes(names, threshold)
+    counts = materialized(probes.groupBy("q", "gram").agg(F.count(F.lit(1)).alias("n")))
+    hot = hot_bound(counts.agg(F.sum("n")).first()[0] or 0)
+    pieces = materialized(_pieces(names, threshold, counts, hot))
+    met = _in_blocks(pieces, probes, counts, hot)
+    ordered = (F.length("name") < F.length("name2")) | ((F.length("name") == F.length("name2")) & (F.col("name") < F.col("name2")))
+    near = (F.abs(F.col("p") - F.col("p2")) <= F.col("edits")) & (F.length("name2") <= longest_partner(F.length("name"), threshold))
+    found = materialized(met.where((F.col("mask").bitwiseAND(F.col("mask2")) == 0) & ordered & near).select("name", "mask", "name2", "mask2").distinct())
+    discard(counts, pieces)
+    return found
+
+
 def similar_names(names: DataFrame, threshold: float) -> DataFrame:
     """Pairs (name, mask, name2, mask2) of distinct (name, mask) rows that may
     match by name: no kind of identifier is present in both, and the ratio
     reaches the threshold."""
     names = names.select("name", "mask")
-    equal = names.alias("x").join(names.alias("y"), (F.col("x.name") == F.col("y.name")) & (F.col("x.mask") < F.col("y.mask")) & (F.col("x.mask").bitwiseAND(F.col("y.mask")) == 0))
-    equal = equal.select(F.col("x.name").alias("name"), F.col("x.mask").alias("mask"), F.col("y.name").alias("name2"), F.col("y.mask").alias("mask2"))
     if threshold <= 0:
         return _any_names(names)
-    left, right = _pieces(names, threshold), _probes(names, threshold)
-    right = right.select(F.col("name").alias("name2"), F.col("mask").alias("mask2"), F.col("key").alias("key2"))
-    ordered = (F.length("name") < F.length("name2")) | ((F.length("name") == F.length("name2")) & (F.col("name") < F.col("name2")))
-    pairs = left.join(right, (F.col("key") == F.col("key2")) & (F.col("mask").bitwiseAND(F.col("mask2")) == 0) & ordered)
-    pairs = pairs.select("name", "mask", "name2", "mask2").distinct()
+    pairs = name_candidates(names, threshold)
+    log.info("%d candidates of %d pairs of names", pairs.count(), pairs_compared(names.count()))
     # Edits with substitutions are never more than those without: a bound that
     # leaves few pairs to the exact ratio.
     allowed = F.floor((F.length("name") + F.length("name2")) * ((100 - threshold) / 100) + 1e-9)
     pairs = pairs.where(F.levenshtein("name", "name2") <= allowed)
     scored = pairs.withColumn("ratio", indel_ratio("name", "name2")).where(F.col("ratio") >= threshold)
-    return scored.drop("ratio").unionByName(equal)
+    return scored.drop("ratio").unionByName(_equal_names(names))
+
+
+def _equal_names(names: DataFrame) -> DataFrame:
+    """Pairs of one name under two masks that have no kind in common. A name
+    has eight masks at most, so they meet as one list."""
+    masks = names.groupBy("name").agg(F.collect_set("mask").alias("masks"))
+    each = masks.select("name", F.explode("masks").alias("mask"), "masks").select("name", "mask", F.explode("masks").alias("mask2"))
+    return each.where((F.col("mask") < F.col("mask2")) & (F.col("mask").bitwiseAND(F.col("mask2")) == 0)).select("name", "mask", F.col("name").alias("name2"), "mask2")
 
 
 def name_edges(keys: DataFrame, threshold: float) -> DataFrame:
     """(a, b) edges between profiles of similar names. Of two matching names
     every profile of one is tied to the smallest profile of the other, which
     connects them all, as all pairs would."""
-    named = keys.where("name IS NOT NULL")
-    distinct = materialized(named.groupBy("name", "mask").agg(F.min("id").alias("least")))
+    named = keys.where("name IS NOT NULL").select("id", "name", "mask")
+    distinct = materialized(named.groupBy("name", "mask").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("held")))
+    hot = F.col("held") > hot_bound(distinct.agg(F.sum("held")).first()[0] or 0)
     pairs = materialized(similar_names(distinct, threshold))
-    least = distinct.select(F.col("name").alias("n"), F.col("mask").alias("m"), "least")
-    ways = pairs.unionByName(pairs.select(F.col("name2").alias("name"), F.col("mask2").alias("mask"), F.col("name").alias("name2"), F.col("mask").alias("mask2")))
-    targets = ways.join(least, (F.col("name2") == F.col("n")) & (F.col("mask2") == F.col("m"))).select(F.col("name").alias("n1"), F.col("mask").alias("m1"), "least")
-    across = named.join(targets, (F.col("name") == F.col("n1")) & (F.col("mask") == F.col("m1"))).select(F.col("least").alias("a"), F.col("id").alias("b"))
-    free = named.where("mask = 0").join(least.where("m = 0"), F.col("name") == F.col("n")).where("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b"))
-    return across.unionByName(free)
+    least = distinct.select(F.col("name").alias("n"), F.col("mask").alias("m"), "least", "held")
+    ways = pairs.unionByName(pairs.select(F.col("name2").alias("name"), F.col("mask2").alias("mask"), F.col("name").alias("name2"), F.col("mask2").alias("mask2")))
+    # One row a name: the least profile of all names that it matches is enough
+    # for all its profiles; the names themselves are tied by their least ones.
+    targets = ways.join(least.select("n", "m", F.col("least").alias("other")), (F.col("name2") == F.col("n")) & (F.col("mask2") == F.col("m"))).select("name", "mask", "other")
+    nearest = targets.groupBy(F.col("name").alias("n1"), F.col("mask").alias("m1")).agg(F.min("other").alias("other"))
+    nearest = materialized(nearest.join(least.select("n", "m", "held"), (F.col("n1") == F.col("n")) & (F.col("m1") == F.col("m"))).select("n1", "m1", "other", "held"))
+    across = join_hot(named, nearest, (F.col("name") == F.col("n1")) & (F.col("mask") == F.col("m1")), hot).select(F.col("other").alias("a"), F.col("id").alias("b"))
+    between = targets.join(least, (F.col("name") == F.col("n")) & (F.col("mask") == F.col("m"))).select(F.col("other").alias("a"), F.col("least").alias("b"))
+    free = join_hot(named.where("mask = 0"), least.where("m = 0"), F.col("name") == F.col("n"), hot).where("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b"))
+    return across.unionByName(between).unionByName(free)
 
 
 def match(profiles: DataFrame, threshold: float = 90.0) -> DataFrame:

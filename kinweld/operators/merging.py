@@ -2,18 +2,25 @@
 
 Profiles of a person are ordered by (source rank, temporary id, input order).
 Scalars take the first value in that order (the longest for names);
-collections are united, the first spelling first. Everything is an
-aggregation over exploded rows with partial aggregates, keyed by the person
-and the value, so a person with very many records costs one row per distinct
-value in the end.
+collections are united, the first spelling first.
+
+All of it is one pass: profiles meet by person in one exchange, there each is
+exploded into rows tagged by what they contribute (a scalar, a value of a list,
+an item, a piece of evidence, an identifier), rows of one person, tag and key
+become one, and these are gathered by person. Both aggregations keep the
+exchange's partitioning, and sort and spill where a person is large; a person
+with very many records costs one row for each distinct value in the end.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinweld.functions.normalize import casefold
+from kinweld.functions.normalize import casefold, let
 from kinweld.functions.tables import ID_NAMESPACE, METHOD_RELIABILITY, SOURCE_RANK, SOURCE_RELIABILITY, UNKNOWN_METHOD, UNKNOWN_RANK, UNKNOWN_SOURCE
 from kinweld.operators.matching import link_values
 
@@ -28,78 +35,143 @@ def priority(source: Column, tmp_id: Column, at: Column) -> Column:
     return F.struct(constants(SOURCE_RANK, source, UNKNOWN_RANK).alias("rank"), tmp_id.alias("tmp_id"), at.alias("at"))
 
 
-def first_value(value: Column, order: Column) -> Column:
-    """The first value that isn't null."""
-    return F.min_by(value, F.when(value.isNotNull(), order))
+#: Keys and contents of a tagged row; what isn't needed is null.
+KEYS = [f"k{i}" for i in range(1, 6)]
+CELLS = [f"c{i}" for i in range(1, 6)]
+
+
+def tagged(tag: str, keys: list[Column] = (), cells: list[Column] = (), minor: Column | None = None, pos: Column | None = None, longest: bool = False) -> Column:
+    """What a profile contributes: of rows of one person, tag and keys, each
+    cell is the first one (or the longest one) that isn't null."""
+    none = F.lit(None).cast("string")
+    named = [c.alias(n) for names, given in ((KEYS, keys), (CELLS, cells)) for n, c in zip(names, [*given, *[none] * 5][:5], strict=True)]
+    zero = F.lit(0)
+    return F.struct(F.lit(tag).alias("tag"), (zero if minor is None else minor).alias("minor"), (zero if pos is None else pos).alias("pos"), F.lit(longest).alias("longest"), *named)
+
+
+@dataclass(frozen=True)
+class Part:
+    """A column of merged people: the rows that a profile gives to it, as an
+    array, and how a person's rows are gathered."""
+
+    name: str
+    rows: Column
+    gathered: Column
+
+
+def collapse(profiles: DataFrame, parts: list[Part]) -> DataFrame:
+    """person and the parts, from profiles with person and o (their order)."""
+    empty = F.array().cast(profiles.select(parts[0].rows.alias("r")).schema["r"].dataType)
+    rows = F.concat(*[F.coalesce(p.rows, empty) for p in parts])
+    each = profiles.select("person", "o", F.explode(rows).alias("t")).select("person", F.struct("o", "t.minor", "t.pos").alias("place"), "t.tag", "t.longest", *[f"t.{c}" for c in (*KEYS, *CELLS)])
+    best = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.struct(F.when(F.col("longest"), -F.length(c)).otherwise(0).alias("n"), F.col("place").alias("p"))))
+    one = each.groupBy("person", "tag", *KEYS).agg(F.min("place").alias("place"), *[best(c).alias(c) for c in CELLS])
+    return one.groupBy("person").agg(*[p.gathered.alias(p.name) for p in parts])
+
+
+def _of(tag: str, value: Column) -> Column:
+    """A person's values under a tag."""
+    return F.collect_list(F.when(F.col("tag") == tag, value))
+
+
+def _in_order(tag: str, value: Column) -> Column:
+    return F.transform(F.array_sort(_of(tag, F.struct(F.col("place").alias("p"), value.alias("x")))), lambda s: s["x"])
 
 
-def first_member(struct: str, member: str, order: Column) -> Column:
-    """The first value of a struct's member that isn't null; '' hides later
-    values but is itself none."""
-    return F.nullif(first_value(F.col(struct)[member], order), F.lit(""))
+def _only(tag: str, cell: str = "c1") -> Column:
+    """The cell of the one row that a person has under a tag."""
+    return F.max(F.when(F.col("tag") == tag, F.col(cell)))
 
 
-def longest_name(name: Column, order: Column) -> Column:
-    key = F.struct((-F.length(name)).alias("n"), order.alias("o"), casefold(name).alias("c"))
-    return F.min_by(name, F.when(F.coalesce(name, F.lit("")) != "", key))
+def scalar_part(name: str, value: Column, longest: bool = False) -> Part:
+    return Part(name, F.array(tagged(name, cells=[value], longest=longest)), _only(name))
+
+
+def list_part(values: str, name: str | None = None) -> Part:
+    rows = F.transform(F.filter(F.col(values), lambda v: v.isNotNull()), lambda v, i: tagged(values, [casefold(v)], [v], pos=i))
+    return Part(name or values, rows, _in_order(values, F.col("c1")))
+
+
+def item_part(items: str, key: Callable[[Column], list[Column]], fields: list[str]) -> Part:
+    """Items with one key are one, placed where the first stood, each field
+    the longest of its texts (the earliest of those)."""
+    rows = F.transform(F.col(items), lambda x, i: tagged(items, key(x), [F.nullif(x[f], F.lit("")) for f in fields], pos=i, longest=True))
+    whole = F.struct(*[F.col(c).alias(f) for c, f in zip(CELLS, fields, strict=True)])
+    return Part(items, rows, _in_order(items, whole))
 
 
 def united(rows: DataFrame, values: str, name: str) -> DataFrame:
     """(person, name): the values of all profiles in order, the first of each
     spelling. ``rows`` has person, o (the order) and the array ``values``."""
-    each = rows.select("person", "o", F.posexplode(values).alias("pos", "v"))
-    distinct = each.groupBy("person", casefold(F.col("v")).alias("k")).agg(F.min(F.struct("o", "pos", "v")).alias("s"))
-    return distinct.groupBy("person").agg(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["v"]).alias(name))
-
-
-def _blank(c: str) -> Column:
-    return F.coalesce(F.col(c), F.lit(""))
+    return collapse(rows, [list_part(values, name)]).where(F.size(name) > 0)
 
 
-def coalesced(rows: DataFrame, items: str, key: list[Column], fields: list[str]) -> DataFrame:
-    """(person, items): items with one key are one, placed where the first
-    stood, each field the longest of its texts (the earliest of those)."""
-    each = rows.select("person", "o", F.posexplode(items).alias("pos", "x")).select("person", F.struct("o", "pos").alias("p"), "x.*")
-    longest = [F.min_by(F.col(f), F.when(_blank(f) != "", F.struct((-F.length(f)).alias("n"), F.col("p").alias("p")))).alias(f) for f in fields]
-    keyed = each.groupBy("person", *[k.alias(f"k{i}") for i, k in enumerate(key)]).agg(F.min("p").alias("p"), *longest)
-    made = F.struct("p", F.struct(*fields).alias("x"))
-    return keyed.groupBy("person").agg(F.transform(F.array_sort(F.collect_list(made)), lambda s: s["x"]).alias(items))
+def _blank(c: Column) -> Column:
+    return F.coalesce(c, F.lit(""))
 
 
-def experience_key() -> list[Column]:
-    return [casefold(F.col("company")), casefold(_blank("title")), _blank("start_date")]
+def experience_key(x: Column) -> list[Column]:
+    return [casefold(x["company"]), casefold(_blank(x["title"])), _blank(x["start_date"])]
 
 
-def education_key() -> list[Column]:
-    return [casefold(F.col("institution")), casefold(_blank("degree"))]
+def education_key(x: Column) -> list[Column]:
+    return [casefold(x["institution"]), casefold(_blank(x["degree"]))]
 
 
 EXPERIENCE_FIELDS = ["company", "title", "start_date", "end_date", "description"]
 EDUCATION_FIELDS = ["institution", "degree", "field_of_study", "start_date", "end_date"]
 
 
+def experience_part() -> Part:
+    return item_part("experience", experience_key, EXPERIENCE_FIELDS)
+
+
+def education_part() -> Part:
+    return item_part("education", education_key, EDUCATION_FIELDS)
+
+
+def coalesced(rows: DataFrame, part: Part) -> DataFrame:
+    """(person, items) of an item part alone."""
+    return collapse(rows, [part]).where(F.size(part.name) > 0)
+
+
+SAME = ["source", "source_id", "method", "original_field", "value"]
+
+
+def evidence_part() -> Part:
+    """Evidence, repeats of one record left out wherever they stand: per
+    field, in order; fields in order of their first evidence. Also what
+    scoring needs of each field."""
+    rows = F.transform("evidence", lambda e, i: tagged("evidence", [e[c] for c in SAME], [e["field"]], e["field_ord"], i))
+    whole = F.struct(F.col("place").alias("place"), F.struct(F.col("c1").alias("field"), F.col("place.minor").alias("field_ord"), *[F.col(k).alias(c) for k, c in zip(KEYS, SAME, strict=True)]).alias("e"))
+
+    def entry(field: Column, es: Column) -> Column:
+        trust = lambda values, key, other: F.array_max(F.transform(es, lambda s: constants(values, s["e"][key], other)))
+        return F.struct(
+            F.get(es, F.lit(0))["place"].alias("first"),
+            field.alias("field"),
+            F.transform(es, lambda s: s["e"]).alias("records"),
+            trust(SOURCE_RELIABILITY, "source", UNKNOWN_SOURCE).alias("source_trust"),
+            trust(METHOD_RELIABILITY, "method", UNKNOWN_METHOD).alias("method_trust"),
+            F.size(F.array_distinct(F.transform(es, lambda s: s["e"]["source"]))).alias("sources"),
+        )
+
+    def by_field(all_: Column) -> Column:
+        fields = F.array_distinct(F.transform(all_, lambda s: s["e"]["field"]))
+        return F.transform(fields, lambda f: let(F.filter(all_, lambda s: s["e"]["field"] == f), lambda es: entry(f, es)))
+
+    return Part("provenance", rows, let(F.array_sort(_of("evidence", whole)), by_field))
+
+
+def provenance(rows: DataFrame) -> DataFrame:
+    """(person, provenance) of profiles with person, o and evidence."""
+    return collapse(rows, [evidence_part()])
+
+
 def distinct_evidence(rows: DataFrame) -> DataFrame:
-    """Evidence rows of each person, repeats of one record left out wherever
-    they stand: person, field, first (its place), e (the evidence)."""
-    each = rows.select("person", "o", F.posexplode("evidence").alias("pos", "e"))
-    same = ["source", "source_id", "method", "original_field", "value"]
-    place = F.struct("o", F.col("e.field_ord").alias("field_ord"), "pos").alias("place")
-    kept = each.groupBy("person", *[F.col(f"e.{c}").alias(c) for c in same]).agg(F.min(F.struct(place, F.col("e").alias("e"))).alias("s"))
-    return kept.select("person", F.col("s.e.field").alias("field"), F.col("s.place").alias("place"), F.col("s.e").alias("e"))
-
-
-def provenance(evidence: DataFrame) -> DataFrame:
-    """(person, provenance): per field, evidence in order; fields in order of
-    their first evidence. Also what scoring needs of each field."""
-    by_field = evidence.groupBy("person", "field").agg(
-        F.min("place").alias("first"),
-        F.array_sort(F.collect_list(F.struct("place", "e"))).alias("es"),
-        F.max(constants(SOURCE_RELIABILITY, F.col("e.source"), UNKNOWN_SOURCE)).alias("source_trust"),
-        F.max(constants(METHOD_RELIABILITY, F.col("e.method"), UNKNOWN_METHOD)).alias("method_trust"),
-        F.size(F.collect_set("e.source")).alias("sources"),
-    )
-    entry = F.struct("first", "field", F.transform("es", lambda s: s["e"]).alias("records"), "source_trust", "method_trust", "sources")
-    return by_field.groupBy("person").agg(F.array_sort(F.collect_list(entry)).alias("provenance"))
+    """Evidence as rows: person, field, e."""
+    each = provenance(rows).select("person", F.explode("provenance").alias("p"))
+    return each.select("person", "p.field", F.explode("p.records").alias("e"))
 
 
 def uuid5_hex(name: Column) -> Column:
@@ -114,44 +186,63 @@ def identifiers(emails: Column, phones: Column, links: Column) -> Column:
     return F.concat(named("email", emails), named("phone", phones), named("link", links))
 
 
-def person_ids(rows: DataFrame) -> DataFrame:
-    """(person, candidate_id) from all identifiers of a person, or else all
-    names, or else all temporary ids."""
+def id_part() -> Part:
+    """candidate_id from all identifiers of a person, or else all names, or
+    else all temporary ids."""
     some = identifiers(F.col("emails"), F.col("phones"), link_values(F.col("links")))
-    named = F.array_compact(F.array(F.when(F.coalesce("full_name", F.lit("")) != "", F.concat(F.lit("name:"), casefold(F.col("full_name"))))))
-    kinds = F.array(F.struct(F.lit(0).alias("k"), some.alias("vs")), F.struct(F.lit(1).alias("k"), named.alias("vs")), F.struct(F.lit(2).alias("k"), F.array("tmp_id").alias("vs")))
-    each = rows.select("person", F.explode(kinds).alias("s")).select("person", "s.k", F.explode("s.vs").alias("v")).distinct()
-    grouped = each.groupBy("person", "k").agg(F.array_join(F.array_sort(F.collect_list("v")), "|").alias("key"))
-    best = grouped.groupBy("person").agg(F.min_by("key", "k").alias("key"))
-    return best.select("person", F.concat(F.lit("cand_"), uuid5_hex(F.col("key"))).alias("candidate_id"))
+    named = F.when(_blank(F.col("full_name")) != "", F.array(F.concat(F.lit("name:"), casefold(F.col("full_name")))))
+    kinds = {"id": some, "id by name": named, "id by record": F.array("tmp_id")}
+    empty = F.array().cast("array<string>")
+    keyed = lambda tag, vs: F.transform(F.coalesce(vs, empty), lambda v: tagged(tag, [v]))
+    rows = F.concat(*[keyed(tag, vs) for tag, vs in kinds.items()])
+    joined = [let(_of(tag, F.col("k1")), lambda vs: F.when(F.size(vs) > 0, F.array_join(F.array_sort(vs), "|"))) for tag in kinds]
+    return Part("candidate_id", rows, F.concat(F.lit("cand_"), uuid5_hex(F.coalesce(*joined))))
+
+
+def person_ids(rows: DataFrame) -> DataFrame:
+    """(person, candidate_id) of profiles with person and o."""
+    return collapse(rows, [id_part()])
+
+
+def primary_part() -> Part:
+    """The first record of a person."""
+    return Part("primary", F.array(tagged("primary", cells=[F.col("source"), F.col("source_id")])), F.struct(_only("primary").alias("source"), _only("primary", "c2").alias("source_id")))
+
+
+def member(name: str) -> Column:
+    """A member of a merged struct: '' hides later values but is itself none."""
+    return F.nullif(F.col(name), F.lit("")).alias(name)
+
+
+PLACE, LINKS = ("city", "region", "country"), ("linkedin", "github", "portfolio")
+
+
+def parts() -> list[Part]:
+    """Every column of a person, location and links as single members."""
+    return [
+        scalar_part("full_name", F.nullif(F.col("full_name"), F.lit("")), longest=True),
+        scalar_part("headline", F.col("headline")),
+        scalar_part("years_experience", F.col("years_experience").cast("string")),
+        *[scalar_part(f, F.col("location")[f]) for f in PLACE],
+        *[scalar_part(f, F.col("links")[f]) for f in LINKS],
+        primary_part(),
+        *[list_part(k) for k in ("emails", "phones", "skills")],
+        experience_part(),
+        education_part(),
+        evidence_part(),
+        id_part(),
+    ]
 
 
 def merge(profiles: DataFrame) -> DataFrame:
     """One row per person of profiles that have a column ``person``."""
     order = priority(F.col("source"), F.col("tmp_id"), F.struct("file_ord", "row_ord"))
-    rows = profiles.withColumn("o", order)
-    o = F.col("o")
-    scalars = rows.groupBy("person").agg(
-        longest_name(F.col("full_name"), o).alias("full_name"),
-        first_value(F.col("headline"), o).alias("headline"),
-        first_value(F.col("years_experience"), o).alias("years_experience"),
-        F.struct(*[first_member("location", f, o).alias(f) for f in ("city", "region", "country")]).alias("place"),
-        F.struct(*[first_member("links", f, o).alias(f) for f in ("linkedin", "github", "portfolio")]).alias("links"),
-        F.min_by(F.struct("source", "source_id"), o).alias("primary"),
-    )
-    some = F.coalesce(F.col("place.city"), F.col("place.region"), F.col("place.country")).isNotNull()
-    scalars = scalars.withColumn("location", F.when(some, F.col("place"))).drop("place")
-    parts = [united(rows, k, k) for k in ("emails", "phones", "skills")]
-    parts.append(coalesced(rows, "experience", experience_key(), EXPERIENCE_FIELDS))
-    parts.append(coalesced(rows, "education", education_key(), EDUCATION_FIELDS))
-    parts.append(provenance(distinct_evidence(rows)))
-    parts.append(person_ids(rows))
-    merged = scalars
-    for more in parts:
-        merged = merged.join(more, "person", "left")
-    empty = F.array().cast("array<string>")
-    for k in ("emails", "phones", "skills"):
-        merged = merged.withColumn(k, F.coalesce(k, empty))
-    for k in ("experience", "education"):
-        merged = merged.withColumn(k, F.coalesce(F.col(k), F.array().cast(merged.schema[k].dataType)))
-    return merged
+    rows = profiles.repartition("person").withColumn("o", order)
+    merged = collapse(rows, parts())
+    place = F.struct(*[member(f) for f in PLACE])
+    some = F.coalesce(*[member(f) for f in PLACE]).isNotNull()
+    return merged.select(
+        "person", "full_name", "headline", F.col("years_experience").cast("double").alias("years_experience"),
+        F.struct(*[member(f) for f in LINKS]).alias("links"), "primary", F.when(some, place).alias("location"),
+        "emails", "phones", "skills", "experience", "education", "provenance", "candidate_id",
+    )

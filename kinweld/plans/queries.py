@@ -520,12 +520,12 @@ def grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(GROUPS_SQL + " SELECT person, arg_min(name, (-length(name), rank, tmp_id)) AS name FROM g GROUP BY person")
 def merge_best_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return grouped(spark, sf_dir).groupBy("person").agg(A.longest_name(F.col("full_name"), F.col("o")).alias("name"))
+    return A.collapse(grouped(spark, sf_dir), [A.scalar_part("name", F.nullif(F.col("full_name"), F.lit("")), longest=True)])
 
 
 @query(GROUPS_SQL + " SELECT person, arg_min(email, (rank, tmp_id)) FILTER (email IS NOT NULL) AS email, arg_min(link, (rank, tmp_id)) FILTER (link IS NOT NULL) AS link FROM g GROUP BY person")
 def merge_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return grouped(spark, sf_dir).groupBy("person").agg(A.first_value(F.col("email"), F.col("o")).alias("email"), A.first_value(F.col("links.linkedin"), F.col("o")).alias("link"))
+    return A.collapse(grouped(spark, sf_dir), [A.scalar_part("email", F.col("email")), A.scalar_part("link", F.col("links.linkedin"))])
 
 
 @query(GROUPS_SQL + " SELECT person, string_agg(email, '|' ORDER BY f) AS emails FROM (SELECT person, email, min((rank, tmp_id)) AS f FROM g WHERE email IS NOT NULL GROUP BY person, email) GROUP BY person")
@@ -544,7 +544,7 @@ def merge_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = lambda label, n: F.concat(F.lit(label), (i % n).cast("string"))
     place = F.struct(F.when(i % 4 == 0, text("City ", 9)).when(i % 4 == 1, "").alias("city"), F.when(i % 6 == 0, text("Region ", 7)).alias("region"), F.when(i % 5 == 0, "US").alias("country"))
     rows = grouped(spark, sf_dir).withColumn("location", place)
-    return rows.groupBy("person").agg(*[A.first_member("location", f, F.col("o")).alias(f) for f in ("city", "region", "country")])
+    return A.collapse(rows, [A.scalar_part(f, F.col("location")[f]) for f in A.PLACE]).select("person", *[A.member(f) for f in A.PLACE])
 
 
 @query(GROUPS_SQL + """
@@ -553,7 +553,7 @@ SELECT person, arg_min(link, (rank, tmp_id)) FILTER (link IS NOT NULL) AS linked
 def merge_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     links = F.struct(F.col("link").alias("linkedin"), F.when(F.col("id") % 3 == 0, F.concat(F.lit("https://x.org/"), F.col("id").cast("string"))).alias("github"), F.lit(None).cast("string").alias("portfolio"))
     rows = grouped(spark, sf_dir).withColumn("links", links)
-    return rows.groupBy("person").agg(*[A.first_member("links", f, F.col("o")).alias(f) for f in ("linkedin", "github", "portfolio")])
+    return A.collapse(rows, [A.scalar_part(f, F.col("links")[f]) for f in A.LINKS]).select("person", *[A.member(f) for f in A.LINKS])
 
 
 @query("""
@@ -567,7 +567,7 @@ def merge_experience(spark: SparkSession, sf_dir: str) -> DataFrame:
     none = F.lit(None).cast("string")
     item = F.struct(F.concat(F.lit("Firm "), (F.col("l_suppkey") % 10).cast("string")).alias("company"), F.when(F.col("l_linenumber") % 2 == 0, "Engineer").otherwise("engineer").alias("title"), none.alias("start_date"), none.alias("end_date"), F.when(F.col("l_returnflag") != "N", F.concat("l_linestatus", F.col("l_partkey").cast("string"))).alias("description"))
     rows = li.select((F.col("l_orderkey") % 200).alias("person"), F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").alias("o"), F.array(item).alias("experience"))
-    done = A.coalesced(rows, "experience", A.experience_key(), A.EXPERIENCE_FIELDS)
+    done = A.coalesced(rows, A.experience_part())
     text = F.transform("experience", lambda x: F.concat_ws("/", x["company"], x["title"], F.coalesce(x["description"], F.lit("-"))))
     return done.select("person", F.array_join(text, "|").alias("items"))
 
@@ -582,7 +582,7 @@ def merge_education(spark: SparkSession, sf_dir: str) -> DataFrame:
     none = F.lit(None).cast("string")
     item = F.struct(F.concat(F.lit("Uni "), (F.col("l_suppkey") % 10).cast("string")).alias("institution"), F.when(F.col("l_linenumber") % 3 != 0, "BSc").alias("degree"), F.when(F.col("l_linenumber") % 2 == 0, "Maths").alias("field_of_study"), none.alias("start_date"), none.alias("end_date"))
     rows = li.select((F.col("l_orderkey") % 200).alias("person"), F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").alias("o"), F.array(item).alias("education"))
-    done = A.coalesced(rows, "education", A.education_key(), A.EDUCATION_FIELDS)
+    done = A.coalesced(rows, A.education_part())
     text = F.transform("education", lambda x: F.concat_ws("/", x["institution"], F.coalesce(x["degree"], F.lit("-")), F.coalesce(x["field_of_study"], F.lit("-"))))
     return done.select("person", F.array_join(text, "|").alias("items"))
 
@@ -599,13 +599,13 @@ def candidate_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(GROUPS_SQL + " SELECT person, arg_min(source, (rank, tmp_id)) AS source, arg_min(source_id, (rank, tmp_id)) AS source_id FROM g GROUP BY person")
 def primary_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return grouped(spark, sf_dir).groupBy("person").agg(F.min_by(F.struct("source", "source_id"), "o").alias("p")).select("person", "p.*")
+    return A.collapse(grouped(spark, sf_dir), [A.primary_part()]).select("person", "primary.*")
 
 
 def _evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     mapped = materialized(M.map_records(_records(spark, sf_dir), Engine(spark).countries))
     order = A.priority(F.col("source"), F.col("tmp_id"), F.struct("file_ord", "row_ord"))
-    return A.distinct_evidence(mapped.withColumn("person", (F.col("row_ord") * 2 + F.when(F.col("source") == "ats", 1).otherwise(0)) % 50).withColumn("o", order))
+    return mapped.withColumn("person", (F.col("row_ord") * 2 + F.when(F.col("source") == "ats", 1).otherwise(0)) % 50).withColumn("o", order)
 
 
 EVIDENCE_SQL = GROUPS_SQL + """,
@@ -619,7 +619,7 @@ e AS (
 
 @query(EVIDENCE_SQL + " SELECT person, field, count(*) AS n FROM e GROUP BY person, field")
 def merge_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _evidence(spark, sf_dir).groupBy("person", "field").agg(F.count(F.lit(1)).alias("n"))
+    return A.distinct_evidence(_evidence(spark, sf_dir)).groupBy("person", "field").agg(F.count(F.lit(1)).alias("n"))
 
 
 # --- scoring, projection, validation ---------------------------------------------

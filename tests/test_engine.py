@@ -110,6 +110,66 @@ def test_name_join_loses_nothing(spark, threshold):
     assert got == want
 
 
+def test_rarest_cut():
+    import random
+    from itertools import combinations_with_replacement
+
+    rng = random.Random(4)
+    for _ in range(200):
+        size, pieces = rng.randint(1, 3), rng.randint(1, 3)
+        costs = [rng.randint(0, 5) for _ in range(size * pieces + rng.randint(0, 4) - size + 1)]
+        ways = [w for w in combinations_with_replacement(range(len(costs)), pieces) if all(b - a >= size for a, b in zip(w, w[1:]))]
+        got = J.rarest_cut(costs, pieces, size)
+        assert tuple(got) in ways and sum(costs[p] for p in got) == min(sum(costs[p] for p in w) for w in ways)
+
+
+def skewed_people():
+    """A third with one email and one name, another name near it, others."""
+    rows = [(k, ["hot@x.io"] if k % 3 == 0 else [f"p{k // 2}@x.io"] if k % 5 else [], ["+1"] if k % 7 == 0 else [], None, ["Maria Lopez", "Maria Lopes", f"Person {k // 4} abc"][k % 3]) for k in range(300)]
+    return rows + [(300, [], [], None, "Lopez Maria"), (301, [], [], None, "lopez  maria")]
+
+
+@pytest.mark.parametrize("hot", [5, 1000])
+def test_hot_values_and_names(spark, monkeypatch, hot):
+    """The same components whichever values count as hot."""
+    monkeypatch.setattr(J, "hot_bound", lambda n: hot)
+    rows = skewed_people()
+    parent = {r[0]: r[0] for r in rows}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in combinations(rows, 2):
+        x, y = (" ".join(sorted(r[4].casefold().split())) for r in (a, b))
+        blocked = any(p and q for p, q in zip(a[1:4], b[1:4], strict=True))
+        if set(a[1]) & set(b[1]) or set(a[2]) & set(b[2]) or (not blocked and 200 * lcs_length(x, y) / (len(x) + len(y)) >= 90):
+            low, high = sorted((root(a[0]), root(b[0])))
+            parent[high] = low
+    found = {r["id"]: r["component"] for r in J.match(profiles(spark, rows)).collect()}
+    assert found == {k: root(k) for k in parent}
+
+
+def test_hot_values_stay_where_they_are(spark, monkeypatch):
+    """Rows of a hot value join by broadcast; only the others are shuffled."""
+    monkeypatch.setattr(J, "hot_bound", lambda n: 50)
+    edges = J.identifier_edges(profiles(spark, skewed_people()), "emails")
+    text = edges._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text
+    shared = [r for r in skewed_people() if r[1] == ["hot@x.io"]]
+    assert edges.where("a = 0").count() == len(shared) - 1
+
+
+def test_frequent_pieces_meet_in_blocks(spark, monkeypatch):
+    """With one row a block, every pair of blocks of a piece meets once."""
+    names = sorted({f"maria {a}{b} lopez" for a in "abcdefgh" for b in "abcdefgh"})
+    given = spark.createDataFrame([(n, 0) for n in names], "name string, mask int")
+    monkeypatch.setattr(J, "hot_bound", lambda n: 3)
+    pairs = [tuple(sorted((r["name"], r["name2"]))) for r in J.similar_names(given, 90.0).collect()]
+    assert len(pairs) == len(set(pairs)) and set(pairs) == set(combinations(names, 2)) - {p for p in combinations(names, 2) if 200 * lcs_length(*p) / (len(p[0]) + len(p[1])) < 90}
+
+
 def test_components_of_a_chain(spark):
     nodes = spark.range(40)
     edges = spark.createDataFrame([(k, k + 1) for k in range(30)], "a long, b long")
