@@ -36,7 +36,7 @@ compared block by block in tasks of their own. Connected components of the
 verified links give the result; links between sets that are in one component
 already are not looked for.
 
-Texts to verify are found by id and checksum. A bitmap of the wanted ids, of
+Texts to verify are found by id and digest. A bitmap of the wanted ids, of
 at most 2 to the power ``MAP_BITS`` bits whatever their number, is broadcast and
 drops most other documents before the join.
 
@@ -59,7 +59,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinweld.llm.common import any_row, byte_texts, discard, fresh, release, released, slices, table, written
@@ -340,7 +340,7 @@ def may_link(a: bytes, b: bytes, n: int, m: int) -> bool:
 
 # --- the plan ----------------------------------------------------------------
 
-SETS = "doc_id long, crc long, n_shingles long, d long, e long, sketch binary, first boolean, probe array<long>"
+SETS = "doc_id long, body binary, n_shingles long, d long, e long, sketch binary, first boolean, probe array<long>"
 
 
 def halves(tokens: np.ndarray) -> tuple[int, int]:
@@ -372,8 +372,13 @@ def set_table(docs: DataFrame) -> DataFrame:
     return keyed(docs).mapInArrow(released(run), SETS)
 
 
+def body_of(text: str) -> Column:
+    """128 bits that stand for a text (null counts as empty)."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+
+
 def keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("crc"), "text")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), body_of("text").alias("body"), "text")
 
 
 def planned(sets: DataFrame) -> tuple[tuple[np.ndarray, np.ndarray], int]:
@@ -466,37 +471,37 @@ def _match(part: pd.DataFrame) -> pd.DataFrame:
 
 
 def wanted(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows (doc_id, crc, text) of ``docs`` that may be in ``ids`` (c): those
-    whose checksum has its bit in a map of all wanted ones. The map has at most
+    """Rows (doc_id, body, text) of ``docs`` that may be in ``ids`` (c): those
+    whose digest has its bit in a map of all wanted ones. The map has at most
     2 to the power MAP_BITS bits, however many ids there are."""
     bit = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << MAP_BITS))
     places = ids.select(bit("c").alias("p")).distinct()
     rows = places.groupBy(F.shiftright("p", 15).alias("page")).agg(F.bitmap_construct_agg(F.col("p").bitwiseAND(32767)).alias("map"))
-    found = keyed(docs).withColumn("p", bit("crc")).join(F.broadcast(rows), F.shiftright("p", 15) == F.col("page"))
+    found = keyed(docs).withColumn("p", bit("body")).join(F.broadcast(rows), F.shiftright("p", 15) == F.col("page"))
     at = F.col("p").bitwiseAND(32767)
     byte = F.conv(F.hex(F.substring("map", F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     power = F.element_at(F.array(*[F.lit(1 << k) for k in range(8)]), at.bitwiseAND(7).cast("int") + 1)
-    return found.where(byte.bitwiseAND(power) != 0).select("doc_id", "crc", "text")
+    return found.where(byte.bitwiseAND(power) != 0).select("doc_id", "body", "text")
 
 
 def fetch(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(k, text) of the nodes in ``ids`` (k, i, c), by id and checksum. Texts
-    without an id are found by their checksum alone."""
+    """(k, text) of the nodes in ``ids`` (k, i, c), by id and digest. Texts
+    without an id are found by their digest alone, which stands for one text."""
     ids = ids.distinct()
     rows = wanted(docs, ids)
-    found = rows.join(ids.hint("shuffle_hash"), (F.col("doc_id") == F.col("i")) & (F.col("crc") == F.col("c"))).select("k", "crc", "text")
-    bare = rows.where("doc_id IS NULL").join(ids.where("i IS NULL").hint("shuffle_hash"), F.col("crc") == F.col("c")).select("k", "crc", "text")
+    found = rows.join(ids.hint("shuffle_hash"), (F.col("doc_id") == F.col("i")) & (F.col("body") == F.col("c"))).select("k", "body", "text")
+    bare = rows.where("doc_id IS NULL").join(ids.where("i IS NULL").hint("shuffle_hash"), F.col("body") == F.col("c")).select("k", "body", "text")
     return found.unionByName(bare).groupBy("k").agg(F.max("text").alias("text"))
 
 
 def near_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs (a, b) of class digests that may link by size and sketch, as
-    (u, v) of the classes' nodes with their ids and checksums."""
-    side = lambda x, y: classes.select(F.col("d").alias(x), *[F.col(c).alias(c + y) for c in ("node", "rep", "crc", "n", "sketch")])
+    (u, v) of the classes' nodes with their ids and digests."""
+    side = lambda x, y: classes.select(F.col("d").alias(x), *[F.col(c).alias(c + y) for c in ("node", "rep", "body", "n", "sketch")])
     named = pairs.join(side("a", "_a").hint("merge"), "a").join(side("b", "_b").hint("merge"), "b")
     sizes = PERCENT[1] * F.least("n_a", "n_b") >= PERCENT[0] * F.greatest("n_a", "n_b")
     named = named.where(sizes & (F.col("node_a") != F.col("node_b")))
-    out = ["node_a", "rep_a", "crc_a", "node_b", "rep_b", "crc_b"]
+    out = ["node_a", "rep_a", "body_a", "node_b", "rep_b", "body_b"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -504,14 +509,14 @@ def near_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
             hit = [may_link(*row) for row in zip(x, y, n, m, strict=True)]
             yield batch.select(range(6)).filter(pa.array(hit, pa.bool_()))
 
-    return named.select(*out, "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(released(run), ", ".join(f"{c} long" for c in out))
+    return named.select(*out, "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(released(run), ", ".join(f"{c} binary" if c.startswith("body") else f"{c} long" for c in out))
 
 
 def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) of class digests whose texts link, as (u, v) of the
     classes' nodes. Texts of representatives are compared, word by word."""
     named = written(near_pairs(pairs, classes))
-    ids = named.selectExpr("node_a AS k", "rep_a AS i", "crc_a AS c").unionByName(named.selectExpr("node_b AS k", "rep_b AS i", "crc_b AS c"))
+    ids = named.selectExpr("node_a AS k", "rep_a AS i", "body_a AS c").unionByName(named.selectExpr("node_b AS k", "rep_b AS i", "body_b AS c"))
     texts = written(fetch(docs, ids))
     # The text of the leaf comes first: a leaf has few pairs, a centre may have many.
     right = named.select("node_a", "node_b").join(texts.select(F.col("k").alias("node_b"), F.col("text").alias("tb")).hint("merge"), "node_b")
@@ -601,7 +606,7 @@ def apart_pairs(group: pa.RecordBatch) -> Iterator[tuple[int, int]]:
         lo = hi
 
 
-MEMBERS = "a long, p long, q long, n long, node long, comp long, block long, rep long, crc long, sketch binary"
+MEMBERS = "a long, p long, q long, n long, node long, comp long, block long, rep long, body binary, sketch binary"
 
 
 def active(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -656,7 +661,7 @@ def across_links(stars: DataFrame, classes: DataFrame, parts: DataFrame, docs: D
     largest = each.groupBy("a").agg(F.max(F.struct("n", "size", "comp")).alias("m"), F.sum("n").alias("many"), F.sum("size").alias("size")).where("m.n < many")
     dealt = lambda n, size: F.greatest(F.ceil(n / BLOCK_SETS), F.ceil(size / BLOCK_SHINGLES)).cast("long")
     split = largest.select("a", F.col("m.comp").alias("major"), dealt(F.col("m.n"), F.col("m.size")).alias("x"), dealt(F.col("many") - F.col("m.n"), F.col("size") - F.col("m.size")).alias("y"))
-    members = placed.drop("n").join(split, "a").join(classes.select("d", "n", "node", "rep", "crc", "sketch").hint("merge"), "d")
+    members = placed.drop("n").join(split, "a").join(classes.select("d", "n", "node", "rep", "body", "sketch").hint("merge"), "d")
     major, x, y = F.col("comp") == F.col("major"), F.col("x"), F.col("y")
     block = F.when(major, F.pmod(F.xxhash64("d"), x)).otherwise(x + F.pmod(F.xxhash64("d"), y))
     spread = members.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.when(major, x).otherwise(0), x + y - 1)))
@@ -665,7 +670,7 @@ def across_links(stars: DataFrame, classes: DataFrame, parts: DataFrame, docs: D
     order = ["a", "p", "q", "n", "node"]
     rows = rows.repartition(parallel, "a", "p", "q").sortWithinPartitions(*order)
     found = written(rows.mapInArrow(released(active), MEMBERS))
-    texts = written(fetch(docs, found.selectExpr("node AS k", "rep AS i", "crc AS c")))
+    texts = written(fetch(docs, found.selectExpr("node AS k", "rep AS i", "body AS c")))
     held = found.join(texts.withColumnRenamed("k", "node").hint("merge"), "node").select([c.split()[0] for c in MEMBERS.split(", ")] + ["text"])
     held = held.repartition(parallel, "a", "p", "q").sortWithinPartitions(*order)
     links = written(held.mapInArrow(released(spanned), "u long, v long").distinct())
@@ -674,12 +679,12 @@ def across_links(stars: DataFrame, classes: DataFrame, parts: DataFrame, docs: D
 
 
 def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(classes with the id and checksum of their component, set table)."""
+    """(classes with the id and digest of their component, set table)."""
     spark = docs.sparkSession
     sets = written(set_table(docs))
-    rep = F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "crc", "n_shingles", "sketch")).alias("r")
+    rep = F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "body", "n_shingles", "sketch")).alias("r")
     grouped = sets.where("d IS NOT NULL").groupBy("d", "e").agg(rep)
-    classes = written(grouped.select(F.monotonically_increasing_id().alias("node"), "d", "e", F.col("r.n_shingles").alias("n"), F.col("r.doc_id").alias("rep"), F.col("r.crc").alias("crc"), F.col("r.sketch").alias("sketch")))
+    classes = written(grouped.select(F.monotonically_increasing_id().alias("node"), "d", "e", F.col("r.n_shingles").alias("n"), F.col("r.doc_id").alias("rep"), F.col("r.body").alias("body"), F.col("r.sketch").alias("sketch")))
     plan, rows = planned(sets)
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // BUCKET_ROWS))
     pairs = written(blocks(docs, plan, buckets).groupBy("bucket").applyInPandas(_match, "a long, b long").distinct())
@@ -693,24 +698,24 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         parts = components(links.unionByName(more).distinct())
     discard(pairs, more, links)
     # Nodes are numbers without meaning; a component is named by its least id.
-    names = parts.join(classes.select("node", "rep", "crc"), "node")
-    least = names.groupBy("component").agg(F.min(F.struct(F.col("rep").isNull().alias("z"), "rep", "crc")).alias("low"))
+    names = parts.join(classes.select("node", "rep", "body"), "node")
+    least = names.groupBy("component").agg(F.min(F.struct(F.col("rep").isNull().alias("z"), "rep", "body")).alias("low"))
     named = parts.join(least, "component").select("node", "low")
     final = classes.drop("sketch").join(named, "node", "left")
     own = F.col("low").isNull()
-    final = written(final.select("d", "e", F.when(own, F.col("rep")).otherwise(F.col("low.rep")).alias("component_id"), F.when(own, F.col("crc")).otherwise(F.col("low.crc")).alias("component_crc")))
+    final = written(final.select("d", "e", F.when(own, F.col("rep")).otherwise(F.col("low.rep")).alias("component_id"), F.when(own, F.col("body")).otherwise(F.col("low.body")).alias("component_body")))
     discard(parts, classes)
     return final, sets
 
 
 def placed_rows(docs: DataFrame) -> DataFrame:
-    """doc_id, crc, n_shingles, component_id and component_crc, the id and the
-    text's checksum of the first row of the component, of every row."""
+    """doc_id, body, n_shingles, component_id and component_body, the id and the
+    text's digest of the first row of the component, of every row."""
     classes, sets = linked(docs)
     c = classes.withColumnsRenamed({"d": "cd", "e": "ce"})
     joined = sets.drop("sketch", "first", "probe").join(c.hint("merge"), (F.col("d") == F.col("cd")) & (F.col("e") == F.col("ce")), "left")
     own = lambda mine, other: F.when(F.col("d").isNull(), F.col(mine)).otherwise(F.col(other)).alias(other)
-    return joined.select("doc_id", "crc", "n_shingles", own("doc_id", "component_id"), own("crc", "component_crc"))
+    return joined.select("doc_id", "body", "n_shingles", own("doc_id", "component_id"), own("body", "component_body"))
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -720,13 +725,13 @@ def report(docs: DataFrame) -> DataFrame:
 
 def keep(docs: DataFrame) -> DataFrame:
     """One document of each component (the smallest id, of its texts the one
-    with the smallest checksum), with all columns. Rows with a null id can't be
+    with the smallest digest), with all columns. Rows with a null id can't be
     told apart by it and stay."""
-    found = written(placed_rows(docs)).where("doc_id IS NULL OR doc_id = component_id AND crc = component_crc")
-    i, c, r = (fresh(docs, f"keep_{x}") for x in ("id", "crc", "rows"))
-    ids = found.groupBy("doc_id", "crc").agg(F.count(F.lit(1)).alias(r)).withColumnsRenamed({"doc_id": i, "crc": c})
-    crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
-    joined = docs.join(ids.hint("shuffle_hash"), F.col("doc_id").cast("long").eqNullSafe(F.col(i)) & (crc == F.col(c)))
+    found = written(placed_rows(docs)).where("doc_id IS NULL OR doc_id = component_id AND body = component_body")
+    i, c, r = (fresh(docs, f"keep_{x}") for x in ("id", "body", "rows"))
+    ids = found.groupBy("doc_id", "body").agg(F.count(F.lit(1)).alias(r)).withColumnsRenamed({"doc_id": i, "body": c})
+    body = body_of("text")
+    joined = docs.join(ids.hint("shuffle_hash"), F.col("doc_id").cast("long").eqNullSafe(F.col(i)) & (body == F.col(c)))
     single = joined.where((F.col(r) == 1) | F.col("doc_id").isNull()).select(*docs.columns)
     repeated = any_row(joined.where((F.col(r) > 1) & F.col("doc_id").isNotNull()), i, c).select(*docs.columns)
     return single.unionByName(repeated)

@@ -223,6 +223,27 @@ def test_jaccard_null_and_repeated_ids(spark):
     assert kept == Counter({rows[0]: 1, rows[1]: 2, rows[4]: 1, rows[5]: 1, rows[8]: 1}), kept
 
 
+def colliding(a, b):
+    """Endings that give two texts one CRC-32."""
+    rng = random.Random(1)
+    endings = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", k=9)) for _ in range(300_000)]
+    seen = {zlib.crc32(f" {e}".encode(), zlib.crc32(a.encode())): e for e in endings}
+    found = next((seen[h], e) for e in endings if (h := zlib.crc32(f" {e}".encode(), zlib.crc32(b.encode()))) in seen)
+    return f"{a} {found[0]}", f"{b} {found[1]}"
+
+
+@pytest.mark.parametrize("ids", [(None, None), (9, 10), (9, 9)])
+def test_jaccard_texts_of_one_checksum(spark, ids):
+    """Texts of null or repeated ids are told apart whatever their checksums."""
+    rng = random.Random(21)
+    a, b = colliding(" ".join(words(rng, 60, 9_000)), " ".join(words(rng, 60, 9_000)))
+    near = lambda t: t.rsplit(" ", 2)[0] + " other end"
+    rows = [(ids[0], a), (5, near(a)), (ids[1], b), (6, near(b))]
+    for given in (rows, rows[::-1]):
+        found = Counter(r["component_id"] for r in jaccard_join.report(documents(spark, given)).collect())
+        assert found == {5: 2, 6: 2}
+
+
 def test_jaccard_repeated_id_joins_nothing_by_itself(spark):
     rng = random.Random(17)
     a, b = words(rng, 60, 10**6), words(rng, 60, 10**6)

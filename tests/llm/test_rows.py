@@ -55,6 +55,30 @@ def test_quality_keep_passes_columns(spark):
     assert quality_rules.keep(docs.limit(0)).count() == 0
 
 
+def test_quality_of_other_scripts(spark):
+    """The same prose in letters of two and three bytes is kept, and what
+    repeats goes."""
+    rng = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    scripts = [str.maketrans(letters, "".join(chr(0x430 + k) for k in range(26))), str.maketrans(letters, "".join(chr(0x915 + k) for k in range(26)))]
+    rows, good = [], set()
+    for size in (900, 1100, 3000, 12_000):
+        prose = prose_of(rng, size).lower()
+        for script in scripts:
+            good.add(len(rows))
+            rows.append((len(rows), prose.translate(script)))
+            if size >= 3000:
+                rows.append((len(rows), (prose[: 4 * size // 5] + prose[3 * size // 5 : 4 * size // 5]).translate(script)))
+    got = {r["doc_id"]: r for r in quality_rules.measure(documents(spark, rows)).collect()}
+    assert {d for d, r in got.items() if r["kept"]} == good, {d: (r["kept"], r["ratio"], r["chunks_out"]) for d, r in got.items()}
+
+
+def test_quality_limits_have_no_steps():
+    table = quality_rules.Bands.whole
+    for (a, low, high), (b, low2, high2) in zip(table, table[1:], strict=False):
+        assert b >= 1.25 * a and abs(low2 - low) <= 0.9 and abs(high2 - high) <= 0.45 or a < 128
+
+
 def prose_of(rng, size):
     """Invented prose from 50 syllables, about as dense as the given tables'."""
     syllables = ["".join(rng.choices("etaoinshrdlucmfwypvbgkjqxz", weights=range(26, 0, -1), k=rng.randint(2, 4))) for _ in range(50)]
