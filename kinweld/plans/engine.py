@@ -42,6 +42,8 @@ class Loaded:
         return self.records.groupBy("source", "file_ord").agg(F.count(F.lit(1)).alias("n"))
 
 
+#: Files of one kind that can be numbered before those of the next.
+KIND = 1 << 40
 #: Rejected inputs that are named in the log; tables have all of them.
 SHOWN = 20
 
@@ -56,7 +58,7 @@ def _report(what: str, rejected: DataFrame, name: str) -> None:
 
 def fan_in(read: list[tuple[DataFrame, DataFrame]]) -> tuple[DataFrame, DataFrame]:
     """Records and bad files of several readers, numbered in their order."""
-    records = [r.withColumn("file_ord", F.col("file_ord") + kind * (1 << 24)) for kind, (r, _) in enumerate(read)]
+    records = [r.withColumn("file_ord", F.col("file_ord").cast("bigint") + kind * KIND) for kind, (r, _) in enumerate(read)]
     return reduce(DataFrame.unionByName, records), reduce(DataFrame.unionByName, [b for _, b in read])
 
 
@@ -85,7 +87,7 @@ class Engine:
             raise PipelineError("none of the inputs could be read")
         loaded = Loaded(materialized(records), bad_files)
         for row in loaded.counts().orderBy("source", "file_ord").limit(SHOWN).collect():
-            log.info("%d %s records from file %d", row["n"], row["source"], row["file_ord"] % (1 << 24) + 1)
+            log.info("%d %s records from file %d", row["n"], row["source"], row["file_ord"] % KIND + 1)
         return loaded
 
     def mapped(self, records: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from kinweld.operators import scoring as C
 from kinweld.operators.components import components
 from kinweld.operators.projection import ProjectionConfig, json_rows, project, renormalized
 from kinweld.operators.validation import projected_violations, violations
-from kinweld.plans.engine import Engine, fan_in
+from kinweld.plans.engine import KIND, Engine, fan_in
 from kinweld.sources.records import csv_records, explode_json, from_resume_texts
 from kinweld.sources.storage import materialized
 
@@ -205,7 +205,7 @@ def union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select(F.lit(0).alias("file_ord"), F.concat(F.lit("/in/c"), F.col("c_custkey").cast("string")).alias("path"), F.concat(F.lit("name\n"), F.col("c_name"), F.lit("\n")).alias("text"))
     s = table(spark, sf_dir, "supplier").select(F.concat(F.lit("/in/s"), F.col("s_suppkey").cast("string")).alias("path"), F.lit(0).alias("file_ord"), F.to_json(F.struct(F.col("s_name").alias("name"))).alias("text"))
     records, _ = fan_in([csv_records(c), explode_json(s)])
-    return records.groupBy("source", "file_ord").agg(F.count(F.lit(1)).alias("n")).select("source", "n", F.floor(F.col("file_ord") / (1 << 24)).cast("int").alias("f"), (F.col("file_ord") % (1 << 24)).cast("bigint").alias("file_ord"))
+    return records.groupBy("source", "file_ord").agg(F.count(F.lit(1)).alias("n")).select("source", "n", F.floor(F.col("file_ord") / KIND).cast("int").alias("f"), (F.col("file_ord") % KIND).cast("bigint").alias("file_ord"))
 
 
 @query(r"""

@@ -195,7 +195,7 @@ def read_resumes(spark: SparkSession, paths: Sequence[str]) -> tuple[DataFrame,
     order = [str(p) for p in paths]
     text = [p for p in order if p.lower().endswith(".txt")]
     pdf = [p for p in order if p.lower().endswith(".pdf")]
-    bad = [(p, "resume must be a .txt or .pdf file") for p in order if p not in text and p not in pdf]
+    bad = [(p, "resume must be a .txt or .pdf file") for p in order if not p.lower().endswith((".txt", ".pdf"))]
     frames = []
     if text:
         frames.append(_files(spark, text))
