@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kinweld.operators.extract import resume_fields
+from kinweld.sources import large_csv
+from kinweld.sources.large_csv import header_names
 
 RECORD = "source string, source_id string, fields map<string,variant>, methods map<string,string>, file_ord int, row_ord bigint"
 
@@ -27,30 +29,31 @@ def basename(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]+)/*\z", 1)
 
 
-def listed(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """(file_ord, path, found) of the paths in order; found is the path as
-    readers report it."""
+def listed(spark: SparkSession, paths: Sequence[str], only: Sequence[int] | None = None) -> DataFrame:
+    """(file_ord, path, found) of the paths in order, or of some of them by
+    number; found is the path as readers report it."""
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     rows = []
-    for k, p in enumerate(map(str, paths)):
+    for k in range(len(paths)) if only is None else only:
+        p = str(paths[k])
         at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
         rows.append((k, p, at.getFileSystem(conf).makeQualified(at).toString()))
     return spark.createDataFrame(rows, "file_ord int, path string, found string")
 
 
-def _contents(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def _contents(spark: SparkSession, paths: Sequence[str], only: Sequence[int] | None = None) -> DataFrame:
     """(file_ord, path, content) of existing files: one scan for all of them,
     one row each, so the plan doesn't grow with their number."""
     plain = F.regexp_replace("found", "^([a-z0-9]+:)/+", "$1/")
-    names = listed(spark, paths).select("file_ord", F.col("path").alias("own"), plain.alias("found"))
-    rows = spark.read.format("binaryFile").load(sorted(set(map(str, paths)))).select(F.regexp_replace("path", "^([a-z0-9]+:)/+", "$1/").alias("at"), "content")
+    names = listed(spark, paths, only).select("file_ord", F.col("path").alias("own"), plain.alias("found"))
+    rows = spark.read.format("binaryFile").load(sorted({str(paths[k]) for k in (range(len(paths)) if only is None else only)})).select(F.regexp_replace("path", "^([a-z0-9]+:)/+", "$1/").alias("at"), "content")
     return rows.join(F.broadcast(names), F.col("at") == F.col("found")).select("file_ord", F.col("own").alias("path"), "content")
 
 
-def _files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def _files(spark: SparkSession, paths: Sequence[str], only: Sequence[int] | None = None) -> DataFrame:
     """(file_ord, path, text) of existing files. Bytes that aren't UTF-8 give
     null."""
-    return _contents(spark, paths).select("file_ord", "path", F.expr("try_validate_utf8(CAST(content AS STRING))").alias("text"))
+    return _contents(spark, paths, only).select("file_ord", "path", F.expr("try_validate_utf8(CAST(content AS STRING))").alias("text"))
 
 
 def existing(spark: SparkSession, paths: Sequence[str]) -> tuple[list[str], list[tuple[str, str]]]:
@@ -74,13 +77,7 @@ def parse_csv(text: str) -> tuple[list[dict[str, str]], str | None]:
     rows = [r for r in csv.reader(io.StringIO(text.removeprefix("﻿"), newline="")) if r]
     if not rows:
         return [], "no header"
-    seen: dict[str, int] = {}
-    header = []
-    for k, column in enumerate(rows[0]):
-        column = column or f"Unnamed: {k}"
-        times = seen.get(column, 0)
-        seen[column] = times + 1
-        header.append(f"{column}.{times}" if times else column)
+    header = header_names(rows[0])
     out = []
     for k, row in enumerate(rows[1:], 2):
         if len(row) > len(header):
@@ -105,12 +102,44 @@ def csv_records(files: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     parsed = files.select("file_ord", "path", "text").mapInArrow(run, "file_ord int, path string, row_ord bigint, cells map<string,string>, error string")
     good = parsed.where("error IS NULL AND cells IS NOT NULL")
-    records = good.select(F.lit("csv").alias("source"), F.concat(basename(F.col("path")), F.lit(":"), F.col("row_ord") + 2).alias("source_id"), F.expr("transform_values(cells, (k, v) -> CAST(v AS variant))").alias("fields"), F.expr("transform_values(cells, (k, v) -> 'structured_column')").alias("methods"), "file_ord", "row_ord")
-    return records, parsed.where("error IS NOT NULL").select("path", "error").distinct()
+    return cell_records(good), parsed.where("error IS NOT NULL").select("path", "error").distinct()
 
 
-def read_csv(spark: SparkSession, paths: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    return csv_records(_files(spark, paths))
+def cell_records(rows: DataFrame) -> DataFrame:
+    """Records of (file_ord, path, row_ord, cells)."""
+    return rows.select(F.lit("csv").alias("source"), F.concat(basename(F.col("path")), F.lit(":"), F.col("row_ord") + 2).alias("source_id"), F.expr("transform_values(cells, (k, v) -> CAST(v AS variant))").alias("fields"), F.expr("transform_values(cells, (k, v) -> 'structured_column')").alias("methods"), "file_ord", "row_ord")
+
+
+#: Bytes from which a CSV file is read by many tasks.
+LARGE = 64 << 20
+
+
+def sizes(spark: SparkSession, paths: Sequence[str]) -> list[int]:
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    at = [spark.sparkContext._jvm.org.apache.hadoop.fs.Path(str(p)) for p in paths]
+    return [p.getFileSystem(conf).getFileStatus(p).getLen() for p in at]
+
+
+def read_csv(spark: SparkSession, paths: Sequence[str], large: int = LARGE) -> tuple[DataFrame, DataFrame]:
+    """Records and bad files. Files are rows of one scan, but those of
+    ``large`` bytes and more are read one after the other, each by many tasks."""
+    big = {k for k, n in enumerate(sizes(spark, paths)) if n >= large}
+    named = [str(p) for p in paths]
+    parts, bad = [], []
+    if len(big) < len(named):
+        small = _files(spark, named, [k for k in range(len(named)) if k not in big])
+        records, failed = csv_records(small)
+        parts.append(records)
+        bad.append(failed)
+    for k in sorted(big):
+        rows, error = large_csv.scan(spark, named[k])
+        if error is None:
+            parts.append(cell_records(rows.select(F.lit(k).alias("file_ord"), F.lit(named[k]).alias("path"), "row_ord", "cells")))
+        else:
+            bad.append(spark.createDataFrame([(named[k], error)], "path string, error string"))
+    empty = parts[0] if parts else cell_records(spark.createDataFrame([], "file_ord int, path string, row_ord bigint, cells map<string,string>"))
+    none = spark.createDataFrame([], "path string, error string")
+    return reduce(DataFrame.unionByName, parts[1:], empty), reduce(DataFrame.unionByName, bad, none)
 
 
 def scan_table_csv(spark: SparkSession, path: str) -> DataFrame:
