@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kinweld.operators.extract import resume_fields
-from kinweld.sources import large_csv
+from kinweld.sources import large_csv, large_json
 from kinweld.sources.large_csv import header_names
 
 RECORD = "source string, source_id string, fields map<string,variant>, methods map<string,string>, file_ord int, row_ord bigint"
@@ -110,7 +110,7 @@ def cell_records(rows: DataFrame) -> DataFrame:
     return rows.select(F.lit("csv").alias("source"), F.concat(basename(F.col("path")), F.lit(":"), F.col("row_ord") + 2).alias("source_id"), F.expr("transform_values(cells, (k, v) -> CAST(v AS variant))").alias("fields"), F.expr("transform_values(cells, (k, v) -> 'structured_column')").alias("methods"), "file_ord", "row_ord")
 
 
-#: Bytes from which a CSV file is read by many tasks.
+#: Bytes from which a CSV or JSON file is read by many tasks.
 LARGE = 64 << 20
 
 
@@ -164,28 +164,52 @@ def _has_key(v: str, key: str) -> str:
     return f"({is_kind(v, 'OBJECT')} AND coalesce(map_contains_key(try_variant_get({v}, '$', 'map<string,variant>'), '{key}'), false))"
 
 
+#: The list or object of items in the root v of a JSON file, as SQL.
+INNER = f"CASE WHEN {_has_key('v', 'candidates')} THEN variant_get(v, '$.candidates') WHEN {_has_key('v', 'results')} THEN variant_get(v, '$.results') ELSE v END"
+
+
 def explode_json(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Records and bad files of (path, file_ord, text) with JSON texts.
 
     The root is an object, a list, or an object whose ``candidates`` (or else
-    ``results``) holds them. One item that isn't an object spoils the file.
+    ``results``) holds them. One item that isn't an object spoils the file, as does text
+    behind the root.
     """
-    root = files.withColumn("v", F.expr("try_parse_json(text)"))
-    inner = f"CASE WHEN {_has_key('v', 'candidates')} THEN variant_get(v, '$.candidates') WHEN {_has_key('v', 'results')} THEN variant_get(v, '$.results') ELSE v END"
-    root = root.withColumn("inner", F.expr(inner))
+    root = files.withColumn("v", F.expr(large_json.strict_json("text"))).withColumn("inner", F.expr(INNER))
     items = f"CASE WHEN {is_kind('inner', 'ARRAY')} THEN try_variant_get(inner, '$', 'array<variant>') WHEN {is_kind('inner', 'OBJECT')} THEN array(inner) END"
     root = root.withColumn("items", F.expr(items))
     root = root.withColumn("error", F.expr(f"CASE WHEN v IS NULL THEN 'not JSON' WHEN items IS NULL OR exists(items, x -> NOT {is_kind('x', 'OBJECT')}) THEN 'items must be objects' END"))
     good = root.where("error IS NULL").select("path", "file_ord", F.posexplode("items").alias("row_ord", "item"))
-    good = good.withColumn("row_ord", F.col("row_ord").cast("bigint")).withColumn("fields", F.expr("try_variant_get(item, '$', 'map<string,variant>')"))
+    return item_records(good), root.where("error IS NOT NULL").select("path", "error")
+
+
+def item_records(items: DataFrame) -> DataFrame:
+    """Records of (path, file_ord, row_ord, item) with objects as items."""
+    good = items.withColumn("row_ord", F.col("row_ord").cast("bigint")).withColumn("fields", F.expr("try_variant_get(item, '$', 'map<string,variant>')"))
     pick = lambda k: f"CASE WHEN {truthy(f'try_element_at(fields, {chr(39)}{k}{chr(39)})')} THEN CAST(try_element_at(fields, '{k}') AS string) END"
     own = F.concat(basename(F.col("path")), F.lit(":"), F.col("row_ord") + 1)
-    records = good.select(F.lit("ats").alias("source"), F.coalesce(F.expr(pick("id")), F.expr(pick("candidate_id")), own).alias("source_id"), "fields", F.expr("transform_values(fields, (k, v) -> 'structured_json')").alias("methods"), "file_ord", "row_ord")
-    return records, root.where("error IS NOT NULL").select("path", "error")
+    return good.select(F.lit("ats").alias("source"), F.coalesce(F.expr(pick("id")), F.expr(pick("candidate_id")), own).alias("source_id"), "fields", F.expr("transform_values(fields, (k, v) -> 'structured_json')").alias("methods"), "file_ord", "row_ord")
 
 
-def read_ats(spark: SparkSession, paths: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    return explode_json(_files(spark, paths))
+def read_ats(spark: SparkSession, paths: Sequence[str], large: int = LARGE) -> tuple[DataFrame, DataFrame]:
+    """Records and bad files. Files are rows of one scan, but lists of
+    ``large`` bytes and more are read one after the other, each by many tasks."""
+    named = [str(p) for p in paths]
+    whole, parts, bad = [], [], []
+    for k, size in enumerate(sizes(spark, named)):
+        items, error = large_json.scan(spark, named[k], size, INNER, is_kind) if size >= large else (None, None)
+        if items is not None:
+            parts.append(item_records(items.select(F.lit(named[k]).alias("path"), F.lit(k).alias("file_ord"), "row_ord", "item")))
+        elif error is not None:
+            bad.append((named[k], error))
+        else:
+            whole.append(k)
+    failed = spark.createDataFrame(bad, "path string, error string")
+    if whole or not parts:
+        records, wrong = explode_json(_files(spark, named, whole) if whole else spark.createDataFrame([], "path string, file_ord int, text string"))
+        parts.append(records)
+        failed = failed.unionByName(wrong)
+    return reduce(DataFrame.unionByName, parts), failed
 
 
 def from_resume_texts(texts: DataFrame) -> DataFrame:
