@@ -18,8 +18,9 @@ from kinweld.operators.mapping import map_records
 from kinweld.operators.matching import check_threshold, match
 from kinweld.operators.merging import merge
 from kinweld.operators.projection import ProjectionConfig, json_rows, renormalized
+from kinweld.operators.schema import load_schema
 from kinweld.operators.scoring import canonical, score
-from kinweld.operators.validation import validate_canonical, validate_projected
+from kinweld.operators.validation import profile_schema, validate_canonical, validate_projected
 from kinweld.sources.records import existing, read_ats, read_csv, read_resumes
 from kinweld.sources.storage import materialized
 
@@ -65,8 +66,9 @@ def fan_in(read: list[tuple[DataFrame, DataFrame]]) -> tuple[DataFrame, DataFram
 class Engine:
     """Settings and the steps, each usable by itself."""
 
-    def __init__(self, spark: SparkSession, phone_region: str = "US", name_threshold: float = 90.0) -> None:
+    def __init__(self, spark: SparkSession, phone_region: str = "US", name_threshold: float = 90.0, schema: str | None = None) -> None:
         self.spark, self.region = spark, phone_region.upper()
+        self.schema = load_schema(spark, schema) if schema else profile_schema()
         self.threshold = check_threshold(name_threshold)
         self.countries = country_table(spark)
 
@@ -121,10 +123,10 @@ class Engine:
             raise PipelineError("no record could be mapped")
         people = materialized(self.fuse(profiles))
         log.info("%d records make %d profiles", loaded.records.count(), people.count())
-        validate_canonical(people)
+        validate_canonical(people, self.schema)
         if config.apply_normalization:
             people = renormalized(people, self.countries, self.region)
-        validate_projected(people, config)
+        validate_projected(people, config, self.schema)
         return json_rows(people, config)
 
 

@@ -23,7 +23,7 @@ from kinweld.operators import merging as A
 from kinweld.operators import scoring as C
 from kinweld.operators.components import components
 from kinweld.operators.projection import ProjectionConfig, json_rows, project, renormalized
-from kinweld.operators.validation import projected_violations, violations
+from kinweld.operators.validation import canonical_report, projected_violations, violations
 from kinweld.plans.engine import KIND, Engine, fan_in
 from kinweld.sources.records import csv_records, explode_json, from_resume_texts
 from kinweld.sources.storage import materialized
@@ -692,6 +692,21 @@ def validate_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return violations(_spoilt(spark, sf_dir)).groupBy("path").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(PEOPLE_SQL + """, bad AS (SELECT *, CASE WHEN id % 13 = 0 THEN 'wrong' || id ELSE 'cand_' || md5(CAST(id AS VARCHAR)) END AS own FROM people),
+numbered AS (SELECT id, phone, email, row_number() OVER (ORDER BY own) - 1 AS row_no FROM bad)
+SELECT row_no, row_no || '/' || path AS path FROM (
+  SELECT row_no, 'phones/0' AS path FROM numbered WHERE phone IS NOT NULL AND id % 11 = 0
+  UNION ALL SELECT row_no, 'emails' FROM numbered WHERE email IS NOT NULL AND id % 43 = 0
+  UNION ALL SELECT row_no, p FROM numbered, (SELECT unnest([13, 17, 19, 23, 29, 31, 37, 41, 47, 53, 59, 61]) AS d, unnest(['candidate_id', 'experience/0/company', 'experience/0/start_date', 'education/0/institution', 'education/0/end_date', 'provenance/full_name/0/source', 'provenance/full_name/0/source_id', 'confidence/full_name', 'location/country', 'years_experience', 'skills', 'overall_confidence']) AS p)
+    WHERE id % d = 0)
+""")
+def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Broken rules with the numbers of rows and items; wrong ids differ, so
+    that the order of rows is settled."""
+    own = F.when(F.col("candidate_id") == "wrong", F.concat("candidate_id", F.col("id").cast("string"))).otherwise(F.col("candidate_id"))
+    return canonical_report(_spoilt(spark, sf_dir).withColumn("candidate_id", own), partial=True).select("row_no", "path")
+
+
 def _presence(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = people(spark, sf_dir)
     none = F.lit(None).cast("string")
