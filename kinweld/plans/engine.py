@@ -10,7 +10,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinweld.functions.normalize import country_table
@@ -43,14 +43,15 @@ class Loaded:
         return self.records.groupBy("source", "file_ord").agg(F.count(F.lit(1)).alias("n"))
 
 
+#: Sources in the order in which they are read.
+KINDS = ("csv", "resume", "ats")
 #: Files of one kind that can be numbered before those of the next.
 KIND = 1 << 40
 #: Rejected inputs that are named in the log; tables have all of them.
 SHOWN = 20
 
 
-def _report(what: str, rejected: DataFrame, name: str) -> None:
-    number = rejected.count()
+def _report(what: str, rejected: DataFrame, name: str, number: int) -> None:
     for row in rejected.orderBy(name).limit(SHOWN).collect() if number else ():
         log.warning("%s skipped: %s: %s", what, row[name], row["error"])
     if number > SHOWN:
@@ -64,13 +65,15 @@ def fan_in(read: list[tuple[DataFrame, DataFrame]]) -> tuple[DataFrame, DataFram
 
 
 class Engine:
-    """Settings and the steps, each usable by itself."""
+    """Settings and the steps, each usable by itself. ``metrics`` has the
+    numbers of what the last run of each step wrote, taken by those writes."""
 
     def __init__(self, spark: SparkSession, phone_region: str = "US", name_threshold: float = 90.0, schema: str | None = None) -> None:
         self.spark, self.region = spark, phone_region.upper()
         self.schema = load_schema(spark, schema) if schema else profile_schema()
         self.threshold = check_threshold(name_threshold)
         self.countries = country_table(spark)
+        self.metrics: dict[str, int] = {}
 
     def load(self, csv: Iterable[str] = (), resumes: Iterable[str] = (), ats: Iterable[str] = ()) -> Loaded:
         """Records of all files, in the order CSV, resumes, ATS. Files that
@@ -83,26 +86,31 @@ class Engine:
                 read.append(reader(self.spark, there))
         absent = self.spark.createDataFrame(missing, "path string, error string")
         records, bad = fan_in(read) if read else (None, absent.limit(0))
-        bad_files = materialized(absent.unionByName(bad))
-        _report("input", bad_files, "path")
+        bad_files = self._written(absent.unionByName(bad), bad_files=F.count(F.lit(1)))
+        _report("input", bad_files, "path", self.metrics["bad_files"])
         if records is None:
             raise PipelineError("none of the inputs could be read")
-        loaded = Loaded(materialized(records), bad_files)
-        for row in loaded.counts().orderBy("source", "file_ord").limit(SHOWN).collect():
-            log.info("%d %s records from file %d", row["n"], row["source"], row["file_ord"] % KIND + 1)
+        loaded = Loaded(self._written(records, records=F.count(F.lit(1)), **{f"records_{s}": F.count_if(F.col("source") == s) for s in KINDS}), bad_files)
+        for kind in KINDS:
+            log.info("%d %s records", self.metrics[f"records_{kind}"], kind)
         return loaded
 
+    def _written(self, df: DataFrame, **measures: Column) -> DataFrame:
+        back = materialized(df, **measures)
+        self.metrics |= back.kinweld_measures
+        return back
+
     def mapped(self, records: DataFrame) -> DataFrame:
         """Mapped profiles of written records with an id, written once."""
         mapped = map_records(records, self.countries, self.region)
-        return materialized(mapped.withColumn("id", F.monotonically_increasing_id()))
+        return self._written(mapped.withColumn("id", F.monotonically_increasing_id()), mapped=F.count_if("valid"), rejected=F.count_if(~F.col("valid")))
 
     def profiles_of(self, records: DataFrame) -> DataFrame:
         """Valid profiles. ``rejected`` keeps the records that can't be mapped,
         with the reason."""
         mapped = self.mapped(records)
         self.rejected = mapped.where("NOT valid").select("source", "source_id", F.col("reason").alias("error"))
-        _report("record", self.rejected, "source_id")
+        _report("record", self.rejected, "source_id", self.metrics["rejected"])
         return mapped.where("valid").drop("valid", "reason")
 
     def fuse(self, profiles: DataFrame) -> DataFrame:
@@ -116,13 +124,13 @@ class Engine:
         projection."""
         config = config or ProjectionConfig()
         loaded = self.load(csv, resumes, ats)
-        if loaded.records.isEmpty():
+        if not self.metrics["records"]:
             raise PipelineError("the inputs hold no record")
         profiles = self.profiles_of(loaded.records)
-        if profiles.isEmpty():
+        if not self.metrics["mapped"]:
             raise PipelineError("no record could be mapped")
-        people = materialized(self.fuse(profiles))
-        log.info("%d records make %d profiles", loaded.records.count(), people.count())
+        people = self._written(self.fuse(profiles), profiles=F.count(F.lit(1)))
+        log.info("%d records make %d profiles", self.metrics["records"], self.metrics["profiles"])
         validate_canonical(people, self.schema)
         if config.apply_normalization:
             people = renormalized(people, self.countries, self.region)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -24,14 +24,22 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def materialized(df: DataFrame) -> DataFrame:
+def materialized(df: DataFrame, **measures: Column) -> DataFrame:
     """``df`` written once and read back, so later steps neither recompute it
-    nor depend on executors that may be lost."""
+    nor depend on executors that may be lost.
+
+    ``measures`` are aggregates that the write itself takes, without a scan of
+    their own; ``kinweld_measures`` of the result has their values. They are
+    taken in the tasks that write, so a task that is repeated counts once.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/kinweld/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    seen = Observation()
+    observed = df.observe(seen, *[c.alias(name) for name, c in measures.items()]) if measures else df
+    observed.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back.kinweld_path = path
+    back.kinweld_measures = dict(seen.get) if measures else {}
     return back
 
 
