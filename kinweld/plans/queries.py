@@ -199,6 +199,33 @@ def json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select(F.col("file_ord").cast("bigint").alias("event_id"), "source_id", F.expr("CAST(try_element_at(fields, 'k') AS bigint)").alias("k"))
 
 
+#: JSON texts with a fault, and what is wrong; %s is a number.
+FAULTY = (('[{"n": %s}', "not JSON"), ('[{"n": %s}] more', "not JSON"), ('[{"n": 1}, %s]', "items must be objects"), ('{"candidates": null, "results": [{"n": %s}]}', "items must be objects"), ('{"results": [{"n": %s}]}', None), ('[{"n": %s}]', None))
+
+
+@query(f"""
+SELECT '/in/' || event_id || '.json' AS path, error FROM (SELECT event_id, [{", ".join("NULL" if e is None else repr(e) for _, e in FAULTY)}][event_id % {len(FAULTY)} + 1] AS error FROM events) WHERE error IS NOT NULL
+""")
+def faulty_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that can't be used, and why; the others are read all the same."""
+    k = F.col("event_id")
+    text = F.replace(_pick(tuple(t for t, _ in FAULTY), k), F.lit("%s"), k.cast("string"))
+    files = table(spark, sf_dir, "events").select(F.concat(F.lit("/in/"), k.cast("string"), F.lit(".json")).alias("path"), k.cast("int").alias("file_ord"), text.alias("text"))
+    return explode_json(files)[1]
+
+
+@query("""
+SELECT '/in/c' || c_custkey || '.csv' AS path, 'row 3 has 3 cells, the header 2' AS error FROM customer WHERE c_custkey % 3 = 0
+UNION ALL SELECT '/in/c' || c_custkey || '.csv', 'no header' FROM customer WHERE c_custkey % 3 = 1
+""")
+def faulty_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row that is too long, or no header, spoils its file and no other."""
+    k = F.col("c_custkey")
+    rows = F.concat(F.lit("name,phone\n"), F.col("c_name"), F.lit("\n"), F.when(k % 3 == 0, "a,b,c\n").otherwise("a\n"))
+    files = table(spark, sf_dir, "customer").select(F.concat(F.lit("/in/c"), k.cast("string"), F.lit(".csv")).alias("path"), F.lit(0).alias("file_ord"), F.when(k % 3 == 1, "\n").otherwise(rows).alias("text"))
+    return csv_records(files)[1]
+
+
 @query("SELECT 'ats' AS source, count(*) AS n, CAST(1 AS INT) AS f, CAST(0 AS BIGINT) AS file_ord FROM supplier UNION ALL SELECT 'csv', count(*), 0, 0 FROM customer")
 def union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of several readers in one table, in the order of the inputs."""
@@ -361,6 +388,34 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat.withColumn("fields", F.expr("transform_values(fields, (k, v) -> CAST(v AS variant))"))
 
 
+def _with_bad_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of people, some with a link whose host can't be parsed."""
+    bad = F.when(F.col("id") % 9 == 0, F.lit("http://[broken")).when(F.col("id") % 10 == 0, F.lit("https://[::1"))
+    added = F.when(bad.isNotNull(), F.expr("map('github', 1)")).otherwise(F.expr("map()").cast("map<string,int>"))
+    out = _records(spark, sf_dir).withColumn("bad", bad).withColumn("methods", F.map_concat("methods", F.transform_values(added, lambda k, v: F.lit("structured_column"))))
+    return out.withColumn("fields", F.expr("map_concat(fields, IF(bad IS NULL, CAST(map() AS map<string,variant>), map('github', CAST(bad AS variant))))")).drop("bad", "id")
+
+
+@query(PEOPLE_SQL + " SELECT source, source_id, 'invalid github link' AS error FROM people WHERE id % 9 = 0 OR id % 10 = 0")
+def rejected_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that can't be mapped, with the reason; the others go on."""
+    engine = Engine(spark)
+    engine.profiles_of(materialized(_with_bad_links(spark, sf_dir)))
+    return engine.rejected
+
+
+@query(PEOPLE_SQL + """
+SELECT * FROM (SELECT 'mapped' AS step, count(*) AS n FROM people WHERE NOT (id % 9 = 0 OR id % 10 = 0) UNION ALL SELECT 'rejected', count(*) FROM people WHERE id % 9 = 0 OR id % 10 = 0
+  UNION ALL SELECT 'profiles_left', count(*) FROM people WHERE NOT (id % 9 = 0 OR id % 10 = 0))
+""")
+def step_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the write of mapped records counted, and what is read back of it."""
+    engine = Engine(spark)
+    left = engine.profiles_of(materialized(_with_bad_links(spark, sf_dir)))
+    counted = spark.createDataFrame(list(engine.metrics.items()), "step string, n bigint")
+    return counted.unionByName(left.agg(F.count(F.lit(1)).alias("n")).select(F.lit("profiles_left").alias("step"), "n"))
+
+
 @query(PEOPLE_SQL + """,
 e AS (
   SELECT id, source_id, 'full_name' AS field, 'structured_column' AS method, 'name' AS original_field, '"' || name || '"' AS value FROM people
