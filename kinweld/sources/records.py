@@ -12,15 +12,18 @@ import csv
 import io
 from collections.abc import Iterator, Sequence
 from functools import reduce
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kinweld.functions.normalize import fenced
 from kinweld.operators.extract import resume_fields
 from kinweld.sources import large_csv, large_json
-from kinweld.sources.large_csv import header_names
+from kinweld.sources.large_csv import HELD, header_names
+from kinweld.sources.storage import spread
 
 RECORD = "source string, source_id string, fields map<string,variant>, methods map<string,string>, file_ord int, row_ord bigint"
 
@@ -90,17 +93,23 @@ def csv_records(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Records and bad files of (file_ord, path, text) with CSV texts. A row's
     id is the file's name and the number that the row has when the header is row 1."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
             for ordinal, path, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 try:
                     rows, error = parse_csv(text) if text is not None else ([], "not UTF-8")
                 except csv.Error as wrong:
                     rows, error = [], str(wrong)
-                found = rows or [None]
-                yield pa.RecordBatch.from_pydict({"file_ord": pa.array([ordinal] * len(found), pa.int32()), "path": pa.array([path] * len(found)), "row_ord": pa.array(range(len(found)), pa.int64()), "cells": pa.array([None if r is None else list(r.items()) for r in found], pa.map_(pa.string(), pa.string())), "error": pa.array([error] * len(found), pa.string())})
+                for k, r in enumerate(rows or [None]):
+                    yield ordinal, path, k, None if r is None else list(r.items()), error
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = {"file_ord": pa.int32(), "path": pa.string(), "row_ord": pa.int64(), "cells": pa.map_(pa.string(), pa.string()), "error": pa.string()}
+        rows = rows_of(batches)
+        while held := list(islice(rows, HELD)):
+            yield pa.RecordBatch.from_pydict({n: pa.array(c, t) for (n, t), c in zip(kinds.items(), zip(*held, strict=True), strict=True)})
 
-    parsed = files.select("file_ord", "path", "text").mapInArrow(run, "file_ord int, path string, row_ord bigint, cells map<string,string>, error string")
+    parsed = spread(files.select("file_ord", "path", "text")).mapInArrow(run, "file_ord int, path string, row_ord bigint, cells map<string,string>, error string")
     good = parsed.where("error IS NULL AND cells IS NOT NULL")
     return cell_records(good), parsed.where("error IS NOT NULL").select("path", "error").distinct()
 
@@ -175,9 +184,9 @@ def explode_json(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     ``results``) holds them. One item that isn't an object spoils the file, as does text
     behind the root.
     """
-    root = files.withColumn("v", F.expr(large_json.strict_json("text"))).withColumn("inner", F.expr(INNER))
+    root = spread(files).withColumn("v", fenced(F.expr(large_json.strict_json("text")))).withColumn("inner", fenced(F.expr(INNER)))
     items = f"CASE WHEN {is_kind('inner', 'ARRAY')} THEN try_variant_get(inner, '$', 'array<variant>') WHEN {is_kind('inner', 'OBJECT')} THEN array(inner) END"
-    root = root.withColumn("items", F.expr(items))
+    root = root.withColumn("items", fenced(F.expr(items)))
     root = root.withColumn("error", F.expr(f"CASE WHEN v IS NULL THEN 'not JSON' WHEN items IS NULL OR exists(items, x -> NOT {is_kind('x', 'OBJECT')}) THEN 'items must be objects' END"))
     good = root.where("error IS NULL").select("path", "file_ord", F.posexplode("items").alias("row_ord", "item"))
     return item_records(good), root.where("error IS NOT NULL").select("path", "error")
@@ -216,7 +225,7 @@ def from_resume_texts(texts: DataFrame) -> DataFrame:
     """Records of (source_id, text, file_ord, row_ord); texts without a line
     that isn't blank give none."""
     lined = texts.where(F.col("text").rlike(r"(?U)[^\s\x1c-\x1f]"))
-    return resume_fields(lined).select(F.lit("resume").alias("source"), "source_id", "fields", "methods", "file_ord", "row_ord")
+    return resume_fields(spread(lined)).select(F.lit("resume").alias("source"), "source_id", "fields", "methods", "file_ord", "row_ord")
 
 
 @F.pandas_udf(T.StringType())

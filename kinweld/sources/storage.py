@@ -43,6 +43,16 @@ def materialized(df: DataFrame, **measures: Column) -> DataFrame:
     return back
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt evenly over four tasks a core or more, in no order.
+
+    Scans cut files at their row groups, and small files have one: without
+    this, all work on the rows of a small file is done by one task.
+    """
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism))
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete the files of materialized tables that nothing reads any more."""
     for df in tables:
