@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 from datetime import datetime
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, SparkSession
@@ -32,6 +33,13 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
 
 
+def fenced(value: Column) -> Column:
+    """``value``, computed in the select that it is in and nowhere else: since
+    it counts as not deterministic, the optimizer neither repeats it in what
+    uses it nor moves filters, and with them the work, below the select."""
+    return F.when(F.spark_partition_id() >= 0, value)
+
+
 def strip(c: Column) -> Column:
     return F.regexp_replace(c, f"^{WHITE}+|{WHITE}+\\z", "")
 
@@ -154,6 +162,7 @@ def country(c: Column, countries: dict[str, str]) -> Column:
     return let(casefold(strip(c)), body)
 
 
+@lru_cache(maxsize=1 << 16)
 def _parse_date(value: str | None) -> str | None:
     from dateutil import parser
 

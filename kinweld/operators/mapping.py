@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from kinweld.functions import normalize as N
 from kinweld.functions.tables import ALIASES, EVIDENCE_ORDER
+from kinweld.sources.storage import spread
 
 #: A looked-up value and the key it was found under.
 HIT = "struct<value:variant,key:string>"
@@ -77,9 +78,14 @@ def any_text(v: Column) -> Column:
     return F.when(v.isNotNull() & ~F.is_variant_null(v), F.coalesce(text_of(v), F.to_json(v)))
 
 
+def _array(v: Column) -> Column:
+    """The items of an array, else null. Unlike the kind, this doesn't look into
+    the items."""
+    return F.try_variant_get(v, F.lit("$"), _LIST)
+
+
 def as_list(v: Column) -> Column:
-    listed = F.when(kind_is(v, "ARRAY"), v.cast(_LIST)).otherwise(F.array(v))
-    return F.when(v.isNull() | F.is_variant_null(v), F.array().cast(_LIST)).otherwise(listed)
+    return F.when(v.isNull() | F.is_variant_null(v), F.array().cast(_LIST)).otherwise(F.coalesce(_array(v), F.array(v)))
 
 
 def member(v: Column, key: str) -> Column:
@@ -130,7 +136,7 @@ def location(v: Column, fields: Column, countries: dict[str, str]) -> Column:
 
 
 def _raw_items(v: Column) -> Column:
-    return F.when(kind_is(v, "ARRAY"), F.filter(v.cast(_LIST), lambda x: kind_is(x, "OBJECT"))).otherwise(F.array().cast(_LIST))
+    return F.coalesce(F.filter(_array(v), lambda x: kind_is(x, "OBJECT")), F.array().cast(_LIST))
 
 
 def raw_experience(v: Column) -> Column:
@@ -171,11 +177,11 @@ def normal_dates(rows: DataFrame, items: str) -> DataFrame:
 
 
 def map_records(records: DataFrame, countries: dict[str, str], region: str = "US") -> DataFrame:
-    """Profiles of ``records``. Those with a broken link have valid = false and
+    """Profiles of ``records``, which are dealt evenly over tasks. Those with a broken link have valid = false and
     say so in ``reason``: callers drop them once the profiles are written, since a filter here would
     be pushed below, and so repeat, the lookups it rests on."""
     f = F.col("fields")
-    folded = records.withColumn("_entries", folded_entries(f))
+    folded = spread(records).withColumn("_entries", folded_entries(f))
     hits = {k: lookup(F.col("_entries"), a) for k, a in ALIASES.items()}
     r = folded.select("*", *[h.alias(f"h_{k}") for k, h in hits.items()])
     value = lambda k: F.col(f"h_{k}.value")
