@@ -4,12 +4,14 @@ Profiles of a person are ordered by (source rank, temporary id, input order).
 Scalars take the first value in that order (the longest for names);
 collections are united, the first spelling first.
 
-All of it is one pass: profiles meet by person in one exchange, there each is
-exploded into rows tagged by what they contribute (a scalar, a value of a list,
-an item, a piece of evidence, an identifier), rows of one person, tag and key
-become one, and these are gathered by person. Both aggregations keep the
-exchange's partitioning, and sort and spill where a person is large; a person
-with very many records costs one row for each distinct value in the end.
+Profiles are dealt over tasks, whoever they belong to. There each is exploded
+into rows tagged by what they contribute (scalars, a value of a list, an item,
+a kind of evidence, an identifier), rows of one person, tag and key become one
+before and after an exchange by all of these, and only what is left is gathered
+by person: one row for each distinct value, however many records a person has.
+Evidence itself isn't, as a person has some of every record: it stays in rows
+(:func:`distinct_evidence`), and :func:`provenance` makes lists of it where the
+output asks for them.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 from kinweld.functions.normalize import casefold, let
 from kinweld.functions.tables import ID_NAMESPACE, METHOD_RELIABILITY, SOURCE_RANK, SOURCE_RELIABILITY, UNKNOWN_METHOD, UNKNOWN_RANK, UNKNOWN_SOURCE
 from kinweld.operators.matching import link_values
+from kinweld.sources.storage import spread
 
 
 def constants(values: dict[str, float | int], key: Column, other: float | int) -> Column:
@@ -52,18 +55,20 @@ def tagged(tag: str, keys: list[Column] = (), cells: list[Column] = (), minor: C
 @dataclass(frozen=True)
 class Part:
     """A column of merged people: the rows that a profile gives to it, as an
-    array, and how a person's rows are gathered."""
+    array, and how a person's rows are gathered. None: the rows of a part
+    before have its cell."""
 
     name: str
-    rows: Column
+    rows: Column | None
     gathered: Column
 
 
 def collapse(profiles: DataFrame, parts: list[Part]) -> DataFrame:
-    """person and the parts, from profiles with person and o (their order)."""
+    """person and the parts, from profiles with person and o (their order).
+    Profiles are dealt over tasks, so that each sorts a share of the rows."""
     empty = F.array().cast(profiles.select(parts[0].rows.alias("r")).schema["r"].dataType)
-    rows = F.concat(*[F.coalesce(p.rows, empty) for p in parts])
-    each = profiles.select("person", "o", F.explode(rows).alias("t")).select("person", F.struct("o", "t.minor", "t.pos").alias("place"), "t.tag", "t.longest", *[f"t.{c}" for c in (*KEYS, *CELLS)])
+    rows = F.concat(*[F.coalesce(p.rows, empty) for p in parts if p.rows is not None])
+    each = spread(profiles).select("person", "o", F.explode(rows).alias("t")).select("person", F.struct("o", "t.minor", "t.pos").alias("place"), "t.tag", "t.longest", *[f"t.{c}" for c in (*KEYS, *CELLS)])
     best = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.struct(F.when(F.col("longest"), -F.length(c)).otherwise(0).alias("n"), F.col("place").alias("p"))))
     one = each.groupBy("person", "tag", *KEYS).agg(F.min("place").alias("place"), *[best(c).alias(c) for c in CELLS])
     return one.groupBy("person").agg(*[p.gathered.alias(p.name) for p in parts])
@@ -87,6 +92,17 @@ def scalar_part(name: str, value: Column, longest: bool = False) -> Part:
     return Part(name, F.array(tagged(name, cells=[value], longest=longest)), _only(name))
 
 
+def scalar_parts(values: dict[str, Column]) -> list[Part]:
+    """Scalars of which each is the first one, in one row of a profile for
+    every five."""
+    out = []
+    for k in range(0, len(values), len(CELLS)):
+        some = dict([*values.items()][k : k + len(CELLS)])
+        tag = next(iter(some))
+        out += [Part(name, F.array(tagged(tag, cells=[*some.values()])) if name == tag else None, _only(tag, c)) for name, c in zip(some, CELLS, strict=False)]
+    return out
+
+
 def list_part(values: str, name: str | None = None) -> Part:
     rows = F.transform(F.filter(F.col(values), lambda v: v.isNotNull()), lambda v, i: tagged(values, [casefold(v)], [v], pos=i))
     return Part(name or values, rows, _in_order(values, F.col("c1")))
@@ -138,40 +154,49 @@ def coalesced(rows: DataFrame, part: Part) -> DataFrame:
 SAME = ["source", "source_id", "method", "original_field", "value"]
 
 
-def evidence_part() -> Part:
-    """Evidence, repeats of one record left out wherever they stand: per
-    field, in order; fields in order of their first evidence. Also what
-    scoring needs of each field."""
-    rows = F.transform("evidence", lambda e, i: tagged("evidence", [e[c] for c in SAME], [e["field"]], e["field_ord"], i))
-    whole = F.struct(F.col("place").alias("place"), F.struct(F.col("c1").alias("field"), F.col("place.minor").alias("field_ord"), *[F.col(k).alias(c) for k, c in zip(KEYS, SAME, strict=True)]).alias("e"))
+def fields_part() -> Part:
+    """What scoring needs of each field with evidence, in order of the first
+    evidence: of the same field, source and method one row is enough."""
+    rows = F.transform("evidence", lambda e, i: tagged("evidence", [e["field"], e["source"], e["method"]], minor=e["field_ord"], pos=i))
+    whole = F.struct(F.col("place").alias("place"), F.col("k1").alias("field"), F.col("k2").alias("source"), F.col("k3").alias("method"))
 
     def entry(field: Column, es: Column) -> Column:
-        trust = lambda values, key, other: F.array_max(F.transform(es, lambda s: constants(values, s["e"][key], other)))
+        trust = lambda values, key, other: F.array_max(F.transform(es, lambda s: constants(values, s[key], other)))
         return F.struct(
-            F.get(es, F.lit(0))["place"].alias("first"),
             field.alias("field"),
-            F.transform(es, lambda s: s["e"]).alias("records"),
             trust(SOURCE_RELIABILITY, "source", UNKNOWN_SOURCE).alias("source_trust"),
             trust(METHOD_RELIABILITY, "method", UNKNOWN_METHOD).alias("method_trust"),
-            F.size(F.array_distinct(F.transform(es, lambda s: s["e"]["source"]))).alias("sources"),
+            F.size(F.array_distinct(F.transform(es, lambda s: s["source"]))).alias("sources"),
         )
 
     def by_field(all_: Column) -> Column:
-        fields = F.array_distinct(F.transform(all_, lambda s: s["e"]["field"]))
-        return F.transform(fields, lambda f: let(F.filter(all_, lambda s: s["e"]["field"] == f), lambda es: entry(f, es)))
+        names = F.array_distinct(F.transform(all_, lambda s: s["field"]))
+        return F.transform(names, lambda f: let(F.filter(all_, lambda s: s["field"] == f), lambda es: entry(f, es)))
 
-    return Part("provenance", rows, let(F.array_sort(_of("evidence", whole)), by_field))
+    return Part("fields", rows, let(F.array_sort(_of("evidence", whole)), by_field))
 
 
-def provenance(rows: DataFrame) -> DataFrame:
-    """(person, provenance) of profiles with person, o and evidence."""
-    return collapse(rows, [evidence_part()])
+def fields(rows: DataFrame) -> DataFrame:
+    """(person, fields) of profiles with person, o and evidence."""
+    return collapse(rows, [fields_part()])
 
 
 def distinct_evidence(rows: DataFrame) -> DataFrame:
-    """Evidence as rows: person, field, e."""
-    each = provenance(rows).select("person", F.explode("provenance").alias("p"))
-    return each.select("person", "p.field", F.explode("p.records").alias("e"))
+    """Evidence as rows: person, place, field, e; repeats of one record left
+    out wherever they stand. No task gathers a person's."""
+    each = spread(rows).select("person", "o", F.posexplode("evidence").alias("pos", "e"))
+    placed = each.select("person", *[F.col("e")[c].alias(c) for c in SAME], F.struct(F.struct("o", F.col("e.field_ord").alias("minor"), "pos").alias("place"), F.col("e.field").alias("field")).alias("first"))
+    one = placed.groupBy("person", *SAME).agg(F.min("first").alias("first"))
+    return one.select("person", "first.place", "first.field", F.struct("first.field", F.col("first.place.minor").alias("field_ord"), *SAME).alias("e"))
+
+
+def provenance(evidence: DataFrame) -> DataFrame:
+    """(person, provenance) of distinct evidence: for each field the list of
+    its evidence in order, fields in order of their first evidence. A list is
+    one value, so it must fit in a task."""
+    whole = F.array_sort(F.collect_list(F.struct("place", "e")))
+    listed = evidence.groupBy("person", "field").agg(F.min("place").alias("first"), F.transform(whole, lambda s: s["e"]).alias("records"))
+    return listed.groupBy("person").agg(F.transform(F.array_sort(F.collect_list(F.struct("first", "field", "records"))), lambda p: F.struct(p["field"].alias("field"), p["records"].alias("records"))).alias("provenance"))
 
 
 def uuid5_hex(name: Column) -> Column:
@@ -188,10 +213,15 @@ def identifiers(emails: Column, phones: Column, links: Column) -> Column:
 
 def id_part() -> Part:
     """candidate_id from all identifiers of a person, or else all names, or
-    else all temporary ids."""
+    else all temporary ids. A profile with one kind gives no later one, which
+    its person has no use for."""
     some = identifiers(F.col("emails"), F.col("phones"), link_values(F.col("links")))
-    named = F.when(_blank(F.col("full_name")) != "", F.array(F.concat(F.lit("name:"), casefold(F.col("full_name")))))
-    kinds = {"id": some, "id by name": named, "id by record": F.array("tmp_id")}
+    named = _blank(F.col("full_name")) != ""
+    kinds = {
+        "id": some,
+        "id by name": F.when((F.size(some) == 0) & named, F.array(F.concat(F.lit("name:"), casefold(F.col("full_name"))))),
+        "id by record": F.when((F.size(some) == 0) & ~named, F.array("tmp_id")),
+    }
     empty = F.array().cast("array<string>")
     keyed = lambda tag, vs: F.transform(F.coalesce(vs, empty), lambda v: tagged(tag, [v]))
     rows = F.concat(*[keyed(tag, vs) for tag, vs in kinds.items()])
@@ -221,28 +251,27 @@ def parts() -> list[Part]:
     """Every column of a person, location and links as single members."""
     return [
         scalar_part("full_name", F.nullif(F.col("full_name"), F.lit("")), longest=True),
-        scalar_part("headline", F.col("headline")),
-        scalar_part("years_experience", F.col("years_experience").cast("string")),
-        *[scalar_part(f, F.col("location")[f]) for f in PLACE],
-        *[scalar_part(f, F.col("links")[f]) for f in LINKS],
+        *scalar_parts({"headline": F.col("headline"), "years_experience": F.col("years_experience").cast("string"), **{f: F.col("location")[f] for f in PLACE}, **{f: F.col("links")[f] for f in LINKS}}),
         primary_part(),
         *[list_part(k) for k in ("emails", "phones", "skills")],
         experience_part(),
         education_part(),
-        evidence_part(),
+        fields_part(),
         id_part(),
     ]
 
 
+def ordered(profiles: DataFrame) -> DataFrame:
+    return profiles.withColumn("o", priority(F.col("source"), F.col("tmp_id"), F.struct("file_ord", "row_ord")))
+
+
 def merge(profiles: DataFrame) -> DataFrame:
     """One row per person of profiles that have a column ``person``."""
-    order = priority(F.col("source"), F.col("tmp_id"), F.struct("file_ord", "row_ord"))
-    rows = profiles.repartition("person").withColumn("o", order)
-    merged = collapse(rows, parts())
+    merged = collapse(ordered(profiles), parts())
     place = F.struct(*[member(f) for f in PLACE])
     some = F.coalesce(*[member(f) for f in PLACE]).isNotNull()
     return merged.select(
         "person", "full_name", "headline", F.col("years_experience").cast("double").alias("years_experience"),
         F.struct(*[member(f) for f in LINKS]).alias("links"), "primary", F.when(some, place).alias("location"),
-        "emails", "phones", "skills", "experience", "education", "provenance", "candidate_id",
+        "emails", "phones", "skills", "experience", "education", "fields", "candidate_id",
     )

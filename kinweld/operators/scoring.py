@@ -41,7 +41,7 @@ def combined(source_trust: Column, method_trust: Column, sources: Column, severa
 
 def field_score(field: str) -> Column:
     several = F.size(field) > 1 if field in LISTS else F.lit(False)
-    entry = F.get(F.filter("provenance", lambda e: e["field"] == field), F.lit(0))
+    entry = F.get(F.filter("fields", lambda e: e["field"] == field), F.lit(0))
     score = let(entry, lambda e: combined(e["source_trust"], e["method_trust"], e["sources"], several))
     return F.when(present(field), F.coalesce(score, F.lit(0.0))).otherwise(0.0)
 
@@ -63,18 +63,24 @@ def score(merged: DataFrame) -> DataFrame:
 
 RECORD = "struct<source:string,source_id:string,extraction_method:string,original_field:string,value:variant>"
 
+#: What the engine derives of a profile, and how.
+DERIVED = {"candidate_id": "stable_hash", "confidence": "calculated", "overall_confidence": "calculated"}
+
 
 def canonical(scored: DataFrame) -> DataFrame:
     """Profiles in their final form: provenance as a map of lists, with what
-    the engine itself derived."""
+    the engine itself derived. Without a column provenance, the names of its
+    fields instead: evidence that wasn't asked for isn't gathered."""
+    order = ("candidate_id", "full_name", "emails", "phones", "location", "links", "headline", "years_experience", "skills", "experience", "education")
+    if "provenance" not in scored.columns:
+        named = F.transform(F.filter("fields", lambda e: e["field"] != "candidate_id"), lambda e: e["field"])
+        return scored.select(*order, F.concat(named, F.array(*map(F.lit, DERIVED))).alias("fields"), "confidence", "overall_confidence")
     record = lambda e: F.struct(e["source"].alias("source"), e["source_id"].alias("source_id"), e["method"].alias("extraction_method"), e["original_field"].alias("original_field"), F.parse_json(e["value"]).alias("value"))
     own = lambda method, value: F.array(F.struct(F.col("primary.source").alias("source"), F.col("primary.source_id").alias("source_id"), F.lit(method).alias("extraction_method"), F.lit(None).cast("string").alias("original_field"), value.alias("value")).cast(RECORD))
     as_variant = lambda c: F.variant_get(F.parse_json(F.to_json(F.struct(c.alias("v")))), "$.v", "variant")
     entries = F.transform(F.filter("provenance", lambda e: e["field"] != "candidate_id"), lambda e: F.struct(e["field"].alias("key"), F.transform(e["records"], record).cast(f"array<{RECORD}>").alias("value")))
     derived = F.array(
-        F.struct(F.lit("candidate_id").alias("key"), own("stable_hash", as_variant(F.col("candidate_id"))).alias("value")),
-        F.struct(F.lit("confidence").alias("key"), own("calculated", as_variant(F.col("confidence"))).alias("value")),
-        F.struct(F.lit("overall_confidence").alias("key"), own("calculated", as_variant(F.col("overall_confidence"))).alias("value")),
+        *[F.struct(F.lit(f).alias("key"), own(method, as_variant(F.col(f))).alias("value")) for f, method in DERIVED.items()],
     )
-    made = scored.withColumn("provenance", F.map_from_entries(F.concat(entries, derived)))
-    return made.select("candidate_id", "full_name", "emails", "phones", "location", "links", "headline", "years_experience", "skills", "experience", "education", "provenance", "confidence", "overall_confidence")
+    made = scored.withColumn("provenance", F.map_from_entries(F.concat(F.coalesce(entries, F.array().cast(f"array<struct<key:string,value:array<{RECORD}>>>")), derived)))
+    return made.select(*order, "provenance", "confidence", "overall_confidence")

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from kinweld.functions.normalize import country_table
 from kinweld.operators.mapping import map_records
 from kinweld.operators.matching import check_threshold, match
-from kinweld.operators.merging import merge
+from kinweld.operators.merging import distinct_evidence, merge, ordered
+from kinweld.operators.merging import provenance as gathered
 from kinweld.operators.projection import ProjectionConfig, json_rows, renormalized
 from kinweld.operators.schema import load_schema
 from kinweld.operators.scoring import canonical, score
@@ -113,11 +114,22 @@ class Engine:
         _report("record", self.rejected, "source_id", self.metrics["rejected"])
         return mapped.where("valid").drop("valid", "reason")
 
-    def fuse(self, profiles: DataFrame) -> DataFrame:
-        """Canonical profiles, one per person."""
+    def fuse(self, profiles: DataFrame, provenance: bool = True) -> DataFrame:
+        """Canonical profiles, one per person. ``provenance`` puts all evidence
+        of a person into the person's row, so that it must fit in a task;
+        without, rows have the names of its fields, and ``evidence`` has it as
+        rows, by candidate_id."""
         groups = match(profiles, self.threshold).withColumnRenamed("id", "member")
         placed = profiles.join(groups, F.col("id") == F.col("member")).withColumn("person", F.col("component")).drop("member", "component")
-        return canonical(score(merge(placed)))
+        return self.finished(placed, provenance)
+
+    def finished(self, placed: DataFrame, provenance: bool = True) -> DataFrame:
+        """:meth:`fuse` of profiles with a column person."""
+        scored, evidence = score(merge(placed)), distinct_evidence(ordered(placed))
+        if provenance:
+            return canonical(scored.join(gathered(evidence), "person", "left"))
+        self.evidence = evidence.join(scored.select("person", "candidate_id"), "person").select("candidate_id", "field", "place", "e")
+        return canonical(scored)
 
     def run(self, csv: Iterable[str] = (), resumes: Iterable[str] = (), ats: Iterable[str] = (), config: ProjectionConfig | None = None) -> DataFrame:
         """(candidate_id, json) of the output, validated before and after
