@@ -172,10 +172,11 @@ def _any_names(names: DataFrame) -> DataFrame:
     return found.select("name", "mask", "name2", "mask2")
 
 
-def name_candidates(names: DataFrame, threshold: float) -> DataFrame:
-    """(name, mask, name2, mask2): distinct pairs that share a piece near its
-    place, the first not longer; all similar pairs are among them. ``names``
-    are distinct rows of a written table, and so is the result."""
+def _near_pairs(names: DataFrame, threshold: float) -> tuple[DataFrame, list[DataFrame]]:
+    """(name, mask, name2, mask2): pairs that share a piece near its place, the
+    first not longer, once for each such piece; all similar pairs are among
+    them. ``names`` are distinct rows of a written table. Also the tables that
+    the pairs are read from."""
     probes = _probes(names, threshold)
     counts = materialized(probes.groupBy("q", "gram").agg(F.count(F.lit(1)).alias("n")))
     hot = hot_bound(counts.agg(F.sum("n")).first()[0] or 0)
@@ -183,26 +184,28 @@ def name_candidates(names: DataFrame, threshold: float) -> DataFrame:
     met = _in_blocks(pieces, probes, counts, hot)
     ordered = (F.length("name") < F.length("name2")) | ((F.length("name") == F.length("name2")) & (F.col("name") < F.col("name2")))
     near = (F.abs(F.col("p") - F.col("p2")) <= F.col("edits")) & (F.length("name2") <= longest_partner(F.length("name"), threshold))
-    found = materialized(met.where((F.col("mask").bitwiseAND(F.col("mask2")) == 0) & ordered & near).select("name", "mask", "name2", "mask2").distinct())
-    discard(counts, pieces)
-    return found
+    return met.where((F.col("mask").bitwiseAND(F.col("mask2")) == 0) & near & ordered).select("name", "mask", "name2", "mask2"), [counts, pieces]
 
 
 def similar_names(names: DataFrame, threshold: float) -> DataFrame:
     """Pairs (name, mask, name2, mask2) of distinct (name, mask) rows that may
     match by name: no kind of identifier is present in both, and the ratio
-    reaches the threshold."""
+    reaches the threshold.
+
+    Pairs are compared in the task in which their pieces meet, so that only
+    similar ones are ever written or shuffled."""
     names = names.select("name", "mask")
     if threshold <= 0:
         return _any_names(names)
-    pairs = name_candidates(names, threshold)
-    log.info("%d candidates of %d pairs of names", pairs.count(), pairs_compared(names.count()))
+    near, read = _near_pairs(names, threshold)
     # Edits with substitutions are never more than those without: a bound that
     # leaves few pairs to the exact ratio.
-    allowed = F.floor((F.length("name") + F.length("name2")) * ((100 - threshold) / 100) + 1e-9)
-    pairs = pairs.where(F.levenshtein("name", "name2") <= allowed)
-    scored = pairs.withColumn("ratio", indel_ratio("name", "name2")).where(F.col("ratio") >= threshold)
-    return scored.drop("ratio").unionByName(_equal_names(names))
+    allowed = F.floor((F.length("name") + F.length("name2")) * ((100 - threshold) / 100) + 1e-9).cast("int")
+    pairs = near.withColumn("allowed", allowed).where("levenshtein(name, name2, allowed) >= 0").drop("allowed")
+    found = materialized(pairs.withColumn("ratio", indel_ratio("name", "name2")).where(F.col("ratio") >= threshold).drop("ratio").distinct())
+    log.info("%d similar of %d pairs of names", found.count(), pairs_compared(names.count()))
+    discard(*read)
+    return found.unionByName(_equal_names(names))
 
 
 def _equal_names(names: DataFrame) -> DataFrame:

@@ -290,3 +290,20 @@ def test_sections_of_many_lines(spark):
     text = "\n".join(["before", *(f"{h}\n{h} line" for h in ("Skills", "Education:") for _ in range(300))])
     row = spark.createDataFrame([(text,)], "t string").select(X.sections_of(X.lines_of(F.col("t"))).alias("s")).first()["s"]
     assert len(row) == 1200 and sum(r["line"] is None for r in row) == 600 and row[1] == ("skills", "Skills line")
+
+
+def test_only_similar_names_are_written(spark, monkeypatch):
+    """Names that share a frequent piece and no more leave no row behind."""
+    names = [f"{k * 7919 % 100_000:05d} maria lopez" for k in range(60)]
+    given = spark.createDataFrame([(n, 0) for n in names], "name string, mask int")
+    written, write = [], J.materialized
+
+    def noted(df, **measures):
+        written.append((df.columns, df.count()))
+        return write(df, **measures)
+
+    monkeypatch.setattr(J, "materialized", noted)
+    found = {tuple(sorted((r["name"], r["name2"]))) for r in J.similar_names(given, 90.0).collect()}
+    similar = {tuple(sorted(p)) for p in combinations(names, 2) if 200 * lcs_length(*p) / (len(p[0]) + len(p[1])) >= 90}
+    assert found == similar and 0 < len(similar) < 1770
+    assert [n for columns, n in written if "name2" in columns] == [len(similar)]
