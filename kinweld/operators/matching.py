@@ -12,14 +12,17 @@ kinds present) are compared, not profiles. Each name gives one piece more than
 the edits allowed, pieces that don't overlap, and of all such choices the one
 whose pieces are rarest among all names. An edit touches one piece at most, so
 one of them stands, near its place, in any similar longer name: the join is an
-equality join on pieces and loses nothing. Pieces that are frequent for all
-that are met in blocks of bounded size.
+equality join on pieces and loses nothing. The mask of the longer name is part
+of the key, and pieces are chosen for each mask that a name may match: names
+that can't match don't meet, however much alike they are. Pieces that are
+frequent for all that are met in blocks of bounded size.
 """
 
 from __future__ import annotations
 
 import logging
 import math
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -108,10 +111,27 @@ def rarest_cut(costs: list[int], pieces: int, size: int) -> list[int]:
     return chosen
 
 
+def _cut_where_met(held: list[dict[str, int]], places: int, pieces: int, size: int) -> list[int]:
+    costs = [0] * places
+    for x in held:
+        costs[x["p"]] = x["n"]
+    return [p for p in rarest_cut(costs, pieces, size) if costs[p]]
+
+
 @F.pandas_udf(T.ArrayType(T.IntegerType()))
-def rarest_places(places: pd.Series, edits: pd.Series, size: pd.Series) -> pd.Series:
-    """:func:`rarest_cut` of each list of (p, n), which has every place p."""
-    return pd.Series([rarest_cut([x["n"] for x in sorted(f, key=lambda x: x["p"])], e + 1, q) for f, e, q in zip(places, edits, size, strict=True)], dtype=object)
+def rarest_places(held: pd.Series, places: pd.Series, edits: pd.Series, size: pd.Series) -> pd.Series:
+    """:func:`rarest_cut` of each list of (p, n), less the places that it has
+    not: their pieces stand in no name, and so meet none."""
+    return pd.Series([_cut_where_met(f, k, e + 1, q) for f, k, e, q in zip(held, places, edits, size, strict=True)], dtype=object)
+
+
+def masks_to_meet(names: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``names`` as the shorter of a pair, once for each mask2 in the table
+    that has no kind in common with their own; and as the longer, those that
+    such a mask leaves. There are eight masks at most."""
+    there = [r["mask"] for r in names.select("mask").distinct().collect()]
+    met = F.filter(F.array(*map(F.lit, there)).cast("array<int>"), lambda m: m.bitwiseAND(F.col("mask").cast("int")) == 0)
+    return names.withColumn("mask2", F.explode(met)), names.where(F.size(met) > 0)
 
 
 def _probes(names: DataFrame, threshold: float) -> DataFrame:
@@ -126,41 +146,47 @@ def _probes(names: DataFrame, threshold: float) -> DataFrame:
     sizes = F.array_distinct(F.transform(F.filter(lengths, lambda n: n > edits(n)), size))
     cut = names.withColumn("q", F.explode(sizes)).withColumn("g", F.explode(_grams(F.col("q"))))
     short = names.withColumn("n", F.explode(F.filter(lengths, lambda n: n <= edits(n))))
-    own = [F.col("name").alias("name2"), F.col("mask").alias("mask2")]
+    own = [F.col("name").alias("name2"), F.col("mask").cast("int").alias("mask2")]
     return cut.select(*own, "q", "g.gram", F.col("g.p").alias("p2")).unionByName(short.select(*own, F.lit(0).alias("q"), F.col("n").cast("string").alias("gram"), F.lit(0).alias("p2")))
 
 
 def _pieces(names: DataFrame, threshold: float, counts: DataFrame, hot: int) -> DataFrame:
-    """(name, mask, edits, q, gram, p) of names as the shorter of a pair: the
-    rarest pieces by ``counts`` (q, gram, n)."""
+    """(name, mask, mask2, edits, q, gram, p) of names as the shorter of a pair
+    with names of mask2: the rarest pieces by ``counts`` (q, gram, mask2, n),
+    without those that stand in no such name."""
     sized = _sized(names, threshold)
     cut = sized.where(F.length("name") > F.col("edits"))
-    grams = cut.withColumn("g", F.explode(_grams(F.col("q")))).select("name", "mask", "edits", "q", "g.gram", "g.p")
-    known = counts.select(F.col("q").alias("cq"), F.col("gram").alias("cg"), "n")
-    counted = join_hot(grams, known, (F.col("q") == F.col("cq")) & (F.col("gram") == F.col("cg")), F.col("n") > hot)
-    whole = counted.groupBy("name", "mask", "edits", "q").agg(F.collect_list(F.struct("p", "n")).alias("places"))
-    chosen = whole.select("name", "mask", "edits", "q", F.explode(rarest_places("places", "edits", "q")).alias("p"))
-    picked = chosen.select("name", "mask", "edits", "q", F.substr(F.col("name"), F.col("p") + 1, F.col("q")).alias("gram"), "p")
+    own = ["name", "mask", "mask2", "edits", "q"]
+    grams = cut.withColumn("g", F.explode(_grams(F.col("q")))).select(*own, "g.gram", "g.p")
+    known = counts.select(F.col("q").alias("cq"), F.col("gram").alias("cg"), F.col("mask2").alias("cm"), "n")
+    counted = join_hot(grams, known, (F.col("q") == F.col("cq")) & (F.col("gram") == F.col("cg")) & (F.col("mask2") == F.col("cm")), F.col("n") > hot)
+    whole = counted.groupBy(*own).agg(F.collect_list(F.struct("p", "n")).alias("held"))
+    chosen = whole.select(*own, F.explode(rarest_places("held", F.length("name") - F.col("q") + 1, "edits", "q")).alias("p"))
+    picked = chosen.select(*own, F.substr(F.col("name"), F.col("p") + 1, F.col("q")).alias("gram"), "p")
     short = sized.where(F.length("name") <= F.col("edits"))
-    return picked.unionByName(short.select("name", "mask", "edits", F.lit(0).alias("q"), F.length("name").cast("string").alias("gram"), F.lit(0).alias("p")))
+    return picked.unionByName(short.select("name", "mask", "mask2", "edits", F.lit(0).alias("q"), F.length("name").cast("string").alias("gram"), F.lit(0).alias("p")))
+
+
+#: What a piece and a probe have in common.
+MET = ["q", "gram", "mask2"]
 
 
 def _in_blocks(pieces: DataFrame, probes: DataFrame, counts: DataFrame, hot: int) -> DataFrame:
-    """Pieces joined with probes of the same (q, gram). Of a piece with more
-    than ``hot`` rows on a side, both sides are dealt into blocks of that many
-    rows, and each block meets each block of the other side in a task."""
-    own = pieces.groupBy(F.col("q").alias("hq"), F.col("gram").alias("hg")).agg(F.count(F.lit(1)).alias("n1"))
-    both = own.join(counts, (F.col("hq") == F.col("q")) & (F.col("hg") == F.col("gram"))).where((F.col("n1") > hot) | (F.col("n") > hot))
+    """Pieces joined with probes of the same (q, gram, mask2). Of a piece with
+    more than ``hot`` rows on a side, both sides are dealt into blocks of that
+    many rows, and each block meets each block of the other side in a task."""
+    own = pieces.groupBy(*[F.col(c).alias(f"h{c}") for c in MET]).agg(F.count(F.lit(1)).alias("n1"))
+    on = reduce(Column.__and__, [F.col(f"h{c}") == F.col(c) for c in MET])
+    both = own.join(counts, on).where((F.col("n1") > hot) | (F.col("n") > hot))
     parts = lambda c: F.ceil(F.col(c) / hot).cast("int")
-    few = F.broadcast(both.select("hq", "hg", parts("n1").alias("b1"), parts("n").alias("b2")))
-    on = (F.col("q") == F.col("hq")) & (F.col("gram") == F.col("hg"))
+    few = F.broadcast(both.select(*[f"h{c}" for c in MET], parts("n1").alias("b1"), parts("n").alias("b2")))
 
     def dealt(rows: DataFrame, name: str, mine: str, others: str) -> DataFrame:
         block = F.pmod(F.xxhash64(name), F.coalesce(F.col(mine), F.lit(1))).cast("int")
         met = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(others), F.lit(1)) - 1))
-        return rows.join(few, on, "left").withColumn(mine + "k", block).withColumn(others + "k", met).drop("hq", "hg", "b1", "b2")
+        return rows.join(few, on, "left").withColumn(mine + "k", block).withColumn(others + "k", met).drop(*[f"h{c}" for c in MET], "b1", "b2")
 
-    return dealt(pieces, "name", "b1", "b2").join(dealt(probes, "name2", "b2", "b1"), ["q", "gram", "b1k", "b2k"])
+    return dealt(pieces, "name", "b1", "b2").join(dealt(probes, "name2", "b2", "b1"), [*MET, "b1k", "b2k"])
 
 
 def _any_names(names: DataFrame) -> DataFrame:
@@ -173,18 +199,19 @@ def _any_names(names: DataFrame) -> DataFrame:
 
 
 def _near_pairs(names: DataFrame, threshold: float) -> tuple[DataFrame, list[DataFrame]]:
-    """(name, mask, name2, mask2): pairs that share a piece near its place, the
-    first not longer, once for each such piece; all similar pairs are among
-    them. ``names`` are distinct rows of a written table. Also the tables that
-    the pairs are read from."""
-    probes = _probes(names, threshold)
-    counts = materialized(probes.groupBy("q", "gram").agg(F.count(F.lit(1)).alias("n")))
+    """(name, mask, name2, mask2): pairs of masks without a kind in common that
+    share a piece near its place, the first not longer, once for each such
+    piece; all similar pairs are among them. ``names`` are distinct rows of a
+    written table. Also the tables that the pairs are read from."""
+    shorter, longer = masks_to_meet(names)
+    probes = _probes(longer, threshold)
+    counts = materialized(probes.groupBy(*MET).agg(F.count(F.lit(1)).alias("n")))
     hot = hot_bound(counts.agg(F.sum("n")).first()[0] or 0)
-    pieces = materialized(_pieces(names, threshold, counts, hot))
+    pieces = materialized(_pieces(shorter, threshold, counts, hot))
     met = _in_blocks(pieces, probes, counts, hot)
     ordered = (F.length("name") < F.length("name2")) | ((F.length("name") == F.length("name2")) & (F.col("name") < F.col("name2")))
     near = (F.abs(F.col("p") - F.col("p2")) <= F.col("edits")) & (F.length("name2") <= longest_partner(F.length("name"), threshold))
-    return met.where((F.col("mask").bitwiseAND(F.col("mask2")) == 0) & near & ordered).select("name", "mask", "name2", "mask2"), [counts, pieces]
+    return met.where(near & ordered).select("name", "mask", "name2", "mask2"), [counts, pieces]
 
 
 def similar_names(names: DataFrame, threshold: float) -> DataFrame:
