@@ -24,8 +24,13 @@ def lines_of(text: Column) -> Column:
     return F.filter(F.transform(F.split(text, LINES), strip), lambda x: x != "")
 
 
+def _all(text: Column, pattern: str, needed: Column) -> Column:
+    """All matches in texts with what every match has; others aren't searched."""
+    return F.when(needed, F.regexp_extract_all(text, F.lit(pattern), F.lit(1))).when(text.isNotNull(), F.array().cast("array<string>"))
+
+
 def emails_of(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(EMAIL), F.lit(1))
+    return _all(text, EMAIL, text.contains("@"))
 
 
 def phones_of(text: Column) -> Column:
@@ -33,7 +38,7 @@ def phones_of(text: Column) -> Column:
 
 
 def last_link(text: Column, linkedin: bool) -> Column:
-    links = F.regexp_extract_all(text, F.lit(LINK), F.lit(1))
+    links = _all(text, LINK, text.contains("/") & F.lower(text).contains(".com/"))
     own = F.filter(links, lambda x: F.lower(x).contains("linkedin.com") == F.lit(linkedin))
     return F.try_element_at(own, F.lit(-1))
 
@@ -47,9 +52,18 @@ def name_of(lines: Column) -> Column:
     return F.get(F.filter(F.slice(lines, 1, 8), looks_like_name), F.lit(0))
 
 
+#: What a line that opens a section is like: one of the characters that fold to
+#: a section's first, as many more as the longest section has at most (folding
+#: makes none fewer), blanks and colons. It ends on long lines after a few steps.
+_OPENERS = "".join(c for c in map(chr, range(0x1F000)) if c.casefold()[:1] in {s[0] for s in SECTIONS})
+OPENING = f"(?sU)^[\\s\\x1c-\\x1f]*[{_OPENERS}].{{0,{max(map(len, SECTIONS)) - 1}}}[\\s\\x1c-\\x1f:]*\\z"
+
+
 def heading(line: Column) -> Column:
-    """The section that a line opens, else null."""
-    return let(casefold(strip(F.regexp_replace(line, r":+\z", ""))), lambda key: F.when(key.isin(*SECTIONS), key))
+    """The section that a line opens, else null. Only short lines with a fit
+    beginning are folded."""
+    key = let(casefold(strip(F.regexp_replace(line, r":+\z", ""))), lambda key: F.when(key.isin(*SECTIONS), key))
+    return F.when(line.rlike(OPENING), key)
 
 
 def sections_of(lines: Column) -> Column:

@@ -65,12 +65,16 @@ def identifier_edges(keys: DataFrame, kind: str) -> DataFrame:
     return joined.where("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b"))
 
 
+def _edits(lengths: Column, threshold: float) -> Column:
+    """The most insertions and deletions between similar names of this length
+    together."""
+    return F.floor(lengths * ((100 - threshold) / 100) + 1e-9).cast("int")
+
+
 def edits_allowed(shorter: Column, threshold: float) -> Column:
     """The most insertions and deletions between a name of this length and
     any similar one that isn't shorter."""
-    share = (100 - threshold) / 100
-    longest = longest_partner(shorter, threshold)
-    return F.floor((shorter + longest) * share + 1e-9).cast("int")
+    return _edits(shorter + longest_partner(shorter, threshold), threshold)
 
 
 def longest_partner(shorter: Column, threshold: float) -> Column:
@@ -134,10 +138,19 @@ def masks_to_meet(names: DataFrame) -> tuple[DataFrame, DataFrame]:
     return names.withColumn("mask2", F.explode(met)), names.where(F.size(met) > 0)
 
 
+def letter_counts(name: str) -> Column:
+    """How often a name has each character, up to three, in 63 bits: characters
+    share 21 places by their code, each with as many bits set as it has been
+    seen. An insertion or deletion changes one bit at most."""
+    places = f"transform(regexp_extract_all({name}, '(?s).', 0), x -> 3 * pmod(ascii(x), 21))"
+    return F.expr(f"aggregate({places}, 0L, (s, b) -> s | shiftleft((2 * (shiftright(s, b) & 7L) + 1L) & 7L, b))")
+
+
 def _probes(names: DataFrame, threshold: float) -> DataFrame:
-    """(name2, mask2, q, gram, p2) of names as the longer of a pair: all their
-    pieces of the sizes that similar shorter names are cut into. Names too
-    short for pieces have size 0 and their length."""
+    """(name2, mask2, letters2, q, gram, p2) of names as the longer of a pair:
+    all their pieces of the sizes that similar shorter names are cut into.
+    Names too short for pieces have size 0 and their length."""
+    names = names.withColumn("letters2", letter_counts("name"))
     longer = F.length("name")
     least = F.ceil(longer * (threshold / (200 - threshold)) - 1e-9).cast("int")
     lengths = F.sequence(F.greatest(F.lit(1), least), longer)
@@ -146,7 +159,7 @@ def _probes(names: DataFrame, threshold: float) -> DataFrame:
     sizes = F.array_distinct(F.transform(F.filter(lengths, lambda n: n > edits(n)), size))
     cut = names.withColumn("q", F.explode(sizes)).withColumn("g", F.explode(_grams(F.col("q"))))
     short = names.withColumn("n", F.explode(F.filter(lengths, lambda n: n <= edits(n))))
-    own = [F.col("name").alias("name2"), F.col("mask").cast("int").alias("mask2")]
+    own = [F.col("name").alias("name2"), F.col("mask").cast("int").alias("mask2"), "letters2"]
     return cut.select(*own, "q", "g.gram", F.col("g.p").alias("p2")).unionByName(short.select(*own, F.lit(0).alias("q"), F.col("n").cast("string").alias("gram"), F.lit(0).alias("p2")))
 
 
@@ -200,18 +213,25 @@ def _any_names(names: DataFrame) -> DataFrame:
 
 def _near_pairs(names: DataFrame, threshold: float) -> tuple[DataFrame, list[DataFrame]]:
     """(name, mask, name2, mask2): pairs of masks without a kind in common that
-    share a piece near its place, the first not longer, once for each such
-    piece; all similar pairs are among them. ``names`` are distinct rows of a
+    share a piece near its place and nearly all their characters, the first not
+    longer, once for each such piece; all similar pairs are among them. ``names`` are distinct rows of a
     written table. Also the tables that the pairs are read from."""
     shorter, longer = masks_to_meet(names)
     probes = _probes(longer, threshold)
     counts = materialized(probes.groupBy(*MET).agg(F.count(F.lit(1)).alias("n")))
     hot = hot_bound(counts.agg(F.sum("n")).first()[0] or 0)
     pieces = materialized(_pieces(shorter, threshold, counts, hot))
-    met = _in_blocks(pieces, probes, counts, hot)
-    ordered = (F.length("name") < F.length("name2")) | ((F.length("name") == F.length("name2")) & (F.col("name") < F.col("name2")))
-    near = (F.abs(F.col("p") - F.col("p2")) <= F.col("edits")) & (F.length("name2") <= longest_partner(F.length("name"), threshold))
-    return met.where(near & ordered).select("name", "mask", "name2", "mask2"), [counts, pieces]
+    met = _in_blocks(pieces.withColumn("letters", letter_counts("name")), probes, counts, hot)
+    n, n2 = F.length("name"), F.length("name2")
+    allowed = _edits(n + n2, threshold)
+    # The cheapest test comes first: it leaves few pairs to the others. Of the
+    # edits, so many at most delete from the shorter name; the others
+    # insert. A piece left whole is moved by those before it.
+    deleted = (allowed - (n2 - n)) / 2
+    like = F.bit_count(F.col("letters").bitwiseXOR(F.col("letters2"))) <= F.col("edits")
+    near = (F.col("p2") - F.col("p")).between(-deleted, deleted + (n2 - n)) & (n2 <= longest_partner(n, threshold))
+    ordered = (n < n2) | ((n == n2) & (F.col("name") < F.col("name2")))
+    return met.where(like & near & ordered).select("name", "mask", "name2", "mask2"), [counts, pieces]
 
 
 def similar_names(names: DataFrame, threshold: float) -> DataFrame:
@@ -227,7 +247,7 @@ def similar_names(names: DataFrame, threshold: float) -> DataFrame:
     near, read = _near_pairs(names, threshold)
     # Edits with substitutions are never more than those without: a bound that
     # leaves few pairs to the exact ratio.
-    allowed = F.floor((F.length("name") + F.length("name2")) * ((100 - threshold) / 100) + 1e-9).cast("int")
+    allowed = _edits(F.length("name") + F.length("name2"), threshold)
     pairs = near.withColumn("allowed", allowed).where("levenshtein(name, name2, allowed) >= 0").drop("allowed")
     found = materialized(pairs.withColumn("ratio", indel_ratio("name", "name2")).where(F.col("ratio") >= threshold).drop("ratio").distinct())
     log.info("%d similar of %d pairs of names", found.count(), pairs_compared(names.count()))
