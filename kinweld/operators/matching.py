@@ -29,8 +29,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinweld.functions.similarity import indel_ratio, sorted_tokens
+from kinweld.functions.similarity import sorted_tokens
 from kinweld.operators.components import components
+from kinweld.operators.meeting import FOUND, similar_where_met
 from kinweld.operators.skew import hot_bound, join_hot
 from kinweld.sources.storage import discard, materialized
 
@@ -138,19 +139,25 @@ def masks_to_meet(names: DataFrame) -> tuple[DataFrame, DataFrame]:
     return names.withColumn("mask2", F.explode(met)), names.where(F.size(met) > 0)
 
 
-def letter_counts(name: str) -> Column:
+def letter_counts(name: str, first: int = 0, places: int = 21) -> Column:
     """How often a name has each character, up to three, in 63 bits: characters
-    share 21 places by their code, each with as many bits set as it has been
-    seen. An insertion or deletion changes one bit at most."""
-    places = f"transform(regexp_extract_all({name}, '(?s).', 0), x -> 3 * pmod(ascii(x), 21))"
-    return F.expr(f"aggregate({places}, 0L, (s, b) -> s | shiftleft((2 * (shiftright(s, b) & 7L) + 1L) & 7L, b))")
+    share ``places`` places by their code, 21 of which, from ``first`` on, have
+    as many bits set as their characters have been seen. An insertion or
+    deletion changes one bit at most, in all words together."""
+    of = f"filter(transform(regexp_extract_all({name}, '(?s).', 0), x -> pmod(ascii(x), {places}) - {first}), b -> b BETWEEN 0 AND 20)"
+    return F.expr(f"aggregate({of}, 0L, (s, b) -> s | shiftleft((2 * (shiftright(s, 3 * b) & 7L) + 1L) & 7L, 3 * b))")
+
+
+#: Places for characters in two words: digits and small letters don't share any.
+PLACES = 39
+#: Columns of the two words; names without them are cut all the same.
+LETTERS = ("letters", "letters_too")
 
 
 def _probes(names: DataFrame, threshold: float) -> DataFrame:
-    """(name2, mask2, letters2, q, gram, p2) of names as the longer of a pair:
+    """(name2, mask2, q, gram, p2) of names as the longer of a pair:
     all their pieces of the sizes that similar shorter names are cut into.
     Names too short for pieces have size 0 and their length."""
-    names = names.withColumn("letters2", letter_counts("name"))
     longer = F.length("name")
     least = F.ceil(longer * (threshold / (200 - threshold)) - 1e-9).cast("int")
     lengths = F.sequence(F.greatest(F.lit(1), least), longer)
@@ -159,7 +166,7 @@ def _probes(names: DataFrame, threshold: float) -> DataFrame:
     sizes = F.array_distinct(F.transform(F.filter(lengths, lambda n: n > edits(n)), size))
     cut = names.withColumn("q", F.explode(sizes)).withColumn("g", F.explode(_grams(F.col("q"))))
     short = names.withColumn("n", F.explode(F.filter(lengths, lambda n: n <= edits(n))))
-    own = [F.col("name").alias("name2"), F.col("mask").cast("int").alias("mask2"), "letters2"]
+    own = [F.col("name").alias("name2"), F.col("mask").cast("int").alias("mask2"), *[c for c in LETTERS if c in names.columns]]
     return cut.select(*own, "q", "g.gram", F.col("g.p").alias("p2")).unionByName(short.select(*own, F.lit(0).alias("q"), F.col("n").cast("string").alias("gram"), F.lit(0).alias("p2")))
 
 
@@ -169,7 +176,7 @@ def _pieces(names: DataFrame, threshold: float, counts: DataFrame, hot: int) ->
     without those that stand in no such name."""
     sized = _sized(names, threshold)
     cut = sized.where(F.length("name") > F.col("edits"))
-    own = ["name", "mask", "mask2", "edits", "q"]
+    own = ["name", "mask", "mask2", "edits", "q", *[c for c in LETTERS if c in names.columns]]
     grams = cut.withColumn("g", F.explode(_grams(F.col("q")))).select(*own, "g.gram", "g.p")
     known = counts.select(F.col("q").alias("cq"), F.col("gram").alias("cg"), F.col("mask2").alias("cm"), "n")
     counted = join_hot(grams, known, (F.col("q") == F.col("cq")) & (F.col("gram") == F.col("cg")) & (F.col("mask2") == F.col("cm")), F.col("n") > hot)
@@ -177,29 +184,36 @@ def _pieces(names: DataFrame, threshold: float, counts: DataFrame, hot: int) ->
     chosen = whole.select(*own, F.explode(rarest_places("held", F.length("name") - F.col("q") + 1, "edits", "q")).alias("p"))
     picked = chosen.select(*own, F.substr(F.col("name"), F.col("p") + 1, F.col("q")).alias("gram"), "p")
     short = sized.where(F.length("name") <= F.col("edits"))
-    return picked.unionByName(short.select("name", "mask", "mask2", "edits", F.lit(0).alias("q"), F.length("name").cast("string").alias("gram"), F.lit(0).alias("p")))
+    return picked.unionByName(short.select(*own[:4], F.lit(0).alias("q"), *own[5:], F.length("name").cast("string").alias("gram"), F.lit(0).alias("p")))
 
 
 #: What a piece and a probe have in common.
 MET = ["q", "gram", "mask2"]
 
 
-def _in_blocks(pieces: DataFrame, probes: DataFrame, counts: DataFrame, hot: int) -> DataFrame:
-    """Pieces joined with probes of the same (q, gram, mask2). Of a piece with
-    more than ``hot`` rows on a side, both sides are dealt into blocks of that
-    many rows, and each block meets each block of the other side in a task."""
+def _in_blocks(pieces: DataFrame, probes: DataFrame, counts: DataFrame, hot: int, threshold: float) -> DataFrame:
+    """(name, mask, name2, mask2) of similar pairs of a piece and a probe of the
+    same (q, gram, mask2), once for each such piece. Of a piece with more than
+    ``hot`` rows on a side, both sides are dealt into blocks of that many rows,
+    and each block meets each block of the other side in a task."""
     own = pieces.groupBy(*[F.col(c).alias(f"h{c}") for c in MET]).agg(F.count(F.lit(1)).alias("n1"))
     on = reduce(Column.__and__, [F.col(f"h{c}") == F.col(c) for c in MET])
     both = own.join(counts, on).where((F.col("n1") > hot) | (F.col("n") > hot))
     parts = lambda c: F.ceil(F.col(c) / hot).cast("int")
     few = F.broadcast(both.select(*[f"h{c}" for c in MET], parts("n1").alias("b1"), parts("n").alias("b2")))
 
-    def dealt(rows: DataFrame, name: str, mine: str, others: str) -> DataFrame:
+    def dealt(rows: DataFrame, name: str, mask: str, p: str, mine: str, others: str) -> DataFrame:
         block = F.pmod(F.xxhash64(name), F.coalesce(F.col(mine), F.lit(1))).cast("int")
         met = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(others), F.lit(1)) - 1))
-        return rows.join(few, on, "left").withColumn(mine + "k", block).withColumn(others + "k", met).drop(*[f"h{c}" for c in MET], "b1", "b2")
+        placed = rows.join(few, on, "left").withColumn(mine + "k", block).withColumn(others + "k", met)
+        # Keys that happen to have one hash meet too: all that is found is tested.
+        key = F.xxhash64(*MET, "b1k", "b2k").alias("key")
+        return placed.select(key, F.lit(name == "name2").alias("probe"), F.col(name).alias("name"), F.col(mask).cast("int").alias("mask"), F.col(p).alias("p"), *LETTERS)
 
-    return dealt(pieces, "name", "b1", "b2").join(dealt(probes, "name2", "b2", "b1"), [*MET, "b1k", "b2k"])
+    rows = dealt(pieces, "name", "mask", "p", "b1", "b2").unionByName(dealt(probes, "name2", "mask2", "p2", "b2", "b1"))
+    spark = rows.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    return rows.repartition(tasks, "key").sortWithinPartitions("key", "probe").mapInArrow(similar_where_met(threshold), FOUND)
 
 
 def _any_names(names: DataFrame) -> DataFrame:
@@ -211,47 +225,27 @@ def _any_names(names: DataFrame) -> DataFrame:
     return found.select("name", "mask", "name2", "mask2")
 
 
-def _near_pairs(names: DataFrame, threshold: float) -> tuple[DataFrame, list[DataFrame]]:
-    """(name, mask, name2, mask2): pairs of masks without a kind in common that
-    share a piece near its place and nearly all their characters, the first not
-    longer, once for each such piece; all similar pairs are among them. ``names`` are distinct rows of a
-    written table. Also the tables that the pairs are read from."""
-    shorter, longer = masks_to_meet(names)
-    probes = _probes(longer, threshold)
-    counts = materialized(probes.groupBy(*MET).agg(F.count(F.lit(1)).alias("n")))
-    hot = hot_bound(counts.agg(F.sum("n")).first()[0] or 0)
-    pieces = materialized(_pieces(shorter, threshold, counts, hot))
-    met = _in_blocks(pieces.withColumn("letters", letter_counts("name")), probes, counts, hot)
-    n, n2 = F.length("name"), F.length("name2")
-    allowed = _edits(n + n2, threshold)
-    # The cheapest test comes first: it leaves few pairs to the others. Of the
-    # edits, so many at most delete from the shorter name; the others
-    # insert. A piece left whole is moved by those before it.
-    deleted = (allowed - (n2 - n)) / 2
-    like = F.bit_count(F.col("letters").bitwiseXOR(F.col("letters2"))) <= F.col("edits")
-    near = (F.col("p2") - F.col("p")).between(-deleted, deleted + (n2 - n)) & (n2 <= longest_partner(n, threshold))
-    ordered = (n < n2) | ((n == n2) & (F.col("name") < F.col("name2")))
-    return met.where(like & near & ordered).select("name", "mask", "name2", "mask2"), [counts, pieces]
-
-
 def similar_names(names: DataFrame, threshold: float) -> DataFrame:
     """Pairs (name, mask, name2, mask2) of distinct (name, mask) rows that may
     match by name: no kind of identifier is present in both, and the ratio
-    reaches the threshold.
+    reaches the threshold. ``names`` are distinct rows of a written table.
 
     Pairs are compared in the task in which their pieces meet, so that only
     similar ones are ever written or shuffled."""
     names = names.select("name", "mask")
     if threshold <= 0:
         return _any_names(names)
-    near, read = _near_pairs(names, threshold)
-    # Edits with substitutions are never more than those without: a bound that
-    # leaves few pairs to the exact ratio.
-    allowed = _edits(F.length("name") + F.length("name2"), threshold)
-    pairs = near.withColumn("allowed", allowed).where("levenshtein(name, name2, allowed) >= 0").drop("allowed")
-    found = materialized(pairs.withColumn("ratio", indel_ratio("name", "name2")).where(F.col("ratio") >= threshold).drop("ratio").distinct())
+    lettered = materialized(names.withColumns({c: letter_counts("name", 21 * k, PLACES) for k, c in enumerate(LETTERS)}))
+    shorter, longer = masks_to_meet(lettered)
+    probes = _probes(longer, threshold)
+    counts = materialized(probes.groupBy(*MET).agg(F.count(F.lit(1)).alias("n")))
+    hot = hot_bound(counts.agg(F.sum("n")).first()[0] or 0)
+    pieces = materialized(_pieces(shorter, threshold, counts, hot))
+    met = _in_blocks(pieces, probes, counts, hot, threshold)
+    kinds = {f.name: f.dataType for f in names.schema}
+    found = materialized(met.select("name", F.col("mask").cast(kinds["mask"]), "name2", "mask2").distinct())
     log.info("%d similar of %d pairs of names", found.count(), pairs_compared(names.count()))
-    discard(*read)
+    discard(lettered, counts, pieces)
     return found.unionByName(_equal_names(names))
 
 
