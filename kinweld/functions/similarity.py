@@ -43,8 +43,11 @@ PAIRS = 1 << 13
 
 def codes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Code points of all texts in a row, and the lengths of the texts."""
-    flat = np.frombuffer("".join(texts.to_pylist()).encode("utf-32-le"), np.uint32)
-    return flat, pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+    lengths = pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+    if pc.all(pc.string_is_ascii(texts)).as_py():
+        ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+        return np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]], lengths
+    return np.frombuffer("".join(texts.to_pylist()).encode("utf-32-le"), np.uint32), lengths
 
 
 def code_matrix(flat: np.ndarray, offsets: np.ndarray, lengths: np.ndarray, back: bool = False) -> tuple[np.ndarray, int]:
@@ -54,12 +57,14 @@ def code_matrix(flat: np.ndarray, offsets: np.ndarray, lengths: np.ndarray, back
     there = k < lengths[:, None]
     at = offsets[:, None] + (lengths[:, None] - 1 - k if back else k)
     found = flat[at[there]]
-    size = 129
     if len(found) and found.max() >= 128:
         known, found = np.unique(found, return_inverse=True)
-        size = len(known) + 1
+        found, size = found + 1, len(known) + 1
+    else:
+        numbers = np.cumsum(np.bincount(found, minlength=128) > 0)
+        found, size = numbers[found], int(numbers[-1]) + 1
     codes = np.zeros(there.shape, np.int64)
-    codes[there] = found.astype(np.int64) + 1
+    codes[there] = found
     return codes, size
 
 

@@ -33,7 +33,7 @@ from kinweld.functions.similarity import sorted_tokens
 from kinweld.operators.components import components
 from kinweld.operators.meeting import FOUND, similar_where_met
 from kinweld.operators.skew import hot_bound, join_hot
-from kinweld.sources.storage import discard, materialized
+from kinweld.sources.storage import discard, materialized, spread
 
 log = logging.getLogger(__name__)
 
@@ -235,7 +235,7 @@ def similar_names(names: DataFrame, threshold: float) -> DataFrame:
     names = names.select("name", "mask")
     if threshold <= 0:
         return _any_names(names)
-    lettered = materialized(names.withColumns({c: letter_counts("name", 21 * k, PLACES) for k, c in enumerate(LETTERS)}))
+    lettered = materialized(spread(names).withColumns({c: letter_counts("name", 21 * k, PLACES) for k, c in enumerate(LETTERS)}))
     shorter, longer = masks_to_meet(lettered)
     probes = _probes(longer, threshold)
     counts = materialized(probes.groupBy(*MET).agg(F.count(F.lit(1)).alias("n")))

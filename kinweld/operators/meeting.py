@@ -1,8 +1,8 @@
 """Names that have a piece in common, compared in the task where they meet.
 
 Rows of pieces (of the shorter name) and of probes (of the longer one) come
-sorted by their key. Of a key with few pairs, all are judged one by one. Of a
-key with many, as the end of a name that thousands have, both sides are sorted
+sorted by their key. Of a key with few pairs, all are judged, those of many
+such keys at once. Of a key with very many, as the end of a name that thousands have, both sides are sorted
 by the end that more of them share and cut into chunks: two chunks whose common
 letters differ by more than the edits allowed are left out as a whole, those
 left are judged by one bit operation a pair, and of pairs that pass, only what
@@ -25,8 +25,10 @@ ROWS = "key long, probe boolean, name string, mask int, p int, letters long, let
 FOUND = "name string, mask int, name2 string, mask2 int"
 #: Rows read before their keys are compared, if a key ends there.
 HELD = 1 << 17
+#: A key with more pairs has all of them judged as a table.
+MANY = 2_000
 #: A key with more pairs is compared by chunks of so many names.
-MANY, CHUNK = 20_000, 128
+MOST, CHUNK = 1 << 23, 128
 #: Pairs judged at once.
 PAIRS = 1 << 18
 
@@ -73,8 +75,9 @@ class Meeting:
             pair = np.arange(at, min(at + PAIRS, ends[-1]))
             g = np.searchsorted(ends, pair, side="right")
             rest = pair - (ends[g] - n1[g] * n2[g])
-            i = starts[g] + rest // n2[g]
-            yield from self.judged(i, starts[g] + n1[g] + rest % n2[g])
+            i, j = starts[g] + rest // n2[g], starts[g] + n1[g] + rest % n2[g]
+            alike = np.flatnonzero(np.bitwise_count(self.letters[i] ^ self.letters[j]) <= self.allowed[self.n[i] + self.n[j]])
+            yield from self.judged(i[alike], j[alike])
 
     def judged(self, i: np.ndarray, j: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         ok = self.likely(i, j)
@@ -83,25 +86,33 @@ class Meeting:
             ok = self.reached(i, j, lcs_lengths(self.names.take(self.u[i]), self.names.take(self.u[j])))
             yield i[ok], j[ok]
 
-    def by_chunks(self, start: int, n1: int, n2: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Similar pairs of a key with many."""
-        one, two = np.arange(start, start + n1), np.arange(start + n1, start + n1 + n2)
+    def as_table(self, one: np.ndarray, two: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Similar pairs of rows of pieces and rows of probes."""
+        if not len(one) or not len(two):
+            return
+        most = np.uint8(min(int(self.allowed[self.n[one].max() + self.n[two].max()]), 126))
+        step = max(1, PAIRS // len(two))
+        for k in range(0, len(one), step):
+            alike = np.flatnonzero(np.bitwise_count(self.letters[one[k : k + step]][:, None] ^ self.letters[two]) <= most)
+            i, j = np.divmod(alike, len(two))
+            yield from self.judged(one[k + i], two[j])
+
+    def by_chunks(self, one: np.ndarray, two: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """:meth:`as_table` of a key with very many."""
         long = self.n > WORD
-        for a, b in ((one[long[one]], two), (one[~long[one]], two[long[two]])):
-            if len(a) and len(b):
-                for at in range(0, len(a) * len(b), PAIRS):
-                    pair = np.arange(at, min(at + PAIRS, len(a) * len(b)))
-                    yield from self.judged(a[pair // len(b)], b[pair % len(b)])
+        yield from self.as_table(one[long[one]], two)
+        yield from self.as_table(one[~long[one]], two[long[two]])
         one, two = one[~long[one]], two[~long[two]]
         if not len(one) or not len(two):
             return
         held = np.unique(self.u[np.r_[one, two]])
         codes, size = code_matrix(self.flat, self.offsets[held], self.lengths[held])
         back, _ = code_matrix(self.flat, self.offsets[held], self.lengths[held], back=True)
-        if len(np.unique(back[:, :8], axis=0)) < len(np.unique(codes[:, :8], axis=0)):
-            codes = back
-        wide = codes.shape[1]
-        codes = codes[ordered := np.argsort(np.ascontiguousarray(codes.astype(">u4")).view(f"S{4 * wide}").ravel(), kind="stable")]
+        kind = ">u1" if size <= 256 else ">u4"
+        plain, turned = (_as_bytes(c, kind) for c in (codes, back))
+        ends = [len(np.unique(_as_bytes(c[:, :8], kind))) for c in (codes, back)]
+        ordered = np.argsort(turned if ends[1] < ends[0] else plain, kind="stable")
+        codes = (back if ends[1] < ends[0] else codes)[ordered]
         place = np.empty(len(self.names), np.int64)
         place[held[ordered]] = np.arange(len(held))
         sides = []
@@ -150,7 +161,8 @@ class Meeting:
         few = (n1 * n2 > 0) & (n1 * n2 <= MANY)
         yield from self.one_by_one(starts[few], n1[few], n2[few])
         for g in np.flatnonzero(n1 * n2 > MANY):
-            yield from self.by_chunks(int(starts[g]), int(n1[g]), int(n2[g]))
+            one, two = np.split(np.arange(starts[g], starts[g] + sizes[g]), [n1[g]])
+            yield from (self.as_table if n1[g] * n2[g] <= MOST else self.by_chunks)(one, two)
 
     def batches(self) -> Iterator[pa.RecordBatch]:
         for i, j in self.similar():
@@ -158,6 +170,12 @@ class Meeting:
                 yield pa.RecordBatch.from_arrays([self.names.take(self.u[i]), pa.array(self.mask[i], pa.int32()), self.names.take(self.u[j]), pa.array(self.mask[j], pa.int32())], ["name", "mask", "name2", "mask2"])
 
 
+def _as_bytes(codes: np.ndarray, kind: str) -> np.ndarray:
+    """Rows as values that sort as the rows do."""
+    rows = np.ascontiguousarray(codes.astype(kind))
+    return rows.view(f"S{rows.dtype.itemsize * rows.shape[1]}").ravel()
+
+
 def _shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """How many codes rows have in common from the first on."""
     return np.logical_and.accumulate(a == b, axis=1).sum(axis=1)

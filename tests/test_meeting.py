@@ -37,9 +37,10 @@ def names(seed, tail):
     return some if tail else [n[::-1] for n in some]
 
 
-@pytest.mark.parametrize("threshold, many, tail", [(90.0, 5, True), (90.0, 5, False), (70.0, 5, True), (90.0, 10**6, True), (100.0, 5, True)])
-def test_similar_where_met_is_all_pairs(monkeypatch, threshold, many, tail):
+@pytest.mark.parametrize("threshold, many, most, tail", [(90.0, 5, 5, True), (90.0, 5, 5, False), (70.0, 5, 5, True), (90.0, 10**6, 10**6, True), (90.0, 5, 10**6, True), (100.0, 5, 5, True)])
+def test_similar_where_met_is_all_pairs(monkeypatch, threshold, many, most, tail):
     monkeypatch.setattr(E, "MANY", many)
+    monkeypatch.setattr(E, "MOST", most)
     monkeypatch.setattr(E, "CHUNK", 8)
     monkeypatch.setattr(E, "PAIRS", 1000)
     monkeypatch.setattr(E, "HELD", 100)
